@@ -76,15 +76,15 @@ SOURCES = [
                raw_metric="life_exp_wb", raw_code="iso3", raw_period="year"),
     SourceSpec(label="Kaggle", path=_p("kaggle_health_factors.csv"), metric="life_exp_kaggle",
                raw_metric="Life expectancy", raw_name="Country", raw_period="Year",
-               correct_names=True, drop_null_metric=False),
+               correct_names=True),
     SourceSpec(label="UNICEF", path=_p("unicef_life_expectancy.csv"), metric="life_exp_unicef",
                raw_metric="OBS_VALUE", raw_code="REF_AREA", raw_period="TIME_PERIOD",
-               equals_filters=(("SEX", "_T"),), on_duplicate="mean"),
+               equals_filters=(("SEX", "_T"),), drop_null_metric=True, on_duplicate="mean"),
     SourceSpec(label="WHO (HALE)", path=_p("who_healthy_life_expectancy.csv"), metric="hale_who",
                raw_metric="AMOUNT_N", raw_name="GEO_NAME_SHORT", raw_period="DIM_TIME",
                equals_filters=(("DIM_GEO_CODE_TYPE", "COUNTRY"),),
                cascade=("DIM_SEX", ("TOTAL", "BTSX", "BOTHSEXES")),
-               correct_names=True, on_duplicate="first"),
+               correct_names=True, drop_null_metric=True, on_duplicate="first"),
     SourceSpec(label="CDC (US)", path=_p("cdc_us_demographics.csv"), metric="life_exp_us_cdc",
                fmt="positional", positional=(2, 0, 1, "USA")),
 ]

@@ -27,8 +27,8 @@ _NAME = "__name"
 DUPLICATE_POLICIES = ("error", "first", "mean", "max", "multiply")
 
 
-def _metric_cols(df: DataFrame, keys, name_col) -> list[str]:
-    skip = set(keys) | ({name_col} if name_col else set())
+def _metric_cols(df: DataFrame, keys, name_col, order_col=None) -> list[str]:
+    skip = set(keys) | ({name_col} if name_col else set()) | ({order_col} if order_col else set())
     return [c for c in df.columns if c not in skip and not c.startswith("__")]
 
 
@@ -67,7 +67,7 @@ def _merge_union(sources, keys, name_col, on_duplicate, order_col) -> DataFrame:
     metrics: list[str] = []
     parts = []
     for i, src in enumerate(sources):
-        ms = _metric_cols(src, keys, name_col)
+        ms = _metric_cols(src, keys, name_col, order_col if on_duplicate == "first" else None)
         clash = set(ms) & set(metrics)
         if clash:
             raise ValueError(f"metric columns appear in two sources: {sorted(clash)}")

@@ -154,6 +154,9 @@ def pair_agreement(df: DataFrame, pairs) -> DataFrame:
 
     One aggregation for all pairs; pairs with n = 0 are omitted.
     """
+    if not pairs:
+        return df.sparkSession.createDataFrame(
+            [], "pair string, ordinal int, n long, mean_abs double, max_abs double, corr double")
     aggs = []
     for i, (a, b, _) in enumerate(pairs):
         both, xa, xb = _masked(a, b)

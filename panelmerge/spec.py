@@ -49,7 +49,7 @@ class SourceSpec:
     exclude_code_prefix: str | None = None
     equals_filters: tuple = ()      # ((column, value), ...) applied if column present
     cascade: tuple | None = None    # (column, (pref1, pref2, ...))
-    drop_null_metric: bool = True   # False keeps rows whose value is missing
+    drop_null_metric: bool = False  # True also drops rows whose value is missing
     correct_names: bool = False     # apply corrections + resolve name -> code
     on_duplicate: str | None = None  # None | mean | first
     positional: tuple | None = None  # (skip_rows, period_pos, value_pos, const_code)
