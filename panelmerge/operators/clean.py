@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -94,12 +94,17 @@ def dedup_mean(df: DataFrame, keys, metric: str) -> DataFrame:
 def dedup_first(df: DataFrame, keys, order) -> DataFrame:
     """Keep the first row per key under an explicit total order.
 
-    ``dropDuplicates`` keeps an arbitrary row; here ``order`` (columns or
-    Column expressions) makes "first" deterministic.
+    ``dropDuplicates`` keeps an arbitrary row; here ``order`` (column names)
+    makes "first" deterministic. Realised as the minimum of an
+    ``(order..., other columns...)`` struct per key: a partial aggregation, so a
+    key holding a third of the rows is reduced map-side instead of being
+    sorted in one task as a ``row_number`` window would.
     """
-    order = [F.col(o) if isinstance(o, str) else o for o in order]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    order = list(order)
+    rest = [c for c in df.columns if c not in set(keys) | set(order)]
+    packed = F.min(F.struct(*[F.col(c) for c in order + rest])).alias("__first")
+    out = df.groupBy(*keys).agg(packed)
+    return out.select(*keys, *[F.col("__first").getField(c).alias(c) for c in order + rest]).select(*df.columns)
 
 
 def dedup_first_agg(df: DataFrame, keys, order_col: str, value_cols) -> DataFrame:

@@ -57,13 +57,17 @@ def source_coverage(df: DataFrame, metrics) -> DataFrame:
     """Histogram of non-null metrics per row: ``(n_sources, rows, pct, avg_sources)``.
 
     Only non-empty buckets appear; ``avg_sources`` is the mean over all rows.
+    One pass over the data: totals come from the histogram itself (at most
+    ``len(metrics) + 1`` rows), not from a second scan.
     """
+    from pyspark.sql import Window
     per_row = df.select(source_count(metrics).alias("n_sources"))
     hist = per_row.groupBy("n_sources").agg(F.count(F.lit(1)).alias("rows"))
-    tot = per_row.agg(F.count(F.lit(1)).alias("__t"), F.avg("n_sources").alias("avg_sources"))
-    return (hist.crossJoin(F.broadcast(tot))
-            .select(F.col("n_sources").cast("int").alias("n_sources"), "rows",
-                    _pct(F.col("rows"), F.col("__t")).alias("pct"), "avg_sources"))
+    w = Window.partitionBy()  # over the tiny histogram only
+    total = F.sum("rows").over(w)
+    return hist.select(F.col("n_sources").cast("int").alias("n_sources"), "rows",
+                       _pct(F.col("rows"), total).alias("pct"),
+                       (F.sum(F.col("n_sources") * F.col("rows")).over(w) / total).alias("avg_sources"))
 
 
 # ---------------------------------------------------------------- keys & extent
@@ -104,6 +108,26 @@ def duplicate_rows(df: DataFrame, cols=None) -> DataFrame:
         .withColumn("duplicate_pct", F.coalesce(_pct(F.col("duplicate_rows"), F.col("rows")), F.lit(0.0)))
 
 
+def key_facts(df: DataFrame, keys) -> DataFrame:
+    """Key uniqueness and exact duplicate rows in one two-level aggregation.
+
+    ``groupBy(all columns)`` then ``groupBy(keys)``: both are clustered by
+    a superset of the keys, so on a panel that is already partitioned by its
+    keys neither level shuffles. Output: distinct_keys, rows,
+    max_rows_per_key, repeated_keys, duplicate_keys, duplicate_rows,
+    duplicate_pct.
+    """
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__s"))
+    per_key = rows.groupBy(*keys).agg(F.sum("__s").alias("__k"), F.sum(F.col("__s") - 1).alias("__d"))
+    out = per_key.agg(F.count(F.lit(1)).alias("distinct_keys"),
+                      F.coalesce(F.sum("__k"), F.lit(0)).cast("long").alias("rows"),
+                      F.max("__k").alias("max_rows_per_key"),
+                      F.count_if(F.col("__k") > 1).alias("repeated_keys"),
+                      F.coalesce(F.sum(F.col("__k") - 1), F.lit(0)).cast("long").alias("duplicate_keys"),
+                      F.coalesce(F.sum("__d"), F.lit(0)).cast("long").alias("duplicate_rows"))
+    return out.withColumn("duplicate_pct", F.coalesce(_pct(F.col("duplicate_rows"), F.col("rows")), F.lit(0.0)))
+
+
 # ---------------------------------------------------------------- validity
 
 def bounds_check(df: DataFrame, metrics, lo, hi, period: str | None = None,
@@ -212,7 +236,7 @@ def decade_distribution(df: DataFrame, period: str, metric: str, method: str = "
     against the per-decade quartiles (one row per decade, joined back).
     """
     v = df.filter(F.col(metric).isNotNull()).select(decade(period).alias("decade"), F.col(metric).alias("__v"))
-    quart = exact_quantiles(v, "__v", [0.25, 0.5, 0.75], ["decade"], method=method) \
+    quart = exact_quantiles(v, "__v", [0.25, 0.5, 0.75], ["decade"], method=method, small_groups=True) \
         .withColumnRenamed("q_0", "q1").withColumnRenamed("q_1", "median").withColumnRenamed("q_2", "q3")
     iqr = F.col("q3") - F.col("q1")
     fence_lo, fence_hi = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
@@ -230,7 +254,7 @@ def decade_distribution(df: DataFrame, period: str, metric: str, method: str = "
 def decade_outliers(df: DataFrame, keys, period: str, metric: str, method: str = "exact") -> DataFrame:
     """The outlier points behind :func:`decade_distribution` (outside 1.5 IQR)."""
     base = df.filter(F.col(metric).isNotNull()).withColumn("decade", decade(period))
-    quart = exact_quantiles(base, metric, [0.25, 0.75], ["decade"], method=method)
+    quart = exact_quantiles(base, metric, [0.25, 0.75], ["decade"], method=method, small_groups=True)
     iqr = F.col("q_1") - F.col("q_0")
     out = base.join(F.broadcast(quart), "decade").filter(
         (F.col(metric) < F.col("q_0") - 1.5 * iqr) | (F.col(metric) > F.col("q_1") + 1.5 * iqr))

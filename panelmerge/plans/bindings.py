@@ -297,12 +297,12 @@ def q_violation_summary(spark, sf_dir):
 
 
 def q_health_gap_ranking(spark, sf_dir):
-    return charts.health_gap_ranking(rv_panel(spark, sf_dir, True), ["o_orderkey"], "year", "total", "net",
+    return charts.health_gap_ranking(rv_panel(spark, sf_dir), ["o_orderkey"], "year", "total", "net",
                                      RV_WANT_YEAR, k=15, extra=["year"])
 
 
 def q_period_fallback(spark, sf_dir):
-    p = rv_panel(spark, sf_dir, True)
+    p = rv_panel(spark, sf_dir)
     return rank.select_period(p, "year", RV_MISSING_YEAR, ["total", "net"]).select(
         "o_orderkey", "year", "total", "net")
 
@@ -312,11 +312,11 @@ def q_top_mean_gap(spark, sf_dir):
 
 
 def q_decade_distribution(spark, sf_dir):
-    return stats.decade_distribution(rv_panel(spark, sf_dir, True), "year", "net")
+    return stats.decade_distribution(rv_panel(spark, sf_dir), "year", "net")
 
 
 def q_decade_outliers(spark, sf_dir):
-    return stats.decade_outliers(rv_panel(spark, sf_dir, True), ["o_orderkey"], "year", "net")
+    return stats.decade_outliers(rv_panel(spark, sf_dir), ["o_orderkey"], "year", "net")
 
 
 # ------------------------------------------------------------------ LI

@@ -96,30 +96,44 @@ def dq_scorecard(df: DataFrame, keys, metrics, *, bounds, period_range, pairs, r
                  min_fill: float = COMPLETENESS_MIN_FILL,
                  max_mean_abs: float = ACCURACY_MAX_MEAN_ABS) -> DataFrame:
     """Five dimensions, one row each: ``(dimension, ordinal, passed, value,
-    checked_rows)``. ``checked_rows`` makes vacuous passes visible."""
+    checked_rows)``. ``checked_rows`` makes vacuous passes visible.
+
+    Two aggregations over the panel in total: one fused pass for
+    completeness, validity, accuracy and consistency, and the two-level key
+    aggregation of :func:`stats.key_facts` for uniqueness.
+    """
     entity, period = keys
     lo, hi = bounds
     plo, phi = period_range
     lower, upper = rule
     metrics = [m for m in metrics if m in df.columns]
-
-    fill = stats.overall_fill(df, metrics).select(
-        F.col("avg_column_fill_pct").alias("c_value"))
-    uniq = stats.key_uniqueness(df, keys).crossJoin(stats.duplicate_rows(df).select(
-        F.col("duplicate_rows").alias("__dups")))
-    bnd = stats.bounds_check(df, metrics, lo, hi, period, plo, phi).agg(
-        F.coalesce(F.sum("out_of_bounds"), F.lit(0)).cast("long").alias("v_value"))
-    pa = stats.pair_agreement(df, [p for p in pairs if p[0] in df.columns and p[1] in df.columns]) \
-        .agg(F.max("mean_abs").alias("a_value"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("a_checked"),
-             F.count_if(F.col("mean_abs") >= max_mean_abs).alias("a_bad"))
-    if lower in df.columns and upper in df.columns:
-        rc = rule_consistency(df, lower, upper)
+    pairs = [p for p in pairs if p[0] in df.columns and p[1] in df.columns]
+    n = F.count(F.lit(1))
+    fills = [F.coalesce(F.try_divide(F.count(F.col(m)) * 100.0, n), F.lit(0.0)) for m in metrics]
+    avg_fill = (sum(fills, F.lit(0.0)) / len(metrics)) if metrics else F.lit(0.0)
+    oob = sum((F.count_if((F.col(m) < lo) | (F.col(m) > hi)) for m in metrics), F.lit(0))
+    p = F.col(period)
+    oob = oob + F.count_if(p.isNull() | (p < plo) | (p > phi))
+    aggs = [n.alias("__rows"), avg_fill.alias("c_value"), oob.cast("long").alias("v_value")]
+    for i, (a, b, _) in enumerate(pairs):
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        aggs += [F.count_if(both).alias(f"pn{i}"), F.avg(F.when(both, F.abs(F.col(a) - F.col(b)))).alias(f"pm{i}")]
+    has_rule = lower in df.columns and upper in df.columns
+    if has_rule:
+        both = F.col(lower).isNotNull() & F.col(upper).isNotNull()
+        aggs += [F.count_if(both).alias("overlapping_rows"), F.count_if(both & (F.col(lower) > F.col(upper))).alias("violations")]
     else:
-        rc = df.sparkSession.range(1).select(F.lit(0).cast("long").alias("overlapping_rows"),
-                                             F.lit(0).cast("long").alias("consistent_rows"),
-                                             F.lit(0).cast("long").alias("violations"))
-    rows = df.agg(F.count(F.lit(1)).alias("__rows"))
-    one = (rows.crossJoin(fill).crossJoin(uniq).crossJoin(bnd).crossJoin(pa).crossJoin(rc))
+        aggs += [F.lit(0).cast("long").alias("overlapping_rows"), F.lit(0).cast("long").alias("violations")]
+    facts = df.agg(*aggs)
+    # accuracy: pairs without overlap are left out, as in the pair report
+    checked = [F.col(f"pn{i}") for i in range(len(pairs))]
+    bad = [F.when((F.col(f"pn{i}") > 0) & (F.col(f"pm{i}") >= max_mean_abs), 1).otherwise(0) for i in range(len(pairs))]
+    worst = F.greatest(*[F.col(f"pm{i}") for i in range(len(pairs))]) if len(pairs) > 1 else \
+        (F.col("pm0") if pairs else F.lit(None).cast("double"))
+    facts = facts.select("*", (sum(checked, F.lit(0)) if pairs else F.lit(0)).cast("long").alias("a_checked"),
+                         (sum(bad, F.lit(0)) if pairs else F.lit(0)).alias("a_bad"), worst.alias("a_value"))
+    uniq = stats.key_facts(df, keys).select("max_rows_per_key", F.col("duplicate_rows").alias("__dups"))
+    one = facts.crossJoin(uniq)
     def dim(name, ordinal, passed, value, checked):
         return F.struct(F.lit(name).alias("dimension"), F.lit(ordinal).alias("ordinal"),
                         F.coalesce(passed, F.lit(False)).alias("passed"), value.cast("double").alias("value"),
@@ -159,9 +173,8 @@ def audit_keys(df: DataFrame, entity: str, period: str) -> DataFrame:
                   F.count_if(F.col(period).isNull()).alias("period_nulls"),
                   F.count_distinct(entity).alias("entities"), F.min(period).alias("min_period"),
                   F.max(period).alias("max_period"))
-    dk = stats.key_uniqueness(df, [entity, period]).select("duplicate_keys")
-    dr = stats.duplicate_rows(df).select("duplicate_rows", "duplicate_pct")
-    return base.crossJoin(dk).crossJoin(dr).withColumn("columns", F.lit(len(df.columns)))
+    kf = stats.key_facts(df, [entity, period]).select("duplicate_keys", "duplicate_rows", "duplicate_pct")
+    return base.crossJoin(kf).withColumn("columns", F.lit(len(df.columns)))
 
 
 # ------------------------------------------------------------- profiles (G1-G6)
@@ -260,7 +273,7 @@ def final_profile(df: DataFrame, entity: str, period: str, name: str | None, met
                   pct(F.col(entity)).alias("code_fill_pct"),
                   (pct(F.col(name)) if name else F.lit(0.0)).alias("name_fill_pct"),
                   avg_fill.alias("avg_metric_fill_pct"), oob.cast("long").alias("out_of_bounds"))
-    dk = stats.key_uniqueness(df, [entity, period]).select("duplicate_keys")
+    dk = stats.key_facts(df, [entity, period]).select("duplicate_keys")
     return base.crossJoin(dk).select("rows", F.lit(len(df.columns)).alias("columns"), "entities", "min_period",
                                      "max_period", "code_fill_pct", "name_fill_pct", "duplicate_keys",
                                      "avg_metric_fill_pct", "out_of_bounds")
