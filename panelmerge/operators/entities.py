@@ -121,4 +121,5 @@ def verify_overrides(df: DataFrame, code_col: str, name_col: str, codes) -> Data
 def rule_check(spark: SparkSession, rules: dict, name_map: DataFrame) -> DataFrame:
     """Correction rules whose canonical name is absent from the name map."""
     r = spark.createDataFrame(list(rules.items()), "variant string, canonical string")
-    return F.broadcast(r).join(name_map, r.canonical == name_map.name, "left_anti")
+    names = name_map.select(F.col("name").alias("__name")).distinct()
+    return r.join(names, F.col("canonical") == F.col("__name"), "left_anti")

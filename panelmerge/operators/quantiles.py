@@ -103,10 +103,13 @@ def exact_quantiles(df: DataFrame, value_col: str, qs, groups=(), *, method: str
           (F.col("__k") < F.col("__below") + F.col("__cum"))
     picked = vals.filter(hit).select(*groups, "__k", F.col("__v").alias("__val"))
 
-    p1 = picked.withColumnRenamed("__k", "__k1").withColumnRenamed("__val", "__v1")
-    p2 = picked.withColumnRenamed("__k", "__k2").withColumnRenamed("__val", "__v2")
-    t = targets.join(p1, on=groups + ["__k1"], how="inner").join(p2, on=groups + ["__k2"], how="inner")
-    value = F.col("__v1") + (F.col("__v2") - F.col("__v1")) * F.col("__frac")
+    # one row per group: rank -> value map (at most 2 entries per quantile), joined once
+    by_rank = picked.groupBy(*groups).agg(
+        F.map_from_entries(F.collect_list(F.struct("__k", "__val"))).alias("__m"))
+    t = targets.join(F.broadcast(by_rank) if (small_groups or not groups) else by_rank, on=groups, how="inner") \
+        if groups else targets.crossJoin(F.broadcast(by_rank))
+    v1, v2 = F.col("__m")[F.col("__k1")], F.col("__m")[F.col("__k2")]
+    value = v1 + (v2 - v1) * F.col("__frac")
     wide = t.groupBy(*groups).agg(*[
         F.max(F.when(F.col("__qi") == i, value)).alias(f"q_{i}") for i in range(len(qs))])
     return wide

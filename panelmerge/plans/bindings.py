@@ -372,6 +372,10 @@ def q_name_corrections(spark, sf_dir):
     return nm_corrected(spark, sf_dir)
 
 
+def q_correction_rule_check(spark, sf_dir):
+    return entities.rule_check(spark, NM_CORRECTIONS, nm_name_map(spark, sf_dir))
+
+
 def q_correction_stats(spark, sf_dir):
     return entities.correction_stats(nm_part(spark, sf_dir), "p_name", NM_CORRECTIONS)
 

@@ -333,6 +333,9 @@ Q["exclude_prefix"] = (
 Q["name_corrections"] = f"SELECT p_partkey, p_name AS name_raw, {CORR} AS name FROM part"
 Q["correction_stats"] = (f"SELECT count(*) FILTER (WHERE trim(p_name) IN ({_in(B.NM_CORRECTIONS)})) AS rows_corrected, "
                          "count(*) AS rows_total FROM part")
+_rules = ", ".join(f"('{k}', '{v}')" for k, v in B.NM_CORRECTIONS.items())
+Q["correction_rule_check"] = (f"WITH {NMAP}, r(variant, canonical) AS (VALUES {_rules}) "
+                              "SELECT variant, canonical FROM r WHERE canonical NOT IN (SELECT name FROM nmap)")
 Q["resolve_names"] = f"WITH {NMAP}, {RES} SELECT * FROM rn"
 Q["unresolved_names"] = (
     f"WITH {NMAP}, {RES}, m AS (SELECT * FROM rn WHERE code IS NULL) "
