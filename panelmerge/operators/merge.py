@@ -85,11 +85,14 @@ def _merge_union(sources, keys, name_col, on_duplicate, order_col) -> DataFrame:
 
     aggs: list[Column] = []
     if name_col:
-        if _NAME not in stacked.columns:
-            stacked = stacked.withColumn(_NAME, F.lit(None).cast("string"))
-        # first non-null name in source order; min of a struct ignores NULL inputs
-        first_name = F.min(F.when(F.col(_NAME).isNotNull(), F.struct(F.col(_SRC), F.col(_NAME))))
-        aggs.append(first_name.getField(_NAME).alias(name_col))
+        if _NAME in stacked.columns:
+            # first non-null name in source order; min of a struct ignores NULL inputs.
+            # (A string-valued buffer makes this a sort-based aggregation: still
+            # partial and spill-safe, so it is only added when a source has names.)
+            first_name = F.min(F.when(F.col(_NAME).isNotNull(), F.struct(F.col(_SRC), F.col(_NAME))))
+            aggs.append(first_name.getField(_NAME).alias(name_col))
+        else:
+            aggs.append(F.lit(None).cast("string").alias(name_col))
     types = dict(stacked.dtypes)
     for m in metrics:
         aggs.append(_reduce_metric(m, on_duplicate, types[m]).alias(m))
