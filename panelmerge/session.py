@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,18 +45,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there and we use it as is. Only when it
-    is unset (local tests) do we pick a scratch folder of our own.
+    A cluster names a shared folder there and we use it as is (the setting
+    cannot be changed at runtime anyway). Only when it is unset (local
+    tests) do we register a scratch folder of our own with the context.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="panelmerge-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
-    return current
+    if current:
+        return current
+    registered = spark.sparkContext.getCheckpointDir()
+    if registered:
+        return registered
+    local = tempfile.mkdtemp(prefix="panelmerge-ckpt-")
+    spark.sparkContext.setCheckpointDir(local)
+    return spark.sparkContext.getCheckpointDir() or local
 
 
 def cut_lineage(df):
