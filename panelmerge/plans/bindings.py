@@ -232,14 +232,11 @@ def q_panel_pipeline(spark, sf_dir):
 
 
 def _ev_raw_profiles(spark, sf_dir):
-    lng = ev_long(spark, sf_dir)
-    e = _t(spark, sf_dir, "events")
-    srcs = []
-    for t in EV_TYPES:
-        srcs.append({"label": t, "code": "user_id", "metric": "value", "period": "day",
-                     "load": (lambda t=t: e.filter(F.col("event_type") == t).select(
-                         "event_id", "user_id", F.dayofmonth("ts").alias("day"), "value"))})
-    return reports.source_profile(spark, srcs, EV_BOUNDS)
+    """The five event-type sources are slices of one table: one grouped profile."""
+    e = _t(spark, sf_dir, "events").select("event_type", "event_id", "user_id",
+                                           F.dayofmonth("ts").alias("day"), "value")
+    return reports.source_profile_grouped(e, "event_type", EV_TYPES, EV_BOUNDS, code="user_id",
+                                          metric="value", period="day")
 
 
 def _ev_before_after(spark, sf_dir):

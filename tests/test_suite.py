@@ -24,3 +24,15 @@ def test_suite_matches_bindings(spark, tmp_path):
         assert got == exp, name
     for df in suite.values():
         assert "FileScan" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_grouped_profile_equals_per_source_profile(spark):
+    from pyspark.sql import functions as F
+    from panelmerge.plans import reports
+    rows = [("a", 1, 10, 1.0), ("a", 1, 10, 1.0), ("a", 2, None, 200.0), ("b", 3, 11, None), ("c", 4, 12, 5.0)]
+    df = spark.createDataFrame(rows, "src string, id int, code int, v double")
+    grouped = reports.source_profile_grouped(df, "src", ["b", "a"], (0, 100), code="code", metric="v")
+    per = reports.source_profile(spark, [
+        {"label": lab, "code": "code", "metric": "v",
+         "load": (lambda lab=lab: df.filter(F.col("src") == lab).drop("src"))} for lab in ["b", "a"]], (0, 100))
+    assert sorted(map(tuple, grouped.collect())) == sorted(map(tuple, per.collect()))
