@@ -44,8 +44,9 @@ def exclude_prefix(df: DataFrame, col: str, prefix: str) -> DataFrame:
 
 
 def period_predicate(col: str, lo, hi) -> Column:
-    """Inclusive range; a NULL period fails."""
-    return F.coalesce(F.col(col).between(lo, hi), F.lit(False))
+    """Inclusive range. A NULL period yields NULL, which ``filter`` drops and
+    ``count_if`` does not count; kept a plain range so Parquet can push it."""
+    return F.col(col).between(lo, hi)
 
 
 def period_filter(df: DataFrame, col: str, lo, hi) -> DataFrame:

@@ -224,11 +224,18 @@ def ev_canonical_ref(spark, sf_dir) -> DataFrame:
 
 
 def q_panel_pipeline(spark, sf_dir):
+    """Clean (period filter) -> merge -> canonical labels -> drop unlabelled.
+
+    The five sources are slices of one table, so they are cleaned and merged
+    in one scan (``long_to_panel``); the assembled panel is already
+    partitioned by its keys, so assembly adds no shuffle.
+    """
     from panelmerge.plans.pipeline import assemble_panel
-    srcs = [clean.period_filter(s, "day", *EV_PERIOD_RANGE) for s in ev_sources(spark, sf_dir)]
+    lng = clean.period_filter(ev_long(spark, sf_dir), "day", *EV_PERIOD_RANGE)
+    merged = merge.long_to_panel(lng, list(EV_KEYS), "event_type", "value", {t: f"m_{t}" for t in EV_TYPES})
     ref = ev_canonical_ref(spark, sf_dir)
     cmap = entities.canonical_map(ref, "user_id", "name", "user_id")
-    return assemble_panel(srcs, list(EV_KEYS), "name", cmap, overrides={}, on_duplicate="mean")
+    return assemble_panel([merged], list(EV_KEYS), "name", cmap, overrides={}, on_duplicate="error")
 
 
 def _ev_raw_profiles(spark, sf_dir):
