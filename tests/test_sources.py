@@ -230,3 +230,22 @@ def test_pipeline_end_to_end(spark, tmp_path, monkeypatch):
         assert got[("AAA", 2000)].life_exp_unicef == 61.0 and got[("AAA", 2000)].hale_who == 55.0
         assert got[("AAA", 1950)].life_exp_owid == 41.5 and got[("AAA", 1950)].life_exp_wb == 41.0
         assert got[("AAA", 1950)].country_name == "Alpha"
+
+
+def test_worldbank_from_payload_spec(spark, tmp_path):
+    payload = [{"page": 1}, [
+        {"countryiso3code": "AAA", "country": {"value": "Alpha"}, "date": "1950", "value": 41.0},
+        {"countryiso3code": "", "country": {"value": "Nowhere"}, "date": "2000", "value": 50.0},
+        {"countryiso3code": "BBB", "country": {"value": "Beta"}, "date": "2030", "value": 80.0}]]
+    spec = replace(LE.SOURCES[1], path=write(tmp_path / "wb.json", json.dumps(payload)), fmt="json-payload",
+                   raw_code="iso3", raw_period="year", raw_metric="life_exp_wb")
+    assert rows(clean_source(spark, spec), "iso3", "year", "life_exp_wb") == [("AAA", 1950, 41.0)]
+
+
+def test_corrections_idempotent_when_no_canonical_is_a_variant(spark):
+    from panelmerge.operators.entities import apply_corrections
+    rules = {k: v for k, v in LE.CORRECTIONS.items() if v not in LE.CORRECTIONS}
+    df = spark.createDataFrame([(k,) for k in list(LE.CORRECTIONS) + ["Chad"]], "n string")
+    once = apply_corrections(df, "n", rules)
+    twice = apply_corrections(once, "n", rules)
+    assert sorted(r.n for r in once.collect()) == sorted(r.n for r in twice.collect())

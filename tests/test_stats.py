@@ -87,3 +87,14 @@ def test_decade_distribution_whiskers(spark):
     r = stats.decade_distribution(df, "y", "v").first()
     q1, q3 = np.quantile(vals, [0.25, 0.75])
     assert (r.q1, r.q3, r.outliers, r.whisker_hi, r.whisker_lo) == (q1, q3, 1, 4.0, 1.0)
+
+
+def test_value_scorecard_legacy_constants(spark):
+    ba = spark.createDataFrame([(1, 9, 100, 200, 0, 5, 100.0, 1)],
+                               "schemas long, final_columns int, final_rows long, raw_rows long, "
+                               "final_duplicate_keys long, final_out_of_bounds long, code_fill_pct double, "
+                               "final_entities long")
+    computed = {r.dimension: r.passed for r in reports.value_scorecard(ba, min_entities=0).collect()}
+    legacy = {r.dimension: r.passed for r in reports.value_scorecard(ba, min_entities=0, legacy=True).collect()}
+    assert computed["validity_enforcement"] is False and legacy["validity_enforcement"] is True
+    assert reports.value_scorecard(ba, min_entities=0, legacy=True).first().grade == "A"
