@@ -35,11 +35,12 @@ DEFAULT_PASSES = 2
 DEFAULT_BUCKETS = 2048
 
 
-def _join_state(base: DataFrame, state: DataFrame, groups, small: bool = False) -> DataFrame:
+def _join_state(base: DataFrame, state: DataFrame, groups) -> DataFrame:
     if groups:
-        # state: <= 2 rows per (group, quantile); broadcast only when the caller
-        # knows the number of groups is bounded (e.g. decades)
-        return base.join(F.broadcast(state) if small else state, on=list(groups), how="inner")
+        # state: <= 2 rows per (group, rank). No hint: AQE measures the
+        # materialised state and broadcasts it when small; a forced broadcast of
+        # a data-dependent chain only adds re-planning rounds.
+        return base.join(state, on=list(groups), how="inner")
     # no groups: the state has at most 2 rows per quantile, bounded by construction
     return base.crossJoin(F.broadcast(state))
 
@@ -47,6 +48,8 @@ def _join_state(base: DataFrame, state: DataFrame, groups, small: bool = False)
 def exact_quantiles(df: DataFrame, value_col: str, qs, groups=(), *, method: str = "exact",
                     passes: int = DEFAULT_PASSES, buckets: int = DEFAULT_BUCKETS,
                     small_groups: bool = False) -> DataFrame:
+    # ``small_groups`` is accepted for callers that know the group count is
+    # bounded; joins are left to AQE either way (see ``_join_state``).
     """Quantiles with linear interpolation (numpy / ``quantile_cont``).
 
     Returns one row per group: the group columns and one double column per
@@ -81,7 +84,7 @@ def exact_quantiles(df: DataFrame, value_col: str, qs, groups=(), *, method: str
                          F.lit(0).cast("long").alias("__below"))
     wkey = Window.partitionBy(*groups, "__k")
     for _ in range(passes):
-        inside = _join_state(base, state, groups, small_groups).filter(F.col("__v").between(F.col("__a"), F.col("__b")))
+        inside = _join_state(base, state, groups).filter(F.col("__v").between(F.col("__a"), F.col("__b")))
         width = F.col("__b") - F.col("__a")
         bucket = F.when(width > 0, F.least(F.floor((F.col("__v") - F.col("__a")) / width * buckets),
                                            F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
@@ -95,7 +98,7 @@ def exact_quantiles(df: DataFrame, value_col: str, qs, groups=(), *, method: str
         state = hist.filter(hit).select(
             *groups, "__k", F.col("__bmin").alias("__a"), F.col("__bmax").alias("__b"),
             (F.col("__below") + F.col("__cum") - F.col("__c")).alias("__below"))
-    inside = _join_state(base, state, groups, small_groups).filter(F.col("__v").between(F.col("__a"), F.col("__b")))
+    inside = _join_state(base, state, groups).filter(F.col("__v").between(F.col("__a"), F.col("__b")))
     vals = inside.groupBy(*groups, "__k", "__below", "__v").agg(F.count(F.lit(1)).alias("__c"))
     cum = F.sum("__c").over(wkey.orderBy("__v").rowsBetween(Window.unboundedPreceding, 0))
     vals = vals.withColumn("__cum", cum)
@@ -106,8 +109,7 @@ def exact_quantiles(df: DataFrame, value_col: str, qs, groups=(), *, method: str
     # one row per group: rank -> value map (at most 2 entries per quantile), joined once
     by_rank = picked.groupBy(*groups).agg(
         F.map_from_entries(F.collect_list(F.struct("__k", "__val"))).alias("__m"))
-    t = targets.join(F.broadcast(by_rank) if (small_groups or not groups) else by_rank, on=groups, how="inner") \
-        if groups else targets.crossJoin(F.broadcast(by_rank))
+    t = targets.join(by_rank, on=groups, how="inner") if groups else targets.crossJoin(F.broadcast(by_rank))
     v1, v2 = F.col("__m")[F.col("__k1")], F.col("__m")[F.col("__k2")]
     value = v1 + (v2 - v1) * F.col("__frac")
     wide = t.groupBy(*groups).agg(*[

@@ -242,7 +242,7 @@ def decade_distribution(df: DataFrame, period: str, metric: str, method: str = "
     fence_lo, fence_hi = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     x = F.col("__v")
     inside = x.between(fence_lo, fence_hi)
-    per = v.join(F.broadcast(quart), "decade").groupBy("decade", "q1", "median", "q3").agg(
+    per = v.join(quart, "decade").groupBy("decade", "q1", "median", "q3").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.when(inside, x)).alias("whisker_lo"), F.max(F.when(inside, x)).alias("whisker_hi"),
         F.count_if(~inside).alias("outliers"))
@@ -256,6 +256,6 @@ def decade_outliers(df: DataFrame, keys, period: str, metric: str, method: str =
     base = df.filter(F.col(metric).isNotNull()).withColumn("decade", decade(period))
     quart = exact_quantiles(base, metric, [0.25, 0.75], ["decade"], method=method, small_groups=True)
     iqr = F.col("q_1") - F.col("q_0")
-    out = base.join(F.broadcast(quart), "decade").filter(
+    out = base.join(quart, "decade").filter(
         (F.col(metric) < F.col("q_0") - 1.5 * iqr) | (F.col(metric) > F.col("q_1") + 1.5 * iqr))
     return out.select(*keys, "decade", metric)

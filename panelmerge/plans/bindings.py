@@ -63,7 +63,13 @@ RV_PERIOD_RANGE = (1996, 2000)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The table as a DataFrame, resolved once per session (file listing and
+    footer reads are not repeated for every query that uses the table)."""
+    cache = spark.__dict__.setdefault("_panelmerge_tables", {})
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in cache:
+        cache[path] = spark.read.parquet(path)
+    return cache[path]
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
