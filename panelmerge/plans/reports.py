@@ -213,6 +213,35 @@ def merge_keys(spark: SparkSession, tables: dict) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, column_name string, role string, has_iso boolean")
 
 
+def profile_files(spark: SparkSession, paths, sample_rows: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """Profile raw CSV files: per file, the column profile of its first
+    ``sample_rows`` rows (file order) and its candidate merge keys.
+
+    Each file is decoded as UTF-8 or Latin-1 (per-file detection); a file
+    that cannot be read is reported in the profile with ``load_error`` and
+    the others still appear. Returns ``(columns, merge_keys)``.
+    """
+    from panelmerge.sources.readers import read_csv_any_encoding
+    schema = "file string, column string, ordinal int, dtype string, non_null_pct double, sample string, load_error string"
+    cols, tables = [], {}
+    for path in paths:
+        name = path.rstrip("/").split("/")[-1]
+        try:
+            df = read_csv_any_encoding(spark, path)
+            df.schema  # noqa: B018 - resolves the file now, so a bad one is caught here
+        except Exception as exc:
+            msg = "File not found" if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc) else "Failed to read file"
+            cols.append(spark.createDataFrame([(name, None, None, None, None, None, msg)], schema))
+            continue
+        tables[name] = df
+        ordered = df.withColumn("__row", F.monotonically_increasing_id())
+        prof = column_profile(ordered, ["__row"], sample_rows).filter(F.col("column") != "__row")
+        cols.append(prof.select(F.lit(name).alias("file"), "column", "ordinal", "dtype", "non_null_pct", "sample",
+                                F.lit("").alias("load_error")))
+    columns = reduce(lambda a, b: a.unionByName(b), cols) if cols else spark.createDataFrame([], schema)
+    return columns, merge_keys(spark, tables)
+
+
 def source_profile(spark: SparkSession, sources, bounds) -> DataFrame:
     """One row per raw source (G3). ``sources`` is a list of dicts with
     ``label``, ``load`` (callable returning a DataFrame) and optional

@@ -249,3 +249,17 @@ def test_corrections_idempotent_when_no_canonical_is_a_variant(spark):
     once = apply_corrections(df, "n", rules)
     twice = apply_corrections(once, "n", rules)
     assert sorted(r.n for r in once.collect()) == sorted(r.n for r in twice.collect())
+
+
+def test_profile_files_reports_columns_keys_and_errors(spark, tmp_path):
+    from panelmerge.plans.reports import profile_files
+    owid = write(tmp_path / "owid.csv", OWID)
+    kag = write(tmp_path / "kaggle.csv", KAGGLE, encoding="latin-1")
+    cols, keys = profile_files(spark, [owid, kag, str(tmp_path / "absent.csv")])
+    got = {(r.file, r.column): r for r in cols.collect()}
+    assert got[("owid.csv", "Entity")].sample == "Alpha" and got[("owid.csv", "Code")].non_null_pct < 100
+    assert got[("kaggle.csv", "Country")].sample == "Côte d'Ivoire"
+    assert got[("absent.csv", None)].load_error == "File not found"
+    roles = {(r.table_name, r.column_name, r.role) for r in keys.collect()}
+    assert ("owid.csv", "Entity", "entity") in roles and ("owid.csv", "Year", "period") in roles
+    assert ("kaggle.csv", "Country", "entity") in roles
