@@ -506,7 +506,7 @@ MERGE_KEY_TABLES = ("region", "nation", "customer", "supplier", "part", "orders"
 
 
 def q_merge_keys(spark, sf_dir):
-    return reports.merge_keys(spark, {t: _t(spark, sf_dir, t) for t in MERGE_KEY_TABLES})
+    return reports.merge_keys(spark, {t: _t(spark, sf_dir, t) for t in MERGE_KEY_TABLES}, with_stats=True)
 
 
 def q_source_profile(spark, sf_dir):

@@ -401,11 +401,18 @@ def _kw(col: str, kws) -> str:
 
 from panelmerge.plans.reports import ENTITY_KEYWORDS, PERIOD_KEYWORDS  # noqa: E402
 
+# candidate columns are found from the catalog; their measurements come from the data
+_MK_STATS = (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
 Q["merge_keys"] = (
     f"WITH c AS (SELECT table_name, column_name FROM information_schema.columns WHERE table_name IN ({_in(B.MERGE_KEY_TABLES)})), "
-    "iso AS (SELECT table_name, bool_or(lower(column_name) LIKE '%iso%') AS has_iso FROM c GROUP BY table_name) "
-    f"SELECT table_name, column_name, 'entity' AS role, has_iso FROM c JOIN iso USING (table_name) WHERE {_kw('column_name', ENTITY_KEYWORDS)} "
-    f"UNION ALL SELECT table_name, column_name, 'period', has_iso FROM c JOIN iso USING (table_name) WHERE {_kw('column_name', PERIOD_KEYWORDS)}")
+    "iso AS (SELECT table_name, bool_or(lower(column_name) LIKE '%iso%') AS has_iso FROM c GROUP BY table_name), "
+    f"k AS (SELECT table_name, column_name, 'entity' AS role, has_iso FROM c JOIN iso USING (table_name) WHERE {_kw('column_name', ENTITY_KEYWORDS)} "
+    f"UNION ALL SELECT table_name, column_name, 'period', has_iso FROM c JOIN iso USING (table_name) WHERE {_kw('column_name', PERIOD_KEYWORDS)}), "
+    "s AS (" + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS present, count(DISTINCT {c}) AS distinct_values FROM {t}"
+        for t, c in _MK_STATS) + ") "
+    "SELECT k.table_name, k.column_name, role, has_iso, present, distinct_values FROM k "
+    "LEFT JOIN s ON k.table_name = s.table_name AND k.column_name = s.column_name")
 
 SP_LO, SP_HI = 0.0, 100000.0
 Q["source_profile"] = _r(

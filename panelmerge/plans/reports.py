@@ -200,8 +200,14 @@ def column_profile(df: DataFrame, order_cols, sample_rows: int = 1000) -> DataFr
                       F.coalesce(truncate_label(F.col("sample")), F.lit("N/A")).alias("sample"))
 
 
-def merge_keys(spark: SparkSession, tables: dict) -> DataFrame:
-    """Candidate merge keys per table from column names (schemas only)."""
+def merge_keys(spark: SparkSession, tables: dict, with_stats: bool = False) -> DataFrame:
+    """Candidate merge keys per table from column names: ``(table_name,
+    column_name, role, has_iso)``.
+
+    With ``with_stats`` each candidate column is also measured on the data -
+    ``present`` (non-null rows) and ``distinct_values`` - in one aggregation
+    per table, which tells a usable key from a sparse or constant one.
+    """
     rows = []
     for t, df in tables.items():
         has_iso = any("iso" in c.lower() for c in df.columns)
@@ -210,7 +216,24 @@ def merge_keys(spark: SparkSession, tables: dict) -> DataFrame:
             for role, kws in (("entity", ENTITY_KEYWORDS), ("period", PERIOD_KEYWORDS)):
                 if any(k in low for k in kws):
                     rows.append((t, c, role, has_iso))
-    return spark.createDataFrame(rows, "table_name string, column_name string, role string, has_iso boolean")
+    found = spark.createDataFrame(rows, "table_name string, column_name string, role string, has_iso boolean")
+    if not with_stats:
+        return found
+    measured = []
+    for t, df in tables.items():
+        cand = sorted({c for tt, c, _, _ in rows if tt == t})
+        if not cand:
+            continue
+        wide = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"p{i}") for i, c in enumerate(cand)],
+                      *[F.count_distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(cand)])
+        arr = F.array(*[F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
+                                 F.col(f"p{i}").alias("present"), F.col(f"d{i}").alias("distinct_values"))
+                        for i, c in enumerate(cand)])
+        measured.append(wide.select(F.explode(arr).alias("r")).select("r.*"))
+    if not measured:
+        return found.withColumn("present", F.lit(None).cast("long")).withColumn("distinct_values", F.lit(None).cast("long"))
+    stats_df = reduce(lambda a, b: a.unionByName(b), measured)
+    return found.join(stats_df, ["table_name", "column_name"], "left")
 
 
 def profile_files(spark: SparkSession, paths, sample_rows: int = 1000) -> tuple[DataFrame, DataFrame]:
