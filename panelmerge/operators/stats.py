@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmerge.functions.scalar import abs_gap, decade, source_count
+from panelmerge.functions.scalar import abs_gap, accuracy_status, decade, fill_flag, source_count
 from panelmerge.operators.quantiles import exact_quantiles
 
 ROUND = 6
@@ -35,10 +35,10 @@ def column_fill(df: DataFrame, cols) -> DataFrame:
     aggs += [F.count(F.col(c)).alias(f"present__{i}") for i, c in enumerate(cols)]
     wide = df.agg(*aggs)
     out = _long(wide, cols, {"present": None}, id_cols=["__total"])
+    pct = F.coalesce(_pct(F.col("present"), F.col("__total")), F.lit(0.0))
     return out.select("column", F.col("ordinal").cast("int").alias("ordinal"), "present",
                       (F.col("__total") - F.col("present")).alias("missing"),
-                      F.col("__total").alias("total"),
-                      F.coalesce(_pct(F.col("present"), F.col("__total")), F.lit(0.0)).alias("fill_pct"))
+                      F.col("__total").alias("total"), pct.alias("fill_pct"), fill_flag(pct).alias("flag"))
 
 
 def overall_fill(df: DataFrame, metrics) -> DataFrame:
@@ -180,7 +180,7 @@ def pair_agreement(df: DataFrame, pairs) -> DataFrame:
     """
     if not pairs:
         return df.sparkSession.createDataFrame(
-            [], "pair string, ordinal int, n long, mean_abs double, max_abs double, corr double")
+            [], "pair string, ordinal int, n long, mean_abs double, max_abs double, corr double, status string")
     aggs = []
     for i, (a, b, _) in enumerate(pairs):
         both, xa, xb = _masked(a, b)
@@ -191,7 +191,8 @@ def pair_agreement(df: DataFrame, pairs) -> DataFrame:
     labels = [p[2] for p in pairs]
     out = _long(wide, labels, {"n": None, "mean_abs": None, "max_abs": None, "corr": None})
     return (out.withColumnRenamed("column", "pair").filter(F.col("n") > 0)
-            .select("pair", F.col("ordinal").cast("int").alias("ordinal"), "n", "mean_abs", "max_abs", "corr"))
+            .select("pair", F.col("ordinal").cast("int").alias("ordinal"), "n", "mean_abs", "max_abs", "corr",
+                    accuracy_status(F.col("mean_abs")).alias("status")))
 
 
 def gap_rows(df: DataFrame, a: str, b: str, keep, gap_col: str = "gap") -> DataFrame:

@@ -62,7 +62,9 @@ Q["column_fill"] = _r(
     + ", ".join(f"count({c}) AS c{i}" for i, c in enumerate(_fill_cols)) + " FROM ev) "
     + " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", {i} AS ordinal, c{i} AS present, total - c{i} AS missing, total, "
-        f"CAST(c{i} AS DOUBLE) * 100.0 / total AS fill_pct FROM t" for i, c in enumerate(_fill_cols)),
+        f"CAST(c{i} AS DOUBLE) * 100.0 / total AS fill_pct, "
+        f"CASE WHEN c{i} * 100.0 / total > 90 THEN 'ok' WHEN c{i} * 100.0 / total > 50 THEN 'warn' ELSE 'red' END AS flag "
+        f"FROM t" for i, c in enumerate(_fill_cols)),
     "fill_pct")
 _filled = " + ".join(f"count({m})" for m in MET)
 Q["overall_fill"] = _r(
@@ -93,7 +95,8 @@ def _pair_sql(pairs, src="ev") -> str:
     return " UNION ALL ".join(rows)
 
 
-Q["pair_agreement"] = _r(f"WITH {EV}, p AS ({_pair_sql(B.EV_PAIRS)}) SELECT * FROM p WHERE n > 0",
+Q["pair_agreement"] = _r(f"WITH {EV}, p AS ({_pair_sql(B.EV_PAIRS)}) SELECT *, CASE WHEN mean_abs < 3.5 THEN 'pass' "
+                         "WHEN mean_abs < 5.0 THEN 'warn' ELSE 'fail' END AS status FROM p WHERE n > 0",
                          "mean_abs", "max_abs", "corr")
 _cs = list(B.EV_CONFLICT_SOURCES)
 TOL = B.EV_TOLERANCE
