@@ -24,10 +24,6 @@ ACCURACY_MAX_MEAN_ABS = 3.5
 VALUE_MIN_ENTITIES = 200
 
 
-def _one(df: DataFrame) -> DataFrame:
-    return F.broadcast(df)
-
-
 # ------------------------------------------------------------- conflicts (G8, G9)
 
 def le_conflicts(df: DataFrame, sources, tolerance: float, min_sources: int = 2) -> DataFrame:
