@@ -53,8 +53,8 @@ def exact_quantiles(df: DataFrame, value_col: str, qs, groups=(), *, method: str
     """Quantiles with linear interpolation (numpy / ``quantile_cont``).
 
     Returns one row per group: the group columns and one double column per
-    quantile named ``q_<index>`` (in the order of ``qs``). NULL values are
-    ignored; groups without values are absent.
+    quantile named ``q_<index>`` (in the order of ``qs``). NULL and NaN values
+    are ignored; groups without values are absent.
     """
     groups = list(groups)
     qs = [float(q) for q in qs]
@@ -68,7 +68,9 @@ def exact_quantiles(df: DataFrame, value_col: str, qs, groups=(), *, method: str
     if method != "exact":
         raise ValueError("method must be exact, approx or single")
 
-    base = df.select(*groups, v.cast("double").alias("__v")).filter(F.col("__v").isNotNull())
+    # NULL and NaN are both "missing" (the library's null model, and pandas')
+    base = df.select(*groups, v.cast("double").alias("__v")) \
+        .filter(F.col("__v").isNotNull() & ~F.isnan(F.col("__v")))
     stats = base.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n"),
                                       F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
     # targets: per group and quantile, the two ranks and the interpolation weight

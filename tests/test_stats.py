@@ -98,3 +98,11 @@ def test_value_scorecard_legacy_constants(spark):
     legacy = {r.dimension: r.passed for r in reports.value_scorecard(ba, min_entities=0, legacy=True).collect()}
     assert computed["validity_enforcement"] is False and legacy["validity_enforcement"] is True
     assert reports.value_scorecard(ba, min_entities=0, legacy=True).first().grade == "A"
+
+
+def test_quantiles_skip_nan_and_extreme_magnitudes(spark):
+    vals = [float("nan"), None, -1e308, 1e308, 0.0, 1.5]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    r = exact_quantiles(df, "v", [0.0, 0.5, 1.0]).first()
+    clean = np.array([-1e308, 1e308, 0.0, 1.5])
+    assert [r.q_0, r.q_1, r.q_2] == list(np.quantile(clean, [0.0, 0.5, 1.0]))
