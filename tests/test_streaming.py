@@ -26,3 +26,16 @@ def test_stream_merge_matches_batch_and_updates(spark, tmp_path):
         assert [(r.m_a, r.m_b) for r in row] == [(1.0, 8.0)]
     finally:
         q.stop()
+
+
+def test_stream_snapshot_sink_available_now(spark, tmp_path):
+    src = str(tmp_path / "src")
+    spark.createDataFrame([(1, 2000, 1.0), (1, 2000, 3.0), (2, 2001, 4.0)], "e int, p int, m double") \
+        .write.parquet(src)
+    s = read_source_stream(spark, src, "e int, p int, m double")
+    out = str(tmp_path / "panel")
+    q = start_panel_stream(panel_stream([s], ["e", "p"]), query_name="snap_t", sink="parquet-snapshot",
+                           path=out, checkpoint=str(tmp_path / "ck"), trigger_once=True)
+    q.awaitTermination(120)
+    got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert got == [(1, 2000, 2.0), (2, 2001, 4.0)]
