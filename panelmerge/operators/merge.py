@@ -34,7 +34,7 @@ def _metric_cols(df: DataFrame, keys, name_col, order_col=None) -> list[str]:
 
 def merge_panel(sources: list[DataFrame], keys: list[str], *, name_col: str | None = None,
                 strategy: str = "union", on_duplicate: str = "error",
-                order_col: str | None = None) -> DataFrame:
+                order_col: str | None = None, metric_aggs: dict | None = None) -> DataFrame:
     """Full outer merge of ``sources`` on ``keys`` into one wide DataFrame.
 
     Each source holds the key columns, its own metric column(s) and
@@ -52,18 +52,32 @@ def merge_panel(sources: list[DataFrame], keys: list[str], *, name_col: str | No
     sources = [s for s in sources if s is not None]
     if not sources:
         raise ValueError("merge_panel needs at least one source")
+    metric_aggs = dict(metric_aggs or {})
     if strategy == "join" or on_duplicate == "multiply":
+        if metric_aggs:
+            sources = [_pre_aggregate(s, keys, name_col, metric_aggs) for s in sources]
         return _merge_join(sources, keys, name_col)
     if strategy != "union":
         raise ValueError("strategy must be 'union' or 'join'")
-    return _merge_union(sources, keys, name_col, on_duplicate, order_col)
+    return _merge_union(sources, keys, name_col, on_duplicate, order_col, metric_aggs)
+
+
+_AGG_FNS = {"sum": F.sum, "mean": F.avg, "max": F.max, "min": F.min, "count": F.count}
+
+
+def _pre_aggregate(src: DataFrame, keys, name_col, metric_aggs) -> DataFrame:
+    ms = [m for m in _metric_cols(src, keys, name_col) if m in metric_aggs]
+    if not ms:
+        return src
+    return src.groupBy(*keys).agg(*[_AGG_FNS[metric_aggs[m]](m).alias(m) for m in ms])
 
 
 def _not_null_keys(df: DataFrame, keys) -> DataFrame:
     return df.na.drop(subset=list(keys))
 
 
-def _merge_union(sources, keys, name_col, on_duplicate, order_col) -> DataFrame:
+def _merge_union(sources, keys, name_col, on_duplicate, order_col, metric_aggs=None) -> DataFrame:
+    metric_aggs = metric_aggs or {}
     metrics: list[str] = []
     parts = []
     for i, src in enumerate(sources):
@@ -95,7 +109,10 @@ def _merge_union(sources, keys, name_col, on_duplicate, order_col) -> DataFrame:
             aggs.append(F.lit(None).cast("string").alias(name_col))
     types = dict(stacked.dtypes)
     for m in metrics:
-        aggs.append(_reduce_metric(m, on_duplicate, types[m]).alias(m))
+        if m in metric_aggs:
+            aggs.append(_AGG_FNS[metric_aggs[m]](F.col(m)).alias(m))
+        else:
+            aggs.append(_reduce_metric(m, on_duplicate, types[m]).alias(m))
     out = stacked.groupBy(*keys).agg(*aggs)
     return out.select(*keys, *([name_col] if name_col else []), *metrics)
 

@@ -271,11 +271,11 @@ def q_value_scorecard(spark, sf_dir):
 def rv_panel(spark, sf_dir, with_nation: bool = False) -> DataFrame:
     o = _t(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"), F.col("o_totalprice").alias("total"))
-    li = _t(spark, sf_dir, "lineitem")
-    net = li.groupBy("l_orderkey").agg(
-        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net")) \
-        .withColumnRenamed("l_orderkey", "o_orderkey")
-    p = merge.merge_panel([o, net], ["o_orderkey"], strategy="union")
+    # line items enter at their own grain; the merge sums them per order in the
+    # same partial aggregation and shuffle that merges them with the orders
+    lines = _t(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"))
+    p = merge.merge_panel([o, lines], ["o_orderkey"], strategy="union", metric_aggs={"net": "sum"})
     if with_nation:
         c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation"))
         p = p.join(c, "o_custkey", "left")

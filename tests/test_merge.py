@@ -99,3 +99,18 @@ def test_long_to_panel_matches_union_merge(spark):
     wide = long_to_panel(lng, KEYS, "s", "v", {"a": "m_a", "b": "m_b", "c": "m_c"})
     srcs = [lng.filter(f"s = '{s}'").selectExpr("e", "p", f"v AS m_{s}") for s in "abc"]
     assert _set(wide) == _set(merge_panel(srcs, KEYS, on_duplicate="mean"))
+
+
+def test_metric_aggs_merge_finer_grain_in_one_shuffle(spark):
+    orders = spark.createDataFrame([(1, 10.0), (2, 20.0), (3, 30.0)], "k int, total double")
+    lines = spark.createDataFrame([(1, 4.0), (1, 5.0), (2, 25.0), (4, 1.0)], "k int, net double")
+    exp = {(1, 10.0, 9.0), (2, 20.0, 25.0), (3, 30.0, None), (4, None, 1.0)}
+    for strategy in ("union", "join"):
+        out = merge_panel([orders, lines], ["k"], strategy=strategy, metric_aggs={"net": "sum"})
+        assert {tuple(r) for r in out.collect()} == exp
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(merge_panel([orders, lines], ["k"], metric_aggs={"net": "sum"}))
+        assert plan.count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
