@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType
 
 from panelmerge.operators import clean, entities, merge, rank, stats
 from panelmerge.plans import charts, reports

@@ -7,10 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from panelmerge.functions.scalar import (
-    fill_flag, grade_dq, grade_value, missing_flag, row_spread, source_count, truncate_label,
+    grade_dq, grade_value, missing_flag, row_spread, source_count, truncate_label,
 )
 from panelmerge.operators import stats
 
