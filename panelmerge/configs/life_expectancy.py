@@ -12,6 +12,9 @@ import os
 from panelmerge.spec import SourceSpec
 
 RAW_DIR = os.environ.get("PANEL_RAW_DIR", "data/raw")
+
+# Period range, value bounds, tolerance, aggregate-code prefix,
+# metric columns and their labels, compared pairs and the HALE rule.
 PERIOD_RANGE = (1950, 2024)
 BOUNDS = (13, 95)
 TOLERANCE = 2.5
