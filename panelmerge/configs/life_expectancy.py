@@ -91,3 +91,18 @@ SOURCES = [
     SourceSpec(label="CDC (US)", path=_p("cdc_us_demographics.csv"), metric="life_exp_us_cdc",
                fmt="positional", positional=(2, 0, 1, "USA")),
 ]
+
+
+def with_raw_dir(raw_dir: str):
+    """This configuration with every source path under ``raw_dir``."""
+    from dataclasses import replace
+    from types import SimpleNamespace
+
+    def move(spec):
+        return replace(spec, path=os.path.join(raw_dir, os.path.basename(spec.path)))
+
+    cfg = SimpleNamespace(**{k: v for k, v in globals().items() if k.isupper()})
+    cfg.REFERENCE = move(REFERENCE)
+    cfg.SOURCES = [move(s) for s in SOURCES]
+    cfg.RAW_DIR = raw_dir
+    return cfg
