@@ -27,26 +27,36 @@ def detect_encodings(spark: SparkSession, paths) -> DataFrame:
         F.when(F.bool_and(F.is_valid_utf8("value")), F.lit("UTF-8")).otherwise(F.lit("ISO-8859-1")).alias("encoding"))
 
 
-def read_csv_any_encoding(spark: SparkSession, path: str, encoding: str | None = None,
+def read_csv_any_encoding(spark: SparkSession, path, encoding: str | None = None,
                           schema: StructType | str | None = None, header: bool = True) -> DataFrame:
-    """Read one CSV file as text columns, decoding it as UTF-8 or Latin-1.
+    """Read CSV file(s) as text columns, each file decoded as UTF-8 or Latin-1.
 
-    The detection is a small aggregation (one row per file); the choice of
-    reader options is a plan-time decision, so it is taken on the driver
-    from that one row.
+    ``path`` may be a file, a folder or a list. The detection is one small
+    aggregation with one row per *file* (metadata, not data); files are then
+    read in one group per encoding and unioned by position (CSV columns are
+    positional across files). ``encoding`` skips the detection.
     """
-    if encoding is None:
-        row = detect_encodings(spark, path).first()
-        encoding = row["encoding"] if row else "UTF-8"
-    reader = spark.read.option("header", header).option("encoding", encoding) \
-        .option("mode", "PERMISSIVE").option("multiLine", False)
-    if schema is not None:
-        reader = reader.schema(schema)
+    paths = [path] if isinstance(path, str) else list(path)
+    if encoding is not None:
+        groups = {encoding: paths}
     else:
-        reader = reader.option("inferSchema", False)
-    df = reader.csv(path)
+        groups: dict = {}
+        for row in detect_encodings(spark, paths).collect():   # one row per file
+            groups.setdefault(row["encoding"], []).append(row["file_path"])
+        if not groups:   # empty files only: read as UTF-8 (header-only or nothing)
+            groups = {"UTF-8": paths}
+    frames = []
+    for enc, files in sorted(groups.items()):
+        reader = spark.read.option("header", header).option("encoding", enc) \
+            .option("mode", "PERMISSIVE").option("multiLine", False)
+        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", False)
+        frames.append(reader.csv(files))
+    df = frames[0]
+    for other in frames[1:]:
+        df = df.union(other.toDF(*df.columns))
     # whitespace-only / NA-token cells become NULL in every text column
-    return df.select(*[clean_text(F.col(f"`{c}`")).alias(c) if dict(df.dtypes)[c] == "string"
+    types = dict(df.dtypes)
+    return df.select(*[clean_text(F.col(f"`{c}`")).alias(c) if types[c] == "string"
                        else F.col(f"`{c}`") for c in df.columns])
 
 

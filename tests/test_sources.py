@@ -263,3 +263,12 @@ def test_profile_files_reports_columns_keys_and_errors(spark, tmp_path):
     roles = {(r.table_name, r.column_name, r.role) for r in keys.collect()}
     assert ("owid.csv", "Entity", "entity") in roles and ("owid.csv", "Year", "period") in roles
     assert ("kaggle.csv", "Country", "entity") in roles
+
+
+def test_mixed_encodings_in_one_folder(spark, tmp_path):
+    d = tmp_path / "mixed"
+    d.mkdir()
+    write(d / "a.csv", "Country,Year\nCôte d'Ivoire,2000\n", encoding="utf-8")
+    write(d / "b.csv", "Country,Year\nCôte d'Ivoire,2001\n", encoding="latin-1")
+    got = sorted((r.Country, r.Year) for r in read_csv_any_encoding(spark, str(d)).collect())
+    assert got == [("Côte d'Ivoire", "2000"), ("Côte d'Ivoire", "2001")]
