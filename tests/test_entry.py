@@ -55,3 +55,19 @@ def test_query_matches_oracle(spark, con, name):
     exp = con.sql(E.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(exp.columns)
     assert _norm(got) == _norm(exp)
+
+
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_column_types_match_oracle(spark, con):
+    bad = {}
+    for name, fn in E.queries().items():
+        got = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in fn(spark, SF).schema.fields}
+        rel = con.sql(E.oracle_sql()[name])
+        exp = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+        if got != exp:
+            bad[name] = (got, exp)
+    assert bad == {}
