@@ -161,13 +161,26 @@ def long_to_panel(df: DataFrame, keys: list[str], source_col: str, value_col: st
     Each metric is the ``how`` (mean | max | min | sum | count) of that
     source's values per key; one scan, partial aggregation, one exchange.
     """
-    fn = {"mean": F.avg, "max": F.max, "min": F.min, "sum": F.sum, "count": F.count}[how]
+    fn = {"mean": "avg", "max": "max", "min": "min", "sum": "sum", "count": "count"}[how]
     base = _not_null_keys(df, keys).filter(F.col(source_col).isin(list(sources)))
-    aggs = [fn(F.when(F.col(source_col) == F.lit(s), F.col(value_col))).alias(m)
+    # generated expression list written as SQL text: one call per expression
+    aggs = [F.expr(f"{fn}(CASE WHEN {_q(source_col)} = {_lit(s)} THEN {_q(value_col)} END) AS {_q(m)}")
             for s, m in sources.items()]
     return base.groupBy(*keys).agg(*aggs)
 
 
+def _q(name: str) -> str:
+    """Quote an identifier for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(value) -> str:
+    """A SQL literal for a string or number."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(value)
+
+
 def coalesce_collisions(df: DataFrame, base: str, suffix: str = "_dup") -> DataFrame:
     """After a suffixing join: coalesce ``base`` with its suffixed copies in
     column order, then drop every suffixed column."""

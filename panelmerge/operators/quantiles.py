@@ -28,7 +28,7 @@ bounded sketch) and ``method="single"`` to Spark's exact ``percentile``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_PASSES = 2
@@ -71,54 +71,51 @@ def exact_quantiles(df: DataFrame, value_col: str, qs, groups=(), *, method: str
     # NULL and NaN are both "missing" (the library's null model, and pandas')
     base = df.select(*groups, v.cast("double").alias("__v")) \
         .filter(F.col("__v").isNotNull() & ~F.isnan(F.col("__v")))
-    stats = base.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n"),
-                                      F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    # Internal expressions are written as SQL text (one JVM call each).
+    g = ", ".join(_q(c) for c in groups)
+    gp = g + ", " if groups else ""
+    part = f"PARTITION BY {gp}__k"
+    stats = base.groupBy(*groups).agg(F.expr("count(1) AS __n"), F.expr("min(__v) AS __lo"), F.expr("max(__v) AS __hi"))
     # targets: per group and quantile, the two ranks and the interpolation weight
-    qarr = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(q).alias("q")) for i, q in enumerate(qs)])
-    pos = F.col("__q.q") * (F.col("__n") - 1)
-    targets = (stats.withColumn("__q", F.explode(qarr))
-               .select(*groups, "__n", "__lo", "__hi", F.col("__q.qi").alias("__qi"),
-                       F.floor(pos).cast("long").alias("__k1"), F.ceil(pos).cast("long").alias("__k2"),
-                       (pos - F.floor(pos)).alias("__frac")))
-    ranks = (targets.select(*groups, "__lo", "__hi", F.explode(F.array("__k1", "__k2")).alias("__k"))
-             .distinct())
-    state = ranks.select(*groups, "__k", F.col("__lo").alias("__a"), F.col("__hi").alias("__b"),
-                         F.lit(0).cast("long").alias("__below"))
-    wkey = Window.partitionBy(*groups, "__k")
+    qarr = "array(" + ", ".join(f"named_struct('qi', {i}, 'q', CAST({q!r} AS DOUBLE))" for i, q in enumerate(qs)) + ")"
+    targets = (stats.selectExpr(*[_q(c) for c in groups], "__n", "__lo", "__hi", f"explode({qarr}) AS __q")
+               .selectExpr(*[_q(c) for c in groups], "__n", "__lo", "__hi", "__q.qi AS __qi",
+                           "CAST(floor(__q.q * (__n - 1)) AS BIGINT) AS __k1",
+                           "CAST(ceil(__q.q * (__n - 1)) AS BIGINT) AS __k2",
+                           "__q.q * (__n - 1) - floor(__q.q * (__n - 1)) AS __frac"))
+    state = (targets.selectExpr(*[_q(c) for c in groups], "__lo AS __a", "__hi AS __b",
+                                "explode(array(__k1, __k2)) AS __k").distinct()
+             .selectExpr(*[_q(c) for c in groups], "__k", "__a", "__b", "CAST(0 AS BIGINT) AS __below"))
+    bucket = (f"CAST(CASE WHEN __b > __a THEN least(floor((__v - __a) / (__b - __a) * {buckets}), {buckets - 1}) "
+              f"ELSE 0 END AS INT) AS __bk")
+    cum = f"sum(__c) OVER ({part} ORDER BY {{o}} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS __cum"
+    hit = "__below + __cum - __c <= __k AND __k < __below + __cum"
     for _ in range(passes):
-        inside = _join_state(base, state, groups).filter(F.col("__v").between(F.col("__a"), F.col("__b")))
-        width = F.col("__b") - F.col("__a")
-        bucket = F.when(width > 0, F.least(F.floor((F.col("__v") - F.col("__a")) / width * buckets),
-                                           F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
-        hist = (inside.withColumn("__bk", bucket)
+        inside = _join_state(base, state, groups).filter("__v BETWEEN __a AND __b")
+        hist = (inside.selectExpr("*", bucket)
                 .groupBy(*groups, "__k", "__below", "__bk")
-                .agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__bmin"), F.max("__v").alias("__bmax")))
-        cum = F.sum("__c").over(wkey.orderBy("__bk").rowsBetween(Window.unboundedPreceding, 0))
-        hist = hist.withColumn("__cum", cum)
-        hit = (F.col("__below") + F.col("__cum") - F.col("__c") <= F.col("__k")) & \
-              (F.col("__k") < F.col("__below") + F.col("__cum"))
-        state = hist.filter(hit).select(
-            *groups, "__k", F.col("__bmin").alias("__a"), F.col("__bmax").alias("__b"),
-            (F.col("__below") + F.col("__cum") - F.col("__c")).alias("__below"))
-    inside = _join_state(base, state, groups).filter(F.col("__v").between(F.col("__a"), F.col("__b")))
-    vals = inside.groupBy(*groups, "__k", "__below", "__v").agg(F.count(F.lit(1)).alias("__c"))
-    cum = F.sum("__c").over(wkey.orderBy("__v").rowsBetween(Window.unboundedPreceding, 0))
-    vals = vals.withColumn("__cum", cum)
-    hit = (F.col("__below") + F.col("__cum") - F.col("__c") <= F.col("__k")) & \
-          (F.col("__k") < F.col("__below") + F.col("__cum"))
-    picked = vals.filter(hit).select(*groups, "__k", F.col("__v").alias("__val"))
+                .agg(F.expr("count(1) AS __c"), F.expr("min(__v) AS __bmin"), F.expr("max(__v) AS __bmax"))
+                .selectExpr("*", cum.format(o="__bk")))
+        state = hist.filter(hit).selectExpr(*[_q(c) for c in groups], "__k", "__bmin AS __a", "__bmax AS __b",
+                                            "__below + __cum - __c AS __below")
+    inside = _join_state(base, state, groups).filter("__v BETWEEN __a AND __b")
+    vals = (inside.groupBy(*groups, "__k", "__below", "__v").agg(F.expr("count(1) AS __c"))
+            .selectExpr("*", cum.format(o="__v")))
+    picked = vals.filter(hit).selectExpr(*[_q(c) for c in groups], "__k", "__v AS __val")
 
     # one row per group: rank -> value map (at most 2 entries per quantile), joined once
-    by_rank = picked.groupBy(*groups).agg(
-        F.map_from_entries(F.collect_list(F.struct("__k", "__val"))).alias("__m"))
+    by_rank = picked.groupBy(*groups).agg(F.expr("map_from_entries(collect_list(struct(__k, __val))) AS __m"))
     t = targets.join(by_rank, on=groups, how="inner") if groups else targets.crossJoin(F.broadcast(by_rank))
-    v1, v2 = F.col("__m")[F.col("__k1")], F.col("__m")[F.col("__k2")]
-    value = v1 + (v2 - v1) * F.col("__frac")
+    value = "__m[__k1] + (__m[__k2] - __m[__k1]) * __frac"
     wide = t.groupBy(*groups).agg(*[
-        F.max(F.when(F.col("__qi") == i, value)).alias(f"q_{i}") for i in range(len(qs))])
+        F.expr(f"max(CASE WHEN __qi = {i} THEN {value} END) AS q_{i}") for i in range(len(qs))])
     return wide
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def exact_median(df: DataFrame, value_col: str, groups=(), **kw) -> DataFrame:
     """Median per group as column ``median``."""
     return exact_quantiles(df, value_col, [0.5], groups, **kw).withColumnRenamed("q_0", "median")

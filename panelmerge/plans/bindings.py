@@ -74,8 +74,13 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     """Round every double column (both engines round the same way)."""
-    return df.select(*[F.round(F.col(f.name), places).alias(f.name)
-                       if isinstance(f.dataType, DoubleType) else F.col(f.name) for f in df.schema.fields])
+    cols = [f"round({_q(f.name)}, {places}) AS {_q(f.name)}" if isinstance(f.dataType, DoubleType) else _q(f.name)
+            for f in df.schema.fields]
+    return df.selectExpr(*cols)
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 # ------------------------------------------------------------------ EV panel
