@@ -98,51 +98,58 @@ def dq_scorecard(df: DataFrame, keys, metrics, *, bounds, period_range, pairs, r
     aggregation of :func:`stats.key_facts` for uniqueness.
     """
     entity, period = keys
-    lo, hi = bounds
+    lo, hi = (_num(x) for x in bounds)
     plo, phi = period_range
     lower, upper = rule
     metrics = [m for m in metrics if m in df.columns]
     pairs = [p for p in pairs if p[0] in df.columns and p[1] in df.columns]
-    n = F.count(F.lit(1))
-    fills = [F.coalesce(F.try_divide(F.count(F.col(m)) * 100.0, n), F.lit(0.0)) for m in metrics]
-    avg_fill = (sum(fills, F.lit(0.0)) / len(metrics)) if metrics else F.lit(0.0)
-    oob = sum((F.count_if((F.col(m) < lo) | (F.col(m) > hi)) for m in metrics), F.lit(0))
-    p = F.col(period)
-    oob = oob + F.count_if(p.isNull() | (p < plo) | (p > phi))
-    aggs = [n.alias("__rows"), avg_fill.alias("c_value"), oob.cast("long").alias("v_value")]
+    # the fused aggregation is generated, so it is written as SQL text (one call each)
+    fills = [f"coalesce(try_divide(count({_q(m)}) * 100.0, count(1)), 0.0)" for m in metrics]
+    avg_fill = f"(({' + '.join(fills)}) / {len(metrics)})" if metrics else "0.0"
+    pc = _q(period)
+    oob = " + ".join([f"count_if({_q(m)} < {lo} OR {_q(m)} > {hi})" for m in metrics]
+                     + [f"count_if({pc} IS NULL OR {pc} < {plo} OR {pc} > {phi})"])
+    aggs = ["count(1) AS __rows", f"{avg_fill} AS c_value", f"CAST({oob} AS BIGINT) AS v_value"]
     for i, (a, b, _) in enumerate(pairs):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        aggs += [F.count_if(both).alias(f"pn{i}"), F.avg(F.when(both, F.abs(F.col(a) - F.col(b)))).alias(f"pm{i}")]
-    has_rule = lower in df.columns and upper in df.columns
-    if has_rule:
-        both = F.col(lower).isNotNull() & F.col(upper).isNotNull()
-        aggs += [F.count_if(both).alias("overlapping_rows"), F.count_if(both & (F.col(lower) > F.col(upper))).alias("violations")]
+        both = f"({_q(a)} IS NOT NULL AND {_q(b)} IS NOT NULL)"
+        aggs += [f"count_if({both}) AS pn{i}", f"avg(CASE WHEN {both} THEN abs({_q(a)} - {_q(b)}) END) AS pm{i}"]
+    if lower in df.columns and upper in df.columns:
+        both = f"({_q(lower)} IS NOT NULL AND {_q(upper)} IS NOT NULL)"
+        aggs += [f"count_if({both}) AS overlapping_rows", f"count_if({both} AND {_q(lower)} > {_q(upper)}) AS violations"]
     else:
-        aggs += [F.lit(0).cast("long").alias("overlapping_rows"), F.lit(0).cast("long").alias("violations")]
-    facts = df.agg(*aggs)
+        aggs += ["CAST(0 AS BIGINT) AS overlapping_rows", "CAST(0 AS BIGINT) AS violations"]
+    facts = df.agg(*[F.expr(a) for a in aggs])
     # accuracy: pairs without overlap are left out, as in the pair report
-    checked = [F.col(f"pn{i}") for i in range(len(pairs))]
-    bad = [F.when((F.col(f"pn{i}") > 0) & (F.col(f"pm{i}") >= max_mean_abs), 1).otherwise(0) for i in range(len(pairs))]
-    worst = F.greatest(*[F.col(f"pm{i}") for i in range(len(pairs))]) if len(pairs) > 1 else \
-        (F.col("pm0") if pairs else F.lit(None).cast("double"))
-    facts = facts.select("*", (sum(checked, F.lit(0)) if pairs else F.lit(0)).cast("long").alias("a_checked"),
-                         (sum(bad, F.lit(0)) if pairs else F.lit(0)).alias("a_bad"), worst.alias("a_value"))
-    uniq = stats.key_facts(df, keys).select("max_rows_per_key", F.col("duplicate_rows").alias("__dups"))
+    idx = range(len(pairs))
+    checked = " + ".join(f"pn{i}" for i in idx) or "0"
+    bad = " + ".join(f"CASE WHEN pn{i} > 0 AND pm{i} >= {_num(max_mean_abs)} THEN 1 ELSE 0 END" for i in idx) or "0"
+    worst = (f"greatest({', '.join(f'pm{i}' for i in idx)})" if len(pairs) > 1
+             else ("pm0" if pairs else "CAST(NULL AS DOUBLE)"))
+    facts = facts.selectExpr("*", f"CAST({checked} AS BIGINT) AS a_checked", f"{bad} AS a_bad", f"{worst} AS a_value")
+    uniq = stats.key_facts(df, keys).selectExpr("max_rows_per_key", "duplicate_rows AS __dups")
     one = facts.crossJoin(uniq)
-    def dim(name, ordinal, passed, value, checked):
-        return F.struct(F.lit(name).alias("dimension"), F.lit(ordinal).alias("ordinal"),
-                        F.coalesce(passed, F.lit(False)).alias("passed"), value.cast("double").alias("value"),
-                        checked.cast("long").alias("checked_rows"))
-
-    dims = F.array(
-        dim("completeness", 1, F.col("c_value") > min_fill, F.col("c_value"), F.col("__rows")),
-        dim("uniqueness", 2, (F.coalesce(F.col("max_rows_per_key"), F.lit(1)) == 1) & (F.col("__dups") == 0),
-            F.col("max_rows_per_key"), F.col("__rows")),
-        dim("validity", 3, F.col("v_value") == 0, F.col("v_value"), F.col("__rows")),
-        dim("accuracy", 4, F.col("a_bad") == 0, F.col("a_value"), F.col("a_checked")),
-        dim("consistency", 5, F.col("violations") == 0, F.col("violations"), F.col("overlapping_rows")),
-    )
-    return one.select(F.explode(dims).alias("d")).select("d.*")
+
+    def dim(name, ordinal, passed, value, checked_rows):
+        return (f"named_struct('dimension', '{name}', 'ordinal', {ordinal}, 'passed', coalesce({passed}, false), "
+                f"'value', CAST({value} AS DOUBLE), 'checked_rows', CAST({checked_rows} AS BIGINT))")
+
+    dims = ", ".join([
+        dim("completeness", 1, f"c_value > {_num(min_fill)}", "c_value", "__rows"),
+        dim("uniqueness", 2, "coalesce(max_rows_per_key, 1) = 1 AND __dups = 0", "max_rows_per_key", "__rows"),
+        dim("validity", 3, "v_value = 0", "v_value", "__rows"),
+        dim("accuracy", 4, "a_bad = 0", "a_value", "a_checked"),
+        dim("consistency", 5, "violations = 0", "violations", "overlapping_rows"),
+    ])
+    return one.selectExpr(f"explode(array({dims})) AS d").select("d.*")
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _num(x) -> str:
+    """A double literal for SQL text."""
+    return f"CAST({float(x)!r} AS DOUBLE)"
 
 
 def dq_grade(scorecard: DataFrame) -> DataFrame:
