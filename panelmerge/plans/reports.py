@@ -104,8 +104,8 @@ def dq_scorecard(df: DataFrame, keys, metrics, *, bounds, period_range, pairs, r
     metrics = [m for m in metrics if m in df.columns]
     pairs = [p for p in pairs if p[0] in df.columns and p[1] in df.columns]
     # the fused aggregation is generated, so it is written as SQL text (one call each)
-    fills = [f"coalesce(try_divide(count({_q(m)}) * 100.0, count(1)), 0.0)" for m in metrics]
-    avg_fill = f"(({' + '.join(fills)}) / {len(metrics)})" if metrics else "0.0"
+    fills = [f"coalesce(try_divide(count({_q(m)}) * 100.0D, count(1)), 0.0D)" for m in metrics]
+    avg_fill = f"(({' + '.join(fills)}) / {len(metrics)})" if metrics else "0.0D"
     pc = _q(period)
     oob = " + ".join([f"count_if({_q(m)} < {lo} OR {_q(m)} > {hi})" for m in metrics]
                      + [f"count_if({pc} IS NULL OR {pc} < {plo} OR {pc} > {phi})"])
@@ -147,6 +147,12 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _lit(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(value)
+
+
 def _num(x) -> str:
     """A double literal for SQL text."""
     return f"CAST({float(x)!r} AS DOUBLE)"
@@ -321,85 +327,80 @@ def source_profile_grouped(df: DataFrame, label_col: str, labels, bounds, *, cod
     value): one scan and one grouped aggregation instead of one pass per
     source. Same output as :func:`source_profile`; ``labels`` fixes the
     order (and which slices are reported)."""
-    lo, hi = bounds
+    lo, hi = _num(bounds[0]), _num(bounds[1])
     labels = list(labels)
     df = df.filter(F.col(label_col).isin(labels))
     cols = [c for c in df.columns if c != label_col]
-    n = F.count(F.lit(1))
-    pct = lambda e: F.coalesce(F.try_divide(F.count(e) * 100.0, n), F.lit(0.0))
-    m = F.col(metric).cast("double") if metric else None
-    p = F.col(period).cast("double") if period else None
+    pct = lambda e: f"coalesce(try_divide(count({e}) * 100.0D, count(1)), 0.0D)"
+    m = f"CAST({_q(metric)} AS DOUBLE)" if metric else None
+    p = f"CAST({_q(period)} AS DOUBLE)" if period else None
     ent = name or code
-    agg = df.groupBy(label_col).agg(
-        n.alias("rows"),
-        (pct(F.col(code)) if code else F.lit(0.0)).alias("code_fill_pct"),
-        (pct(m) if metric else F.lit(0.0)).alias("metric_fill_pct"),
-        (F.min(m) if metric else F.lit(None).cast("double")).alias("metric_min"),
-        (F.max(m) if metric else F.lit(None).cast("double")).alias("metric_max"),
-        (F.count_if((m < lo) | (m > hi)) if metric else F.lit(0).cast("long")).alias("out_of_bounds"),
-        (pct(p) if period else F.lit(0.0)).alias("period_fill_pct"),
-        (F.min(p) if period else F.lit(None).cast("double")).alias("period_min"),
-        (F.max(p) if period else F.lit(None).cast("double")).alias("period_max"),
-        (F.count_distinct(ent) if ent else F.lit(0).cast("long")).alias("entities"))
-    sizes = df.groupBy(label_col, *cols).agg(F.count(F.lit(1)).alias("__s"))
-    dups = sizes.groupBy(label_col).agg(F.sum(F.col("__s") - 1).cast("long").alias("duplicate_rows"),
-                                        F.sum("__s").alias("__n"))
-    order = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(lab), F.lit(i))])
-    return agg.join(dups, label_col).select(
-        F.col(label_col).cast("string").alias("label"), order[F.col(label_col)].alias("ordinal"), "rows",
-        F.lit(len(cols)).alias("columns"), F.lit(code is not None).alias("has_code"), "code_fill_pct",
-        "metric_fill_pct", "metric_min", "metric_max", "out_of_bounds", "period_fill_pct", "period_min",
-        "period_max", "duplicate_rows",
-        F.coalesce(F.try_divide(F.col("duplicate_rows") * 100.0, F.col("__n")), F.lit(0.0)).alias("duplicate_pct"),
-        "entities", F.lit("").alias("load_error"))
+    null_d = "CAST(NULL AS DOUBLE)"
+    aggs = [
+        "count(1) AS rows",
+        f"{pct(_q(code)) if code else '0.0D'} AS code_fill_pct",
+        f"{pct(m) if metric else '0.0D'} AS metric_fill_pct",
+        f"{f'min({m})' if metric else null_d} AS metric_min",
+        f"{f'max({m})' if metric else null_d} AS metric_max",
+        f"{f'count_if({m} < {lo} OR {m} > {hi})' if metric else 'CAST(0 AS BIGINT)'} AS out_of_bounds",
+        f"{pct(p) if period else '0.0D'} AS period_fill_pct",
+        f"{f'min({p})' if period else null_d} AS period_min",
+        f"{f'max({p})' if period else null_d} AS period_max",
+        f"{f'count(DISTINCT {_q(ent)})' if ent else 'CAST(0 AS BIGINT)'} AS entities",
+    ]
+    agg = df.groupBy(label_col).agg(*[F.expr(a) for a in aggs])
+    sizes = df.groupBy(label_col, *cols).agg(F.expr("count(1) AS __s"))
+    dups = sizes.groupBy(label_col).agg(F.expr("CAST(sum(__s - 1) AS BIGINT) AS duplicate_rows"),
+                                        F.expr("sum(__s) AS __n"))
+    order = "map(" + ", ".join(f"{_lit(lab)}, {i}" for i, lab in enumerate(labels)) + ")"
+    lc = _q(label_col)
+    return agg.join(dups, label_col).selectExpr(
+        f"CAST({lc} AS STRING) AS label", f"{order}[{lc}] AS ordinal", "rows", f"{len(cols)} AS columns",
+        f"{'true' if code is not None else 'false'} AS has_code", "code_fill_pct", "metric_fill_pct", "metric_min",
+        "metric_max", "out_of_bounds", "period_fill_pct", "period_min", "period_max", "duplicate_rows",
+        "coalesce(try_divide(duplicate_rows * 100.0D, __n), 0.0D) AS duplicate_pct", "entities", "'' AS load_error")
 
 
 def final_profile(df: DataFrame, entity: str, period: str, name: str | None, metrics, bounds) -> DataFrame:
     """One row describing the final panel (G4)."""
-    lo, hi = bounds
+    lo, hi = _num(bounds[0]), _num(bounds[1])
     metrics = [m for m in metrics if m in df.columns]
-    n = F.count(F.lit(1))
-    pct = lambda c: F.coalesce(F.try_divide(F.count(c) * 100.0, n), F.lit(0.0))
-    oob = sum((F.count_if((F.col(m) < lo) | (F.col(m) > hi)) for m in metrics), F.lit(0))
-    avg_fill = sum((pct(F.col(m)) for m in metrics), F.lit(0.0)) / max(len(metrics), 1)
-    base = df.agg(n.alias("rows"), F.count_distinct(entity).alias("entities"),
-                  F.min(period).alias("min_period"), F.max(period).alias("max_period"),
-                  pct(F.col(entity)).alias("code_fill_pct"),
-                  (pct(F.col(name)) if name else F.lit(0.0)).alias("name_fill_pct"),
-                  avg_fill.alias("avg_metric_fill_pct"), oob.cast("long").alias("out_of_bounds"))
+    pct = lambda c: f"coalesce(try_divide(count({c}) * 100.0D, count(1)), 0.0D)"
+    oob = " + ".join(f"count_if({_q(m)} < {lo} OR {_q(m)} > {hi})" for m in metrics) or "0"
+    avg_fill = f"(({' + '.join(pct(_q(m)) for m in metrics)}) / {len(metrics)})" if metrics else "0.0D"
+    base = df.agg(*[F.expr(a) for a in (
+        "count(1) AS rows", f"count(DISTINCT {_q(entity)}) AS entities", f"min({_q(period)}) AS min_period",
+        f"max({_q(period)}) AS max_period", f"{pct(_q(entity))} AS code_fill_pct",
+        f"{pct(_q(name)) if name else '0.0D'} AS name_fill_pct", f"{avg_fill} AS avg_metric_fill_pct",
+        f"CAST({oob} AS BIGINT) AS out_of_bounds")])
     dk = stats.key_facts(df, [entity, period]).select("duplicate_keys")
-    return base.crossJoin(dk).select("rows", F.lit(len(df.columns)).alias("columns"), "entities", "min_period",
-                                     "max_period", "code_fill_pct", "name_fill_pct", "duplicate_keys",
-                                     "avg_metric_fill_pct", "out_of_bounds")
+    return base.crossJoin(dk).selectExpr("rows", f"{len(df.columns)} AS columns", "entities", "min_period",
+                                         "max_period", "code_fill_pct", "name_fill_pct", "duplicate_keys",
+                                         "avg_metric_fill_pct", "out_of_bounds")
 
 
 def before_after(raw: DataFrame, final: DataFrame) -> DataFrame:
     """Raw source profiles vs final profile, one row (G5). Gains are signed."""
     ok = raw.filter(F.col("load_error") == "")
-    r = ok.agg(F.count(F.lit(1)).alias("schemas"), F.sum("columns").cast("long").alias("raw_total_columns"),
-               F.sum("rows").cast("long").alias("raw_rows"),
-               F.count_if("has_code").alias("sources_with_code"),
-               F.count_if(~F.col("has_code")).alias("sources_without_code"),
-               F.sum("duplicate_rows").cast("long").alias("raw_duplicates"),
-               F.sum("out_of_bounds").cast("long").alias("raw_out_of_bounds"),
-               F.max_by("label", F.struct(F.col("rows"), -F.col("ordinal"))).alias("best_source"),
-               F.max_by("rows", F.struct(F.col("rows"), -F.col("ordinal"))).alias("best_source_rows"),
-               F.max_by("entities", F.struct(F.col("rows"), -F.col("ordinal"))).alias("best_source_entities"))
-    f = final.select(F.col("rows").alias("final_rows"), F.col("columns").alias("final_columns"),
-                     F.col("entities").alias("final_entities"), F.col("duplicate_keys").alias("final_duplicate_keys"),
-                     F.col("out_of_bounds").alias("final_out_of_bounds"), "code_fill_pct", "min_period", "max_period")
-    j = r.crossJoin(f)
-    comp = F.coalesce(F.try_divide(F.col("final_rows") * 1.0, F.col("raw_rows")), F.lit(None))
-    return j.select(
+    best = "struct(rows, -ordinal)"
+    r = ok.agg(*[F.expr(a) for a in (
+        "count(1) AS schemas", "CAST(sum(columns) AS BIGINT) AS raw_total_columns",
+        "CAST(sum(rows) AS BIGINT) AS raw_rows", "count_if(has_code) AS sources_with_code",
+        "count_if(NOT has_code) AS sources_without_code", "CAST(sum(duplicate_rows) AS BIGINT) AS raw_duplicates",
+        "CAST(sum(out_of_bounds) AS BIGINT) AS raw_out_of_bounds", f"max_by(label, {best}) AS best_source",
+        f"max_by(rows, {best}) AS best_source_rows", f"max_by(entities, {best}) AS best_source_entities")])
+    f = final.selectExpr("rows AS final_rows", "columns AS final_columns", "entities AS final_entities",
+                         "duplicate_keys AS final_duplicate_keys", "out_of_bounds AS final_out_of_bounds",
+                         "code_fill_pct", "min_period", "max_period")
+    return r.crossJoin(f).selectExpr(
         "schemas", "raw_total_columns", "raw_rows", "final_rows", "final_columns",
-        F.when(F.col("raw_rows") > 0, (1 - comp) * 100).otherwise(0.0).alias("record_compression_pct"),
+        "CASE WHEN raw_rows > 0 THEN (1 - final_rows * 1.0D / raw_rows) * 100 ELSE 0.0D END AS record_compression_pct",
         "sources_with_code", "sources_without_code", "raw_duplicates", "final_duplicate_keys",
         "raw_out_of_bounds", "final_out_of_bounds", "best_source", "best_source_rows", "best_source_entities",
-        F.when(F.col("best_source_rows") > 0,
-               (F.col("final_rows") - F.col("best_source_rows")) * 100.0 / F.col("best_source_rows"))
-        .otherwise(0.0).alias("row_gain_pct"),
-        (F.col("final_entities") - F.col("best_source_entities")).alias("entity_gain"),
-        "final_entities", "code_fill_pct", "min_period", "max_period")
+        "CASE WHEN best_source_rows > 0 THEN (final_rows - best_source_rows) * 100.0D / best_source_rows "
+        "ELSE 0.0D END AS row_gain_pct",
+        "final_entities - best_source_entities AS entity_gain", "final_entities", "code_fill_pct",
+        "min_period", "max_period")
 
 
 def value_scorecard(ba: DataFrame, min_entities: int = VALUE_MIN_ENTITIES, legacy: bool = False) -> DataFrame:
@@ -409,17 +410,16 @@ def value_scorecard(ba: DataFrame, min_entities: int = VALUE_MIN_ENTITIES, legac
     report; otherwise they are computed: one schema out of several inputs,
     rows linked (final rows > 0 and fewer than raw rows), no out-of-bounds.
     """
-    t = F.lit(True)
     lines = [
-        ("schema_consolidation", t if legacy else (F.col("schemas") >= 1) & (F.col("final_columns") > 0)),
-        ("entity_resolution", F.col("code_fill_pct") == 100.0),
-        ("duplicate_elimination", F.col("final_duplicate_keys") == 0),
-        ("record_integration", t if legacy else (F.col("final_rows") > 0) & (F.col("final_rows") <= F.col("raw_rows"))),
-        ("coverage_amplification", F.col("final_entities") > min_entities),
-        ("validity_enforcement", t if legacy else F.col("final_out_of_bounds") == 0),
+        ("schema_consolidation", "true" if legacy else "schemas >= 1 AND final_columns > 0"),
+        ("entity_resolution", "code_fill_pct = 100.0D"),
+        ("duplicate_elimination", "final_duplicate_keys = 0"),
+        ("record_integration", "true" if legacy else "final_rows > 0 AND final_rows <= raw_rows"),
+        ("coverage_amplification", f"final_entities > {int(min_entities)}"),
+        ("validity_enforcement", "true" if legacy else "final_out_of_bounds = 0"),
     ]
-    arr = F.array(*[F.struct(F.lit(n).alias("dimension"), F.lit(i + 1).alias("ordinal"),
-                             F.coalesce(c, F.lit(False)).alias("passed")) for i, (n, c) in enumerate(lines)])
-    rows = ba.select(F.explode(arr).alias("d")).select("d.*")
-    score = rows.agg((F.count_if("passed") * 100.0 / F.count(F.lit(1))).alias("score_pct"))
+    arr = ", ".join(f"named_struct('dimension', '{n}', 'ordinal', {i + 1}, 'passed', coalesce({c}, false))"
+                    for i, (n, c) in enumerate(lines))
+    rows = ba.selectExpr(f"explode(array({arr})) AS d").select("d.*")
+    score = rows.agg(F.expr("count_if(passed) * 100.0D / count(1) AS score_pct"))
     return rows.crossJoin(score).withColumn("grade", grade_value(F.col("score_pct")))
