@@ -26,7 +26,7 @@ from panelmerge.session import get_session
 from panelmerge.sources.sinks import write_panel
 
 KEYS = ["iso3", "year"]
-REPORTS = ("audit", "dq", "conflicts", "anomalies", "value", "eda", "summary")
+REPORTS = ("audit", "dq", "conflicts", "anomalies", "value", "eda", "summary", "lineage")
 
 
 def read_panel(spark: SparkSession, path: str) -> DataFrame:
@@ -87,6 +87,17 @@ def report_tables(name: str, panel: DataFrame, spark: SparkSession, raw_dir: str
         ba = reports.before_after(raw, final)
         return {"raw_profiles": raw, "final_profile": final, "before_after": ba,
                 "scorecard": reports.value_scorecard(ba)}
+    if name == "lineage":
+        if not raw_dir:
+            raise SystemExit("report lineage needs --raw")
+        from panelmerge.operators.entities import build_name_map
+        from panelmerge.plans.pipeline import source_lineage
+        from panelmerge.sources.readers import read_source
+        cfg = LE.with_raw_dir(raw_dir)
+        ref = read_source(spark, cfg.REFERENCE.path).withColumn("__row", F.monotonically_increasing_id())
+        nm = build_name_map(ref, cfg.REFERENCE.raw_name, cfg.REFERENCE.raw_code, "__row", cfg.AGGREGATE_PREFIX)
+        return {s.label.replace(" ", "_").replace("(", "").replace(")", ""):
+                source_lineage(spark, s, nm, cfg.CORRECTIONS, cfg.PERIOD_RANGE) for s in cfg.SOURCES}
     if name == "summary":
         return {"extent": stats.panel_extent(panel, *KEYS), "coverage": stats.column_fill(panel, metrics)}
     raise SystemExit(f"unknown report {name}; choose from {REPORTS}")

@@ -52,39 +52,60 @@ def clean_source(spark: SparkSession, spec: SourceSpec, name_map: DataFrame | No
                                     metric=spec.metric, period_range=period_range)
         except Exception:  # unreadable sheet: the source is skipped
             return empty_like(spark, source_schema(spec))
+    df = _prepare(spark, spec, name_map, rules)
+    required = [CODE] + ([spec.metric] if spec.drop_null_metric else [])
+    df = clean.drop_null(df, required)
+    if spec.exclude_code_prefix:
+        df = clean.exclude_prefix(df, CODE, spec.exclude_code_prefix)
+
+    keep = [CODE, PERIOD] + ([NAME] if spec.keep_name else []) + [spec.metric]
+    if spec.on_duplicate == "mean":
+        df = clean.dedup_mean(df, [CODE, PERIOD], spec.metric)
+    elif spec.on_duplicate == "first":
+        df = clean.dedup_first_agg(clean.drop_null(df, [PERIOD]), [CODE, PERIOD], "__row",
+                                   [c for c in keep if c not in (CODE, PERIOD)])
+    df = clean.period_filter(df, PERIOD, *period_range)
+    return df.select(*keep)
+
+
+def _prepare(spark: SparkSession, spec: SourceSpec, name_map: DataFrame | None, rules: dict | None) -> DataFrame:
+    """Read, filter, rename, coerce and resolve: everything before the row drops."""
     if spec.fmt == "json-payload":
         df = flatten_payload(read_payloads(spark, spec.path)).withColumnRenamed("value", spec.raw_metric or "value")
     else:
         df = read_source(spark, spec.path, spec.fmt, spec.encoding)
     df = clean.strip_headers(df).withColumn("__row", F.monotonically_increasing_id())
-
     for col, val in spec.equals_filters:
         df = clean.filter_if_present(df, col, val)
     if spec.cascade:
         df = clean.filter_first_present(df, spec.cascade[0], spec.cascade[1])
-
     mapping = {k: v for k, v in ((spec.raw_code, CODE), (spec.raw_name, NAME),
                                  (spec.raw_period, PERIOD), (spec.raw_metric, spec.metric)) if k}
     df = clean.rename(df, mapping)
     df = df.withColumn(spec.metric, to_number(F.col(spec.metric)))
     df = df.withColumn(PERIOD, to_number(F.col(PERIOD)).cast("int"))
-
     if spec.correct_names:
         df = entities.apply_corrections(df, NAME, rules or {})
         df = entities.resolve(df.drop(CODE) if CODE in df.columns else df, NAME, name_map, CODE)
-    required = [CODE] + ([spec.metric] if spec.drop_null_metric else [])
-    df = clean.drop_null(df, required)
+    return df
+
+
+def source_lineage(spark: SparkSession, spec: SourceSpec, name_map: DataFrame | None = None,
+                   rules: dict | None = None, period_range=(1950, 2024)) -> DataFrame:
+    """Row counts through the cleaning steps of one source, one aggregation:
+    input (after the equality and category filters), code present (mapped),
+    value present (when required), not an aggregate code, inside the period.
+    De-duplication is reported by the merge, not here."""
+    if not _exists(spec.path) or spec.fmt == "positional":
+        return empty_like(spark, "step string, ordinal int, rows long, removed long")
+    df = _prepare(spark, spec, name_map, rules)
+    steps = [("code_present", F.col(CODE).isNotNull())]
+    if spec.drop_null_metric:
+        steps.append(("value_present", F.col(spec.metric).isNotNull()))
     if spec.exclude_code_prefix:
-        df = clean.exclude_prefix(df, CODE, spec.exclude_code_prefix)
-
-    keep = [CODE, PERIOD] + ([NAME] if spec.keep_name else []) + [spec.metric]
-    if spec.on_duplicate == "mean":
-        df = clean.dedup_mean(df, [CODE, PERIOD], spec.metric)
-    elif spec.on_duplicate == "first":
-        df = clean.dedup_first_agg(clean.drop_null(df, [PERIOD]), [CODE, PERIOD], "__row",
-                                   [c for c in keep if c not in (CODE, PERIOD)])
-    df = clean.period_filter(df, PERIOD, *period_range)
-    return df.select(*keep)
+        steps.append(("not_aggregate", ~F.col(CODE).startswith(spec.exclude_code_prefix)))
+    steps.append(("in_period", clean.period_predicate(PERIOD, *period_range)))
+    return clean.clean_lineage(df, steps)
 
 
 def assemble_panel(sources, keys, name_col: str | None, canonical: DataFrame | None,

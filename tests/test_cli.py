@@ -24,11 +24,13 @@ def test_cli_end_to_end(spark, tmp_path):
     out = str(tmp_path / "reports")
     for name in cli.REPORTS:
         args = ["report", name, "--panel", panel, "--out", os.path.join(out, name)]
-        cli.main(args + (["--raw", str(raw)] if name == "value" else []))
+        cli.main(args + (["--raw", str(raw)] if name in ("value", "lineage") else []))
     grade = spark.read.option("header", True).csv(os.path.join(out, "dq", "grade")).first()
     assert grade.grade in {"A", "B", "C", "D"}
     value = spark.read.option("header", True).csv(os.path.join(out, "value", "raw_profiles"))
     assert value.count() == 6
+    lin = spark.read.option("header", True).csv(os.path.join(out, "lineage", "OWID"))
+    assert lin.count() == 4
     cli.main(["profile", "--raw", str(raw), "--out", os.path.join(out, "profile")])
     cli.main(["export", "--panel", panel, "--out", str(tmp_path / "panel.parquet"), "--format", "parquet"])
     assert spark.read.parquet(str(tmp_path / "panel.parquet")).count() == stored.count()

@@ -272,3 +272,11 @@ def test_mixed_encodings_in_one_folder(spark, tmp_path):
     write(d / "b.csv", "Country,Year\nCôte d'Ivoire,2001\n", encoding="latin-1")
     got = sorted((r.Country, r.Year) for r in read_csv_any_encoding(spark, str(d)).collect())
     assert got == [("Côte d'Ivoire", "2000"), ("Côte d'Ivoire", "2001")]
+
+
+def test_source_lineage_counts_each_step(spark, tmp_path):
+    from panelmerge.plans.pipeline import source_lineage
+    out = source_lineage(spark, owid_spec(tmp_path))
+    got = [(r.step, r.rows, r.removed) for r in out.orderBy("ordinal").collect()]
+    assert got == [("input", 11, 0), ("code_present", 10, 1), ("not_aggregate", 9, 1), ("in_period", 6, 3)]
+    assert got[-1][1] == clean_source(spark, owid_spec(tmp_path)).count()
