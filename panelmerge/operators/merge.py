@@ -20,6 +20,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelmerge.functions.sqltext import lit as _lit
+from panelmerge.functions.sqltext import q as _q
+
 _SRC = "__src"
 _ORD = "__ord"
 _NAME = "__name"
@@ -169,18 +172,6 @@ def long_to_panel(df: DataFrame, keys: list[str], source_col: str, value_col: st
     return base.groupBy(*keys).agg(*aggs)
 
 
-def _q(name: str) -> str:
-    """Quote an identifier for SQL text."""
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _lit(value) -> str:
-    """A SQL literal for a string or number."""
-    if isinstance(value, str):
-        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return repr(value)
-
-
 def coalesce_collisions(df: DataFrame, base: str, suffix: str = "_dup") -> DataFrame:
     """After a suffixing join: coalesce ``base`` with its suffixed copies in
     column order, then drop every suffixed column."""

@@ -31,6 +31,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelmerge.functions.sqltext import q as _q
+
 DEFAULT_PASSES = 2
 DEFAULT_BUCKETS = 2048
 
@@ -112,10 +114,6 @@ def exact_quantiles(df: DataFrame, value_col: str, qs, groups=(), *, method: str
     return wide
 
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def exact_median(df: DataFrame, value_col: str, groups=(), **kw) -> DataFrame:
     """Median per group as column ``median``."""
     return exact_quantiles(df, value_col, [0.5], groups, **kw).withColumnRenamed("q_0", "median")

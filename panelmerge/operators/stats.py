@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelmerge.functions.scalar import abs_gap, accuracy_status, decade, fill_flag, source_count
+from panelmerge.functions.sqltext import lit, num, q
 from panelmerge.operators.quantiles import exact_quantiles
 
 ROUND = 6
@@ -18,12 +19,12 @@ def _pct(num: Column, den: Column) -> Column:
 
 
 def _long(wide: DataFrame, cols, fields: dict, id_cols=()) -> DataFrame:
-    """Turn ``wide`` (one row, ``<field>__<col>`` columns) into one row per col."""
-    rows = []
-    for i, c in enumerate(cols):
-        rows.append(F.struct(F.lit(c).alias("column"), F.lit(i).alias("ordinal"),
-                             *[F.col(f"{f}__{i}").alias(f) for f in fields]))
-    return wide.select(*id_cols, F.explode(F.array(*rows)).alias("r")).select(*id_cols, "r.*")
+    """Turn ``wide`` (one row, ``<field>__<i>`` columns) into one row per col."""
+    rows = ", ".join(
+        "named_struct('column', " + lit(c) + f", 'ordinal', {i}, "
+        + ", ".join(f"'{f}', {f}__{i}" for f in fields) + ")"
+        for i, c in enumerate(cols))
+    return wide.selectExpr(*[q(c) for c in id_cols], f"explode(array({rows})) AS r").select(*id_cols, "r.*")
 
 
 # ---------------------------------------------------------------- fill
@@ -31,9 +32,8 @@ def _long(wide: DataFrame, cols, fields: dict, id_cols=()) -> DataFrame:
 def column_fill(df: DataFrame, cols) -> DataFrame:
     """Per column: present, missing, fill_pct (one aggregation)."""
     cols = list(cols)
-    aggs = [F.count(F.lit(1)).alias("__total")]
-    aggs += [F.count(F.col(c)).alias(f"present__{i}") for i, c in enumerate(cols)]
-    wide = df.agg(*aggs)
+    aggs = ["count(1) AS __total"] + [f"count({q(c)}) AS present__{i}" for i, c in enumerate(cols)]
+    wide = df.agg(*[F.expr(a) for a in aggs])
     out = _long(wide, cols, {"present": None}, id_cols=["__total"])
     pct = F.coalesce(_pct(F.col("present"), F.col("__total")), F.lit(0.0))
     return out.select("column", F.col("ordinal").cast("int").alias("ordinal"), "present",
@@ -138,16 +138,18 @@ def bounds_check(df: DataFrame, metrics, lo, hi, period: str | None = None,
     (NULL periods count as outside).
     """
     metrics = list(metrics)
+    lo_s, hi_s = num(lo), num(hi)
     aggs = []
     for i, m in enumerate(metrics):
-        aggs += [F.count_if(F.col(m) < lo).alias(f"below__{i}"), F.count_if(F.col(m) > hi).alias(f"above__{i}")]
+        aggs += [f"count_if({q(m)} < {lo_s}) AS below__{i}", f"count_if({q(m)} > {hi_s}) AS above__{i}"]
     cols = list(metrics)
     if period is not None:
         i = len(metrics)
-        p = F.col(period)
-        aggs += [F.count_if(p.isNull() | (p < period_lo)).alias(f"below__{i}"),
-                 F.count_if(p > period_hi).alias(f"above__{i}")]
+        p = q(period)
+        aggs += [f"count_if({p} IS NULL OR {p} < {lit(period_lo)}) AS below__{i}",
+                 f"count_if({p} > {lit(period_hi)}) AS above__{i}"]
         cols.append(period)
+    aggs = [F.expr(a) for a in aggs]
     wide = df.agg(*aggs)
     out = _long(wide, cols, {"below": None, "above": None})
     return out.select("column", F.col("ordinal").cast("int").alias("ordinal"), "below", "above",
@@ -163,11 +165,6 @@ def type_check(df: DataFrame, metrics) -> list[tuple[str, str, bool]]:
 
 # ---------------------------------------------------------------- agreement
 
-def _masked(a: str, b: str):
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    return both, F.when(both, F.col(a)), F.when(both, F.col(b))
-
-
 def safe_corr(x: Column, y: Column) -> Column:
     """Pearson r that is NULL (not an error) for zero variance or n < 2."""
     return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
@@ -183,10 +180,13 @@ def pair_agreement(df: DataFrame, pairs) -> DataFrame:
             [], "pair string, ordinal int, n long, mean_abs double, max_abs double, corr double, status string")
     aggs = []
     for i, (a, b, _) in enumerate(pairs):
-        both, xa, xb = _masked(a, b)
-        d = F.when(both, F.abs(F.col(a) - F.col(b)))
-        aggs += [F.count_if(both).alias(f"n__{i}"), F.avg(d).alias(f"mean_abs__{i}"),
-                 F.max(d).alias(f"max_abs__{i}"), safe_corr(xa, xb).alias(f"corr__{i}")]
+        both = f"({q(a)} IS NOT NULL AND {q(b)} IS NOT NULL)"
+        xa, xb = f"CASE WHEN {both} THEN {q(a)} END", f"CASE WHEN {both} THEN {q(b)} END"
+        d = f"CASE WHEN {both} THEN abs({q(a)} - {q(b)}) END"
+        aggs += [f"count_if({both}) AS n__{i}", f"avg({d}) AS mean_abs__{i}", f"max({d}) AS max_abs__{i}",
+                 # Pearson r that is NULL (not an error) for zero variance or n < 2
+                 f"try_divide(covar_samp({xa}, {xb}), stddev_samp({xa}) * stddev_samp({xb})) AS corr__{i}"]
+    aggs = [F.expr(a) for a in aggs]
     wide = df.agg(*aggs)
     labels = [p[2] for p in pairs]
     out = _long(wide, labels, {"n": None, "mean_abs": None, "max_abs": None, "corr": None})

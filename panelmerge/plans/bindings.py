@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from panelmerge.functions.sqltext import q as _q
 from panelmerge.operators import clean, entities, merge, rank, stats
 from panelmerge.plans import charts, reports
 from panelmerge.sources.payload import flatten_payload
@@ -79,9 +80,6 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     return df.selectExpr(*cols)
 
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
 
 # ------------------------------------------------------------------ EV panel
 

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from panelmerge.functions.scalar import (
     grade_dq, grade_value, missing_flag, row_spread, source_count, truncate_label,
 )
+from panelmerge.functions.sqltext import lit as _lit
+from panelmerge.functions.sqltext import num as _num
+from panelmerge.functions.sqltext import q as _q
 from panelmerge.operators import stats
 
 # Keyword lists for merge-key detection (case-insensitive substring).
@@ -143,21 +146,6 @@ def dq_scorecard(df: DataFrame, keys, metrics, *, bounds, period_range, pairs, r
     return one.selectExpr(f"explode(array({dims})) AS d").select("d.*")
 
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _lit(value) -> str:
-    if isinstance(value, str):
-        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return repr(value)
-
-
-def _num(x) -> str:
-    """A double literal for SQL text."""
-    return f"CAST({float(x)!r} AS DOUBLE)"
-
-
 def dq_grade(scorecard: DataFrame) -> DataFrame:
     """passed / total, score %, grade (A = 100, B >= 80, C >= 60, else D)."""
     s = scorecard.agg(F.count_if("passed").alias("passed"), F.count(F.lit(1)).alias("total"))
