@@ -232,7 +232,7 @@ def ev_canonical_ref(spark, sf_dir) -> DataFrame:
         F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"))
 
 
-def q_panel_pipeline(spark, sf_dir):
+def q_panel_assembly(spark, sf_dir):
     """Clean (period filter) -> merge -> canonical labels -> drop unlabelled.
 
     The five sources are slices of one table, so they are cleaned and merged

@@ -212,7 +212,7 @@ Q["conflict_matrix"] = _r(
 EV_PIPE = ("evp AS (SELECT user_id, CAST(day(ts) AS INTEGER) AS day, "
            + ", ".join(f"avg(CASE WHEN event_type = '{t}' THEN value END) AS m_{t}" for t in B.EV_TYPES)
            + f" FROM events WHERE event_type IN ({_in(B.EV_TYPES)}) AND day(ts) BETWEEN {PLO} AND {PHI} GROUP BY 1, 2)")
-Q["panel_pipeline"] = _r(
+Q["panel_assembly"] = _r(
     f"WITH {EV_PIPE} SELECT user_id, c_name AS name, day, {', '.join(MET)} FROM evp "
     "JOIN customer ON c_custkey = user_id AND c_mktsegment <> 'HOUSEHOLD'", *MET)
 
