@@ -57,6 +57,10 @@ NM_AGGREGATE_PREFIX = "Brand#1"
 NM_OVERRIDES = {"Brand#2": "Brand Two", "Brand#7": "Brand Seven", "Brand#99": "Brand Ninety-Nine"}
 NM_SIZE_RANGE = (10, 40)
 
+# Payload fixture (regions whose records get an empty code / a null value).
+PAYLOAD_EMPTY_CODE_REGION = 4
+PAYLOAD_NULL_VALUE_REGION = 3
+
 # RV / RVY parameters.
 RV_WANT_YEAR = 1998
 RV_MISSING_YEAR = 2019
@@ -537,9 +541,10 @@ def q_positional_clean(spark, sf_dir):
 def nm_payloads(spark, sf_dir) -> DataFrame:
     """Nation rows packed into one paged JSON payload per region."""
     n = _t(spark, sf_dir, "nation")
-    code = F.when(F.col("n_nationkey") % 7 == 0, F.lit("")).otherwise(
+    # one region's records carry an empty code, another region's a null value
+    code = F.when(F.col("n_regionkey") == PAYLOAD_EMPTY_CODE_REGION, F.lit("")).otherwise(
         F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")))
-    value = F.when(F.col("n_nationkey") % 4 == 3, F.lit(None).cast("double")).otherwise(
+    value = F.when(F.col("n_regionkey") == PAYLOAD_NULL_VALUE_REGION, F.lit(None).cast("double")).otherwise(
         F.col("n_nationkey") * 1.5 + 40)
     rec = F.struct(code.alias("countryiso3code"), F.struct(F.col("n_name").alias("value")).alias("country"),
                    (F.col("n_regionkey") + 2000).cast("string").alias("date"), value.alias("value"))

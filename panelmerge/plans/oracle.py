@@ -444,9 +444,10 @@ Q["positional_clean"] = _r(
     "SELECT 'ALL' AS iso3, CAST(year(o_orderdate) AS INTEGER) AS year, arg_min(o_totalprice, o_orderkey) AS value "
     "FROM orders WHERE year(o_orderdate) BETWEEN 1950 AND 2024 GROUP BY 2", "value")
 Q["payload_flatten"] = _r(
-    "SELECT CASE WHEN n_nationkey % 7 = 0 THEN NULL ELSE 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') END AS iso3, "
+    f"SELECT CASE WHEN n_regionkey = {B.PAYLOAD_EMPTY_CODE_REGION} THEN NULL "
+    "ELSE 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') END AS iso3, "
     "n_name AS country_name, CAST(2000 + n_regionkey AS INTEGER) AS year, n_nationkey * 1.5 + 40 AS value "
-    "FROM nation WHERE n_nationkey % 4 <> 3", "value")
+    f"FROM nation WHERE n_regionkey <> {B.PAYLOAD_NULL_VALUE_REGION}", "value")
 
 
 def oracle_sql() -> dict[str, str]:
