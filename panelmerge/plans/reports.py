@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 from panelmerge.functions.scalar import (
     grade_dq, grade_value, missing_flag, row_spread, source_count, truncate_label,
 )
-from panelmerge.functions.sqltext import lit as _lit
-from panelmerge.functions.sqltext import num as _num
-from panelmerge.functions.sqltext import q as _q
+from panelmerge.functions.sqltext import lit, num, q
 from panelmerge.operators import stats
 
 # Keyword lists for merge-key detection (case-insensitive substring).
@@ -101,31 +99,31 @@ def dq_scorecard(df: DataFrame, keys, metrics, *, bounds, period_range, pairs, r
     aggregation of :func:`stats.key_facts` for uniqueness.
     """
     entity, period = keys
-    lo, hi = (_num(x) for x in bounds)
+    lo, hi = (num(x) for x in bounds)
     plo, phi = period_range
     lower, upper = rule
     metrics = [m for m in metrics if m in df.columns]
     pairs = [p for p in pairs if p[0] in df.columns and p[1] in df.columns]
     # the fused aggregation is generated, so it is written as SQL text (one call each)
-    fills = [f"coalesce(try_divide(count({_q(m)}) * 100.0D, count(1)), 0.0D)" for m in metrics]
+    fills = [f"coalesce(try_divide(count({q(m)}) * 100.0D, count(1)), 0.0D)" for m in metrics]
     avg_fill = f"(({' + '.join(fills)}) / {len(metrics)})" if metrics else "0.0D"
-    pc = _q(period)
-    oob = " + ".join([f"count_if({_q(m)} < {lo} OR {_q(m)} > {hi})" for m in metrics]
+    pc = q(period)
+    oob = " + ".join([f"count_if({q(m)} < {lo} OR {q(m)} > {hi})" for m in metrics]
                      + [f"count_if({pc} IS NULL OR {pc} < {plo} OR {pc} > {phi})"])
     aggs = ["count(1) AS __rows", f"{avg_fill} AS c_value", f"CAST({oob} AS BIGINT) AS v_value"]
     for i, (a, b, _) in enumerate(pairs):
-        both = f"({_q(a)} IS NOT NULL AND {_q(b)} IS NOT NULL)"
-        aggs += [f"count_if({both}) AS pn{i}", f"avg(CASE WHEN {both} THEN abs({_q(a)} - {_q(b)}) END) AS pm{i}"]
+        both = f"({q(a)} IS NOT NULL AND {q(b)} IS NOT NULL)"
+        aggs += [f"count_if({both}) AS pn{i}", f"avg(CASE WHEN {both} THEN abs({q(a)} - {q(b)}) END) AS pm{i}"]
     if lower in df.columns and upper in df.columns:
-        both = f"({_q(lower)} IS NOT NULL AND {_q(upper)} IS NOT NULL)"
-        aggs += [f"count_if({both}) AS overlapping_rows", f"count_if({both} AND {_q(lower)} > {_q(upper)}) AS violations"]
+        both = f"({q(lower)} IS NOT NULL AND {q(upper)} IS NOT NULL)"
+        aggs += [f"count_if({both}) AS overlapping_rows", f"count_if({both} AND {q(lower)} > {q(upper)}) AS violations"]
     else:
         aggs += ["CAST(0 AS BIGINT) AS overlapping_rows", "CAST(0 AS BIGINT) AS violations"]
     facts = df.agg(*[F.expr(a) for a in aggs])
     # accuracy: pairs without overlap are left out, as in the pair report
     idx = range(len(pairs))
     checked = " + ".join(f"pn{i}" for i in idx) or "0"
-    bad = " + ".join(f"CASE WHEN pn{i} > 0 AND pm{i} >= {_num(max_mean_abs)} THEN 1 ELSE 0 END" for i in idx) or "0"
+    bad = " + ".join(f"CASE WHEN pn{i} > 0 AND pm{i} >= {num(max_mean_abs)} THEN 1 ELSE 0 END" for i in idx) or "0"
     worst = (f"greatest({', '.join(f'pm{i}' for i in idx)})" if len(pairs) > 1
              else ("pm0" if pairs else "CAST(NULL AS DOUBLE)"))
     facts = facts.selectExpr("*", f"CAST({checked} AS BIGINT) AS a_checked", f"{bad} AS a_bad", f"{worst} AS a_value")
@@ -137,7 +135,7 @@ def dq_scorecard(df: DataFrame, keys, metrics, *, bounds, period_range, pairs, r
                 f"'value', CAST({value} AS DOUBLE), 'checked_rows', CAST({checked_rows} AS BIGINT))")
 
     dims = ", ".join([
-        dim("completeness", 1, f"c_value > {_num(min_fill)}", "c_value", "__rows"),
+        dim("completeness", 1, f"c_value > {num(min_fill)}", "c_value", "__rows"),
         dim("uniqueness", 2, "coalesce(max_rows_per_key, 1) = 1 AND __dups = 0", "max_rows_per_key", "__rows"),
         dim("validity", 3, "v_value = 0", "v_value", "__rows"),
         dim("accuracy", 4, "a_bad = 0", "a_value", "a_checked"),
@@ -266,7 +264,7 @@ def source_profile(spark: SparkSession, sources, bounds) -> DataFrame:
     ``label``, ``load`` (callable returning a DataFrame) and optional
     ``metric``, ``code``, ``name``, ``period`` column names. A source that
     fails to load yields a row with ``load_error`` set and zero counts."""
-    lo, hi = bounds
+    lo_s, hi_s = num(bounds[0]), num(bounds[1])
     schema = ("label string, ordinal int, rows long, columns int, has_code boolean, code_fill_pct double, "
               "metric_fill_pct double, metric_min double, metric_max double, out_of_bounds long, "
               "period_fill_pct double, period_min double, period_max double, duplicate_rows long, "
@@ -283,28 +281,28 @@ def source_profile(spark: SparkSession, sources, bounds) -> DataFrame:
         cols = df.columns
         code, metric, period, name = (s.get(k) if s.get(k) in cols else None
                                       for k in ("code", "metric", "period", "name"))
-        n = F.count(F.lit(1))
-        pct = lambda e: F.coalesce(F.try_divide(F.count(e) * 100.0, n), F.lit(0.0))
-        m = F.trim(F.col(metric).cast("string")).try_cast("double") if metric else None
-        p = F.trim(F.col(period).cast("string")).try_cast("double") if period else None
+        pct = lambda e: f"coalesce(try_divide(count({e}) * 100.0D, count(1)), 0.0D)"
+        m = f"try_cast(trim(CAST({q(metric)} AS STRING)) AS DOUBLE)" if metric else None
+        p = f"try_cast(trim(CAST({q(period)} AS STRING)) AS DOUBLE)" if period else None
         ent = name or code
-        agg = df.agg(
-            n.alias("rows"),
-            (pct(F.col(code)) if code else F.lit(0.0)).alias("code_fill_pct"),
-            (pct(m) if metric else F.lit(0.0)).alias("metric_fill_pct"),
-            (F.min(m) if metric else F.lit(None).cast("double")).alias("metric_min"),
-            (F.max(m) if metric else F.lit(None).cast("double")).alias("metric_max"),
-            (F.count_if((m < lo) | (m > hi)) if metric else F.lit(0).cast("long")).alias("out_of_bounds"),
-            (pct(p) if period else F.lit(0.0)).alias("period_fill_pct"),
-            (F.min(p) if period else F.lit(None).cast("double")).alias("period_min"),
-            (F.max(p) if period else F.lit(None).cast("double")).alias("period_max"),
-            (F.count_distinct(ent) if ent else F.lit(0).cast("long")).alias("entities"))
+        null_d = "CAST(NULL AS DOUBLE)"
+        agg = df.agg(*[F.expr(a) for a in (
+            "count(1) AS rows",
+            f"{pct(q(code)) if code else '0.0D'} AS code_fill_pct",
+            f"{pct(m) if metric else '0.0D'} AS metric_fill_pct",
+            f"{f'min({m})' if metric else null_d} AS metric_min",
+            f"{f'max({m})' if metric else null_d} AS metric_max",
+            f"{f'count_if({m} < {lo_s} OR {m} > {hi_s})' if metric else 'CAST(0 AS BIGINT)'} AS out_of_bounds",
+            f"{pct(p) if period else '0.0D'} AS period_fill_pct",
+            f"{f'min({p})' if period else null_d} AS period_min",
+            f"{f'max({p})' if period else null_d} AS period_max",
+            f"{f'count(DISTINCT {q(ent)})' if ent else 'CAST(0 AS BIGINT)'} AS entities")])
         dups = stats.duplicate_rows(df).select("duplicate_rows", "duplicate_pct")
-        parts.append(agg.crossJoin(dups).select(
-            F.lit(s["label"]).alias("label"), F.lit(i).alias("ordinal"), "rows", F.lit(len(cols)).alias("columns"),
-            F.lit(code is not None).alias("has_code"), "code_fill_pct", "metric_fill_pct", "metric_min",
-            "metric_max", "out_of_bounds", "period_fill_pct", "period_min", "period_max", "duplicate_rows",
-            "duplicate_pct", "entities", F.lit("").alias("load_error")))
+        parts.append(agg.crossJoin(dups).selectExpr(
+            f"{lit(s['label'])} AS label", f"{i} AS ordinal", "rows", f"{len(cols)} AS columns",
+            f"{'true' if code is not None else 'false'} AS has_code", "code_fill_pct", "metric_fill_pct",
+            "metric_min", "metric_max", "out_of_bounds", "period_fill_pct", "period_min", "period_max",
+            "duplicate_rows", "duplicate_pct", "entities", "'' AS load_error"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -315,18 +313,18 @@ def source_profile_grouped(df: DataFrame, label_col: str, labels, bounds, *, cod
     value): one scan and one grouped aggregation instead of one pass per
     source. Same output as :func:`source_profile`; ``labels`` fixes the
     order (and which slices are reported)."""
-    lo, hi = _num(bounds[0]), _num(bounds[1])
+    lo, hi = num(bounds[0]), num(bounds[1])
     labels = list(labels)
     df = df.filter(F.col(label_col).isin(labels))
     cols = [c for c in df.columns if c != label_col]
     pct = lambda e: f"coalesce(try_divide(count({e}) * 100.0D, count(1)), 0.0D)"
-    m = f"CAST({_q(metric)} AS DOUBLE)" if metric else None
-    p = f"CAST({_q(period)} AS DOUBLE)" if period else None
+    m = f"CAST({q(metric)} AS DOUBLE)" if metric else None
+    p = f"CAST({q(period)} AS DOUBLE)" if period else None
     ent = name or code
     null_d = "CAST(NULL AS DOUBLE)"
     aggs = [
         "count(1) AS rows",
-        f"{pct(_q(code)) if code else '0.0D'} AS code_fill_pct",
+        f"{pct(q(code)) if code else '0.0D'} AS code_fill_pct",
         f"{pct(m) if metric else '0.0D'} AS metric_fill_pct",
         f"{f'min({m})' if metric else null_d} AS metric_min",
         f"{f'max({m})' if metric else null_d} AS metric_max",
@@ -334,14 +332,14 @@ def source_profile_grouped(df: DataFrame, label_col: str, labels, bounds, *, cod
         f"{pct(p) if period else '0.0D'} AS period_fill_pct",
         f"{f'min({p})' if period else null_d} AS period_min",
         f"{f'max({p})' if period else null_d} AS period_max",
-        f"{f'count(DISTINCT {_q(ent)})' if ent else 'CAST(0 AS BIGINT)'} AS entities",
+        f"{f'count(DISTINCT {q(ent)})' if ent else 'CAST(0 AS BIGINT)'} AS entities",
     ]
     agg = df.groupBy(label_col).agg(*[F.expr(a) for a in aggs])
     sizes = df.groupBy(label_col, *cols).agg(F.expr("count(1) AS __s"))
     dups = sizes.groupBy(label_col).agg(F.expr("CAST(sum(__s - 1) AS BIGINT) AS duplicate_rows"),
                                         F.expr("sum(__s) AS __n"))
-    order = "map(" + ", ".join(f"{_lit(lab)}, {i}" for i, lab in enumerate(labels)) + ")"
-    lc = _q(label_col)
+    order = "map(" + ", ".join(f"{lit(lab)}, {i}" for i, lab in enumerate(labels)) + ")"
+    lc = q(label_col)
     return agg.join(dups, label_col).selectExpr(
         f"CAST({lc} AS STRING) AS label", f"{order}[{lc}] AS ordinal", "rows", f"{len(cols)} AS columns",
         f"{'true' if code is not None else 'false'} AS has_code", "code_fill_pct", "metric_fill_pct", "metric_min",
@@ -351,15 +349,15 @@ def source_profile_grouped(df: DataFrame, label_col: str, labels, bounds, *, cod
 
 def final_profile(df: DataFrame, entity: str, period: str, name: str | None, metrics, bounds) -> DataFrame:
     """One row describing the final panel (G4)."""
-    lo, hi = _num(bounds[0]), _num(bounds[1])
+    lo, hi = num(bounds[0]), num(bounds[1])
     metrics = [m for m in metrics if m in df.columns]
     pct = lambda c: f"coalesce(try_divide(count({c}) * 100.0D, count(1)), 0.0D)"
-    oob = " + ".join(f"count_if({_q(m)} < {lo} OR {_q(m)} > {hi})" for m in metrics) or "0"
-    avg_fill = f"(({' + '.join(pct(_q(m)) for m in metrics)}) / {len(metrics)})" if metrics else "0.0D"
+    oob = " + ".join(f"count_if({q(m)} < {lo} OR {q(m)} > {hi})" for m in metrics) or "0"
+    avg_fill = f"(({' + '.join(pct(q(m)) for m in metrics)}) / {len(metrics)})" if metrics else "0.0D"
     base = df.agg(*[F.expr(a) for a in (
-        "count(1) AS rows", f"count(DISTINCT {_q(entity)}) AS entities", f"min({_q(period)}) AS min_period",
-        f"max({_q(period)}) AS max_period", f"{pct(_q(entity))} AS code_fill_pct",
-        f"{pct(_q(name)) if name else '0.0D'} AS name_fill_pct", f"{avg_fill} AS avg_metric_fill_pct",
+        "count(1) AS rows", f"count(DISTINCT {q(entity)}) AS entities", f"min({q(period)}) AS min_period",
+        f"max({q(period)}) AS max_period", f"{pct(q(entity))} AS code_fill_pct",
+        f"{pct(q(name)) if name else '0.0D'} AS name_fill_pct", f"{avg_fill} AS avg_metric_fill_pct",
         f"CAST({oob} AS BIGINT) AS out_of_bounds")])
     dk = stats.key_facts(df, [entity, period]).select("duplicate_keys")
     return base.crossJoin(dk).selectExpr("rows", f"{len(df.columns)} AS columns", "entities", "min_period",
