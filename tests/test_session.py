@@ -40,3 +40,11 @@ def test_registers_scratch_only_when_unset():
     d = ensure_checkpoint_dir(s)
     assert d.startswith("file:") and s.sparkContext.dir == d
     assert ensure_checkpoint_dir(s) == d
+
+
+def test_session_defaults(spark):
+    conf = spark.conf
+    assert conf.get("spark.sql.adaptive.enabled") == "true"
+    assert conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    assert conf.get("spark.sql.session.timeZone") == "UTC"
+    assert spark.sparkContext.getConf().get("spark.ui.enabled") == "false"
