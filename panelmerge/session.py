@@ -38,29 +38,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there and we use it as is (the setting
-    cannot be changed at runtime anyway). Only when it is unset (local
-    tests) do we register a scratch folder of our own with the context.
+    A cluster names it there and we use it as is. Only a local master may do
+    without: it gets a scratch folder of its own (tests). On a cluster a
+    machine-local folder would be another one on every executor, so that is an
+    error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        return current
+        return current.rstrip("/")
     registered = spark.sparkContext.getCheckpointDir()
     if registered:
         return registered
-    local = tempfile.mkdtemp(prefix="panelmerge-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
-
-
-def cut_lineage(df):
-    """Materialise ``df`` to the shared checkpoint folder (reliable, not local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="panelmerge-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
