@@ -19,6 +19,7 @@ their counts in a join: none of them has more than 1/VOCABULARY of all tokens.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,6 +37,7 @@ FEATURES = 1 << 13
 ROUNDS = 2
 BATCH = 16_384
 RATE = 0.5
+SPELLING = 192  # places that a word's character n-grams hash to
 FLUSH = 200_000  # distinct tokens a counting task holds at most
 
 
@@ -60,6 +62,29 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("text").cast("string")).mapInArrow(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def spelling_classes(words: list[bytes], counts: np.ndarray, classes: int, rounds: int = 8) -> np.ndarray:
+    """A class from 0 for each word (most frequent first): k-means over hashed character
+    1- to 3-grams, words weighing as the root of their counts. Starts from the most
+    frequent words; the same words give the same classes."""
+    vectors = np.zeros((len(words), SPELLING), np.float32)
+    for i, word in enumerate(words):
+        text = f"^{word.decode('utf-8', 'replace')}$"
+        for n in (1, 2, 3):
+            for j in range(len(text) - n + 1):
+                vectors[i, zlib.crc32(text[j:j + n].encode()) % SPELLING] += 1
+    vectors /= np.maximum(1e-9, np.linalg.norm(vectors, axis=1, keepdims=True))
+    weight = np.sqrt(counts)[:, None].astype(np.float32)
+    centres = vectors[:classes].copy()
+    own = np.zeros(len(words), np.int64)
+    for _ in range(rounds):
+        own = (vectors @ centres.T).argmax(axis=1) if len(words) else own
+        sums = np.zeros_like(centres)
+        np.add.at(sums, own, vectors * weight)
+        norm = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(norm > 0, sums / np.maximum(norm, 1e-9), centres)
+    return own
+
+
 class Vocabulary:
     """Frequent words by number from 1 (0: any other), their classes and their share of their class."""
 
@@ -68,8 +93,7 @@ class Vocabulary:
         self.tokens, self.types = tokens, types
         self.known = np.concatenate([[0.0], np.log10(counts + 1.0)])
         smooth = counts + 1.0
-        share = np.cumsum(smooth) - smooth / 2
-        bins = (share / max(1.0, smooth.sum()) * (CLASSES - 1)).astype(np.int64)
+        bins = spelling_classes(words, counts, CLASSES - 1)
         self.cls = np.concatenate([[CLASSES - 1], bins])
         mass = np.bincount(bins, weights=smooth, minlength=CLASSES)
         self.inside = np.concatenate([[0.0], np.log10(smooth / mass[bins])])

@@ -12,19 +12,31 @@ def hashed(name: bytes, buckets: int) -> int:
 
 
 class Rows:
-    """Sparse rows: feature numbers and values, and where each row starts."""
+    """Sparse rows: feature numbers and values (1 if not given), row after row."""
 
     def __init__(self, features: list[np.ndarray], values: list[np.ndarray] | None = None) -> None:
         self.n = len(features)
-        self.row = np.repeat(np.arange(self.n), [len(f) for f in features])
-        self.feature = np.concatenate(features) if features else np.zeros(0, np.int64)
-        self.value = np.concatenate(values) if values else np.ones(len(self.feature))
+        self.sizes = np.array([len(f) for f in features], np.int64)
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), self.sizes)
+        self.feature = np.concatenate(features).astype(np.int32) if features else np.zeros(0, np.int32)
+        self.value = np.concatenate(values).astype(np.float32) if values else None
+
+    def _times(self, x: np.ndarray) -> np.ndarray:
+        return x if self.value is None else x * self.value
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, self.value * weights[self.feature], self.n)
+        return np.bincount(self.row, self._times(weights[self.feature]), self.n)
 
     def spread(self, residual: np.ndarray, buckets: int) -> np.ndarray:
-        return np.bincount(self.feature, self.value * residual[self.row], buckets)
+        return np.bincount(self.feature, self._times(residual[self.row]), buckets)
+
+    def size(self) -> np.ndarray:
+        """Sum of the values' magnitudes by row."""
+        return self.sizes.astype(float) if self.value is None else np.bincount(self.row, np.abs(self.value), self.n)
+
+    def spread_abs(self, weight: np.ndarray, buckets: int) -> np.ndarray:
+        own = weight[self.row]
+        return np.bincount(self.feature, own if self.value is None else own * np.abs(self.value), buckets)
 
 
 def fit_logistic(
@@ -39,12 +51,11 @@ def fit_logistic(
     change of the features: its score change is swaps . w."""
     total = max(1e-12, weight.sum())
     # Curvature by feature: the diagonal bound of the Hessian, sum_j |x_ij x_ik| / 4.
-    size = np.bincount(rows.row, np.abs(rows.value), rows.n)
-    curve = rows_abs(rows, weight * (size + 1) / 4, buckets) / total + l2
+    size = rows.size()
+    curve = rows.spread_abs(weight * (size + 1) / 4, buckets) / total + l2
     bias_curve = float((weight * (size + 1) / 4).sum() / total)
     if swaps is not None and swaps.n and swap_weight:
-        span = np.bincount(swaps.row, np.abs(swaps.value), swaps.n)
-        curve += swap_weight * rows_abs(swaps, span, buckets) / swaps.n
+        curve += swap_weight * swaps.spread_abs(swaps.size(), buckets) / swaps.n
     curve = np.maximum(curve, 1e-9)
     w = look = np.zeros(buckets)
     mean = float((weight * target).sum() / total)
@@ -65,6 +76,3 @@ def fit_logistic(
         w, b, t = moved, moved_b, t_next
     return w, b
 
-
-def rows_abs(rows: Rows, residual: np.ndarray, buckets: int) -> np.ndarray:
-    return np.bincount(rows.feature, np.abs(rows.value) * residual[rows.row], buckets)

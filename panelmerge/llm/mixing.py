@@ -94,8 +94,8 @@ def plan_mix(docs: DataFrame, shards: int = SHARDS, seed: int = 1, weights=WEIGH
     (shard of each copy and its place by hash there; null where not taken).
 
     A source takes whole passes, then in the next pass the permuted documents that
-    fit into what is left of its target, then up to FILL_ROUNDS times the largest
-    document that still fits. Null or empty texts have size 0 and are never taken.
+    fit into what is left of its target, then up to FILL_ROUNDS times the document
+    that fills the rest best. Null or empty texts have size 0 and are never taken.
     A null source is a source of its own; a null doc_id is an id like others.
     Repeated rows share their fate. An empty table gives an empty plan.
     """
@@ -131,14 +131,16 @@ def plan_mix(docs: DataFrame, shards: int = SHARDS, seed: int = 1, weights=WEIGH
     extra = stored(placed.filter(fits).groupBy("sid").agg(F.sum("weighs").alias("got")), "mix-prefix")
     state = targets.select("sid", "rest").join(extra, "sid", "left").select("sid", (F.col("rest") - F.coalesce("got", F.lit(0))).alias("room"))
     chosen: DataFrame | None = None
-    for _ in range(FILL_ROUNDS):
+    for turn in range(FILL_ROUNDS):
         state = stored(state, "mix-room")
+        last = turn == FILL_ROUNDS - 1  # the last may go over, if that is nearer
         # An item of whole copies can't be told from its like: doc_id, text_hash and u name it.
-        left = placed.filter(~fits & (F.col("weighs") > 0)).join(state, "sid").filter("weighs <= room")
+        left = placed.filter(~fits & (F.col("weighs") > 0)).join(state, "sid").filter("weighs < 2 * room" if last else "weighs <= room")
         if chosen is not None:
             left = left.join(chosen.select("sid", "u", "doc_id", "text_hash").withColumnsRenamed({"sid": "s_", "u": "u_", "doc_id": "d_", "text_hash": "t_"}),
                              F.expr("sid = s_ AND u = u_ AND doc_id <=> d_ AND text_hash <=> t_"), "left_anti")
-        best = left.groupBy("sid").agg(F.max(F.struct("weighs", "u", "doc_id", "text_hash")).alias("b")).select("sid", "b.*")
+        off = F.abs(F.col("room") - F.col("weighs")).alias("off")
+        best = left.groupBy("sid").agg(F.min(F.struct(off, "weighs", "u", "doc_id", "text_hash")).alias("b")).select("sid", "b.*").drop("off")
         best = stored(best, "mix-fill")
         state = state.join(best.select("sid", "weighs"), "sid", "left").select("sid", (F.col("room") - F.coalesce("weighs", F.lit(0))).alias("room"))
         chosen = best if chosen is None else chosen.unionByName(best)

@@ -35,14 +35,14 @@ WINDOW = 8
 FEATURES = {
     "log_words": ("ln(1 + n_words)", 0.9),
     "word_length": ("word_chars / greatest(n_words, 1)", 0.6),
-    "symbol_rate": ("ln(1 + 1000 * n_symbols / greatest(word_chars, 1))", 0.9),
+    "symbol_rate": ("ln(1 + 1000 * n_symbols / greatest(word_chars, 1))", 0.7),
     "dup_line_rate": ("ln(1 + 100 * n_dup_lines / greatest(n_lines, 1))", 0.9),
     "repeat_rate": ("ln(1 + 100 * n_repeat_words / greatest(n_words, 1))", 0.7),
     "capital_rate": ("ln(1 + 100 * n_capitals / greatest(word_chars, 1))", 0.6),
 }
 NAMES, P = list(FEATURES), len(FEATURES)
 ALPHA = 0.75  # share of the rows in the covariance
-TAIL = 1e-9  # share of a normal population beyond the cut
+TAIL = 1e-7  # share of a normal population beyond the cut
 CHUNK = 1000
 MIN_ROWS = 50  # smaller groups use the estimate over all groups
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]

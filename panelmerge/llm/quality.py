@@ -57,13 +57,14 @@ def measures(text: bytes | None) -> tuple[dict[str, float], Counter]:
     }, words
 
 
+#: A defect labeller says bad or nothing: the absence of its defect tells little.
 LABELLERS = {
-    "symbols": lambda m: BAD if m["symbols"] > 0.03 else GOOD if m["symbols"] < 0.002 else ABSTAIN,
-    "capitals": lambda m: BAD if m["capitals"] > 0.3 else GOOD if m["capitals"] < 0.12 else ABSTAIN,
-    "marked": lambda m: BAD if m["marked"] > 0.2 else GOOD if m["marked"] < 0.02 else ABSTAIN,
-    "repeats": lambda m: BAD if m["repeats"] > 0.3 else GOOD if m["repeats"] < 0.1 and m["words"] >= 20 else ABSTAIN,
-    "dup_lines": lambda m: BAD if m["dup_lines"] > 0.3 else GOOD if m["dup_lines"] < 0.1 and m["words"] >= 20 else ABSTAIN,
-    "top_word": lambda m: BAD if m["words"] >= 10 and m["top_word"] > 0.25 else GOOD if m["words"] >= 20 and m["top_word"] < 0.15 else ABSTAIN,
+    "symbols": lambda m: BAD if m["symbols"] > 0.03 else ABSTAIN,
+    "capitals": lambda m: BAD if m["capitals"] > 0.3 else ABSTAIN,
+    "marked": lambda m: BAD if m["marked"] > 0.2 else ABSTAIN,
+    "repeats": lambda m: BAD if m["repeats"] > 0.3 else ABSTAIN,
+    "dup_lines": lambda m: BAD if m["dup_lines"] > 0.3 else ABSTAIN,
+    "top_word": lambda m: BAD if m["words"] >= 20 and m["top_word"] > 0.2 else ABSTAIN,
     "echoes": lambda m: BAD if m["echoes"] > 0.3 else GOOD if m["echoes"] < 0.05 and m["words"] >= 20 else ABSTAIN,
     "common": lambda m: BAD if m["common"] < 0.03 and m["words"] >= 20 else GOOD if m["common"] > 0.15 else ABSTAIN,
     "word_length": lambda m: BAD if not 2.5 <= m["word_length"] <= 12 else GOOD if m["word_length"] <= 8 else ABSTAIN,

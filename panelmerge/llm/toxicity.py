@@ -2,7 +2,7 @@
 
 Features of a text: its distinct words, their beginnings and their ends, hashed.
 The fit is a sparse logistic regression on a bounded sample of labelled
-documents. Sentences that name a group are copied with the group swapped for
+documents, over the features that prefer one label (counted by Spark). Sentences that name a group are copied with the group swapped for
 others of its kind, and the squared change of the score is a penalty: the name
 of a group can't carry weight that the names of the others don't.
 """
@@ -17,13 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .linear import Rows, fit_logistic, hashed
-from .shared import raw, word_runs
+from .shared import raw, stored, word_runs
 
 BUCKETS = 1 << 18
 SAMPLE = 20_000  # labelled documents that the fit uses at most, lowest hash first
 MARKS = b".,;:!?\"'()[]{}<>|*#$%&+-_=/\\~"
 BEGINNINGS, ENDS = (4, 5, 6, 8), (5, 7)
 L1, SWAP_WEIGHT = 2e-5, 10.0
+SCREEN = 3.0  # standard deviations by which a feature must prefer a label to enter the fit
 CACHE = 400_000
 
 # Names of groups; a name is swapped for the others of its line.
@@ -88,29 +89,47 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, allowed: Column, limit:
     return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
 
 
-def fit(sample: DataFrame, l1: float = L1, swap_weight: float = SWAP_WEIGHT) -> tuple[np.ndarray, float]:
-    """Weights by bucket and bias, from ``sample`` (text, toxic): a bounded table."""
+def fit(sample: DataFrame, l1: float = L1, swap_weight: float = SWAP_WEIGHT, screen: float = SCREEN) -> tuple[np.ndarray, float]:
+    """Weights by bucket and bias, from ``sample`` (text, toxic): a bounded table.
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The rarer label weighs as the root of the odds against it."""
+    spark = sample.sparkSession
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [bare_words(t) for t in raw(batch.column(0))]
             moves = [swapped(w) for w in words]
             yield pa.RecordBatch.from_arrays([
-                pa.array([text_features(w).astype(np.int32).tobytes() for w in words], pa.binary()), batch.column(1),
+                pa.array([text_features(w) for w in words], pa.list_(pa.int32())), batch.column(1),
                 pa.array([[f.astype(np.int32).tobytes() for f, _ in m] for m in moves], pa.list_(pa.binary())),
                 pa.array([[v.astype(np.int8).tobytes() for _, v in m] for m in moves], pa.list_(pa.binary())),
             ], ["features", "toxic", "moved", "by"])
 
-    got = sample.select("text", "toxic").mapInArrow(features, "features binary, toxic int, moved array<binary>, by array<binary>").toPandas()
-    if got.empty or got["toxic"].nunique() < 2:
-        return np.zeros(BUCKETS), -4.0 if got.empty or got["toxic"].max() < 1 else 4.0
+    found = stored(sample.select("text", "toxic").mapInArrow(find, "features array<int>, toxic int, moved array<binary>, by array<binary>"), "toxic-sample")
+    n, n_toxic = found.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not 0 < n_toxic < n:
+        return np.zeros(BUCKETS), 4.0 if n_toxic else -4.0
+    counts = found.select("toxic", F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("n"), F.sum("toxic").alias("k")).toPandas()  # BUCKETS rows at most
+    expected = counts["n"] * (n_toxic / n)
+    lean = np.abs(counts["k"] - expected) >= screen * np.sqrt(expected * (1 - n_toxic / n))
+    chosen = np.zeros(BUCKETS, bool)
+    chosen[counts["f"][lean & (counts["n"] >= 2)]] = True
+    shared = spark.sparkContext.broadcast(chosen)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [x.values.to_numpy() for x in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[shared.value[x]].tobytes() for x in own], pa.binary()), *batch.columns[1:]], ["features", "toxic", "moved", "by"])
+
+    got = found.mapInArrow(keep, "features binary, toxic int, moved array<binary>, by array<binary>").toPandas()
     got["key"] = got["features"].map(lambda f: hashed(f, 1 << 32))
     got = got.sort_values(["key", "toxic"], kind="stable")  # the order of the tasks must not matter
-    rows = Rows([np.frombuffer(f, np.int32).astype(np.int64) for f in got["features"]])
-    moved = [np.frombuffer(f, np.int32).astype(np.int64) for m in got["moved"] for f in m]
-    by = [np.frombuffer(v, np.int8).astype(float) for m in got["by"] for v in m]
+    rows = Rows([np.frombuffer(f, np.int32) for f in got["features"]])
+    moved = [np.frombuffer(f, np.int32) for m in got["moved"] for f in m]
+    by = [np.frombuffer(v, np.int8) for m in got["by"] for v in m]
     target = got["toxic"].to_numpy(float)
-    return fit_logistic(rows, target, np.ones(len(target)), BUCKETS, l1=l1, swaps=Rows(moved, by) if moved else None, swap_weight=swap_weight)
+    weight = np.where(target > 0, np.sqrt(max(1.0, (n - n_toxic) / n_toxic)), np.sqrt(max(1.0, n_toxic / (n - n_toxic))))
+    return fit_logistic(rows, target, weight, BUCKETS, l1=l1, swaps=Rows(moved, by) if moved else None, swap_weight=swap_weight)
 
 
 def score_texts(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
