@@ -204,7 +204,8 @@ def robust_estimates(rows: DataFrame, rounds: int = 2) -> DataFrame:
     state = state.select("group", *_MEANS, *(F.expr(f"c{i}_{j} - {float(FLOOR[i, j])!r}D").alias(f"c{i}_{j}") for i, j in PAIRS))
     state = stored(state, "mcd")
     for _ in range(rounds):
-        near = _measured(rows, _invert(state))
+        # Stored, the few estimates are known to be small: the rows needn't move to meet them.
+        near = _measured(rows, stored(_invert(state), "mcd"))
         cut = stored(near.groupBy("group").agg(F.percentile_approx("d2", ALPHA, 1000).alias("cut")), "mcd-cut")
         half = near.join(cut, "group").filter("d2 <= cut")
         half = half.groupBy("group").agg(
