@@ -10,9 +10,12 @@ sample; the scorer then judges all texts.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
-from operator import eq
+from functools import lru_cache
+from itertools import compress
+from operator import eq, mul
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +41,24 @@ COMMON = frozenset(
 ABSTAIN, BAD, GOOD = 0, 1, 2
 
 
-def measures(text: bytes | None) -> tuple[dict[str, float], Counter]:
-    """Rates of the whole text that the labellers and the scorer look at, and its words."""
+class WordFacts(dict):
+    """word: (ends in a mark, is common, value), worked out once for each word; ``value``
+    gives the last. Forgets all when it holds ``CACHE`` words."""
+
+    def __init__(self, value=lambda word: None) -> None:
+        super().__init__()
+        self.value = value
+
+    def __missing__(self, word: bytes) -> tuple:
+        if len(self) >= CACHE:
+            self.clear()
+        own = self[word] = word[-1] in MARKS, word.lower().rstrip(b".,;:!") in COMMON, self.value(word)
+        return own
+
+
+def measures(text: bytes | None, facts: WordFacts) -> tuple[dict[str, float], list[int], list]:
+    """Rates of the whole text that the labellers and the scorer look at; and for its
+    distinct words how often they occur and what value ``facts`` gives them."""
     n_words, chars, symbols, dup_lines, repeats, lines, capitals = text_stats(text)
     words: Counter = Counter()
     echoes, last = 0, b""
@@ -48,13 +67,14 @@ def measures(text: bytes | None) -> tuple[dict[str, float], Counter]:
         echoes += sum(map(eq, run, [last, *run]))
         last = run[-1] if run else last
     per_word, per_char = max(1, n_words), max(1, chars)
+    times = list(words.values())
+    marked, common, values = zip(*(facts[w] for w in words)) if words else ((), (), ())
     return {
         "words": n_words, "word_length": chars / per_word, "symbols": symbols / per_char, "capitals": capitals / per_char,
         "repeats": repeats / per_word, "dup_lines": dup_lines / max(1, lines),
-        "marked": sum(n for w, n in words.items() if w[-1] in MARKS) / per_word,
-        "common": sum(n for w, n in words.items() if w.lower().rstrip(b".,;:!") in COMMON) / per_word,
-        "top_word": max(words.values(), default=0) / per_word, "echoes": echoes / per_word,
-    }, words
+        "marked": sum(compress(times, marked)) / per_word, "common": sum(compress(times, common)) / per_word,
+        "top_word": max(times, default=0) / per_word, "echoes": echoes / per_word,
+    }, times, values
 
 
 #: A defect labeller says bad or nothing: the absence of its defect tells little.
@@ -105,21 +125,21 @@ def weak_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100
     return p[:, 1], tables, good
 
 
-def _shape(word: bytes) -> bytes:
-    """The word's letters, capitals and digits as classes, runs once; other ASCII as is."""
-    out = bytearray()
-    for c in word[:64]:
-        k = 97 if 97 <= c <= 122 or c >= 128 else 65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c
-        if not out or out[-1] != k:
-            out.append(k)
-    return bytes(out)
+#: Letters, capitals and digits as classes, other ASCII as is.
+_CLASSES = bytes(97 if 97 <= c <= 122 or c >= 128 else 65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c for c in range(256))
+_RUNS = re.compile(rb"(.)\1+", re.DOTALL)
+
+
+@lru_cache(1 << 16)
+def _look_features(shape: bytes, last: bytes, length: int) -> tuple[int, ...]:
+    return tuple(hashed(x, BUCKETS) for x in (b"s" + shape, b"e" + last, b"l%d" % length))
 
 
 def _word_features(word: bytes) -> tuple[int, ...]:
-    names = [b"s" + _shape(word), b"e" + word[-1:], b"l%d" % min(20, len(word))]
-    if (bare := word.lower().rstrip(b".,;:!")) in COMMON:
-        names.append(b"c" + bare)
-    return tuple(hashed(x, BUCKETS) for x in names)
+    """Of the word's look (classes of its characters, runs once), last byte and length; common words also by name."""
+    own = _look_features(_RUNS.sub(rb"\1", word[:64].translate(_CLASSES)), word[-1:], min(20, len(word)))
+    bare = word.lower().rstrip(b".,;:!")
+    return (*own, hashed(b"c" + bare, BUCKETS)) if bare in COMMON else own
 
 
 def _rate_features(m: dict[str, float]) -> list[int]:
@@ -129,18 +149,14 @@ def _rate_features(m: dict[str, float]) -> list[int]:
     return [hashed(x.encode(), BUCKETS) for x in names]
 
 
-def features(m: dict[str, float], words: Counter, known: dict[bytes, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers (distinct, ascending) and values: shares of the words, and the bins as 1."""
+def features(m: dict[str, float], times: list[int], values: list[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers (distinct, ascending) and values: shares of the words, and the
+    bins as 1. ``values``: the features of each word."""
     shares: dict[int, float] = dict.fromkeys(_rate_features(m), 1.0)
     n = max(1.0, m["words"])
-    for word, times in words.items():
-        own = known.get(word)
-        if own is None:
-            if len(known) >= CACHE:
-                known.clear()
-            own = known[word] = _word_features(word)
+    for count, own in zip(times, values):
         for f in own:
-            shares[f] = shares.get(f, 0.0) + times / n
+            shares[f] = shares.get(f, 0.0) + count / n
     order = sorted(shares)
     return np.array(order, np.int32), np.array([shares[f] for f in order], np.float32)
 
@@ -153,8 +169,9 @@ class QualityModel:
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
         def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            facts = WordFacts()
             for batch in batches:
-                given = [bytes(votes(measures(t)[0])) for t in raw(batch.column(0))]
+                given = [bytes(votes(measures(t, facts)[0])) for t in raw(batch.column(0))]
                 counted = Counter(given)
                 yield pa.RecordBatch.from_arrays([pa.array(counted.keys(), pa.binary()), pa.array(counted.values(), pa.int64())], ["pattern", "n"])
 
@@ -162,18 +179,19 @@ class QualityModel:
         self.patterns = np.array([list(p) for p in counted["pattern"]], np.int64).reshape(-1, len(LABELLERS))
         self.counts = counted["n"].to_numpy(float)
         self.weights, self.bias = np.zeros(BUCKETS), 4.0
+        self.sums: dict[tuple[int, ...], float] = {}
         if not len(counted):
             return
         self.good, self.tables, self.share = weak_label_model(self.patterns, self.counts)
         posterior = dict(zip(map(bytes, counted["pattern"]), self.good))
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known: dict = {}
+            facts = WordFacts(_word_features)
             for batch in batches:
                 out = []
                 for t in raw(batch.column(0)):
-                    m, words = measures(t)
-                    f, v = features(m, words, known)
+                    m, times, values = measures(t, facts)
+                    f, v = features(m, times, values)
                     out.append((f.tobytes(), v.tobytes(), float(posterior[bytes(votes(m))])))
                 yield pa.RecordBatch.from_arrays([
                     pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.float64()),
@@ -191,19 +209,28 @@ class QualityModel:
         rows_ = Rows([np.frombuffer(b, np.int32).astype(np.int64) for b in sample["f"]], [np.frombuffer(b, np.float32).astype(float) for b in sample["v"]])
         self.weights, self.bias = fit_logistic(rows_, sample["target"].to_numpy(float), np.ones(len(sample)), BUCKETS, l2=L2)
 
-    def score(self, text: bytes | None, known: dict) -> float:
-        f, v = features(*measures(text), known)
-        return float(1 / (1 + np.exp(-np.clip(self.bias + (self.weights[f] * v).sum(), -30, 30))))
+    def word_value(self, word: bytes) -> float:
+        own = _word_features(word)
+        if own not in self.sums:
+            if len(self.sums) >= CACHE:
+                self.sums.clear()
+            self.sums[own] = float(self.weights[list(own)].sum())
+        return self.sums[own]
+
+    def score(self, text: bytes | None, facts: WordFacts) -> float:
+        m, times, values = measures(text, facts)
+        z = self.bias + sum(self.weights[f] for f in set(_rate_features(m))) + sum(map(mul, times, values)) / max(1.0, m["words"])
+        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
 def scorer(model: QualityModel, spark):
-    """A pandas UDF from text to the probability of a good text."""
+    """An Arrow UDF from text to the probability of a good text."""
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
     def score(column: pa.Array) -> pa.Array:
-        known: dict = {}
-        return pa.array([shared.value.score(t, known) for t in raw(column)], pa.float64())
+        facts = WordFacts(shared.value.word_value)
+        return pa.array([shared.value.score(t, facts) for t in raw(column)], pa.float64())
 
     return score
 
