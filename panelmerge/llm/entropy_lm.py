@@ -22,8 +22,10 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, compress, repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +40,7 @@ ROUNDS = 2
 BATCH = 16_384
 RATE = 0.5
 SPELLING = 192  # places that a word's character n-grams hash to
-FLUSH = 200_000  # distinct tokens a counting task holds at most
+FLUSH = 500_000  # distinct tokens a counting task holds at most
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
@@ -62,6 +64,20 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("text").cast("string")).mapInArrow(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def frequent_tokens(counts: DataFrame, limit: int = VOCABULARY) -> pd.DataFrame:
+    """The most frequent tokens, ``limit`` at most, most frequent first.
+
+    Cut at a step of a geometric scale of counts, found from the number of tokens on
+    each step (some hundred rows): sorting for an exact number would send so many
+    rows of every partition to one place."""
+    step = F.floor(F.log2("n") * 16).cast("int").alias("step")
+    sizes = counts.groupBy(step).agg(F.count("*").alias("tokens")).toPandas().sort_values("step", ascending=False)
+    fit = sizes[sizes["tokens"].cumsum() <= limit]
+    if fit.empty:
+        return pd.DataFrame({"token": [], "n": []})
+    return counts.filter(step >= int(fit["step"].min())).toPandas().sort_values(["n", "token"], ascending=[False, True])
+
+
 def spelling_classes(words: list[bytes], counts: np.ndarray, classes: int, rounds: int = 8) -> np.ndarray:
     """A class from 0 for each word (most frequent first): k-means over hashed character
     1- to 3-grams, words weighing as the root of their counts. Starts from the most
@@ -102,7 +118,7 @@ class Vocabulary:
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         get = self.number.get
-        return np.fromiter((get(w, 0) for w in words), np.int64, len(words))
+        return np.fromiter(map(get, words, repeat(0)), np.int64, len(words))
 
 
 def context_features(ids: np.ndarray) -> np.ndarray:
@@ -129,9 +145,9 @@ def update(weights: np.ndarray, squares: np.ndarray, touched: np.ndarray, featur
     root of its running sum of squares (kept by feature)."""
     gradient = np.exp(class_log_probs(weights, features))
     gradient[np.arange(len(cls)), cls] -= 1
-    slots = np.concatenate([features.ravel(order="F"), np.full(1, len(weights) - 1)])
-    order = np.argsort(slots[:-1], kind="stable")
-    sorted_slots = slots[:-1][order]
+    slots = features.ravel(order="F").astype(np.uint16)  # FEATURES fit; short integers sort by radix
+    order = np.argsort(slots, kind="stable")
+    sorted_slots = slots[order].astype(np.int64)
     starts = np.flatnonzero(np.diff(sorted_slots, prepend=-1))
     own = sorted_slots[starts]
     sums = np.add.reduceat(gradient[order % len(cls)], starts, axis=0)
@@ -153,7 +169,7 @@ def texts_in_batches(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary,
             for words in word_runs((text or b"").lower()):
                 own = vocabulary.numbers(words)
                 ids.append(own)
-                rare.update(words[i] for i in np.flatnonzero(own == 0))
+                rare.update(compress(words, (own == 0).tolist()))
             ids.append(np.array([end]))
             if not end:
                 rare[END] += 1
@@ -217,7 +233,7 @@ def score_texts(docs: DataFrame, training: Column, rounds: int = ROUNDS) -> Data
     learned = docs.filter("training").select("doc_id", "text")
     counts = stored(token_counts(learned), "tokens")
     tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.col("n").desc(), "token").limit(VOCABULARY).toPandas()  # VOCABULARY rows
+    top = frequent_tokens(counts)
     vocabulary = Vocabulary([w.encode() for w in top["token"]], top["n"].to_numpy(float), tokens, types)
     weights = spark.sparkContext.broadcast(train_classes(learned, vocabulary, rounds))
     shared_vocabulary = spark.sparkContext.broadcast(vocabulary)
@@ -225,8 +241,6 @@ def score_texts(docs: DataFrame, training: Column, rounds: int = ROUNDS) -> Data
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, w = shared_vocabulary.value, weights.value
         names = ["doc_id", "n_tokens", "n_frequent", "known_sum", "score_sum", "rare"]
-        rare_type = pa.list_(pa.struct([("token", pa.string()), ("n", pa.int64())]))
-
         def out() -> pa.RecordBatch:
             ids = np.concatenate(held["ids"])
             x, text = np.concatenate(held["x"]), np.repeat(np.arange(len(held["ids"])), [len(i) for i in held["ids"]])
@@ -236,10 +250,14 @@ def score_texts(docs: DataFrame, training: Column, rounds: int = ROUNDS) -> Data
                 logs[i:i + BATCH] = part[np.arange(len(part)), words.cls[ids[i:i + BATCH]]]
             logs = logs / np.log(10) + words.inside[ids]
             n = len(held["ids"])
+            pairs = [pa.array(list(chain.from_iterable(r.keys() for r in held["rare"])), pa.binary()).cast(pa.string()),
+                     pa.array(list(chain.from_iterable(r.values() for r in held["rare"])), pa.int64())]
+            rare = pa.ListArray.from_arrays(
+                pa.array(np.cumsum([0, *(len(r) for r in held["rare"])]), pa.int32()), pa.StructArray.from_arrays(pairs, ["token", "n"]))
             return pa.RecordBatch.from_arrays([
                 pa.array(held["doc"], pa.int64()), pa.array([len(i) for i in held["ids"]], pa.int64()),
                 pa.array([int((i > 0).sum()) for i in held["ids"]], pa.int64()), pa.array(np.bincount(text, words.known[ids], n)),
-                pa.array(np.bincount(text, logs, n)), pa.array([[{"token": t.decode("utf-8", "replace"), "n": c} for t, c in r.items()] for r in held["rare"]], rare_type),
+                pa.array(np.bincount(text, logs, n)), rare,
             ], names)
 
         held: dict[str, list] = {"doc": [], "ids": [], "x": [], "rare": []}
