@@ -40,7 +40,7 @@ ROUNDS = 2
 BATCH = 16_384
 RATE = 0.5
 SPELLING = 192  # places that a word's character n-grams hash to
-FLUSH = 500_000  # distinct tokens a counting task holds at most
+FLUSH = 100_000  # distinct tokens a counting task holds at most
 
 
 def token_counts(docs: DataFrame) -> DataFrame:

@@ -54,14 +54,16 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     n = len(words)
     if n <= window:
         return 0
-    ids: dict[bytes, int] = {}
-    rank = np.array([ids.setdefault(w, len(ids)) for w in words], np.int64)
+    ids = {w: i for i, w in enumerate(dict.fromkeys(words))}
     if len(ids) == n:
         return 0
+    rank = np.fromiter(map(ids.__getitem__, words), np.int64, n)
     span = 1
     while span < window:  # rank of a window: the rank of the pair of its halves
         both = rank[:-span] * (rank.max() + 1) + rank[span:]
-        rank = np.unique(both, return_inverse=True)[1]
+        names, rank = np.unique(both, return_inverse=True)
+        if len(names) == len(rank):  # no window this long occurs twice, so no longer one does
+            return 0
         span *= 2
     twice = np.flatnonzero(np.bincount(rank)[rank] > 1)
     edge = np.zeros(n + 1, np.int64)

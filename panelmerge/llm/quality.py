@@ -14,8 +14,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import compress
-from operator import eq, mul
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +28,6 @@ from .shared import raw, word_runs
 BUCKETS = 1 << 14
 SAMPLE = 20_000  # documents that the scorer is fitted on at most, lowest hash first
 L2 = 1e-4
-CACHE = 400_000
-MARKS = frozenset(b"!?$%*#&|<>=+~^_@")
 # Common function words of the four languages.
 COMMON = frozenset(
     w.encode() for w in (
@@ -41,40 +38,32 @@ COMMON = frozenset(
 ABSTAIN, BAD, GOOD = 0, 1, 2
 
 
-class WordFacts(dict):
-    """word: (ends in a mark, is common, value), worked out once for each word; ``value``
-    gives the last. Forgets all when it holds ``CACHE`` words."""
+#: A-Z lower-cased and sentence marks blank, for looking up common words.
+_BARE = bytes(c + 32 if 65 <= c <= 90 else 32 if c in b".,;:!" else c for c in range(256))
+_MARKED = re.compile(rb"[!?$%*#&|<>=+~^_@](?![^\x20\x09-\x0D])")
 
-    def __init__(self, value=lambda word: None) -> None:
-        super().__init__()
-        self.value = value
 
-    def __missing__(self, word: bytes) -> tuple:
-        if len(self) >= CACHE:
-            self.clear()
-        own = self[word] = word[-1] in MARKS, word.lower().rstrip(b".,;:!") in COMMON, self.value(word)
-        return own
-
-
-def measures(text: bytes | None, facts: WordFacts) -> tuple[dict[str, float], list[int], list]:
-    """Rates of the whole text that the labellers and the scorer look at; and for its
-    distinct words how often they occur and what value ``facts`` gives them."""
+def measures(text: bytes | None) -> tuple[dict[str, float], Counter]:
+    """Rates of the whole text that the labellers and the scorer look at, and how often
+    each common word occurs."""
+    text = text or b""
     n_words, chars, symbols, dup_lines, repeats, lines, capitals = text_stats(text)
     words: Counter = Counter()
+    common: Counter = Counter()
     echoes, last = 0, b""
-    for run in word_runs(text or b""):
+    for run in word_runs(text):
         words.update(run)
         echoes += sum(map(eq, run, [last, *run]))
         last = run[-1] if run else last
+    for run in word_runs(text.translate(_BARE)):
+        common.update(filter(COMMON.__contains__, run))
     per_word, per_char = max(1, n_words), max(1, chars)
-    times = list(words.values())
-    marked, common, values = zip(*(facts[w] for w in words)) if words else ((), (), ())
     return {
         "words": n_words, "word_length": chars / per_word, "symbols": symbols / per_char, "capitals": capitals / per_char,
         "repeats": repeats / per_word, "dup_lines": dup_lines / max(1, lines),
-        "marked": sum(compress(times, marked)) / per_word, "common": sum(compress(times, common)) / per_word,
-        "top_word": max(times, default=0) / per_word, "echoes": echoes / per_word,
-    }, times, values
+        "marked": len(_MARKED.findall(text)) / per_word, "common": sum(common.values()) / per_word,
+        "top_word": max(words.values(), default=0) / per_word, "echoes": echoes / per_word,
+    }, common
 
 
 #: A defect labeller says bad or nothing: the absence of its defect tells little.
@@ -127,19 +116,32 @@ def weak_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100
 
 #: Letters, capitals and digits as classes, other ASCII as is.
 _CLASSES = bytes(97 if 97 <= c <= 122 or c >= 128 else 65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c for c in range(256))
-_RUNS = re.compile(rb"(.)\1+", re.DOTALL)
+_RUNS = ((re.compile(rb"a+"), b"a"), (re.compile(rb"A+"), b"A"), (re.compile(rb"0+"), b"0"))
+
+
+def _looks(text: bytes) -> Counter:
+    """How often each look of a word occurs (classes of its characters, runs of one class
+    once) and each length of a word, up to 20 bytes."""
+    shapes: Counter = Counter()
+    lengths: Counter = Counter()
+    for run in word_runs(text):
+        lengths.update(map(len, run))
+    text = text.translate(_CLASSES)
+    for run_of, one in _RUNS:
+        text = run_of.sub(one, text)
+    for run in word_runs(text):
+        shapes.update(run)
+    out = Counter({b"s" + shape[:32]: 0 for shape in shapes})
+    for shape, times in shapes.items():
+        out[b"s" + shape[:32]] += times
+    for length, times in lengths.items():
+        out[b"l%d" % min(20, length)] += times
+    return out
 
 
 @lru_cache(1 << 16)
-def _look_features(shape: bytes, last: bytes, length: int) -> tuple[int, ...]:
-    return tuple(hashed(x, BUCKETS) for x in (b"s" + shape, b"e" + last, b"l%d" % length))
-
-
-def _word_features(word: bytes) -> tuple[int, ...]:
-    """Of the word's look (classes of its characters, runs once), last byte and length; common words also by name."""
-    own = _look_features(_RUNS.sub(rb"\1", word[:64].translate(_CLASSES)), word[-1:], min(20, len(word)))
-    bare = word.lower().rstrip(b".,;:!")
-    return (*own, hashed(b"c" + bare, BUCKETS)) if bare in COMMON else own
+def _bucket(name: bytes) -> int:
+    return hashed(name, BUCKETS)
 
 
 def _rate_features(m: dict[str, float]) -> list[int]:
@@ -149,14 +151,15 @@ def _rate_features(m: dict[str, float]) -> list[int]:
     return [hashed(x.encode(), BUCKETS) for x in names]
 
 
-def features(m: dict[str, float], times: list[int], values: list[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers (distinct, ascending) and values: shares of the words, and the
-    bins as 1. ``values``: the features of each word."""
+def features(text: bytes | None, m: dict[str, float], common: Counter) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers (distinct, ascending) and values: the rates' bins as 1, and looks,
+    lengths and common words by their share of the words."""
     shares: dict[int, float] = dict.fromkeys(_rate_features(m), 1.0)
     n = max(1.0, m["words"])
-    for count, own in zip(times, values):
-        for f in own:
-            shares[f] = shares.get(f, 0.0) + count / n
+    for names in (_looks(text or b""), {b"c" + w: times for w, times in common.items()}):
+        for name, times in names.items():
+            f = _bucket(name)
+            shares[f] = shares.get(f, 0.0) + times / n
     order = sorted(shares)
     return np.array(order, np.int32), np.array([shares[f] for f in order], np.float32)
 
@@ -169,9 +172,8 @@ class QualityModel:
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
         def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            facts = WordFacts()
             for batch in batches:
-                given = [bytes(votes(measures(t, facts)[0])) for t in raw(batch.column(0))]
+                given = [bytes(votes(measures(t)[0])) for t in raw(batch.column(0))]
                 counted = Counter(given)
                 yield pa.RecordBatch.from_arrays([pa.array(counted.keys(), pa.binary()), pa.array(counted.values(), pa.int64())], ["pattern", "n"])
 
@@ -179,19 +181,17 @@ class QualityModel:
         self.patterns = np.array([list(p) for p in counted["pattern"]], np.int64).reshape(-1, len(LABELLERS))
         self.counts = counted["n"].to_numpy(float)
         self.weights, self.bias = np.zeros(BUCKETS), 4.0
-        self.sums: dict[tuple[int, ...], float] = {}
         if not len(counted):
             return
         self.good, self.tables, self.share = weak_label_model(self.patterns, self.counts)
         posterior = dict(zip(map(bytes, counted["pattern"]), self.good))
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            facts = WordFacts(_word_features)
             for batch in batches:
                 out = []
                 for t in raw(batch.column(0)):
-                    m, times, values = measures(t, facts)
-                    f, v = features(m, times, values)
+                    m, common = measures(t)
+                    f, v = features(t, m, common)
                     out.append((f.tobytes(), v.tobytes(), float(posterior[bytes(votes(m))])))
                 yield pa.RecordBatch.from_arrays([
                     pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.float64()),
@@ -209,18 +209,9 @@ class QualityModel:
         rows_ = Rows([np.frombuffer(b, np.int32).astype(np.int64) for b in sample["f"]], [np.frombuffer(b, np.float32).astype(float) for b in sample["v"]])
         self.weights, self.bias = fit_logistic(rows_, sample["target"].to_numpy(float), np.ones(len(sample)), BUCKETS, l2=L2)
 
-    def word_value(self, word: bytes) -> float:
-        own = _word_features(word)
-        if own not in self.sums:
-            if len(self.sums) >= CACHE:
-                self.sums.clear()
-            self.sums[own] = float(self.weights[list(own)].sum())
-        return self.sums[own]
-
-    def score(self, text: bytes | None, facts: WordFacts) -> float:
-        m, times, values = measures(text, facts)
-        z = self.bias + sum(self.weights[f] for f in set(_rate_features(m))) + sum(map(mul, times, values)) / max(1.0, m["words"])
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+    def score(self, text: bytes | None) -> float:
+        f, v = features(text, *measures(text))
+        return float(1 / (1 + np.exp(-np.clip(self.bias + (self.weights[f] * v).sum(), -30, 30))))
 
 
 def scorer(model: QualityModel, spark):
@@ -229,8 +220,7 @@ def scorer(model: QualityModel, spark):
 
     @F.arrow_udf("double")
     def score(column: pa.Array) -> pa.Array:
-        facts = WordFacts(shared.value.word_value)
-        return pa.array([shared.value.score(t, facts) for t in raw(column)], pa.float64())
+        return pa.array([shared.value.score(t) for t in raw(column)], pa.float64())
 
     return score
 
