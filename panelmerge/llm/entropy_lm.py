@@ -122,19 +122,16 @@ class Vocabulary:
 
 
 def context_features(ids: np.ndarray) -> np.ndarray:
-    """Feature numbers (tokens x 3) of one text: word before, two before together, skip.
-    Before the start: -1."""
+    """Feature numbers (tokens x 2) of one text: word before and skip. Before the start: -1."""
     one = np.concatenate([[-1], ids[:-1]])
     two = np.concatenate([[-1, -1], ids[:-2]])[: len(ids)]
-    parts = (one, one * 1_000_003 + two, two)
-    return np.stack([(mix64((p + (k << 40)).view(U64)) % U64(FEATURES)).astype(np.int32) for k, p in enumerate(parts, 1)], axis=1)
+    return np.stack([(mix64((p + (k << 40)).view(U64)) % U64(FEATURES)).astype(np.int32) for k, p in enumerate((one, two), 1)], axis=1)
 
 
 def class_log_probs(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
     """Natural log softmax over classes; the last row of ``weights`` is the bias."""
     z = weights[features[:, 0]]
     z += weights[features[:, 1]]
-    z += weights[features[:, 2]]
     z += weights[-1]
     z -= z.max(axis=1, keepdims=True)
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
