@@ -89,11 +89,12 @@ def weak_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100
 
     Returns the probability of good for each pattern, the vote tables (labeller x
     class x vote; class 0 bad, 1 good) and the share of good texts. Starts from
-    labellers that are right in eight of ten votes, which fixes the meaning of the
-    classes. A text without any vote has the share of good texts."""
+    labellers that seldom call a good text bad, which fixes the
+    meaning of the classes. A text without any vote has about the share of good texts."""
     k = patterns.shape[1]
-    tables = np.full((k, 2, 3), 0.2)
-    tables[:, 0, BAD] = tables[:, 1, GOOD] = 0.6
+    tables = np.empty((k, 2, 3))
+    tables[:, 0, [ABSTAIN, BAD, GOOD]] = 0.35, 0.35, 0.3
+    tables[:, 1, [ABSTAIN, BAD, GOOD]] = 0.48, 0.02, 0.5
     good = 0.8
     for _ in range(rounds):
         log = np.tile(np.log([1 - good, good]), (len(patterns), 1))
