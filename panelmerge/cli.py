@@ -12,7 +12,6 @@ Every report is a DataFrame; with ``--out`` each one is written as CSV
 from __future__ import annotations
 
 import argparse
-import glob
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +22,7 @@ from panelmerge.operators import clean, rank, stats
 from panelmerge.plans import charts, reports
 from panelmerge.plans.pipeline import run_pipeline
 from panelmerge.session import get_session
+from panelmerge.sources.readers import files_under
 from panelmerge.sources.sinks import write_panel
 
 KEYS = ["iso3", "year"]
@@ -31,7 +31,7 @@ REPORTS = ("audit", "dq", "conflicts", "anomalies", "value", "eda", "summary", "
 
 def read_panel(spark: SparkSession, path: str) -> DataFrame:
     """A stored panel (parquet folder, or CSV with header as written by ``transform``)."""
-    if glob.glob(os.path.join(path, "*.parquet")) or path.endswith(".parquet"):
+    if not files_under(spark, path, "*.parquet").isEmpty():
         return spark.read.parquet(path)
     schema = "iso3 string, country_name string, year int, " + ", ".join(f"{m} double" for m in LE.METRICS)
     return spark.read.option("header", True).schema(schema).csv(path)
@@ -68,8 +68,8 @@ def report_tables(name: str, panel: DataFrame, spark: SparkSession, raw_dir: str
                 "divergence": stats.divergence_stats(p, "life_exp_wb", "life_exp_unicef"),
                 "top_divergence": _worst(p, ("life_exp_wb", "life_exp_unicef", ""), k=10),
                 "extreme_by_entity": stats.extreme_by_entity(p, "life_exp_wb", "life_exp_unicef", "iso3", 10.0),
-                "extreme_lows": p.filter((F.col("life_exp_wb") < 13) | (F.col("life_exp_owid") < 13))
-                .select("iso3", "country_name", "year", "life_exp_wb", "life_exp_owid").orderBy(*KEYS)}
+                "extreme_lows": stats.below_any(p, {"life_exp_wb": 13, "life_exp_owid": 13},
+                                                ["iso3", "country_name", "year"]).orderBy(*KEYS)}
     if name == "eda":
         return {"health_gap": charts.health_gap_ranking(panel, ["iso3"], "year", upper, lower, 2019, k=15,
                                                         extra=["country_name", "year"]),
@@ -91,13 +91,12 @@ def report_tables(name: str, panel: DataFrame, spark: SparkSession, raw_dir: str
         if not raw_dir:
             raise SystemExit("report lineage needs --raw")
         from panelmerge.operators.entities import build_name_map
-        from panelmerge.plans.pipeline import source_lineage
-        from panelmerge.sources.readers import read_source
+        from panelmerge.plans.pipeline import load_source, source_lineage
         cfg = LE.with_raw_dir(raw_dir)
-        ref = read_source(spark, cfg.REFERENCE.path).withColumn("__row", F.monotonically_increasing_id())
-        nm = build_name_map(ref, cfg.REFERENCE.raw_name, cfg.REFERENCE.raw_code, "__row", cfg.AGGREGATE_PREFIX)
-        return {s.label.replace(" ", "_").replace("(", "").replace(")", ""):
-                source_lineage(spark, s, nm, cfg.CORRECTIONS, cfg.PERIOD_RANGE) for s in cfg.SOURCES}
+        nm = build_name_map(load_source(spark, cfg.REFERENCE), cfg.REFERENCE.raw_name, cfg.REFERENCE.raw_code, "__row", cfg.AGGREGATE_PREFIX)
+        found = {s.label.replace(" ", "_").replace("(", "").replace(")", ""):
+                 source_lineage(spark, s, nm, cfg.CORRECTIONS, cfg.PERIOD_RANGE) for s in cfg.SOURCES}
+        return {label: df for label, df in found.items() if df is not None}
     if name == "summary":
         return {"extent": stats.panel_extent(panel, *KEYS), "coverage": stats.column_fill(panel, metrics)}
     raise SystemExit(f"unknown report {name}; choose from {REPORTS}")
@@ -117,8 +116,6 @@ def _raw_sources(spark: SparkSession, raw_dir: str) -> list[dict]:
     for s in cfg.SOURCES:
         load = (lambda s=s: read_positional(spark, s.path).drop("__row")) if s.fmt == "positional" else \
             (lambda s=s: read_csv_any_encoding(spark, s.path, s.encoding))
-        if s.path and not os.path.exists(s.path):
-            load = (lambda s=s: spark.read.parquet(s.path))   # raises PATH_NOT_FOUND -> "File not found"
         out.append({"label": s.label, "load": load, "metric": s.raw_metric, "code": s.raw_code,
                     "name": s.raw_name, "period": s.raw_period})
     return out
@@ -130,7 +127,9 @@ def _emit(tables: dict, out: str | None) -> None:
             df.write.mode("overwrite").option("header", True).csv(os.path.join(out, key))
         else:
             print(f"== {key}")
-            df.show(50, truncate=False)
+            print("\t".join(df.columns))
+            for row in df.toLocalIterator():   # all rows, one partition at a time
+                print("\t".join("" if v is None else str(v) for v in row))
 
 
 def main(argv=None) -> None:
@@ -161,7 +160,7 @@ def main(argv=None) -> None:
     elif args.cmd == "report":
         _emit(report_tables(args.name, read_panel(spark, args.panel), spark, args.raw), args.out)
     elif args.cmd == "profile":
-        paths = sorted(glob.glob(os.path.join(args.raw, "*.csv")))
+        paths = sorted(r["path"] for r in files_under(spark, args.raw, "*.csv").collect())   # one row per file
         cols, keys = reports.profile_files(spark, paths)
         _emit({"columns": cols, "merge_keys": keys}, args.out)
     elif args.cmd == "export":

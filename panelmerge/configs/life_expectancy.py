@@ -19,7 +19,7 @@ PERIOD_RANGE = (1950, 2024)
 BOUNDS = (13, 95)
 TOLERANCE = 2.5
 AGGREGATE_PREFIX = "OWID_"
-ON_DUPLICATE = "multiply"   # reproduce outer-join semantics; "error" / "mean" scale better
+ON_DUPLICATE = "mean"   # one union and one shuffle; "multiply" gives the rows of an outer-join fold
 
 METRICS = ["life_exp_owid", "life_exp_wb", "hale_who", "life_exp_unicef", "life_exp_kaggle", "life_exp_us_cdc"]
 LABELS = {"life_exp_owid": "OWID", "life_exp_wb": "World Bank", "hale_who": "WHO (HALE)",
@@ -68,6 +68,7 @@ def _p(name: str) -> str:
     return os.path.join(RAW_DIR, name)
 
 
+# File and column names of the sources.
 REFERENCE = SourceSpec(
     label="OWID", path=_p("owid_historical_life_expectancy.csv"), metric="life_exp_owid",
     raw_metric="Life expectancy", raw_code="Code", raw_name="Entity", raw_period="Year",
@@ -89,7 +90,7 @@ SOURCES = [
                cascade=("DIM_SEX", ("TOTAL", "BTSX", "BOTHSEXES")),
                correct_names=True, drop_null_metric=True, on_duplicate="first"),
     SourceSpec(label="CDC (US)", path=_p("cdc_us_demographics.csv"), metric="life_exp_us_cdc",
-               fmt="positional", positional=(2, 0, 1, "USA")),
+               fmt="positional", positional=(2, 0, 1, "USA"), optional=True),
 ]
 
 

@@ -22,7 +22,12 @@ NA_TOKENS = (
 # Unicode whitespace at either end, matching Python's str.strip(): Java's \s
 # under (?U) is the Unicode White_Space set; \x1c-\x1f are added because
 # Python also strips those separators. Spark's trim only removes the space.
-_EDGE_WS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The byte-order mark is not white space to either; it is stripped as well.
+_EDGE_WS = r"(?U)^[\s\x1c-\x1f\ufeff]+|[\s\x1c-\x1f\ufeff]+$"
+
+# A decimal number as text files write it. Spark's cast alone would also take
+# the type suffixes of Java literals ("10d", "1f").
+_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def _col(c) -> Column:
@@ -43,15 +48,15 @@ def na_tokens_to_null(c, tokens=NA_TOKENS) -> Column:
 
 def to_number(c, dtype: str = "double") -> Column:
     """Coerce to a number; anything unparsable (or NaN) becomes NULL."""
-    c = _col(c)
-    num = F.trim(c.cast("string")).try_cast(dtype)
+    text = strip_ws(_col(c).cast("string"))
+    num = F.when(text.rlike(_NUMBER), text).try_cast(dtype)
     if dtype in ("double", "float"):
         return nan_to_null(num)
     return num
 
 
 def strip_ws(c) -> Column:
-    """Strip Unicode whitespace (tabs, NBSP, BOM, ...) at both ends."""
+    """Strip Unicode whitespace (tabs, NBSP, ...) and byte-order marks at both ends."""
     return F.regexp_replace(_col(c), _EDGE_WS, "")
 
 

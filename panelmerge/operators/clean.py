@@ -43,6 +43,17 @@ def exclude_prefix(df: DataFrame, col: str, prefix: str) -> DataFrame:
     return df.filter(c.isNull() | ~c.startswith(prefix))
 
 
+def prefix_lineage(df: DataFrame, col: str, prefix: str) -> DataFrame:
+    """Rows before and after :func:`exclude_prefix`, as a cleaning lineage."""
+    c = F.col(col)
+    return clean_lineage(df, [("exclude_prefix", c.isNull() | ~c.startswith(prefix))])
+
+
+def first_rows(df: DataFrame, n: int, order) -> DataFrame:
+    """The first ``n`` rows under an explicit order (top-n per task, then one merge)."""
+    return df.orderBy(*order).limit(n)
+
+
 def period_predicate(col: str, lo, hi) -> Column:
     """Inclusive range. A NULL period yields NULL, which ``filter`` drops and
     ``count_if`` does not count; kept a plain range so Parquet can push it."""

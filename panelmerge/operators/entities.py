@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelmerge.functions.nulls import strip_ws
 from panelmerge.operators.clean import dedup_first_agg, exclude_prefix
-from panelmerge.operators.lookup import lookup_join, replace_values
+from panelmerge.operators.lookup import map_literal, replace_values
 
 
 def build_name_map(ref: DataFrame, name_col: str, code_col: str, order_col: str,
@@ -42,22 +42,22 @@ def correction_stats(df: DataFrame, col: str, rules: dict) -> DataFrame:
 def resolve(df: DataFrame, name_col: str, name_map: DataFrame, code_col: str = "code") -> DataFrame:
     """Attach the code for ``name_col``; unknown names get NULL."""
     m = name_map.select(F.col("name").alias("__nm"), F.col("code").alias(code_col))
-    out = lookup_join(df, m, on=F.col(name_col) == F.col("__nm"), how="left")
+    out = df.join(m, F.col(name_col) == F.col("__nm"), "left")
     return out.drop("__nm")
 
 
-def unresolved(df: DataFrame, name_col: str, code_col: str, order_col: str, n: int = 8) -> DataFrame:
+def unresolved(df: DataFrame, name_col: str, code_col: str, order_col: str, n: int | None = None) -> DataFrame:
     """Unresolved names: ``(name, first_seen, rows, unresolved_rows)``.
 
-    ``unresolved_rows`` is the total over all names; only the first ``n``
-    names by first appearance are returned.
+    ``unresolved_rows`` is the total over all names; ``n`` asks for the first
+    names by first appearance only.
     """
     miss = df.filter(F.col(code_col).isNull())
     per = miss.groupBy(F.col(name_col).alias("name")).agg(
         F.min(order_col).alias("first_seen"), F.count(F.lit(1)).alias("rows"))
     total = miss.agg(F.count(F.lit(1)).alias("unresolved_rows"))
-    return (per.crossJoin(F.broadcast(total))
-            .orderBy("first_seen", "name").limit(n))
+    out = per.crossJoin(F.broadcast(total)).orderBy("first_seen", "name")
+    return out if n is None else out.limit(n)
 
 
 def canonical_map(ref: DataFrame, code_col: str, name_col: str, order_col: str) -> DataFrame:
@@ -76,7 +76,7 @@ def canonical_name(df: DataFrame, code_col: str, name_col: str, cmap: DataFrame,
     """
     base = df.drop(name_col) if name_col in df.columns else df
     how = "inner" if drop_unlabelled else "left"
-    out = lookup_join(base, cmap, on=F.col(code_col) == F.col("__code"), how=how)
+    out = base.join(cmap, F.col(code_col) == F.col("__code"), how)
     out = out.withColumnRenamed("__canon", name_col).drop("__code")
     cols = [c for c in df.columns] if name_col in df.columns else df.columns + [name_col]
     return out.select(*cols)
@@ -84,7 +84,7 @@ def canonical_name(df: DataFrame, code_col: str, name_col: str, cmap: DataFrame,
 
 def unlabelled_count(df: DataFrame, code_col: str, cmap: DataFrame) -> DataFrame:
     """One row: rows that ``canonical_name(..., drop_unlabelled=True)`` removes."""
-    gone = lookup_join(df, cmap, on=F.col(code_col) == F.col("__code"), how="left_anti")
+    gone = df.join(cmap, F.col(code_col) == F.col("__code"), "left_anti")
     return gone.agg(F.count(F.lit(1)).alias("rows_dropped"))
 
 
@@ -96,7 +96,6 @@ def override_labels(df: DataFrame, code_col: str, name_col: str, overrides: dict
 
 
 def replace_values_by_key(code_col: str, name_col: str, overrides: dict):
-    from panelmerge.operators.lookup import map_literal
     return F.coalesce(F.try_element_at(map_literal(overrides), F.col(code_col)), F.col(name_col))
 
 

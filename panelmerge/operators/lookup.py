@@ -1,35 +1,19 @@
-"""Lookup joins with a checked broadcast.
-
-A lookup (name map, code -> label map) is small in practice but derived from
-data, so its size is not known when the plan is written. ``lookup_join``
-checks it with a bounded job (``limit(n + 1).count()`` stops after n + 1
-rows) and broadcasts only below the bound; above it the join is an ordinary
-shuffle join that AQE may still convert or de-skew at runtime.
-Literal rule tables built from fixed values are small by construction and
-are applied as map literals instead (no join at all).
+"""Lookups: joins with derived tables, and literal rule maps.
+
+A lookup (name map, code -> label map) is derived from data, so its size isn't
+known when the plan is written. It is an ordinary join: Spark broadcasts the
+side once its measured bytes are under ``spark.sql.autoBroadcastJoinThreshold``,
+and splits skewed partitions otherwise. Literal rule tables built from fixed
+values are small by construction and are applied as map literals (no join).
 """
 
 from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded check)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "left",
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join ``df`` with a lookup table, broadcasting it only if it is small."""
-    side = F.broadcast(lookup) if fits(lookup, max_broadcast_rows) else lookup
-    return df.join(side, on=on, how=how)
-
 
 def map_literal(mapping: dict) -> Column:
     """A ``map<string,string>`` literal from a fixed Python dict."""

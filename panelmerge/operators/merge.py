@@ -171,12 +171,3 @@ def long_to_panel(df: DataFrame, keys: list[str], source_col: str, value_col: st
             for s, m in sources.items()]
     return base.groupBy(*keys).agg(*aggs)
 
-
-def coalesce_collisions(df: DataFrame, base: str, suffix: str = "_dup") -> DataFrame:
-    """After a suffixing join: coalesce ``base`` with its suffixed copies in
-    column order, then drop every suffixed column."""
-    copies = [c for c in df.columns if c.startswith(base) and c != base]
-    if copies:
-        df = df.withColumn(base, F.coalesce(F.col(base), *[F.col(c) for c in copies]))
-    drop = [c for c in df.columns if c.endswith(suffix) or (c.startswith(base + "_") and c != base)]
-    return df.drop(*drop)

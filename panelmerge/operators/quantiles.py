@@ -5,25 +5,23 @@ single task; with a handful of groups (decades) or none at all (a global
 median) that is the whole column in one task. ``exact_quantiles`` instead
 runs a distributed selection:
 
-1. per group: ``n``, ``min``, ``max`` (partial aggregation);
+1. per group: ``n`` and a bounded quantile sketch (partial aggregation), read at
+   ``buckets`` + 1 evenly spaced ranks: the grid;
 2. the ranks needed for linear interpolation, ``floor(q(n-1))`` and
-   ``ceil(q(n-1))``, become a small *state* table ``(group, rank, lo, hi,
-   below)`` - the rank is known to lie in the value interval ``[lo, hi]``
-   with ``below`` values under ``lo``;
-3. each refinement pass histograms the values inside the interval into
-   ``buckets`` equal-width buckets (``groupBy(group, rank, bucket)`` with
-   partial aggregation, so a hot group is spread over all tasks), a running
-   sum over the <= ``buckets`` rows of one (group, rank) finds the bucket that
-   holds the rank, and the interval shrinks to that bucket's real min/max;
-4. the last step compacts the surviving values to ``(value, count)`` pairs
-   and picks the one covering the rank.
-
-Bucket assignment is a monotone function of the value, so the interval
-``[bucket min, bucket max]`` holds exactly that bucket's values and every
-step is exact; the passes only bound how many distinct values reach step 4.
-Every step is a lazily composed DataFrame (no collect, no driver loop over
-data). ``method="approx"`` switches to ``percentile_approx`` (one pass,
-bounded sketch) and ``method="single"`` to Spark's exact ``percentile``.
+   ``ceil(q(n-1))``, become a small *state* table ``(group, rank, lo, hi)``: grid
+   values that surely enclose the rank, as the grid's steps are ten times the
+   sketch's error and the bracket leaves two steps on either side;
+3. each further pass counts the values below the bracket and sketches those
+   inside, which gives a new grid and a bracket of some thousandths of the old;
+4. the last step compacts the surviving values to ``(value, count)`` pairs, one
+   more row counts all values below, and a running sum finds the rank.
+
+Brackets are cut by rank, not by width, so what is left for step 4 is about
+(5 / ``buckets``) ** ``passes`` of the group whatever the values are (2.5e-5 with the
+defaults); equal values are one pair. Every step is a lazily composed DataFrame (no
+collect, no driver loop over data). ``method="approx"`` switches to
+``percentile_approx`` (one pass, bounded sketch) and ``method="single"`` to
+Spark's exact ``percentile``.
 """
 
 from __future__ import annotations
@@ -34,7 +32,7 @@ from pyspark.sql import functions as F
 from panelmerge.functions.sqltext import q as _q
 
 DEFAULT_PASSES = 2
-DEFAULT_BUCKETS = 2048
+DEFAULT_BUCKETS = 1000
 
 
 def _join_state(base: DataFrame, state: DataFrame, groups) -> DataFrame:
@@ -47,11 +45,37 @@ def _join_state(base: DataFrame, state: DataFrame, groups) -> DataFrame:
     return base.crossJoin(F.broadcast(state))
 
 
+def _grid(value: str, buckets: int) -> str:
+    """The values of ``value`` at ``buckets`` + 1 evenly spaced ranks, within a tenth of a step."""
+    ranks = ", ".join(f"{i / buckets!r}D" for i in range(buckets + 1))
+    return f"percentile_approx({value}, array({ranks}), {10 * buckets}) AS __grid"
+
+
+def _bracket(share: str, buckets: int) -> list[str]:
+    """Grid values two steps outside the share of the ranks."""
+    return [f"__grid[CAST(greatest(0, floor({share} * {buckets}) - 2) AS INT)] AS __a",
+            f"__grid[CAST(least({buckets}, ceil({share} * {buckets}) + 2) AS INT)] AS __b"]
+
+
+def survivors(base: DataFrame, targets: DataFrame, groups, passes: int, buckets: int) -> DataFrame:
+    """``(groups, __k, __v, __c)``: for each wanted rank the values that its last bracket
+    holds with their counts, and a row with a NULL value that counts those below."""
+    g = [_q(c) for c in groups]
+    state = (targets.selectExpr(*g, "__n", "__grid", "explode(array(__k1, __k2)) AS __k").distinct()
+             .selectExpr(*g, "__k", *_bracket("__k / __n", buckets)))
+    for _ in range(passes - 1):
+        reach = _join_state(base, state, groups).filter("__v <= __b")
+        inner = "CASE WHEN __v >= __a THEN __v END"
+        seen = reach.groupBy(*groups, "__k").agg(
+            F.expr("count_if(__v < __a) AS __below"), F.expr(f"count({inner}) AS __m"), F.expr(_grid(inner, buckets)))
+        state = seen.selectExpr(*g, "__k", *_bracket("(__k - __below) / __m", buckets))
+    return (_join_state(base, state, groups).filter("__v <= __b")
+            .selectExpr(*g, "__k", "CASE WHEN __v >= __a THEN __v END AS __v")
+            .groupBy(*groups, "__k", "__v").agg(F.expr("count(1) AS __c")))
+
+
 def exact_quantiles(df: DataFrame, value_col: str, qs, groups=(), *, method: str = "exact",
-                    passes: int = DEFAULT_PASSES, buckets: int = DEFAULT_BUCKETS,
-                    small_groups: bool = False) -> DataFrame:
-    # ``small_groups`` is accepted for callers that know the group count is
-    # bounded; joins are left to AQE either way (see ``_join_state``).
+                    passes: int = DEFAULT_PASSES, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Quantiles with linear interpolation (numpy / ``quantile_cont``).
 
     Returns one row per group: the group columns and one double column per
@@ -74,46 +98,25 @@ def exact_quantiles(df: DataFrame, value_col: str, qs, groups=(), *, method: str
     base = df.select(*groups, v.cast("double").alias("__v")) \
         .filter(F.col("__v").isNotNull() & ~F.isnan(F.col("__v")))
     # Internal expressions are written as SQL text (one JVM call each).
-    g = ", ".join(_q(c) for c in groups)
-    gp = g + ", " if groups else ""
-    part = f"PARTITION BY {gp}__k"
-    stats = base.groupBy(*groups).agg(F.expr("count(1) AS __n"), F.expr("min(__v) AS __lo"), F.expr("max(__v) AS __hi"))
+    g = [_q(c) for c in groups]
+    stats = base.groupBy(*groups).agg(F.expr("count(1) AS __n"), F.expr(_grid("__v", buckets))).filter("__n > 0")
     # targets: per group and quantile, the two ranks and the interpolation weight
     qarr = "array(" + ", ".join(f"named_struct('qi', {i}, 'q', CAST({q!r} AS DOUBLE))" for i, q in enumerate(qs)) + ")"
-    targets = (stats.selectExpr(*[_q(c) for c in groups], "__n", "__lo", "__hi", f"explode({qarr}) AS __q")
-               .selectExpr(*[_q(c) for c in groups], "__n", "__lo", "__hi", "__q.qi AS __qi",
+    targets = (stats.selectExpr(*g, "__n", "__grid", f"explode({qarr}) AS __q")
+               .selectExpr(*g, "__n", "__grid", "__q.qi AS __qi",
                            "CAST(floor(__q.q * (__n - 1)) AS BIGINT) AS __k1",
                            "CAST(ceil(__q.q * (__n - 1)) AS BIGINT) AS __k2",
                            "__q.q * (__n - 1) - floor(__q.q * (__n - 1)) AS __frac"))
-    state = (targets.selectExpr(*[_q(c) for c in groups], "__lo AS __a", "__hi AS __b",
-                                "explode(array(__k1, __k2)) AS __k").distinct()
-             .selectExpr(*[_q(c) for c in groups], "__k", "__a", "__b", "CAST(0 AS BIGINT) AS __below"))
-    bucket = (f"CAST(CASE WHEN __b > __a THEN least(floor((__v - __a) / (__b - __a) * {buckets}), {buckets - 1}) "
-              f"ELSE 0 END AS INT) AS __bk")
-    cum = f"sum(__c) OVER ({part} ORDER BY {{o}} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS __cum"
-    hit = "__below + __cum - __c <= __k AND __k < __below + __cum"
-    for _ in range(passes):
-        inside = _join_state(base, state, groups).filter("__v BETWEEN __a AND __b")
-        hist = (inside.selectExpr("*", bucket)
-                .groupBy(*groups, "__k", "__below", "__bk")
-                .agg(F.expr("count(1) AS __c"), F.expr("min(__v) AS __bmin"), F.expr("max(__v) AS __bmax"))
-                .selectExpr("*", cum.format(o="__bk")))
-        state = hist.filter(hit).selectExpr(*[_q(c) for c in groups], "__k", "__bmin AS __a", "__bmax AS __b",
-                                            "__below + __cum - __c AS __below")
-    inside = _join_state(base, state, groups).filter("__v BETWEEN __a AND __b")
-    vals = (inside.groupBy(*groups, "__k", "__below", "__v").agg(F.expr("count(1) AS __c"))
-            .selectExpr("*", cum.format(o="__v")))
-    picked = vals.filter(hit).selectExpr(*[_q(c) for c in groups], "__k", "__v AS __val")
+    part = "PARTITION BY " + ", ".join([*g, "__k"])
+    vals = survivors(base, targets, groups, passes, buckets).selectExpr(
+        "*", f"sum(__c) OVER ({part} ORDER BY __v NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS __cum")
+    picked = vals.filter("__cum - __c <= __k AND __k < __cum").selectExpr(*g, "__k", "__v AS __val")
 
     # one row per group: rank -> value map (at most 2 entries per quantile), joined once
     by_rank = picked.groupBy(*groups).agg(F.expr("map_from_entries(collect_list(struct(__k, __val))) AS __m"))
+    targets = targets.drop("__grid")
     t = targets.join(by_rank, on=groups, how="inner") if groups else targets.crossJoin(F.broadcast(by_rank))
     value = "__m[__k1] + (__m[__k2] - __m[__k1]) * __frac"
     wide = t.groupBy(*groups).agg(*[
         F.expr(f"max(CASE WHEN __qi = {i} THEN {value} END) AS q_{i}") for i in range(len(qs))])
     return wide
-
-
-def exact_median(df: DataFrame, value_col: str, groups=(), **kw) -> DataFrame:
-    """Median per group as column ``median``."""
-    return exact_quantiles(df, value_col, [0.5], groups, **kw).withColumnRenamed("q_0", "median")

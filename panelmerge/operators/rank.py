@@ -47,7 +47,9 @@ def rank_ticks(df: DataFrame, period: str, k: int = 6) -> DataFrame:
     Positions are ``int(linspace(0, n - 1, k))``. No global window over rows:
     rows are counted per period (one small row per period), a running sum
     over those counts gives each period's position range, and each tick
-    position is matched to the period whose range covers it.
+    position is matched to the period whose range covers it. The table of
+    distinct periods is sorted in one task: periods are years or days, not
+    timestamps.
     """
     per = df.groupBy(period).agg(F.count(F.lit(1)).alias("__c"))
     w = Window.orderBy(period).rowsBetween(Window.unboundedPreceding, 0)
@@ -58,5 +60,6 @@ def rank_ticks(df: DataFrame, period: str, k: int = 6) -> DataFrame:
     step = (F.col("__n") - 1) / F.lit(float(k - 1)) if k > 1 else F.lit(0.0)
     ticks = ticks.select("tick", F.when(F.col("tick") == k - 1, F.col("__n") - 1)
                          .otherwise(F.floor(F.col("tick") * step)).cast("long").alias("position"))
-    return (ticks.join(ranges, (F.col("position") >= F.col("__start")) & (F.col("position") < F.col("__end")))
+    # k ticks: broadcast, so that the range condition never becomes a Cartesian product
+    return (F.broadcast(ticks).join(ranges, (F.col("position") >= F.col("__start")) & (F.col("position") < F.col("__end")))
             .select(F.col("tick").cast("int").alias("tick"), "position", F.col(period)))

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from panelmerge.functions.scalar import abs_gap, accuracy_status, decade, fill_flag, source_count
 from panelmerge.functions.sqltext import lit, num, q
@@ -158,17 +159,20 @@ def bounds_check(df: DataFrame, metrics, lo, hi, period: str | None = None,
 
 def type_check(df: DataFrame, metrics) -> list[tuple[str, str, bool]]:
     """Driver-side schema inspection: (column, type, is_numeric)."""
-    from pyspark.sql.types import NumericType
     return [(m, df.schema[m].dataType.simpleString(), isinstance(df.schema[m].dataType, NumericType))
             for m in metrics if m in df.columns]
 
 
-# ---------------------------------------------------------------- agreement
+def type_report(df: DataFrame, metrics) -> DataFrame:
+    """:func:`type_check` as a table, with the non-null values each verdict stands for."""
+    checked = type_check(df, metrics)
+    wide = df.agg(*[F.count(q_col).alias(f"n__{i}") for i, q_col in enumerate(F.col(f"`{c}`") for c, _, _ in checked)])
+    rows = ", ".join(f"named_struct('column', {lit(c)}, 'type', {lit(t)}, 'is_numeric', {str(ok).lower()}, 'present', n__{i})"
+                     for i, (c, t, ok) in enumerate(checked))
+    return wide.selectExpr(f"explode(array({rows})) AS r").select("r.*")
 
-def safe_corr(x: Column, y: Column) -> Column:
-    """Pearson r that is NULL (not an error) for zero variance or n < 2."""
-    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
 
+# ---------------------------------------------------------------- agreement
 
 def pair_agreement(df: DataFrame, pairs) -> DataFrame:
     """Per (a, b, label): n both present, mean / max |a-b|, Pearson r.
@@ -195,6 +199,14 @@ def pair_agreement(df: DataFrame, pairs) -> DataFrame:
                     accuracy_status(F.col("mean_abs")).alias("status")))
 
 
+def below_any(df: DataFrame, limits: dict, keep) -> DataFrame:
+    """Rows with any column under its limit (``{column: limit}``): ``keep`` and the columns."""
+    low = F.lit(False)
+    for c, limit in limits.items():
+        low = low | (F.col(c) < limit)
+    return df.filter(low).select(*keep, *limits)
+
+
 def gap_rows(df: DataFrame, a: str, b: str, keep, gap_col: str = "gap") -> DataFrame:
     """Rows with both present and ``gap = a - b``."""
     return df.na.drop(subset=[a, b]).select(*keep, (F.col(a) - F.col(b)).alias(gap_col))
@@ -237,7 +249,7 @@ def decade_distribution(df: DataFrame, period: str, metric: str, method: str = "
     against the per-decade quartiles (one row per decade, joined back).
     """
     v = df.filter(F.col(metric).isNotNull()).select(decade(period).alias("decade"), F.col(metric).alias("__v"))
-    quart = exact_quantiles(v, "__v", [0.25, 0.5, 0.75], ["decade"], method=method, small_groups=True) \
+    quart = exact_quantiles(v, "__v", [0.25, 0.5, 0.75], ["decade"], method=method) \
         .withColumnRenamed("q_0", "q1").withColumnRenamed("q_1", "median").withColumnRenamed("q_2", "q3")
     iqr = F.col("q3") - F.col("q1")
     fence_lo, fence_hi = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
@@ -255,7 +267,7 @@ def decade_distribution(df: DataFrame, period: str, metric: str, method: str = "
 def decade_outliers(df: DataFrame, keys, period: str, metric: str, method: str = "exact") -> DataFrame:
     """The outlier points behind :func:`decade_distribution` (outside 1.5 IQR)."""
     base = df.filter(F.col(metric).isNotNull()).withColumn("decade", decade(period))
-    quart = exact_quantiles(base, metric, [0.25, 0.75], ["decade"], method=method, small_groups=True)
+    quart = exact_quantiles(base, metric, [0.25, 0.75], ["decade"], method=method)
     iqr = F.col("q_1") - F.col("q_0")
     out = base.join(quart, "decade").filter(
         (F.col(metric) < F.col("q_0") - 1.5 * iqr) | (F.col(metric) > F.col("q_1") + 1.5 * iqr))

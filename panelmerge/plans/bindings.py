@@ -18,13 +18,17 @@ double columns are rounded to 6 places (the oracle rounds the same way).
 
 from __future__ import annotations
 
+from dataclasses import replace
+from types import SimpleNamespace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from panelmerge.configs import life_expectancy as LE
 from panelmerge.functions.sqltext import q as _q
 from panelmerge.operators import clean, entities, merge, rank, stats
-from panelmerge.plans import charts, reports
+from panelmerge.plans import charts, pipeline, reports
 from panelmerge.sources.payload import flatten_payload
 from panelmerge.sources.positional import clean_positional
 
@@ -56,6 +60,10 @@ NM_CORRECTIONS = {
 NM_AGGREGATE_PREFIX = "Brand#1"
 NM_OVERRIDES = {"Brand#2": "Brand Two", "Brand#7": "Brand Seven", "Brand#99": "Brand Ninety-Nine"}
 NM_SIZE_RANGE = (10, 40)
+NM_SILENT = ("Brand#2", "Brand#3")
+
+# The period range of the cleaners on part (1950 + size).
+CLEAN_PERIOD = (1955, 1990)
 
 # Payload fixture (regions whose records get an empty code / a null value).
 PAYLOAD_EMPTY_CODE_REGION = 4
@@ -68,13 +76,7 @@ RV_PERIOD_RANGE = (1996, 2000)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table as a DataFrame, resolved once per session (file listing and
-    footer reads are not repeated for every query that uses the table)."""
-    cache = spark.__dict__.setdefault("_panelmerge_tables", {})
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in cache:
-        cache[path] = spark.read.parquet(path)
-    return cache[path]
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
@@ -123,8 +125,9 @@ def q_panel_merge_join(spark, sf_dir):
 
 
 def q_merge_collision(spark, sf_dir):
-    srcs = ev_sources(spark, sf_dir, dedup=True, with_name=True)
-    p = merge.merge_panel(srcs, list(EV_KEYS), name_col="name", strategy="union")
+    """One groupBy takes the means and the first name: the sources aren't reduced one by one before."""
+    srcs = ev_sources(spark, sf_dir, with_name=True)
+    p = merge.merge_panel(srcs, list(EV_KEYS), name_col="name", strategy="union", on_duplicate="mean")
     return p.select(*EV_KEYS, "name")
 
 
@@ -208,8 +211,7 @@ def q_rank_ticks(spark, sf_dir):
 
 def q_extreme_lows(spark, sf_dir):
     p = ev_panel(spark, sf_dir)
-    return (p.filter((F.col("m_click") < EV_LOW) | (F.col("m_view") < EV_LOW))
-            .select(*EV_KEYS, "m_click", "m_view").orderBy(*EV_KEYS))
+    return stats.below_any(p, {"m_click": EV_LOW, "m_view": EV_LOW}, EV_KEYS).orderBy(*EV_KEYS)
 
 
 def q_divergence_stats(spark, sf_dir):
@@ -376,8 +378,7 @@ def q_name_map(spark, sf_dir):
 
 
 def q_exclude_prefix(spark, sf_dir):
-    p = nm_part(spark, sf_dir)
-    return clean.clean_lineage(p, [("exclude_prefix", F.col("p_brand").isNull() | ~F.col("p_brand").startswith(NM_AGGREGATE_PREFIX))])
+    return clean.prefix_lineage(nm_part(spark, sf_dir), "p_brand", NM_AGGREGATE_PREFIX)
 
 
 def nm_corrected(spark, sf_dir):
@@ -406,7 +407,11 @@ def q_resolve_names(spark, sf_dir):
 
 
 def q_unresolved_names(spark, sf_dir):
-    return entities.unresolved(nm_resolved(spark, sf_dir), "name", "code", "p_partkey", n=8)
+    """Brands 2 and 3 give no names here, so that many names are unresolved."""
+    some = nm_part(spark, sf_dir).filter(~F.col("p_brand").isin(*NM_SILENT))
+    names = entities.build_name_map(some.filter(F.col("p_size") <= 3), "p_name", "p_brand", "p_partkey", NM_AGGREGATE_PREFIX)
+    found = entities.resolve(nm_corrected(spark, sf_dir), "name", names, "code")
+    return entities.unresolved(found, "name", "code", "p_partkey")
 
 
 def nm_cmap(spark, sf_dir):
@@ -455,8 +460,13 @@ def q_drop_null_keys(spark, sf_dir):
 
 
 def q_coerce_numeric(spark, sf_dir):
-    e = _t(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
-    return clean.coerce_numeric(e, "k")
+    """Numbers as text files write them, and texts that only look like numbers."""
+    k = F.get_json_object("props", "$.k")
+    shape = F.col("event_id") % 12
+    text = F.when(shape == 1, F.concat(k, F.lit("d"))).when(shape == 2, F.concat(k, F.lit("f"))).when(shape == 3, F.concat(F.lit("0x"), k)) \
+        .when(shape == 4, F.lit("  ")).when(shape == 5, F.lit("NaN")).when(shape == 6, F.concat(F.lit(" -"), k, F.lit(".5 "))) \
+        .when(shape == 7, F.concat(k, F.lit("e-2"))).when(shape == 8, F.concat(k, F.lit(",0"))).otherwise(k)
+    return clean.coerce_numeric(_t(spark, sf_dir, "events").select("event_id", text.alias("k")), "k")
 
 
 # ------------------------------------------------------------------ single tables
@@ -471,7 +481,7 @@ def q_scan_pruned(spark, sf_dir):
 
 def q_sample_head(spark, sf_dir):
     o = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    return o.orderBy("o_orderkey").limit(1000)
+    return clean.first_rows(o, 1000, ["o_orderkey"])
 
 
 def q_rename_project(spark, sf_dir):
@@ -505,7 +515,7 @@ def q_clean_lineage(spark, sf_dir):
 
 
 def q_column_profile(spark, sf_dir):
-    return reports.column_profile(_t(spark, sf_dir, "customer"), ["c_custkey"], sample_rows=1000)
+    return reports.column_profile(_t(spark, sf_dir, "customer"), ["c_custkey"])
 
 
 MERGE_KEY_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -555,3 +565,95 @@ def nm_payloads(spark, sf_dir) -> DataFrame:
 
 def q_payload_flatten(spark, sf_dir):
     return flatten_payload(nm_payloads(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ the six cleaners (I1-I7)
+
+def _raw_part(spark, sf_dir, value) -> DataFrame:
+    """part as a publisher's file: text cells, the year as 1950 + size, file order by key."""
+    return nm_part(spark, sf_dir).select(
+        F.col("p_partkey").alias("__row"), F.col("p_name").alias(" Entity "), F.col("p_brand").alias("Code"),
+        (F.col("p_size") + 1950).cast("string").alias("Year"), value.cast("string").alias("Life expectancy"))
+
+
+def _spec(label: str, **changes):
+    """The shipped spec of a source, with the test data's value codes."""
+    spec = next(s for s in LE.SOURCES if s.label == label)
+    return replace(spec, **({"exclude_code_prefix": NM_AGGREGATE_PREFIX} if spec.exclude_code_prefix else {}), **changes)
+
+
+def _clean(frame, spec, names=None, period=CLEAN_PERIOD):
+    return pipeline.clean_frame(frame, spec, names, NM_CORRECTIONS, period)
+
+
+def _raw_owid(spark, sf_dir):
+    return _raw_part(spark, sf_dir, F.col("p_retailprice"))
+
+
+def q_clean_owid(spark, sf_dir):
+    return _clean(_raw_owid(spark, sf_dir), _spec("OWID"))
+
+
+def q_clean_world_bank(spark, sf_dir):
+    """Values that aren't there stay as NULL rows; ".." is no number."""
+    o = _orders(spark, sf_dir)
+    value = F.when(F.col("o_orderkey") % 10 == 0, F.lit("..")).otherwise(F.col("o_totalprice").cast("string"))
+    raw = o.select(F.col("o_custkey").cast("string").alias("iso3"), F.year("o_orderdate").cast("string").alias("year"), value.alias("life_exp_wb"))
+    return _clean(raw, _spec("World Bank"), period=(1900, 2100))
+
+
+def _raw_kaggle(spark, sf_dir):
+    value = F.when(F.col("p_partkey") % 7 != 0, F.col("p_retailprice"))
+    return _raw_part(spark, sf_dir, value).drop("Code").withColumnRenamed(" Entity ", "Country")
+
+
+def q_clean_kaggle(spark, sf_dir):
+    return _clean(_raw_kaggle(spark, sf_dir), _spec("Kaggle"), nm_name_map(spark, sf_dir))
+
+
+def q_clean_unicef(spark, sf_dir):
+    """Totals only (return flag N plays the total), repeated keys averaged, no NULL values."""
+    raw = _t(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_returnflag") == "N", "_T").otherwise(F.col("l_returnflag")).alias("SEX"),
+        F.col("l_suppkey").cast("string").alias("REF_AREA"), F.year("l_shipdate").cast("string").alias("TIME_PERIOD"),
+        F.when(F.col("l_linenumber") == 4, F.lit("n/a")).otherwise(F.col("l_quantity").cast("string")).alias("OBS_VALUE"))
+    return _clean(raw, _spec("UNICEF"), period=(1900, 2100))
+
+
+def q_clean_who(spark, sf_dir):
+    """Countries only, the first category that occurs, first row per key in file order."""
+    raw = nm_part(spark, sf_dir).select(
+        F.col("p_partkey").alias("__row"), F.col("p_name").alias("GEO_NAME_SHORT"), (F.col("p_size") + 1950).cast("string").alias("DIM_TIME"),
+        F.when(F.col("p_partkey") % 10 == 4, F.lit("")).otherwise(F.col("p_retailprice").cast("string")).alias("AMOUNT_N"),
+        F.when(F.col("p_partkey") % 3 == 0, "REGION").otherwise("COUNTRY").alias("DIM_GEO_CODE_TYPE"),
+        F.when(F.col("p_partkey") % 2 == 0, "BTSX").otherwise("BOTHSEXES").alias("DIM_SEX"))
+    return _clean(raw, _spec("WHO (HALE)"), nm_name_map(spark, sf_dir))
+
+
+def q_clean_cdc(spark, sf_dir):
+    raw = _orders(spark, sf_dir).select(
+        F.col("o_orderkey").alias("__row"), F.year("o_orderdate").cast("string").alias("_c0"), F.col("o_totalprice").cast("string").alias("_c1"))
+    return _clean(raw, _spec("CDC (US)"), period=(1900, 2100))
+
+
+def q_panel_pipeline(spark, sf_dir):
+    """The whole chain after reading: three sources, corrections, drops and overrides."""
+    wb = nm_part(spark, sf_dir).select(
+        F.concat(F.lit("Brand#"), F.col("p_size").cast("string")).alias("iso3"), (F.col("p_size") + 1955).cast("string").alias("year"),
+        F.col("p_retailprice").cast("string").alias("life_exp_wb"))
+    config = SimpleNamespace(CORRECTIONS=NM_CORRECTIONS, OVERRIDES=NM_OVERRIDES, AGGREGATE_PREFIX=NM_AGGREGATE_PREFIX,
+                             PERIOD_RANGE=CLEAN_PERIOD, METRICS=LE.METRICS, ON_DUPLICATE=LE.ON_DUPLICATE)
+    owid = _raw_owid(spark, sf_dir).withColumnRenamed(" Entity ", "Entity")
+    sources = [(owid, _spec("OWID")), (wb, _spec("World Bank")), (_raw_kaggle(spark, sf_dir), _spec("Kaggle"))]
+    return pipeline.panel_from_frames(owid, _spec("OWID"), sources, config)
+
+
+def q_type_report(spark, sf_dir):
+    return stats.type_report(ev_panel(spark, sf_dir), ["m_click", "m_view", "user_id", "absent"])
+
+
+def q_sorted_extract(spark, sf_dir):
+    """Headers with blanks, required columns, canonical order and the total order of a sink."""
+    raw = _t(spark, sf_dir, "customer").withColumnsRenamed({"c_custkey": " entity", "c_nationkey": "nation ", "c_acctbal": "value"})
+    rows = clean.require_columns(clean.strip_headers(raw), ["entity", "nation", "value"])
+    return rank.sort_panel(clean.canonical_order(rows, ["nation", "entity", "value", "not_there"]), ["nation", "entity"])

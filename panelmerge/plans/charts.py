@@ -19,11 +19,11 @@ def health_gap_ranking(df: DataFrame, keys, period: str, total: str, healthy: st
 
 
 def conflict_matrix(df: DataFrame, keys, period: str, a: str, b: str, extra: str | None = None,
-                    k: int = 20, min_extra: int = 10, label=None) -> DataFrame:
+                    k: int = 20, min_extra: int = 0, label=None) -> DataFrame:
     """Latest period where ``a`` and ``b`` are both present; the ``k`` rows
-    with the largest |a - b|. ``extra`` is shown only when at least
-    ``min_extra`` rows of that period have it (NULL otherwise), so the
-    schema never depends on the data."""
+    with the largest |a - b|. ``min_extra`` asks that ``extra`` is shown only when
+    so many rows of that period have it (NULL otherwise), so the schema never
+    depends on the data."""
     rows = latest_period(df, period, [a, b])
     cols = list(keys) + ([label] if label else []) + [a, b]
     div = F.abs(F.col(a) - F.col(b)).alias("divergence")

@@ -131,7 +131,7 @@ DQ = (
     "UNION ALL SELECT 'validity', 3, oob = 0, CAST(oob AS DOUBLE), rows FROM base "
     "UNION ALL SELECT 'accuracy', 4, bad = 0, worst, checked FROM a "
     "UNION ALL SELECT 'consistency', 5, viol = 0, CAST(viol AS DOUBLE), overlap FROM base)")
-Q["dq_scorecard"] = _r(f"{DQ} SELECT * FROM card", "value")
+Q["dq_scorecard"] = _r(f"{DQ} SELECT *, true AS type_ok FROM card", "value")
 Q["dq_grade"] = _r(
     f"{DQ}, g AS (SELECT count(*) FILTER (WHERE passed) AS passed, count(*) AS total FROM card) "
     "SELECT passed, total, passed * 100.0 / total AS score_pct, "
@@ -241,7 +241,7 @@ BA = (
 Q["before_after"] = _r(f"{BA} SELECT * FROM ba", "record_compression_pct", "row_gain_pct", "code_fill_pct")
 Q["value_scorecard"] = _r(
     f"{BA}, lines AS ("
-    "SELECT 'schema_consolidation' AS dimension, 1 AS ordinal, COALESCE(schemas >= 1 AND final_columns > 0, false) AS passed FROM ba "
+    "SELECT 'schema_consolidation' AS dimension, 1 AS ordinal, COALESCE(schemas > 1 AND final_columns > 0, false) AS passed FROM ba "
     "UNION ALL SELECT 'entity_resolution', 2, COALESCE(code_fill_pct = 100.0, false) FROM ba "
     "UNION ALL SELECT 'duplicate_elimination', 3, COALESCE(final_duplicate_keys = 0, false) FROM ba "
     "UNION ALL SELECT 'record_integration', 4, COALESCE(final_rows > 0 AND final_rows <= raw_rows, false) FROM ba "
@@ -340,10 +340,12 @@ _rules = ", ".join(f"('{k}', '{v}')" for k, v in B.NM_CORRECTIONS.items())
 Q["correction_rule_check"] = (f"WITH {NMAP}, r(variant, canonical) AS (VALUES {_rules}) "
                               "SELECT variant, canonical FROM r WHERE canonical NOT IN (SELECT name FROM nmap)")
 Q["resolve_names"] = f"WITH {NMAP}, {RES} SELECT * FROM rn"
+_few = (f"nmap AS (SELECT p_name AS name, arg_min(p_brand, p_partkey) AS code FROM part WHERE NOT starts_with(p_brand, '{PFX}') "
+        f"AND p_brand NOT IN ({_in(B.NM_SILENT)}) AND p_size <= 3 AND p_name IS NOT NULL GROUP BY p_name)")
 Q["unresolved_names"] = (
-    f"WITH {NMAP}, {RES}, m AS (SELECT * FROM rn WHERE code IS NULL) "
+    f"WITH {_few}, {RES}, m AS (SELECT * FROM rn WHERE code IS NULL) "
     "SELECT name, min(p_partkey) AS first_seen, count(*) AS rows, (SELECT count(*) FROM m) AS unresolved_rows "
-    "FROM m GROUP BY name ORDER BY first_seen, name LIMIT 8")
+    "FROM m GROUP BY name")
 Q["canonical_labels"] = (f"WITH {CMAP} SELECT p_partkey, p_brand AS code, cname AS name FROM part "
                          "LEFT JOIN cmap ON p_brand = cmap.code")
 Q["drop_aggregates"] = (
@@ -364,7 +366,12 @@ Q["override_check"] = (
 # ------------------------------------------------------------------ LB
 Q["drop_null_keys"] = ("SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l "
                        "ON d.doc_id = l.doc_id WHERE l.quality IS NOT NULL")
-Q["coerce_numeric"] = _r("SELECT event_id, TRY_CAST(trim(json_extract_string(props, '$.k')) AS DOUBLE) AS k FROM events", "k")
+Q["coerce_numeric"] = _r(
+    "WITH e AS (SELECT event_id, json_extract_string(props, '$.k') AS k FROM events), t AS (SELECT event_id, CASE event_id % 12 "
+    "WHEN 1 THEN k || 'd' WHEN 2 THEN k || 'f' WHEN 3 THEN '0x' || k WHEN 4 THEN '  ' WHEN 5 THEN 'NaN' WHEN 6 THEN ' -' || k || '.5 ' "
+    "WHEN 7 THEN k || 'e-2' WHEN 8 THEN k || ',0' ELSE k END AS k FROM e) "
+    "SELECT event_id, CASE WHEN regexp_full_match(trim(k), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') "
+    "THEN TRY_CAST(trim(k) AS DOUBLE) END AS k FROM t", "k")
 
 # ------------------------------------------------------------------ single tables
 Q["scan_pruned"] = "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem"
@@ -391,7 +398,7 @@ Q["clean_lineage"] = (
 _cust = [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),
          ("c_mktsegment", "string")]
 Q["column_profile"] = _r(
-    "WITH s AS (SELECT * FROM customer ORDER BY c_custkey LIMIT 1000) " + " UNION ALL ".join(
+    "WITH s AS (SELECT * FROM customer) " + " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", {i} AS ordinal, '{t}' AS dtype, count({c}) * 100.0 / count(*) AS non_null_pct, "
         f"COALESCE((SELECT CASE WHEN length(CAST({c} AS VARCHAR)) > 28 THEN substr(CAST({c} AS VARCHAR), 1, 25) || '...' "
         f"ELSE CAST({c} AS VARCHAR) END FROM s WHERE {c} IS NOT NULL ORDER BY c_custkey LIMIT 1), 'N/A') AS sample FROM s"
@@ -414,7 +421,7 @@ Q["merge_keys"] = (
     "s AS (" + " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS present, count(DISTINCT {c}) AS distinct_values FROM {t}"
         for t, c in _MK_STATS) + ") "
-    "SELECT k.table_name, k.column_name, role, has_iso, present, distinct_values FROM k "
+    "SELECT iso.table_name, k.column_name, role, iso.has_iso, COALESCE(present, 0) AS present, COALESCE(distinct_values, 0) AS distinct_values FROM iso LEFT JOIN k ON iso.table_name = k.table_name "
     "LEFT JOIN s ON k.table_name = s.table_name AND k.column_name = s.column_name")
 
 SP_LO, SP_HI = 0.0, 100000.0
@@ -449,6 +456,45 @@ Q["payload_flatten"] = _r(
     "n_name AS country_name, CAST(2000 + n_regionkey AS INTEGER) AS year, n_nationkey * 1.5 + 40 AS value "
     f"FROM nation WHERE n_regionkey <> {B.PAYLOAD_NULL_VALUE_REGION}", "value")
 
+# ------------------------------------------------------------------ the six cleaners and their pipeline
+CLO, CHI = B.CLEAN_PERIOD
+_yr = f"BETWEEN {CLO} AND {CHI}"
+Q["clean_owid"] = _r(
+    f"SELECT p_brand AS iso3, CAST(p_size + 1950 AS INTEGER) AS year, trim(p_name) AS country_name, p_retailprice AS life_exp_owid FROM part "
+    f"WHERE NOT starts_with(p_brand, '{PFX}') AND p_size + 1950 {_yr}", "life_exp_owid")
+Q["clean_world_bank"] = _r(
+    "SELECT CAST(o_custkey AS VARCHAR) AS iso3, CAST(year(o_orderdate) AS INTEGER) AS year, "
+    "CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice END AS life_exp_wb FROM orders", "life_exp_wb")
+_kag = (f"kg AS (SELECT p_partkey, {CORR} AS name, CAST(p_size + 1950 AS INTEGER) AS year, "
+        "CASE WHEN p_partkey % 7 <> 0 THEN p_retailprice END AS v FROM part)")
+Q["clean_kaggle"] = _r(
+    f"WITH {NMAP}, {_kag} SELECT code AS iso3, year, v AS life_exp_kaggle FROM kg JOIN nmap ON kg.name = nmap.name WHERE year {_yr}", "life_exp_kaggle")
+Q["clean_unicef"] = _r(
+    "SELECT CAST(l_suppkey AS VARCHAR) AS iso3, CAST(year(l_shipdate) AS INTEGER) AS year, avg(l_quantity) AS life_exp_unicef FROM lineitem "
+    "WHERE l_returnflag = 'N' AND l_linenumber <> 4 GROUP BY ALL", "life_exp_unicef")
+Q["clean_who"] = _r(
+    f"WITH {NMAP}, w AS (SELECT p_partkey, code, CAST(p_size + 1950 AS INTEGER) AS year, p_retailprice AS v FROM "
+    f"(SELECT p_partkey, {CORR} AS name, p_size, p_retailprice FROM part WHERE p_partkey % 3 <> 0 AND p_partkey % 2 = 0 AND p_partkey % 10 <> 4) x "
+    "JOIN nmap ON x.name = nmap.name) "
+    f"SELECT code AS iso3, year, arg_min(v, p_partkey) AS hale_who FROM w WHERE year {_yr} GROUP BY code, year", "hale_who")
+Q["clean_cdc"] = _r(
+    "SELECT 'USA' AS iso3, CAST(year(o_orderdate) AS INTEGER) AS year, arg_min(o_totalprice, o_orderkey) AS life_exp_us_cdc FROM orders GROUP BY ALL",
+    "life_exp_us_cdc")
+_over = "CASE iso3 " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in B.NM_OVERRIDES.items()) + " ELSE cname END"
+Q["panel_pipeline"] = _r(
+    f"WITH {NMAP}, {_kag}, a AS (SELECT p_brand AS iso3, CAST(p_size + 1950 AS INTEGER) AS year, trim(p_name) AS nm, p_retailprice AS v, p_partkey FROM part "
+    f"WHERE NOT starts_with(p_brand, '{PFX}') AND p_size + 1950 {_yr}), "
+    "c AS (SELECT iso3 AS code, arg_min(nm, p_partkey) AS cname FROM a GROUP BY iso3), "
+    "s1 AS (SELECT iso3, year, avg(v) AS life_exp_owid FROM a GROUP BY ALL), "
+    f"s2 AS (SELECT code AS iso3, year, avg(v) AS life_exp_kaggle FROM kg JOIN nmap ON kg.name = nmap.name WHERE year {_yr} GROUP BY ALL), "
+    f"s3 AS (SELECT 'Brand#' || CAST(p_size AS VARCHAR) AS iso3, CAST(p_size + 1955 AS INTEGER) AS year, avg(p_retailprice) AS life_exp_wb FROM part WHERE p_size + 1955 {_yr} GROUP BY ALL) "
+    f"SELECT iso3, {_over} AS country_name, year, life_exp_owid, life_exp_wb, life_exp_kaggle "
+    "FROM s1 FULL JOIN s2 USING (iso3, year) FULL JOIN s3 USING (iso3, year) JOIN c ON iso3 = c.code",
+    "life_exp_owid", "life_exp_wb", "life_exp_kaggle")
+Q["type_report"] = (f"WITH {EV} SELECT 'm_click' AS \"column\", 'double' AS type, true AS is_numeric, count(m_click) AS present FROM ev "
+                    "UNION ALL SELECT 'm_view', 'double', true, count(m_view) FROM ev UNION ALL SELECT 'user_id', 'bigint', true, count(user_id) FROM ev")
+Q["sorted_extract"] = "SELECT c_nationkey AS nation, c_custkey AS entity, c_acctbal AS value FROM customer"
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(Q)

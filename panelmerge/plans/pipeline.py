@@ -7,8 +7,7 @@ functions; the life-expectancy panel is one configuration of it
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,43 +15,40 @@ from panelmerge.functions.nulls import to_number
 from panelmerge.operators import clean, entities, merge
 from panelmerge.sources.payload import flatten_payload, read_payloads
 from panelmerge.sources.positional import clean_positional, read_positional
-from panelmerge.sources.readers import empty_like, read_source
+from panelmerge.sources.readers import ROW, read_source
 from panelmerge.spec import SourceSpec
 
 CODE, NAME, PERIOD = "iso3", "country_name", "year"
 
 
-def _exists(path: str | None) -> bool:
-    if not path:
-        return False
-    if "://" in path:        # remote stores: let the reader decide
-        return True
-    return os.path.exists(path)
-
-
-def source_schema(spec: SourceSpec) -> str:
-    name = f", {NAME} string" if spec.keep_name else ""
-    return f"{CODE} string, {PERIOD} int{name}, {spec.metric} double"
+def load_source(spark: SparkSession, spec: SourceSpec) -> DataFrame | None:
+    """The raw rows of a source with their place in the file (``__row``).
 
-
-def clean_source(spark: SparkSession, spec: SourceSpec, name_map: DataFrame | None = None,
-                 rules: dict | None = None, period_range=(1950, 2024)) -> DataFrame:
-    """Raw source -> ``[iso3, year, (country_name), metric]``.
-
-    A missing file (or a failed positional read) gives an empty frame with
-    the output schema, so the merge simply has one source fewer.
+    Spark resolves the path. A missing file is an error unless the source is
+    ``optional``; then the result is None. Nothing else is tolerated.
     """
-    if not _exists(spec.path):
-        return empty_like(spark, source_schema(spec))
+    try:
+        if spec.fmt == "positional":
+            return read_positional(spark, spec.path, skip=spec.positional[0])
+        if spec.fmt == "json-payload":
+            payload = flatten_payload(read_payloads(spark, spec.path)).withColumnRenamed("value", spec.raw_metric or "value")
+            return payload.withColumn(ROW, F.monotonically_increasing_id())
+        return read_source(spark, spec.path, spec.fmt, spec.encoding, order_col=ROW)
+    except AnalysisException as e:
+        if spec.optional and e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def clean_frame(df: DataFrame, spec: SourceSpec, name_map: DataFrame | None = None, rules: dict | None = None,
+                period_range=(1950, 2024), keep_row: bool = False) -> DataFrame:
+    """Raw rows -> ``[iso3, year, (country_name), metric]``. ``keep_row`` keeps ``__row``
+    (for sources that aren't reduced to one row per key)."""
     if spec.fmt == "positional":
-        skip, ppos, vpos, code = spec.positional
-        try:
-            raw = read_positional(spark, spec.path)
-            return clean_positional(raw, period_pos=ppos, value_pos=vpos, const_code=code,
-                                    metric=spec.metric, period_range=period_range)
-        except Exception:  # unreadable sheet: the source is skipped
-            return empty_like(spark, source_schema(spec))
-    df = _prepare(spark, spec, name_map, rules)
+        _, ppos, vpos, code = spec.positional
+        return clean_positional(df, period_pos=ppos, value_pos=vpos, const_code=code,
+                                metric=spec.metric, period_range=period_range)
+    df = _prepare(df, spec, name_map, rules)
     required = [CODE] + ([spec.metric] if spec.drop_null_metric else [])
     df = clean.drop_null(df, required)
     if spec.exclude_code_prefix:
@@ -62,19 +58,23 @@ def clean_source(spark: SparkSession, spec: SourceSpec, name_map: DataFrame | No
     if spec.on_duplicate == "mean":
         df = clean.dedup_mean(df, [CODE, PERIOD], spec.metric)
     elif spec.on_duplicate == "first":
-        df = clean.dedup_first_agg(clean.drop_null(df, [PERIOD]), [CODE, PERIOD], "__row",
+        df = clean.dedup_first_agg(clean.drop_null(df, [PERIOD]), [CODE, PERIOD], ROW,
                                    [c for c in keep if c not in (CODE, PERIOD)])
     df = clean.period_filter(df, PERIOD, *period_range)
-    return df.select(*keep)
+    return df.select(*keep, *([ROW] if keep_row and spec.on_duplicate is None else []))
+
+
+def clean_source(spark: SparkSession, spec: SourceSpec, name_map: DataFrame | None = None,
+                 rules: dict | None = None, period_range=(1950, 2024)) -> DataFrame | None:
+    """Read and clean one source; None if an optional source is missing."""
+    raw = load_source(spark, spec)
+    return None if raw is None else clean_frame(raw, spec, name_map, rules, period_range)
 
 
-def _prepare(spark: SparkSession, spec: SourceSpec, name_map: DataFrame | None, rules: dict | None) -> DataFrame:
-    """Read, filter, rename, coerce and resolve: everything before the row drops."""
-    if spec.fmt == "json-payload":
-        df = flatten_payload(read_payloads(spark, spec.path)).withColumnRenamed("value", spec.raw_metric or "value")
-    else:
-        df = read_source(spark, spec.path, spec.fmt, spec.encoding)
-    df = clean.strip_headers(df).withColumn("__row", F.monotonically_increasing_id())
+def _prepare(df: DataFrame, spec: SourceSpec, name_map: DataFrame | None, rules: dict | None) -> DataFrame:
+    """Filter, rename, coerce and resolve: everything before the row drops."""
+    df = clean.strip_headers(df)
+    clean.require_columns(df, [c for c in (spec.raw_code, spec.raw_name, spec.raw_period, spec.raw_metric) if c])
     for col, val in spec.equals_filters:
         df = clean.filter_if_present(df, col, val)
     if spec.cascade:
@@ -91,14 +91,16 @@ def _prepare(spark: SparkSession, spec: SourceSpec, name_map: DataFrame | None,
 
 
 def source_lineage(spark: SparkSession, spec: SourceSpec, name_map: DataFrame | None = None,
-                   rules: dict | None = None, period_range=(1950, 2024)) -> DataFrame:
+                   rules: dict | None = None, period_range=(1950, 2024)) -> DataFrame | None:
     """Row counts through the cleaning steps of one source, one aggregation:
     input (after the equality and category filters), code present (mapped),
     value present (when required), not an aggregate code, inside the period.
-    De-duplication is reported by the merge, not here."""
-    if not _exists(spec.path) or spec.fmt == "positional":
-        return empty_like(spark, "step string, ordinal int, rows long, removed long")
-    df = _prepare(spark, spec, name_map, rules)
+    De-duplication is reported by the merge, not here. None for a positional sheet
+    and for a missing optional source."""
+    raw = load_source(spark, spec)
+    if raw is None or spec.fmt == "positional":
+        return None
+    df = _prepare(raw, spec, name_map, rules)
     steps = [("code_present", F.col(CODE).isNotNull())]
     if spec.drop_null_metric:
         steps.append(("value_present", F.col(spec.metric).isNotNull()))
@@ -130,17 +132,26 @@ def run_pipeline(spark: SparkSession, config) -> DataFrame:
     """Whole chain for a configuration module/object exposing ``SOURCES``,
     ``REFERENCE`` (the source the name map comes from), ``CORRECTIONS``,
     ``OVERRIDES``, ``AGGREGATE_PREFIX``, ``PERIOD_RANGE``, ``METRICS`` and
-    ``ON_DUPLICATE``."""
-    ref_spec = config.REFERENCE
-    ref_raw = read_source(spark, ref_spec.path, ref_spec.fmt, ref_spec.encoding) \
-        .withColumn("__row", F.monotonically_increasing_id())
-    name_map = entities.build_name_map(ref_raw, ref_spec.raw_name, ref_spec.raw_code, "__row",
-                                       config.AGGREGATE_PREFIX)
-    cleaned = {s.label: clean_source(spark, s, name_map, config.CORRECTIONS, config.PERIOD_RANGE)
-               for s in config.SOURCES}
-    ref_clean = clean_source(spark, ref_spec, name_map, config.CORRECTIONS, config.PERIOD_RANGE) \
-        .withColumn("__row", F.monotonically_increasing_id())
-    canonical = entities.canonical_map(ref_clean, CODE, NAME, "__row")
-    return assemble_panel(list(cleaned.values()), [CODE, PERIOD], NAME, canonical,
-                          overrides=config.OVERRIDES, on_duplicate=config.ON_DUPLICATE,
-                          metric_order=config.METRICS)
+    ``ON_DUPLICATE``. Every source is read once; missing optional sources and
+    sources without a row left are not merged."""
+    ref = config.REFERENCE
+    raw = {s.label: load_source(spark, s) for s in config.SOURCES}
+    if ref.label not in raw:
+        raw[ref.label] = load_source(spark, ref)
+    frames = {s.label: (raw[s.label], s) for s in config.SOURCES if raw[s.label] is not None}
+    panel = panel_from_frames(raw[ref.label], ref, list(frames.values()), config, leave_out_empty=True)
+    return panel
+
+
+def panel_from_frames(reference: DataFrame, ref_spec: SourceSpec, sources: list[tuple[DataFrame, SourceSpec]], config,
+                      leave_out_empty: bool = False) -> DataFrame:
+    """The chain after reading: ``sources`` are (raw rows, spec); ``reference`` gives the
+    names. ``leave_out_empty`` looks whether a cleaned source has a row (a job each)."""
+    name_map = entities.build_name_map(reference, ref_spec.raw_name, ref_spec.raw_code, ROW, config.AGGREGATE_PREFIX)
+    cleaned = [clean_frame(df, s, name_map, config.CORRECTIONS, config.PERIOD_RANGE) for df, s in sources]
+    if leave_out_empty:
+        cleaned = [df for df in cleaned if not df.isEmpty()]
+    labels = clean_frame(reference, ref_spec, name_map, config.CORRECTIONS, config.PERIOD_RANGE, keep_row=True)
+    canonical = entities.canonical_map(labels, CODE, NAME, ROW)
+    return assemble_panel(cleaned, [CODE, PERIOD], NAME, canonical, overrides=config.OVERRIDES,
+                          on_duplicate=config.ON_DUPLICATE, metric_order=config.METRICS)

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelmerge.functions.nulls import to_number
 from panelmerge.functions.scalar import (
     grade_dq, grade_value, missing_flag, row_spread, source_count, truncate_label,
 )
@@ -56,9 +57,9 @@ def rule_consistency(df: DataFrame, lower: str, upper: str) -> DataFrame:
                   F.count_if(viol).alias("violations"))
 
 
-def rule_violations(df: DataFrame, keys, lower: str, upper: str, k: int | None = 5, extra=()) -> DataFrame:
-    """Rows breaking ``lower <= upper`` with ``excess = lower - upper``; the
-    first ``k`` in key order (all when k is None)."""
+def rule_violations(df: DataFrame, keys, lower: str, upper: str, k: int | None = None, extra=()) -> DataFrame:
+    """Rows breaking ``lower <= upper`` with ``excess = lower - upper``, in key
+    order; ``k`` asks for the first ones only."""
     v = df.filter(F.col(lower) > F.col(upper)).select(
         *keys, *extra, lower, upper, (F.col(lower) - F.col(upper)).alias("excess"))
     v = v.orderBy(*keys)
@@ -92,7 +93,8 @@ def dq_scorecard(df: DataFrame, keys, metrics, *, bounds, period_range, pairs, r
                  min_fill: float = COMPLETENESS_MIN_FILL,
                  max_mean_abs: float = ACCURACY_MAX_MEAN_ABS) -> DataFrame:
     """Five dimensions, one row each: ``(dimension, ordinal, passed, value,
-    checked_rows)``. ``checked_rows`` makes vacuous passes visible.
+    checked_rows, type_ok)``. ``checked_rows`` makes vacuous passes visible;
+    ``type_ok`` says whether all metrics are numeric, which every line relies on.
 
     Two aggregations over the panel in total: one fused pass for
     completeness, validity, accuracy and consistency, and the two-level key
@@ -130,9 +132,12 @@ def dq_scorecard(df: DataFrame, keys, metrics, *, bounds, period_range, pairs, r
     uniq = stats.key_facts(df, keys).selectExpr("max_rows_per_key", "duplicate_rows AS __dups")
     one = facts.crossJoin(uniq)
 
+    numeric = all(ok for _, _, ok in stats.type_check(df, metrics))
+
     def dim(name, ordinal, passed, value, checked_rows):
+        type_ok = str(numeric).lower()
         return (f"named_struct('dimension', '{name}', 'ordinal', {ordinal}, 'passed', coalesce({passed}, false), "
-                f"'value', CAST({value} AS DOUBLE), 'checked_rows', CAST({checked_rows} AS BIGINT))")
+                f"'value', CAST({value} AS DOUBLE), 'checked_rows', CAST({checked_rows} AS BIGINT), 'type_ok', {type_ok})")
 
     dims = ", ".join([
         dim("completeness", 1, f"c_value > {num(min_fill)}", "c_value", "__rows"),
@@ -173,10 +178,10 @@ def audit_keys(df: DataFrame, entity: str, period: str) -> DataFrame:
 
 # ------------------------------------------------------------- profiles (G1-G6)
 
-def column_profile(df: DataFrame, order_cols, sample_rows: int = 1000) -> DataFrame:
-    """Per column of the first ``sample_rows`` rows (by ``order_cols``): dtype,
-    non-null %, first non-null value (label-truncated)."""
-    sample = df.orderBy(*order_cols).limit(sample_rows)
+def column_profile(df: DataFrame, order_cols, sample_rows: int | None = None) -> DataFrame:
+    """Per column: dtype, non-null %, first non-null value by ``order_cols``
+    (label-truncated). ``sample_rows`` asks for a profile of the first rows only."""
+    sample = df if sample_rows is None else df.orderBy(*order_cols).limit(sample_rows)
     order = F.struct(*[F.col(c) for c in order_cols])
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(df.columns):
@@ -200,22 +205,26 @@ def merge_keys(spark: SparkSession, tables: dict, with_stats: bool = False) -> D
 
     With ``with_stats`` each candidate column is also measured on the data -
     ``present`` (non-null rows) and ``distinct_values`` - in one aggregation
-    per table, which tells a usable key from a sparse or constant one.
+    per table, which tells a usable key from a sparse or constant one. A table
+    without a candidate has one row with NULL column and role, measured as 0.
     """
     rows = []
     for t, df in tables.items():
         has_iso = any("iso" in c.lower() for c in df.columns)
+        before = len(rows)
         for c in df.columns:
             low = c.lower()
             for role, kws in (("entity", ENTITY_KEYWORDS), ("period", PERIOD_KEYWORDS)):
                 if any(k in low for k in kws):
                     rows.append((t, c, role, has_iso))
+        if len(rows) == before:
+            rows.append((t, None, None, has_iso))
     found = spark.createDataFrame(rows, "table_name string, column_name string, role string, has_iso boolean")
     if not with_stats:
         return found
     measured = []
     for t, df in tables.items():
-        cand = sorted({c for tt, c, _, _ in rows if tt == t})
+        cand = sorted({c for tt, c, _, _ in rows if tt == t and c})
         if not cand:
             continue
         wide = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"p{i}") for i, c in enumerate(cand)],
@@ -225,34 +234,49 @@ def merge_keys(spark: SparkSession, tables: dict, with_stats: bool = False) -> D
                         for i, c in enumerate(cand)])
         measured.append(wide.select(F.explode(arr).alias("r")).select("r.*"))
     if not measured:
-        return found.withColumn("present", F.lit(None).cast("long")).withColumn("distinct_values", F.lit(None).cast("long"))
+        return found.withColumn("present", F.lit(0).cast("long")).withColumn("distinct_values", F.lit(0).cast("long"))
     stats_df = reduce(lambda a, b: a.unionByName(b), measured)
-    return found.join(stats_df, ["table_name", "column_name"], "left")
+    return found.join(stats_df, ["table_name", "column_name"], "left").na.fill(0, ["present", "distinct_values"])
+
+
+def inferred_types(df: DataFrame, cols) -> DataFrame:
+    """``(column, dtype)`` that the text columns ``cols`` hold: bigint, double or
+    string, by one aggregation over all values; a column without values is string."""
+    aggs = []
+    for i, c in enumerate(cols):
+        v, n = F.col(f"`{c}`"), to_number(F.col(f"`{c}`"))
+        aggs += [F.count(v).alias(f"n{i}"), F.count(n).alias(f"d{i}"),
+                 F.count_if(v.rlike(r"^\s*[+-]?[0-9]{1,18}\s*$")).alias(f"i{i}")]
+    rows = [F.struct(F.lit(c).alias("column"), F.when(F.col(f"n{i}") == 0, "string").when(F.col(f"i{i}") == F.col(f"n{i}"), "bigint")
+                     .when(F.col(f"d{i}") == F.col(f"n{i}"), "double").otherwise("string").alias("inferred"))
+            for i, c in enumerate(cols)]
+    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def profile_files(spark: SparkSession, paths, sample_rows: int = 1000) -> tuple[DataFrame, DataFrame]:
-    """Profile raw CSV files: per file, the column profile of its first
-    ``sample_rows`` rows (file order) and its candidate merge keys.
+def profile_files(spark: SparkSession, paths, sample_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Profile raw CSV files: per file, the column profile (of the first
+    ``sample_rows`` rows in file order, if given) with the types that the values
+    have, and its candidate merge keys.
 
     Each file is decoded as UTF-8 or Latin-1 (per-file detection); a file
     that cannot be read is reported in the profile with ``load_error`` and
     the others still appear. Returns ``(columns, merge_keys)``.
     """
-    from panelmerge.sources.readers import read_csv_any_encoding
+    from panelmerge.sources.readers import ROW, read_csv_any_encoding
     schema = "file string, column string, ordinal int, dtype string, non_null_pct double, sample string, load_error string"
     cols, tables = [], {}
     for path in paths:
         name = path.rstrip("/").split("/")[-1]
         try:
-            df = read_csv_any_encoding(spark, path)
+            df = read_csv_any_encoding(spark, path, order_col=ROW)
             df.schema  # noqa: B018 - resolves the file now, so a bad one is caught here
         except Exception as exc:
             msg = "File not found" if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc) else "Failed to read file"
             cols.append(spark.createDataFrame([(name, None, None, None, None, None, msg)], schema))
             continue
-        tables[name] = df
-        ordered = df.withColumn("__row", F.monotonically_increasing_id())
-        prof = column_profile(ordered, ["__row"], sample_rows).filter(F.col("column") != "__row")
+        tables[name] = df.drop(ROW)
+        prof = column_profile(df, [ROW], sample_rows).filter(F.col("column") != ROW).drop("dtype")
+        prof = prof.join(F.broadcast(inferred_types(df, tables[name].columns)), "column").withColumnRenamed("inferred", "dtype")
         cols.append(prof.select(F.lit(name).alias("file"), "column", "ordinal", "dtype", "non_null_pct", "sample",
                                 F.lit("").alias("load_error")))
     columns = reduce(lambda a, b: a.unionByName(b), cols) if cols else spark.createDataFrame([], schema)
@@ -397,7 +421,7 @@ def value_scorecard(ba: DataFrame, min_entities: int = VALUE_MIN_ENTITIES, legac
     rows linked (final rows > 0 and fewer than raw rows), no out-of-bounds.
     """
     lines = [
-        ("schema_consolidation", "true" if legacy else "schemas >= 1 AND final_columns > 0"),
+        ("schema_consolidation", "true" if legacy else "schemas > 1 AND final_columns > 0"),
         ("entity_resolution", "code_fill_pct = 100.0D"),
         ("duplicate_elimination", "final_duplicate_keys = 0"),
         ("record_integration", "true" if legacy else "final_rows > 0 AND final_rows <= raw_rows"),

@@ -55,7 +55,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     registered = spark.sparkContext.getCheckpointDir()
     if registered:
         return registered
-    if not spark.sparkContext.master.split("[")[0] == "local":
+    if getattr(spark.sparkContext, "master", "local").split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="panelmerge-ckpt-"))
     return spark.sparkContext.getCheckpointDir()

@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 from panelmerge.functions.nulls import to_number
 from panelmerge.operators.clean import dedup_first_agg, period_predicate
+from panelmerge.sources.readers import file_order
 
 
-def read_positional(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+def read_positional(spark: SparkSession, path: str, encoding: str = "UTF-8", skip: int = 0) -> DataFrame:
     """A sheet exported as CSV, no header: columns ``_c0, _c1, ...`` plus the
-    row's position in its file for keep-first semantics."""
-    df = spark.read.option("header", False).option("encoding", encoding).csv(path)
-    return df.withColumn("__row", F.monotonically_increasing_id())
+    row's position in its file for keep-first semantics. ``skip``: leading rows to leave out."""
+    df = file_order(spark.read.option("header", False).option("encoding", encoding).option("multiLine", True).csv(path))
+    if skip <= 0:
+        return df
+    # The place of the last skipped row: one row. A sheet of fewer rows has none left.
+    last = df.select("__row").orderBy("__row").limit(skip).agg(F.max("__row").alias("__last"))
+    return df.crossJoin(F.broadcast(last)).filter("__row > __last").drop("__last")
 
 
 def clean_positional(df: DataFrame, *, period_pos: int = 0, value_pos: int = 1, const_code: str = "USA",

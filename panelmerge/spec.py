@@ -53,3 +53,4 @@ class SourceSpec:
     correct_names: bool = False     # apply corrections + resolve name -> code
     on_duplicate: str | None = None  # None | mean | first
     positional: tuple | None = None  # (skip_rows, period_pos, value_pos, const_code)
+    optional: bool = False          # True: a missing file leaves the source out; else it is an error

@@ -25,6 +25,13 @@ def test_to_number_and_decade(spark):
     assert [r.d for r in y.select(decade("y").alias("d")).collect()] == [1950, 1950, 2020]
 
 
+def test_to_number_takes_decimal_numbers_only(spark):
+    raw = ["10d", "1f", "0x10", "  ", "", "NaN", "Infinity", "1,5", " -.5 ", "+2.", "1e3", "\ufeff7", "1e999999"]
+    df = spark.createDataFrame([(x,) for x in raw], "s string")
+    got = [r.v for r in df.select(to_number("s").alias("v")).collect()]
+    assert got[:12] == [None] * 8 + [-0.5, 2.0, 1000.0, 7.0]
+
+
 def test_grades(spark):
     df = spark.createDataFrame([(100.0,), (80.0,), (60.0,), (59.9,), (90.0,), (75.0,)], "s double")
     got = [(r.a, r.b) for r in df.select(grade_dq("s").alias("a"), grade_value("s").alias("b")).collect()]

@@ -1,5 +1,7 @@
 """Checkpoint folder: the session's setting wins; set one only where unset."""
 
+import pytest
+
 from panelmerge.session import ensure_checkpoint_dir
 
 
@@ -42,6 +44,14 @@ def test_registers_scratch_only_when_unset():
     assert ensure_checkpoint_dir(s) == d
 
 
+def test_no_local_scratch_on_a_cluster():
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        s = _Session(None)
+        s.sparkContext.master = master
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(s)
+
+
 def test_session_defaults(spark):
     conf = spark.conf
     assert conf.get("spark.sql.adaptive.enabled") == "true"

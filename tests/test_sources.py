@@ -5,6 +5,7 @@ import os
 from dataclasses import replace
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import write
@@ -166,11 +167,49 @@ def test_cdc_positional(spark, tmp_path):
 
 
 def test_missing_and_empty_sources(spark, tmp_path):
+    """Only an optional source may be missing; a header alone is a source without rows."""
     missing = replace(LE.SOURCES[1], path=str(tmp_path / "absent.csv"))
-    out = clean_source(spark, missing)
-    assert out.count() == 0 and out.columns == ["iso3", "year", "life_exp_wb"]
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        clean_source(spark, missing)
+    assert clean_source(spark, replace(missing, optional=True)) is None
+    cdc = LE.SOURCES[5]
+    assert cdc.optional and clean_source(spark, replace(cdc, path=str(tmp_path / "absent.csv"))) is None
     empty = replace(LE.SOURCES[1], path=write(tmp_path / "empty.csv", "iso3,country_name,year,life_exp_wb\n"))
     assert clean_source(spark, empty).count() == 0
+    with pytest.raises(ValueError, match="Missing expected columns"):
+        clean_source(spark, replace(empty, path=write(tmp_path / "other.csv", "iso3,year\nAAA,2000\n")))
+
+
+def test_quoted_line_breaks_and_quotes(spark, tmp_path):
+    path = write(tmp_path / "q.csv", 'Entity,Code\n"Foo\nBar",AAA\n"A ""b"" c",BBB\n')
+    assert [tuple(r) for r in read_csv_any_encoding(spark, path).collect()] == [("Foo\nBar", "AAA"), ('A "b" c', "BBB")]
+
+
+def test_headers_in_another_order(spark, tmp_path):
+    d = tmp_path / "orders"
+    d.mkdir()
+    write(d / "a.csv", "Entity,Code\nAlpha,AAA\n")
+    write(d / "b.csv", "Code,Entity\nBBB,Beta\n")
+    write(d / "c.csv", "Code,Entity,More\nCCC,C\u00f4te,x\n", encoding="latin-1")
+    got = sorted((r.Entity, r.Code, r.More) for r in read_csv_any_encoding(spark, str(d)).collect())
+    assert got == [("Alpha", "AAA", None), ("Beta", "BBB", None), ("C\u00f4te", "CCC", "x")]
+
+
+def test_first_is_first_in_file_order(spark, tmp_path):
+    d = tmp_path / "files"
+    d.mkdir()
+    write(d / "a.csv", "Entity,Code\nX,AAA\n")
+    write(d / "b.csv", "Entity,Code\n" + "X,BBB\n" * 5000)  # the larger file is packed first
+    ref = read_csv_any_encoding(spark, str(d), order_col="__row")
+    assert [tuple(r) for r in build_name_map(ref, "Entity", "Code", "__row").collect()] == [("X", "AAA")]
+
+
+def test_positional_skip(spark, tmp_path):
+    sheet = "2000,22.2,\n2001,33.3,\n2000,77.0,\n2001,78.0,\n"
+    spec = replace(LE.SOURCES[5], path=write(tmp_path / "s.csv", sheet))
+    assert rows(clean_source(spark, spec), "year", "life_exp_us_cdc") == [(2000, 77.0), (2001, 78.0)]
+    short = replace(spec, path=write(tmp_path / "t.csv", "2000,22.2,\n"))
+    assert clean_source(spark, short).count() == 0
 
 
 def test_na_tokens(spark, tmp_path):
@@ -232,6 +271,24 @@ def test_pipeline_end_to_end(spark, tmp_path, monkeypatch):
         assert got[("AAA", 1950)].country_name == "Alpha"
 
 
+def test_pipeline_leaves_out_what_is_not_there(spark, tmp_path):
+    """A missing optional source and a source without rows are no columns; one merge exchange."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    write(raw / "owid_historical_life_expectancy.csv", OWID)
+    write(raw / "worldbank_life_expectancy.csv", "iso3,country_name,year,life_exp_wb\n")
+    write(raw / "kaggle_health_factors.csv", KAGGLE, encoding="latin-1")
+    write(raw / "unicef_life_expectancy.csv", UNICEF)
+    write(raw / "who_healthy_life_expectancy.csv", WHO_TOTAL)
+    panel = run_pipeline(spark, LE.with_raw_dir(str(raw)))
+    assert not {"life_exp_wb", "life_exp_us_cdc"} & set(panel.columns)
+    plan = panel._jdf.queryExecution().optimizedPlan().toString()
+    assert LE.ON_DUPLICATE == "mean" and "FullOuter" not in plan
+    (raw / "unicef_life_expectancy.csv").unlink()
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        run_pipeline(spark, LE.with_raw_dir(str(raw)))
+
+
 def test_worldbank_from_payload_spec(spark, tmp_path):
     payload = [{"page": 1}, [
         {"countryiso3code": "AAA", "country": {"value": "Alpha"}, "date": "1950", "value": 41.0},
@@ -263,6 +320,8 @@ def test_profile_files_reports_columns_keys_and_errors(spark, tmp_path):
     roles = {(r.table_name, r.column_name, r.role) for r in keys.collect()}
     assert ("owid.csv", "Entity", "entity") in roles and ("owid.csv", "Year", "period") in roles
     assert ("kaggle.csv", "Country", "entity") in roles
+    assert got[("owid.csv", "Year")].dtype == "bigint" and got[("owid.csv", "Life expectancy")].dtype == "double"
+    assert got[("owid.csv", "Entity")].dtype == "string"
 
 
 def test_mixed_encodings_in_one_folder(spark, tmp_path):

@@ -106,3 +106,29 @@ def test_quantiles_skip_nan_and_extreme_magnitudes(spark):
     r = exact_quantiles(df, "v", [0.0, 0.5, 1.0]).first()
     clean = np.array([-1e308, 1e308, 0.0, 1.5])
     assert [r.q_0, r.q_1, r.q_2] == list(np.quantile(clean, [0.0, 0.5, 1.0]))
+
+
+def test_quantile_survivors_do_not_depend_on_the_values(spark):
+    """Three far outliers must not leave the whole column for the last step."""
+    from pyspark.sql import functions as F
+
+    from panelmerge.operators import quantiles as Qn
+    n = 100_000
+    df = spark.range(n).select((F.col("id") * 7919 % n).cast("double").alias("v"))
+    df = df.unionByName(spark.createDataFrame([(1e100,), (1e200,), (1e300,)], "v double"))
+    base = df.select(F.col("v").alias("__v"))
+    stats_ = base.agg(F.expr("count(1) AS __n"), F.expr(Qn._grid("__v", Qn.DEFAULT_BUCKETS)))
+    targets = stats_.selectExpr("__n", "__grid", f"CAST({n // 2} AS BIGINT) AS __k1", f"CAST({n // 2} AS BIGINT) AS __k2")
+    left = Qn.survivors(base, targets, [], Qn.DEFAULT_PASSES, Qn.DEFAULT_BUCKETS)
+    assert left.count() < 100 and left.agg(F.sum("__c")).first()[0] > n // 2
+    got = exact_quantiles(df, "v", [0.0, 0.25, 0.5, 1.0]).first()
+    assert tuple(got) == (0.0, 25000.5, 50001.0, 1e300)
+
+
+def test_scorecard_uniqueness_can_fail_and_types_are_reported(spark):
+    from panelmerge.plans import reports
+    rows = [("a", 1, 50.0, 50.0), ("a", 1, 50.0, 50.0), ("b", 2, 60.0, 61.0)]
+    df = spark.createDataFrame(rows, "e string, p int, x double, y double")
+    card = {r.dimension: r for r in reports.dq_scorecard(df, ["e", "p"], ["x", "y"], bounds=(0, 100), period_range=(0, 9),
+                                                         pairs=[("x", "y", "x y")], rule=("x", "y")).collect()}
+    assert not card["uniqueness"].passed and card["validity"].type_ok
