@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import CLEAN, LINE, SCHEMA, awkward, words
+from awkward_rows import CLEAN, awkward, docs, nothing, words  # noqa: F401
 from pyspark.sql import functions as F
 
 from panelmerge.llm import (

@@ -4,6 +4,7 @@ import os
 import sys
 
 import pytest
+from awkward_rows import docs, nothing  # noqa: F401
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, ROOT)
