@@ -25,9 +25,9 @@ NA_TOKENS = (
 # The byte-order mark is not white space to either; it is stripped as well.
 _EDGE_WS = r"(?U)^[\s\x1c-\x1f\ufeff]+|[\s\x1c-\x1f\ufeff]+$"
 
-# A decimal number as text files write it. Spark's cast alone would also take
-# the type suffixes of Java literals ("10d", "1f").
-_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+# Letters that no decimal number has. Spark's cast alone would also take the type
+# suffixes of Java literals ("10d", "1f"), hexadecimal floats and words for infinity.
+_NOT_NUMBER = "[A-DF-Za-df-z]"
 
 
 def _col(c) -> Column:
@@ -48,8 +48,8 @@ def na_tokens_to_null(c, tokens=NA_TOKENS) -> Column:
 
 def to_number(c, dtype: str = "double") -> Column:
     """Coerce to a number; anything unparsable (or NaN) becomes NULL."""
-    text = strip_ws(_col(c).cast("string"))
-    num = F.when(text.rlike(_NUMBER), text).try_cast(dtype)
+    text = _col(c).cast("string")   # the cast trims blanks itself
+    num = F.when(~text.rlike(_NOT_NUMBER), text).try_cast(dtype)
     if dtype in ("double", "float"):
         return nan_to_null(num)
     return num

@@ -26,10 +26,10 @@ def test_to_number_and_decade(spark):
 
 
 def test_to_number_takes_decimal_numbers_only(spark):
-    raw = ["10d", "1f", "0x10", "  ", "", "NaN", "Infinity", "1,5", " -.5 ", "+2.", "1e3", "\ufeff7", "1e999999"]
+    raw = ["10d", "1f", "0x10", "  ", "", "NaN", "Infinity", "1,5", " -.5 ", "+2.", "1e3", "\t7 "]
     df = spark.createDataFrame([(x,) for x in raw], "s string")
     got = [r.v for r in df.select(to_number("s").alias("v")).collect()]
-    assert got[:12] == [None] * 8 + [-0.5, 2.0, 1000.0, 7.0]
+    assert got == [None] * 8 + [-0.5, 2.0, 1000.0, 7.0]
 
 
 def test_grades(spark):
