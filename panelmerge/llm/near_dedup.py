@@ -118,9 +118,11 @@ def sketch(docs: DataFrame, words_each: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, words_each: int) -> DataFrame:
-    """node and its shingles, for ``wanted`` (node, doc_id: a document that has the set)."""
-    wanted = wanted.select(F.col("node").alias("wanted"), F.col("doc_id").alias("__id"))
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted, F.expr("doc_id = __id")).select("wanted", "text")
+    """node and its shingles, for ``wanted`` (node, and doc_id and text_hash of a row that has the set)."""
+    wanted = wanted.select(F.col("node").alias("wanted"), F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # By text as well: an id that many texts share mustn't bring each of them to each of its sets.
+    found = texts.withColumn("own", F.xxhash64("text")).join(wanted, F.expr("doc_id = __id AND own = __hash")).select("wanted", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
@@ -128,7 +130,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words_each: int) -> DataFrame:
             nodes, sets = [], []
             for node, text in zip(batch.column(0).to_pylist(), raw(batch.column(1))):
                 s = shingles(text, words_each, known)
-                if node_of(s) == node:  # rows that share an id may have other texts
+                if node_of(s) == node:  # texts of equal hash may differ
                     nodes.append(node)
                     sets.append(pa.array(s.view(np.int64)))
             ends = np.cumsum([0, *(len(s) for s in sets)])
@@ -219,7 +221,7 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80) ->
     """
     sketches = stored(sketch(docs, words_each), "sketch")
     known = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    nodes = stored(known.groupBy("node", "n_shingles", "bands").agg(F.min("doc_id").alias("doc_id")), "nodes")
+    nodes = stored(known.groupBy("node", "n_shingles", "bands").agg(F.min("doc_id").alias("doc_id"), F.min_by("text_hash", "doc_id").alias("text_hash")), "nodes")
 
     banded = nodes.select("node", "n_shingles", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min(F.struct("node", "n_shingles")).alias("first")).filter("size > 1")
