@@ -142,18 +142,23 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # Verdicts go to a document's text, not to its id: rows without an id, or an id that
+    # many rows share, would gather the lines of all their texts in one place.
+    docs = docs.withColumn("own", F.xxhash64("text"))
 
     def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, h, f = [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), raw(batch.column(1))):
+            at, h, f = [], [], []
+            for row, text in enumerate(raw(batch.column(1))):
                 for pair in {x for x in line_hashes(text, min_chars) if x}:
-                    ids.append(doc)
+                    at.append(row)
                     h.append(pair[0])
                     f.append(pair[1])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(h, pa.int64()), pa.array(f, pa.int64())], ["doc_id", "h", "f"])
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(rows), batch.column(2).take(rows), pa.array(h, pa.int64()), pa.array(f, pa.int64())], ["doc_id", "own", "h", "f"])
 
-    keys = stored(docs.mapInArrow(keys_of, "doc_id long, h long, f long"), "lines")
+    keys = stored(docs.mapInArrow(keys_of, "doc_id long, own long, h long, f long"), "lines")
     facts = stored(
         keys.groupBy("h", "f").agg(F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("last_doc")), "line-facts")
 
@@ -173,7 +178,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     index = facts.filter("last_doc IS NOT NULL").select("*", shard).groupBy("shard").applyInArrow(build, f"shard long, {_INDEX}")
     light = keys.join(F.broadcast(spark.createDataFrame(heavy[["h", "f"]], "h long, f long")), ["h", "f"], "left_anti") if len(heavy) else keys
     routed = index.withColumn("kind", F.lit(0)).unionByName(
-        light.select(shard, F.lit(1).alias("kind"), "doc_id", "h", "f"), allowMissingColumns=True,
+        light.select(shard, F.lit(1).alias("kind"), "doc_id", "own", "h", "f"), allowMissingColumns=True,
     ).repartition("shard").sortWithinPartitions("shard", "kind")
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,11 +196,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
                     a += 1
                 if at == shard_of[b - 1] and a < b:
                     gone[a:b] = held.dropped(h[a:b], f[a:b], doc[a:b], known[a:b], min_docs)
-            yield pa.RecordBatch.from_arrays([col[c].filter(pa.array(gone)) for c in ("doc_id", "h", "f")], ["doc_id", "h", "f"])
+            names = ["doc_id", "own", "h", "f"]
+            yield pa.RecordBatch.from_arrays([col[c].filter(pa.array(gone)) for c in names], names)
 
-    gone = routed.mapInArrow(probe, "doc_id long, h long, f long")
-    of_doc = gone.distinct().groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list("h").alias("hs"), F.collect_list("f").alias("fs"))
-    joined = docs.join(of_doc, docs["doc_id"].eqNullSafe(of_doc["__doc"]), "left").select("doc_id", "text", "hs", "fs")
+    gone = routed.mapInArrow(probe, "doc_id long, own long, h long, f long")
+    of_text = gone.distinct().groupBy(F.col("doc_id").alias("__doc"), F.col("own").alias("__own")).agg(F.collect_list("h").alias("hs"), F.collect_list("f").alias("fs"))
+    joined = docs.join(of_text, F.expr("own = __own AND doc_id <=> __doc"), "left").select("doc_id", "text", "hs", "fs")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = LineIndex(*hot)
