@@ -8,8 +8,9 @@ the number of rows, counts differ by one at most.
 All keys between two neighbouring virtual nodes see the shards in the same
 order, so the overflow is decided on the counts of those arcs (shards x virtual
 nodes numbers, whatever the corpus) and comes out as ranges of ranks on each
-arc. Rows only need their rank on their arc: a running count within small
-pieces of the ring, on top of the sums of the pieces before.
+arc. Rows only need their rank on their arc, in hash order: a running count within
+hash pieces, on top of the sums of the pieces before. A key of many texts is one
+point of the ring and still many pieces.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 from .shared import stored
 
 VIRTUAL_NODES = 64
-PIECE_ROWS = 2000
+PIECE_ROWS = 2000  # rows of a piece, if the arcs are alike
+RUN_ROWS = 10_000  # rows that repeat one another are numbered in runs
 
 
 def ring(shards: int, virtual_nodes: int = VIRTUAL_NODES) -> tuple[np.ndarray, np.ndarray]:
@@ -97,13 +99,12 @@ def assign_shards(docs: DataFrame, shards: int = 8, virtual_nodes: int = VIRTUAL
     items = stored(items.withColumn("position", F.xxhash64("doc_id", F.lit("ring"))).withColumn("arc", arc("position")), "ring")
     total = items.agg(F.sum("rows")).first()[0] or 0
 
-    bits = max(10, min(40, (total // PIECE_ROWS).bit_length()))
-    items = items.withColumn("piece", F.shiftright("position", 64 - bits))
-    # On the arc that runs over the end of the ring the high positions come first.
-    items = items.withColumn("turn", ((F.col("arc") == 0) & (F.col("position") <= F.lit(int(points[0])))).cast("int"))
-    place_in = Window.partitionBy("arc", "turn", "piece").orderBy("position", "doc_id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = stored(items.groupBy("arc", "turn", "piece").agg(F.sum("rows").alias("in_piece")), "ring-pieces")
-    before = Window.partitionBy("arc").orderBy("turn", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    # Even an arc of all rows has pieces of at most arcs x PIECE_ROWS rows.
+    in_arc = max(32, total // (PIECE_ROWS * len(points)))
+    items = items.withColumn("u", F.xxhash64("doc_id", "size", "text_crc32", F.lit("rank"))).withColumn("piece", F.pmod("u", F.lit(in_arc)))
+    place_in = Window.partitionBy("arc", "piece").orderBy("u", "doc_id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = stored(items.groupBy("arc", "piece").agg(F.sum("rows").alias("in_piece")), "ring-pieces")
+    before = Window.partitionBy("arc").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.withColumn("before", F.coalesce(F.sum("in_piece").over(before), F.lit(0))).drop("in_piece")
 
     arc_rows = {r["arc"]: r["n"] for r in pieces.groupBy("arc").agg(F.sum("in_piece").alias("n")).collect()}  # shards x virtual nodes at most
@@ -112,8 +113,11 @@ def assign_shards(docs: DataFrame, shards: int = 8, virtual_nodes: int = VIRTUAL
 
     ranked = (
         items.withColumn("within", F.coalesce(F.sum("rows").over(place_in), F.lit(0)))
-        .join(offsets, ["arc", "turn", "piece"])
+        .join(offsets, ["arc", "piece"])
         .select("doc_id", "size", "text_crc32", "arc", (F.col("before") + F.col("within")).alias("start"), "rows")
+        .withColumn("run", F.expr(f"explode(sequence(0L, (rows - 1) div {RUN_ROWS}))"))
+        .withColumn("start", F.expr(f"start + run * {RUN_ROWS}")).withColumn("rows", F.expr(f"least(rows - run * {RUN_ROWS}, {RUN_ROWS})"))
+        .repartition("arc", "start")
         .withColumn("rank", F.expr("explode(sequence(start, start + rows - 1))")))
     # At most shards x virtual nodes x shards ranges.
     placed = ranked.join(F.broadcast(plan.withColumnRenamed("arc", "on_arc")), F.expr("arc = on_arc AND rank >= lo AND rank < hi"))
