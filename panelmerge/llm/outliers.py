@@ -197,9 +197,10 @@ def _measured(rows: DataFrame, state: DataFrame) -> DataFrame:
 
 def robust_estimates(rows: DataFrame, rounds: int = 2) -> DataFrame:
     """Mean and precision by group: a row per value of ``group``, which isn't null.
-    ``rows`` is a stored table with group and the transformed statistics."""
+    ``rows`` is a stored table with group, row (a number of its own for each document, so
+    that rows which repeat one another spread over the chunks) and the transformed statistics."""
     sizes = stored(rows.groupBy("group").agg(F.count("*").alias("rows")).withColumn("chunks", F.expr(f"cast(greatest(1, round(rows / {CHUNK})) as long)")), "groups")
-    chunked = rows.join(sizes, "group").withColumn("chunk", F.pmod(F.xxhash64("doc_id", *NAMES), "chunks"))
+    chunked = rows.join(sizes, "group").withColumn("chunk", F.pmod(F.xxhash64("row", *NAMES), "chunks"))
     found = chunked.groupBy("group", "chunk").applyInPandas(_search, f"group string, n long, {_STATE}")
     state = found.groupBy("group").agg(*(F.expr(f"sum(n * {c}) / sum(n) AS {c}") for c in _MEANS + _COVS))
     # The chunks' covariances have the floor in them already; _invert adds it.
@@ -232,11 +233,11 @@ def reject_outliers(docs: DataFrame, tail: float = TAIL, min_rows: int = MIN_ROW
     """
     stats = stored(
         base_stats(docs).withColumn("pair", F.to_json(F.struct("lang", "source")))
-        .select("*", *(F.expr(f"cast({sql} as double)").alias(c) for c, (sql, _) in FEATURES.items())), "text-stats")
+        .select("*", *(F.expr(f"cast({sql} as double)").alias(c) for c, (sql, _) in FEATURES.items()), F.monotonically_increasing_id().alias("row")), "text-stats")
     good = stats.filter(~F.col("base_failed"))
     large = stored(good.groupBy("pair").agg(F.count("*").alias("rows")).filter(F.col("rows") >= min_rows).drop("rows"), "large-groups")
     everyone = F.lit("")
-    both = good.select("pair", "doc_id", *NAMES)
+    both = good.select("pair", "row", *NAMES)
     rows = both.join(large, "pair").withColumnRenamed("pair", "group").unionByName(both.drop("pair").withColumn("group", everyone))
     state = stored(robust_estimates(stored(rows, "mcd-rows")), "mcd-state")
 
