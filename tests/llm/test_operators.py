@@ -97,6 +97,13 @@ def test_line_dedup(docs, nothing, spark, monkeypatch):
     assert rows(line_dedup.dedup_lines(nothing), *columns) == []
 
 
+def test_lines_of_an_id_that_many_texts_share(spark):
+    data = [(7 if i % 3 else None, "\n".join(f"line {(i + j) % 50} is long enough to count" for j in range(4))) for i in range(300)]
+    data += [(1000 + i % 4, f"line {i} is long enough to count\nown {i}") for i in range(60)] + [(7, data[1][1])] * 50
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    assert rows(line_dedup.dedup_lines(df), "doc_id", "n_lines", "n_dropped", "text") == brute_lines(data)
+
+
 def test_perfect_hash_is_minimal():
     rng = np.random.default_rng(3)
     h, f = rng.integers(-2**63, 2**63 - 1, 5000), rng.integers(-2**63, 2**63 - 1, 5000)
@@ -156,6 +163,19 @@ def test_outliers_by_group(spark, nothing):
     assert outliers.reject_outliers(df.withColumn("text", F.lit("few words"))).filter("kept").count() == 0
 
 
+def test_repeated_rows_spread_over_chunks(spark, monkeypatch):
+    monkeypatch.setattr(outliers, "CHUNK", 50)
+    rng = random.Random(14)
+    word = ["alpha", "beta", "gamma", "delta", "house", "garden"]
+    data = [(i, " ".join(rng.choice(word) + str(rng.randint(0, 400)) for _ in range(rng.randint(60, 200))), "en", "a") for i in range(200)]
+    data += [(None, data[0][1], "en", "a")] * 200
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    stats = outliers.base_stats(df).select(F.lit("g").alias("group"), F.monotonically_increasing_id().alias("row"), *(F.expr(f"cast({sql} as double)").alias(c) for c, (sql, _) in outliers.FEATURES.items()))
+    chunk = F.pmod(F.xxhash64("row", *outliers.NAMES), F.lit(8))
+    assert stats.groupBy(chunk).count().agg(F.max("count")).first()[0] < 100
+    assert outliers.reject_outliers(df).filter("kept").count() == 400
+
+
 # ---- 4. sharding
 
 def law_of_rows(placed, shards=8):
@@ -180,6 +200,14 @@ def test_sharding(docs, nothing, spark):
     assert rows(first, "doc_id", "shard", "slot") == rows(sharding.assign_shards(many.repartition(7)), "doc_id", "shard", "slot")
 
 
+def test_sharding_of_hot_keys_and_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RUN_ROWS", 100)  # repeated rows over many runs
+    data = [(7, f"text {i}") for i in range(1000)] + [(8, "the same row")] * 1000 + [(i, "t") for i in range(100, 1100)] + [(None, None)] * 7
+    got = sharding.assign_shards(spark.createDataFrame(data, "doc_id long, text string"))
+    law_of_rows([(r.shard, r.slot) for r in got.collect()])
+    assert rows(got, "doc_id", "size", "text_crc32") == sorted(((d, len(t or "") + 1, zlib.crc32((t or "").encode())) for d, t in data), key=repr)
+
+
 def test_ring_moves_little():
     points, owners = sharding.ring(8)
     more, new_owners = sharding.ring(9)
@@ -310,6 +338,19 @@ def test_near_duplicates(spark, docs, k, percent, monkeypatch):
     assert rows(near_dedup.near_duplicates(docs, k, percent), "doc_id", "n_shingles", "component_id") == brute_components(odd, k, percent)
 
 
+def test_near_duplicates_of_an_id_that_many_texts_share(spark):
+    """Every set is fetched once, not once for each row of its id."""
+    data = [(1, words(40, i // 2) + (" end" if i % 2 else "")) for i in range(200)] + [(2 + i, words(40, 500)) for i in range(3)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    nodes = near_dedup.sketch(df, 5).groupBy("node", "n_shingles").agg(F.min("doc_id").alias("doc_id"), F.min_by("text_hash", "doc_id").alias("text_hash"))
+    wanted = nodes.select(F.col("node").alias("w"), F.col("doc_id").alias("i"), F.col("text_hash").alias("t"))
+    assert df.join(wanted, (F.col("i") == F.col("doc_id")) & (F.col("t") == F.xxhash64("text"))).count() == nodes.count() == 201
+    assert near_dedup.sets_of(df, nodes, 5).count() == 201
+    got = near_dedup.near_duplicates(df)
+    assert got.filter("doc_id = 1").select("component_id").distinct().collect() == [(1,)]
+    assert rows(got.filter("doc_id > 1"), "doc_id", "component_id") == [(2, 2), (3, 2), (4, 2)]
+
+
 def test_keep_one(docs, nothing):
     kept = near_dedup.keep_one(docs)
     assert kept.columns == docs.columns
