@@ -3,7 +3,9 @@
 An item with an error budget of k edits is split into k + 1 pieces: a text that
 holds the item within k edits holds one piece unchanged. One automaton finds all
 pieces of a block of items in one pass over a text; each hit says where the item
-would have to lie, and Myers' bit-parallel distance decides on that window.
+would have to lie, and Myers' bit-parallel distance decides on that window. Items of
+under ``WHOLE_WORDS`` characters have to begin and end with a word of the text, so that
+a short answer isn't found inside a longer word.
 
 Documents aren't shuffled: the items, in blocks of ``BLOCK_CHARS``, go to the
 documents. Every block is matched against all documents.
@@ -23,7 +25,8 @@ from pyspark.sql import functions as F
 from .shared import raw
 
 ERRORS = 0.08  # edits allowed, as a share of the item's characters
-MIN_CHARS = 40  # shorter items can't tell a leak from chance
+WHOLE_WORDS = 40  # shorter items are matched on whole words only
+MIN_CHARS = 2  # a single character is no item
 BLOCK_CHARS = 1_000_000
 _NOT_WORD = re.compile(r"[\W_]+")
 
@@ -66,6 +69,25 @@ def best_match(item: str, text: str, start: int, stop: int) -> tuple[int, int]:
     return best, end
 
 
+def best_words(item: str, text: str, start: int, stop: int) -> tuple[int, int]:
+    """Like best_match, over the parts that begin and end with a word of the text."""
+    m, far = len(item), len(item) + 1
+    best, end = far, start
+    before = None
+    for j in range(start, stop + 1):
+        begins = j < len(text) and text[j] != " " and (j == 0 or text[j - 1] == " ")
+        now = [0 if begins else far if before is None else before[0] + 1]
+        for i, c in enumerate(item, 1):
+            value = now[-1] + 1
+            if before is not None:
+                value = min(value, before[i - 1] + (c != text[j - 1]), before[i] + 1)
+            now.append(value)
+        if now[m] < best and j > 0 and text[j - 1] != " " and (j == len(text) or text[j] == " "):
+            best, end = now[m], j
+        before = now
+    return best, end
+
+
 class Matcher:
     """The pieces of a block of items: [(item_ids, normalised text)]."""
 
@@ -76,6 +98,9 @@ class Matcher:
     def _build(self) -> None:
         where: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for n, (_, item) in enumerate(self.items):
+            if len(item) < WHOLE_WORDS and not int(len(item) * self.errors):
+                where[f" {item} "].append((n, -1))  # one piece, the blanks around it included
+                continue
             for offset, piece in pieces(item, self.errors):
                 where[piece].append((n, offset))
         self.automaton = ahocorasick.Automaton()
@@ -97,20 +122,25 @@ class Matcher:
             self._build()
         text = normalised(text)
         likely: dict[int, set[int]] = defaultdict(set)
-        for last, (size, places) in self.automaton.iter(text):
+        for last, (size, places) in self.automaton.iter(f" {text} "):
             for n, offset in places:
-                likely[n].add(last + 1 - size - offset)
+                likely[n].add(last - size - offset)
         out = []
         for n in sorted(likely):
             item = self.items[n][1]
             budget, best = int(len(item) * self.errors), (len(item), 0)
+            if len(item) < WHOLE_WORDS and not budget:
+                place = min(likely[n])
+                out.append((n, 0, place, place + len(item)))
+                continue
+            search = best_match if len(item) >= WHOLE_WORDS else best_words
             start = stop = None
             for place in [*sorted(likely[n]), None]:  # windows that overlap are one window
                 if place is not None and start is not None and place - budget <= stop:
                     stop = place + len(item) + budget
                     continue
                 if start is not None:
-                    best = min(best, best_match(item, text, max(0, start), min(len(text), stop)), key=lambda x: x[0])
+                    best = min(best, search(item, text, max(0, start), min(len(text), stop)), key=lambda x: x[0])
                 if place is not None:
                     start, stop = place - budget, place + len(item) + budget
             if best[0] <= budget:
@@ -118,24 +148,27 @@ class Matcher:
         return out
 
 
-def item_blocks(benchmark: DataFrame, errors: float = ERRORS, block_chars: int = BLOCK_CHARS, min_chars: int = MIN_CHARS) -> Iterator[Matcher]:
-    """Matchers for all items (item_id, text), block after block, in order of item_id.
+def item_blocks(
+    benchmark: DataFrame, errors: float = ERRORS, block_chars: int = BLOCK_CHARS, min_chars: int = MIN_CHARS, nameless: bool = False,
+) -> Iterator[Matcher]:
+    """Matchers for all items (item_id, text), block after block, in order of item_id;
+    those without an id only if ``nameless``.
     Items of equal normalised text in a block share a place. The driver holds one block
     and one partition of the benchmark at a time."""
     held: dict[str, list[int]] = {}
     size = 0
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).filter("item_id IS NOT NULL").orderBy("item_id", "text")
-    for item_id, text in items.toLocalIterator():
+    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).orderBy("item_id", "text")
+    for item_id, text in (items if nameless else items.filter("item_id IS NOT NULL")).toLocalIterator():
         if len(text := normalised(text)) < min_chars:
             continue
         if text not in held:
             size += len(text)
         held.setdefault(text, []).append(item_id)
         if size >= block_chars:
-            yield Matcher([(sorted(set(ids)), t) for t, ids in held.items()], errors)
+            yield Matcher([(sorted(set(ids) - {None}), t) for t, ids in held.items()], errors)
             held, size = {}, 0
     if held:
-        yield Matcher([(sorted(set(ids)), t) for t, ids in held.items()], errors)
+        yield Matcher([(sorted(set(ids) - {None}), t) for t, ids in held.items()], errors)
 
 
 LEAK = "doc_id long, item_id long, distance long, item_chars long, start long, end long"
@@ -147,7 +180,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, bl
     item_chars, start and end of the nearest place, in characters of the normalised text.
 
     Both sides are normalised: lower case, runs of other than letters and digits as one
-    space. Items of under ``min_chars`` normalised characters, null or empty ones among
+    space. Items of under ``WHOLE_WORDS`` normalised characters have to begin and end
+    with a word of the text. Items of under ``min_chars``, null or empty ones among
     them, and items without an id are left out. Null or empty texts hold nothing. Rows
     with a null doc_id are searched and reported with it. Repeated documents are
     reported each; of repeated items every id. Empty tables give an empty result. Other
@@ -182,9 +216,10 @@ def _cleaner(shared):
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, block_chars: int = BLOCK_CHARS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no item of ``benchmark``."""
+    """The rows of ``docs``, with all their columns, that hold no item of ``benchmark``,
+    whether the item has an id or not; see find_leaks."""
     spark = docs.sparkSession
-    for matcher in item_blocks(benchmark, errors, block_chars, min_chars):
+    for matcher in item_blocks(benchmark, errors, block_chars, min_chars, nameless=True):
         shared = spark.sparkContext.broadcast(matcher)
         docs = docs.filter(_cleaner(shared)(F.col("text").cast("string")))
     return docs

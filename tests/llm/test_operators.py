@@ -67,6 +67,42 @@ def test_leaks_within_budget(spark, nothing):
     assert decontaminate.drop_leaks(df, items.limit(0)).count() == len(docs)
 
 
+def test_short_items_and_items_without_an_id(spark):
+    """Short items are found on whole words, within their budget; drop_leaks needs no id."""
+    def brute(item, text):
+        starts = [i for i in range(len(text)) if text[i] != " " and (i == 0 or text[i - 1] == " ")]
+        ends = {j for j in range(1, len(text) + 1) if text[j - 1] != " " and (j == len(text) or text[j] == " ")}
+        best = len(item) + 1
+        for s in starts:
+            before = list(range(len(item) + 1))
+            for j in range(s + 1, len(text) + 1):
+                now = [j - s]
+                for i, c in enumerate(item, 1):
+                    now.append(min(before[i - 1] + (c != text[j - 1]), before[i] + 1, now[-1] + 1))
+                before = now
+                best = min(best, before[-1]) if j in ends else best
+        return best
+
+    rng = random.Random(5)
+    def some(k):
+        return " ".join("".join(rng.choice("abc") for _ in range(rng.randint(1, 5))) for _ in range(k))
+    items = [(i, some(rng.randint(1, 9))[:39].strip()) for i in range(60)]
+    items = [(i, t) for i, t in items if len(t) >= 2]
+    texts = [some(rng.randint(0, 30)) for _ in range(60)]
+    for i, (_, t) in enumerate(items):  # the item with an edit, or grown into a longer word
+        at = rng.randrange(len(t))
+        texts.append(f"{some(3)} {t[:at]}{rng.choice(['x', 'b', ''])}{t[at + rng.randint(0, 1):]}{'c' * (i % 2)} {some(3)}")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    plain = [decontaminate.normalised(t) for t in texts]
+    want = [(d, i, n) for d, text in enumerate(plain) for i, item in items if (n := brute(item, text)) <= int(len(item) * decontaminate.ERRORS)]
+    assert {n for *_, n in want} >= {0, 1, 2}
+    got = decontaminate.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert rows(got, "doc_id", "item_id", "distance") == sorted(want, key=repr)
+    nameless = spark.createDataFrame([(None, "42 Main Road"), (None, CLEAN)], "item_id long, text string")
+    held = spark.createDataFrame([(1, "at 42, main road."), (2, "at 142 main roads"), (3, "so: " + CLEAN), (4, "none")], "doc_id long, text string")
+    assert rows(decontaminate.drop_leaks(held, nameless), "doc_id") == [(2,), (4,)]
+
+
 # ---- 2. line de-duplication
 
 def brute_lines(data, min_chars=20, min_docs=3):
