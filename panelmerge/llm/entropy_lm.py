@@ -1,20 +1,21 @@
-"""LM scoring by a hashed maximum-entropy model with a class-factored softmax.
+"""LM scoring by a maximum-entropy model with a class-factored softmax.
 
 P(word | context) = P(class | context) x P(word | class). The class is a softmax
-over hashed context features: the word before, the two words before, and the
-word before that alone (a skip feature). Words are classed by frequency, each class
-with a like share of the tokens; words outside the ``VOCABULARY`` most frequent
-make up the last class, in which an unseen word has a count of 0, plus 1.
+over two context features: the word before, and the one before that (a skip
+feature). Every counted word has both features, and words are classed by hashed
+spelling: the ``VOCABULARY`` most frequent in ``CLASSES`` - 1 classes, the others in
+classes of their own, which grow with the counted types. Each of these also has a
+word that was never seen, with a count of 0, plus 1.
 
 Training: token counts of all training texts by one aggregation; then rounds of
 distributed gradient updates. In a round every task runs minibatch updates on its
 share of the training texts, starting from the common weights, and returns what
-changed by feature; the changes are averaged by Spark, weighted by the tokens that
-touched the feature. Each training text is used in one round. Scoring reads dense
-weights and sparse feature numbers in numpy batches.
+changed by word; the changes are averaged by Spark, weighted by the tokens that
+touched the feature. Each training text is used in one round.
 
-Frequent words (a bounded number) are looked up in each task. The others meet
-their counts in a join: none of them has more than 1/VOCABULARY of all tokens.
+Frequent words (a bounded number) are looked up in each task, with their weights. The
+others are rows of a Spark table, by 64-bit hash: count, class and weights. Texts are
+cut into chunks of ``CHUNK_BYTES``, and each chunk is joined with the words it holds.
 """
 
 from __future__ import annotations
@@ -22,20 +23,23 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, compress, repeat
+from hashlib import blake2b
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import U64, id_remainder, mix64, raw, stored, word_runs
+from .shared import id_remainder, raw, stored, word_runs
 
 END = b"\n"  # the end token; no word has a blank
-VOCABULARY = 60_000
-CLASSES = 32
-FEATURES = 1 << 13
+VOCABULARY = 60_000  # words that each task holds
+CLASSES = 32  # of frequent words, and the first class of the others
+FEATURES = 2 * (VOCABULARY + 2)  # rows of the weights that each task holds, at most
+CHUNK_BYTES = 1 << 22
 ROUNDS = 2
 BATCH = 16_384
 RATE = 0.5
@@ -68,37 +72,55 @@ def frequent_tokens(counts: DataFrame, limit: int = VOCABULARY) -> pd.DataFrame:
     """The most frequent tokens, ``limit`` at most, most frequent first.
 
     Cut at a step of a geometric scale of counts, found from the number of tokens on
-    each step (some hundred rows): sorting for an exact number would send so many
-    rows of every partition to one place."""
-    step = F.floor(F.log2("n") * 16).cast("int").alias("step")
-    sizes = counts.groupBy(step).agg(F.count("*").alias("tokens")).toPandas().sort_values("step", ascending=False)
-    fit = sizes[sizes["tokens"].cumsum() <= limit]
-    if fit.empty:
-        return pd.DataFrame({"token": [], "n": []})
-    return counts.filter(step >= int(fit["step"].min())).toPandas().sort_values(["n", "token"], ascending=[False, True])
-
-
-def spelling_classes(words: list[bytes], counts: np.ndarray, classes: int, rounds: int = 8) -> np.ndarray:
-    """A class from 0 for each word (most frequent first): k-means over hashed character
-    1- to 3-grams, words weighing as the root of their counts. Starts from the most
-    frequent words; the same words give the same classes."""
-    vectors = np.zeros((len(words), SPELLING), np.float32)
-    for i, word in enumerate(words):
-        text = f"^{word.decode('utf-8', 'replace')}$"
-        for n in (1, 2, 3):
-            for j in range(len(text) - n + 1):
-                vectors[i, zlib.crc32(text[j:j + n].encode()) % SPELLING] += 1
-    vectors /= np.maximum(1e-9, np.linalg.norm(vectors, axis=1, keepdims=True))
+    each step (some hundred rows), and in that step by count and hash piece: sorting for
+    an exact number would send so many rows of every partition to one place."""
+    step, piece = F.floor(F.log2("n") * 16).cast("int"), F.pmod(F.xxhash64("token"), F.lit(4096))
+    sizes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("tokens")).toPandas().sort_values("step", ascending=False)
+    over = sizes[sizes["tokens"].cumsum() > limit]
+    if over.empty:
+        return counts.toPandas().sort_values(["n", "token"], ascending=[False, True])
+    cut = int(over["step"].iloc[0])
+    room = limit - int(sizes.loc[sizes["step"] > cut, "tokens"].sum())
+    parts = counts.filter(step == cut).groupBy("n", piece.alias("piece")).agg(F.count("*").alias("tokens")).toPandas().sort_values(["n", "piece"], ascending=[False, True])
+    fit = parts[parts["tokens"].cumsum() <= room]
+    taken = step > cut
+    if len(fit):
+        n, last = int(fit["n"].iloc[-1]), int(fit["piece"].iloc[-1])
+        taken = taken | (step == cut) & ((F.col("n") > n) | (F.col("n") == n) & (piece <= last))
+    return counts.filter(taken).toPandas().sort_values(["n", "token"], ascending=[False, True])
+
+
+def spelling_vectors(words: list[bytes]) -> np.ndarray:
+    """Hashed character 1- to 3-grams of each word, of length 1."""
+    places, sizes = [], []
+    for word in words:
+        if word.isascii():
+            text = b"^" + word + b"$"
+            grams = [text[j:j + n] for n in (1, 2, 3) for j in range(len(text) - n + 1)]
+        else:
+            text = f"^{word.decode('utf-8', 'replace')}$"
+            grams = [text[j:j + n].encode() for n in (1, 2, 3) for j in range(len(text) - n + 1)]
+        places.extend(map(zlib.crc32, grams))
+        sizes.append(len(grams))
+    at = np.repeat(np.arange(len(words)) * SPELLING, sizes) + np.array(places, np.int64) % SPELLING
+    vectors = np.bincount(at, minlength=len(words) * SPELLING).reshape(-1, SPELLING).astype(np.float32)
+    return vectors / np.maximum(1e-9, np.linalg.norm(vectors, axis=1, keepdims=True))
+
+
+def spelling_classes(vectors: np.ndarray, counts: np.ndarray, classes: int, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """A class from 0 for each word (most frequent first), and the classes' centres:
+    k-means over spelling vectors, words weighing as the root of their counts. Starts
+    from the most frequent words; the same words give the same classes."""
     weight = np.sqrt(counts)[:, None].astype(np.float32)
     centres = vectors[:classes].copy()
-    own = np.zeros(len(words), np.int64)
+    own = np.zeros(len(vectors), np.int64)
     for _ in range(rounds):
-        own = (vectors @ centres.T).argmax(axis=1) if len(words) else own
+        own = (vectors @ centres.T).argmax(axis=1) if len(vectors) else own
         sums = np.zeros_like(centres)
         np.add.at(sums, own, vectors * weight)
         norm = np.linalg.norm(sums, axis=1, keepdims=True)
         centres = np.where(norm > 0, sums / np.maximum(norm, 1e-9), centres)
-    return own
+    return own, centres
 
 
 class Vocabulary:
@@ -109,23 +131,39 @@ class Vocabulary:
         self.tokens, self.types = tokens, types
         self.known = np.concatenate([[0.0], np.log10(counts + 1.0)])
         smooth = counts + 1.0
-        bins = spelling_classes(words, counts, CLASSES - 1)
+        vectors = spelling_vectors(words)
+        bins, _ = spelling_classes(vectors, counts, CLASSES - 1)
         self.cls = np.concatenate([[CLASSES - 1], bins])
         mass = np.bincount(bins, weights=smooth, minlength=CLASSES)
         self.inside = np.concatenate([[0.0], np.log10(smooth / mass[bins])])
         # All other words seen, add-one, and one unseen word.
         self.rare_mass = float(tokens - counts.sum() + types - len(words) + 1)
+        # The others' classes: four more each time that the types double.
+        rare_classes = 1 + int(4 * np.log2(max(1.0, types / max(1, len(words)))))
+        _, self.rare_centres = spelling_classes(vectors, counts, rare_classes)
+        self.classes = CLASSES - 1 + rare_classes
+        self.rare_masses = np.array([self.rare_mass])  # of each class, an unseen word included
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         get = self.number.get
         return np.fromiter(map(get, words, repeat(0)), np.int64, len(words))
 
+    def rare_class(self, words: list[bytes]) -> np.ndarray:
+        """Classes of words that aren't frequent, by their spelling."""
+        if not len(self.rare_centres) or not words:
+            return np.full(len(words), CLASSES - 1)
+        return CLASSES - 1 + (spelling_vectors(words) @ self.rare_centres.T).argmax(axis=1)
+
+
+def word_key(word: bytes) -> int:
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
+
 
 def context_features(ids: np.ndarray) -> np.ndarray:
     """Feature numbers (tokens x 2) of one text: word before and skip. Before the start: -1."""
     one = np.concatenate([[-1], ids[:-1]])
     two = np.concatenate([[-1, -1], ids[:-2]])[: len(ids)]
-    return np.stack([(mix64((p + (k << 40)).view(U64)) % U64(FEATURES)).astype(np.int32) for k, p in enumerate((one, two), 1)], axis=1)
+    return np.stack([2 * one + 2, 2 * two + 3], axis=1)
 
 
 def class_log_probs(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
@@ -142,9 +180,10 @@ def update(weights: np.ndarray, squares: np.ndarray, touched: np.ndarray, featur
     root of its running sum of squares (kept by feature)."""
     gradient = np.exp(class_log_probs(weights, features))
     gradient[np.arange(len(cls)), cls] -= 1
-    slots = features.ravel(order="F").astype(np.uint16)  # FEATURES fit; short integers sort by radix
-    order = np.argsort(slots, kind="stable")
-    sorted_slots = slots[order].astype(np.int64)
+    slots = features.ravel(order="F")
+    order = np.argsort(slots.astype(np.uint16), kind="stable")  # short integers sort by radix
+    order = order[np.argsort((slots[order] >> 16).astype(np.uint16), kind="stable")]
+    sorted_slots = slots[order]
     starts = np.flatnonzero(np.diff(sorted_slots, prepend=-1))
     own = sorted_slots[starts]
     sums = np.add.reduceat(gradient[order % len(cls)], starts, axis=0)
@@ -157,62 +196,257 @@ def update(weights: np.ndarray, squares: np.ndarray, touched: np.ndarray, featur
     weights[own] -= (RATE / np.sqrt(squares[own] + 1e-6))[:, None].astype(np.float32) * mean
 
 
-def texts_in_batches(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, text_at: int):
-    """For each text its ids (the end included) and its words outside the vocabulary."""
-    end = vocabulary.number.get(END, 0)
+def in_chunks(docs: DataFrame) -> DataFrame:
+    """``docs`` with the number of the chunk that a row is in, about CHUNK_BYTES of text each."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, size = TaskContext.get().partitionId() << 33, 0
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            sizes = np.array([len(t or b"") + 1 for t in raw(batch.column(at))], np.int64)
+            own = first + (size + np.cumsum(sizes)) // CHUNK_BYTES
+            size += int(sizes.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(own), *batch.columns], ["chunk", *batch.schema.names])
+
+    return docs.mapInArrow(number, "chunk long, " + ", ".join(f"{n} {t}" for n, t in docs.dtypes))
+
+
+def rare_words(counts: DataFrame, shared) -> DataFrame:
+    """key, n, cls and weights (null: none yet) of every counted word that isn't frequent."""
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        for batch in batches:
+            own, n = raw(batch.column(0)), batch.column(1).to_numpy()
+            at = np.flatnonzero(words.numbers(own) == 0)
+            own = [own[i] for i in at]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(map(word_key, own), pa.int64()), pa.array(n[at]), pa.array(words.rare_class(own), pa.int32()), pa.nulls(len(own), pa.binary())], ["key", "n", "cls", "w"])
+
+    return counts.select("token", "n").mapInArrow(rate, "key long, n long, cls int, w binary")
+
+
+def words_of_chunks(chunked: DataFrame, shared, rounds: int) -> DataFrame:
+    """chunk, key, uses: the words of each chunk that aren't frequent. Bit r of ``uses``:
+    in a training text of round r."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out():
+            return pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(held), chunk), pa.int64()), pa.array(map(word_key, held.keys()), pa.int64()), pa.array(held.values(), pa.int32())], ["chunk", "key", "uses"])
+
+        number, held, chunk = shared.value.number, {}, 0
+        for batch in batches:
+            for own, text, r in zip(batch.column(0).to_pylist(), raw(batch.column(1)), batch.column(2).to_pylist()):
+                if own != chunk:
+                    yield out()
+                    held, chunk = {}, own
+                bit = 0 if r is None else 1 << r
+                for words in [[END], *word_runs((text or b"").lower())]:
+                    for word in set(words).difference(number):
+                        held[word] = held.get(word, 0) | bit
+        yield out()
+
+    return chunked.select("chunk", "text", "round").mapInArrow(find, "chunk long, key long, uses int")
+
+
+def meet(texts: DataFrame, needs: DataFrame, rare: DataFrame) -> DataFrame:
+    """The rows of each chunk in one task, its words first: chunk, kind (0 word, 1 text),
+    key, n, cls, w, doc_id, text."""
+    null = F.lit(None)
+    words = needs.join(rare, "key").select("chunk", F.lit(0).alias("kind"), "key", "n", "cls", "w", null.cast("long").alias("doc_id"), null.cast("string").alias("text"))
+    texts = texts.select("chunk", F.lit(1).alias("kind"), *(null.cast(t).alias(c) for c, t in (("key", "long"), ("n", "long"), ("cls", "int"), ("w", "binary"))), "doc_id", "text")
+    return words.unionByName(texts).repartition("chunk").sortWithinPartitions("chunk", "kind")
+
+
+class Chunk:
+    """Texts with their words numbered: frequent ones as in the vocabulary, the others from there."""
+
+    def __init__(self, parts: list[pa.RecordBatch], vocabulary: Vocabulary) -> None:
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        n_words = int((rows["kind"].to_numpy() == 0).sum())
+        lexicon, texts = rows.slice(0, n_words), rows.slice(n_words)
+        self.doc_ids = texts["doc_id"].combine_chunks()
+        first, local = len(vocabulary.number) + 1, {}
+        self.ids: list[np.ndarray] = []
+        for column in texts["text"].chunks:
+            for text in raw(column):
+                ids = []
+                for words in [*word_runs((text or b"").lower()), [END]]:
+                    own = vocabulary.numbers(words)
+                    rare = np.flatnonzero(own == 0)
+                    if len(rare):
+                        own[rare] = [local.setdefault(words[i], first + len(local)) for i in rare]
+                    ids.append(own)
+                self.ids.append(np.concatenate(ids))
+        names = list(local)
+        self.keys = np.array([word_key(w) for w in names], np.int64)
+        keys, at = np.unique(lexicon["key"].to_numpy(), return_index=True)
+        place = np.searchsorted(keys, self.keys)
+        found = np.zeros(len(names), bool)
+        inside = np.flatnonzero(place < len(keys))
+        found[inside] = keys[place[inside]] == self.keys[inside]
+        at = at[place[found]]
+        n, cls = np.zeros(len(names)), np.zeros(len(names), np.int64)
+        n[found], cls[found] = lexicon["n"].to_numpy()[at], lexicon["cls"].to_numpy()[at]
+        cls[~found] = vocabulary.rare_class([names[i] for i in np.flatnonzero(~found)])
+        # Weights of both features of each of these words; without any: 0.
+        self.weights = np.zeros((len(names), 2, vocabulary.classes), np.float32)
+        w = lexicon["w"].take(pa.array(at)).to_pylist()
+        own = [i for i, x in zip(np.flatnonzero(found), w) if x is not None]
+        self.weights[own] = unpacked([x for x in w if x is not None], vocabulary.classes)
+        self.cls = np.concatenate([vocabulary.cls, cls])
+        self.counted = np.concatenate([np.ones(first, bool), found])
+        self.known = np.concatenate([vocabulary.known, np.log10(n + 1)])
+        self.inside = np.concatenate([vocabulary.inside, np.log10((n + 1) / vocabulary.rare_masses[cls - CLASSES + 1])])
+
+
+def chunks_in(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[Chunk]:
+    held: list[pa.RecordBatch] = []
+    last = None
     for batch in batches:
-        for row, text in enumerate(raw(batch.column(text_at))):
-            ids, rare = [], Counter()
-            for words in word_runs((text or b"").lower()):
-                own = vocabulary.numbers(words)
-                ids.append(own)
-                rare.update(compress(words, (own == 0).tolist()))
-            ids.append(np.array([end]))
-            if not end:
-                rare[END] += 1
-            yield batch, row, np.concatenate(ids), rare
-
-
-def train_classes(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights (FEATURES + 1 x CLASSES, float32; the last row is the bias)."""
-    spark = docs.sparkSession
-    weights = np.zeros((FEATURES + 1, CLASSES), np.float32)
-    prior = np.bincount(vocabulary.cls[1:], weights=10 ** vocabulary.known[1:], minlength=CLASSES)
-    prior[-1] += vocabulary.rare_mass
+        own = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(own)) + 1).tolist(), len(own)]
+        for start, stop in zip(cuts, cuts[1:]):
+            if stop > start:
+                if held and own[start] != last:
+                    yield Chunk(held, vocabulary)
+                    held = []
+                held.append(batch.slice(start, stop - start))
+                last = own[start]
+    if held:
+        yield Chunk(held, vocabulary)
+
+
+def packed(x: np.ndarray) -> pa.Array:
+    """A row of half-precision numbers for each word: weights of its two features by class."""
+    flat = np.ascontiguousarray(x.reshape(len(x), -1).astype(np.float16))
+    size = flat.shape[1] * 2
+    data = flat.tobytes()
+    return pa.array([data[i:i + size] for i in range(0, len(data), size)], pa.binary())
+
+
+def unpacked(values: list[bytes], classes: int) -> np.ndarray:
+    return np.frombuffer(b"".join(values), np.float16).reshape(-1, 2, classes).astype(np.float32)
+
+
+class Weights:
+    """Weights of the frequent words, then those of a chunk's other words; the last row is the bias."""
+
+    def __init__(self, start: np.ndarray) -> None:
+        self.first = len(start) - 1
+        self.all = start.copy()
+
+    def put(self, chunk: Chunk) -> None:
+        rows = self.first + 2 * len(chunk.keys) + 1
+        if rows > len(self.all):
+            grown = np.zeros((rows + rows // 8, self.all.shape[1]), np.float32)
+            grown[:self.first], grown[-1] = self.all[:self.first], self.all[-1]
+            self.all = grown
+        self.all[self.first:rows - 1] = chunk.weights.reshape(-1, self.all.shape[1])
+
+
+CHANGES = "frequent boolean, key long, n_1 long, n_2 long, w binary"
+
+
+def add_up(batches: Iterator[pa.RecordBatch], classes: int) -> Iterator[pa.RecordBatch]:
+    """Mean change by key, weighted by the tokens that touched each feature; rows come in order."""
+    def out(part):
+        frequent, keys, n, sums = part
+        mean = sums / np.maximum(n, 1)[:, :, None]
+        return pa.RecordBatch.from_arrays([pa.array(frequent), pa.array(keys), pa.array(n[:, 0]), pa.array(n[:, 1]), packed(mean)], ["frequent", "key", "n_1", "n_2", "w"])
+
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        frequent, keys = np.array(batch.column(0).to_pylist(), bool), batch.column(1).to_numpy()
+        n = np.stack([batch.column(2).to_numpy(), batch.column(3).to_numpy()], axis=1)
+        sums = unpacked(batch.column(4).to_pylist(), classes) * n[:, :, None]
+        if held is not None:
+            frequent, keys = np.append(held[0], frequent), np.append(held[1], keys)
+            n, sums = np.concatenate([held[2], n]), np.concatenate([held[3], sums])
+        starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (frequent[1:] != frequent[:-1])))
+        frequent, keys, n, sums = frequent[starts], keys[starts], np.add.reduceat(n, starts, axis=0), np.add.reduceat(sums, starts, axis=0)
+        held = frequent[-1:], keys[-1:], n[-1:], sums[-1:]
+        if len(keys) > 1:
+            yield out((frequent[:-1], keys[:-1], n[:-1], sums[:-1]))
+    if held is not None:
+        yield out(held)
+
+
+def with_changes(rare: DataFrame, changes: DataFrame, classes: int) -> DataFrame:
+    """``rare`` with the changes of a round added to its weights."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = np.zeros((batch.num_rows, 2, classes), np.float32)
+            some = np.zeros(batch.num_rows, bool)
+            for column in (3, 4):
+                own = batch.column(column).to_pylist()
+                at = [i for i, x in enumerate(own) if x is not None]
+                sums[at] += unpacked([own[i] for i in at], classes)
+                some[at] = True
+            w = pa.array([x if s else None for x, s in zip(packed(sums).to_pylist(), some)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], w], ["key", "n", "cls", "w"])
+
+    own = changes.filter("NOT frequent").select("key", F.col("w").alias("change"))
+    return rare.join(own, "key", "left").select("key", "n", "cls", "w", "change").mapInArrow(add, "key long, n long, cls int, w binary")
+
+
+def train_classes(chunked: DataFrame, needs: DataFrame, rare: DataFrame, vocabulary: Vocabulary, shared_vocabulary, rounds: int = ROUNDS) -> tuple[np.ndarray, DataFrame]:
+    """Weights of the frequent words (features + 1 x classes, float32; the last row is the
+    bias), and ``rare`` with the weights of the others."""
+    spark, classes = chunked.sparkSession, vocabulary.classes
+    pairs = len(vocabulary.number) + 2  # before the start, no word, the frequent words
+    weights = np.zeros((2 * pairs + 1, classes), np.float32)
+    prior = np.bincount(vocabulary.cls[1:], weights=10 ** vocabulary.known[1:], minlength=classes).astype(float)
+    prior[CLASSES - 1:] += vocabulary.rare_masses
     weights[-1] = np.log(np.maximum(prior, 1e-3) / max(1e-3, prior.sum()))
-    shared_vocabulary = spark.sparkContext.broadcast(vocabulary)
-    columns = [f"w{c}" for c in range(CLASSES)]
-    text_hash = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))
     for r in range(rounds):
         shared = spark.sparkContext.broadcast(weights)
 
-        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            start, words = shared.value, shared_vocabulary.value
-            own, squares, touched = start.copy(), np.zeros(len(start)), np.zeros(len(start), np.int64)
-            features, cls, held = [], [], 0
-            for _, _, ids, _ in texts_in_batches(batches, words, 0):
-                features.append(context_features(ids))
-                cls.append(words.cls[ids])
-                held += len(ids)
-                if held >= BATCH:
-                    x, y = np.concatenate(features), np.concatenate(cls)
-                    for i in range(0, len(y), BATCH):
-                        update(own, squares, touched, x[i:i + BATCH], y[i:i + BATCH])
-                    features, cls, held = [], [], 0
-            if held:
-                update(own, squares, touched, np.concatenate(features), np.concatenate(cls))
-            at = np.flatnonzero(touched)
-            change = (own - start)[at] * touched[at, None]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at, pa.int32()), pa.array(touched[at])] + [pa.array(x, pa.float32()) for x in change.astype(np.float32).T], ["feature", "n", *columns])
-
-        share = docs.filter(text_hash == r).select(F.col("text").cast("string"))
-        changes = share.mapInArrow(learn, "feature int, n long, " + ", ".join(f"{c} float" for c in columns))
-        summed = changes.groupBy("feature").agg(F.sum("n").alias("n"), *(F.sum(c).alias(c) for c in columns)).toPandas()  # FEATURES + 1 rows at most
+        def learn(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            def out(frequent: bool, keys: np.ndarray, n: np.ndarray, change: np.ndarray) -> Iterator[pa.RecordBatch]:
+                some = np.flatnonzero(n.any(axis=1))
+                for at in np.array_split(some, len(some) // 8192 + 1):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(at), frequent)), pa.array(keys[at]), pa.array(n[at, 0]), pa.array(n[at, 1]), packed(change[at])], ["frequent", "key", "n_1", "n_2", "w"])
+
+            start, own = shared.value, Weights(shared.value)
+            squares, touched, first = np.zeros(len(start)), np.zeros(len(start), np.int64), len(start) - 1
+            for chunk in chunks_in(batches, shared_vocabulary.value):
+                own.put(chunk)
+                if len(own.all) > len(squares):  # the rows of other words start anew in each chunk, the bias stays last
+                    more = len(own.all) - len(squares)
+                    squares, touched = (np.concatenate([x[:-1], np.zeros(more, x.dtype), x[-1:]]) for x in (squares, touched))
+                squares[first:-1], touched[first:-1] = 0, 0
+                x, y = np.concatenate([context_features(i) for i in chunk.ids]), chunk.cls[np.concatenate(chunk.ids)]
+                for i in range(0, len(y), BATCH):
+                    update(own.all, squares, touched, x[i:i + BATCH], y[i:i + BATCH])
+                stop = first + 2 * len(chunk.keys)
+                change = own.all[first:stop].reshape(-1, 2, classes) - chunk.weights
+                yield from out(False, chunk.keys, touched[first:stop].reshape(-1, 2), change)
+            change = (own.all[:first] - start[:first]).reshape(-1, 2, classes)
+            yield from out(True, np.arange(pairs), touched[:first].reshape(-1, 2), change)
+            bias = np.stack([own.all[-1] - start[-1], np.zeros(classes, np.float32)])[None]
+            yield from out(True, np.array([pairs]), np.array([[touched[-1], 0]]), bias)
+
+        texts, words = chunked.filter(F.col("round") == r), needs.filter(F.col("uses").bitwiseAND(1 << r) != 0).select("chunk", "key").distinct()
+        changes = meet(texts, words, rare).mapInArrow(learn, CHANGES)
+        changes = changes.repartition("key").sortWithinPartitions("frequent", "key").mapInArrow(lambda batches: add_up(batches, classes), CHANGES)
+        changes = stored(changes, "lm-changes")
         weights = weights.copy()
-        weights[summed["feature"]] += (summed[columns].to_numpy(float) / np.maximum(summed[["n"]].to_numpy(float), 1)).astype(np.float32)
+        summed = changes.filter("frequent").select("key", "w").toPandas()  # the frequent words at most
+        if len(summed):
+            change = unpacked([bytes(x) for x in summed["w"]], classes)
+            key = summed["key"].to_numpy()
+            words_at = key < pairs
+            weights[:-1].reshape(-1, 2, classes)[key[words_at]] += change[words_at]
+            weights[-1] += change[~words_at][:, 0].sum(axis=0)
+        rare = stored(with_changes(rare, changes, classes), "lm-rare")
         shared.destroy()
-    return weights
+    return weights, rare
 
 
 def score_texts(docs: DataFrame, training: Column, rounds: int = ROUNDS) -> DataFrame:
@@ -223,66 +457,46 @@ def score_texts(docs: DataFrame, training: Column, rounds: int = ROUNDS) -> Data
     Null text: empty, which is the end token alone. Repeated rows count as often as they
     occur and get equal scores. With no training text the counts are 0 and every
     word is unseen; an empty table gives an empty result. Word order within a text and
-    whole texts count; a text of any length is read in runs.
+    whole texts count.
     """
     spark = docs.sparkSession
+    text_hash = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)).cast("int")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), training.alias("training"))
-    learned = docs.filter("training").select("doc_id", "text")
-    counts = stored(token_counts(learned), "tokens")
+    chunked = stored(in_chunks(docs.select("doc_id", "text", F.when(F.col("training"), text_hash).alias("round"))), "lm-chunks")
+    counts = stored(token_counts(chunked.filter("round IS NOT NULL")), "tokens")
     tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = frequent_tokens(counts)
+    top = frequent_tokens(counts, VOCABULARY)
     vocabulary = Vocabulary([w.encode() for w in top["token"]], top["n"].to_numpy(float), tokens, types)
-    weights = spark.sparkContext.broadcast(train_classes(learned, vocabulary, rounds))
+    rare = stored(rare_words(counts, spark.sparkContext.broadcast(vocabulary)), "lm-rare")
+    vocabulary.rare_masses = np.ones(vocabulary.classes - CLASSES + 1)
+    for row in rare.groupBy("cls").agg(F.sum(F.col("n") + 1).alias("mass")).collect():
+        vocabulary.rare_masses[row.cls - CLASSES + 1] += row.mass
     shared_vocabulary = spark.sparkContext.broadcast(vocabulary)
+    needs = stored(words_of_chunks(chunked, shared_vocabulary, rounds), "lm-needs")
+    weights, rare = train_classes(chunked, needs, rare, vocabulary, shared_vocabulary, rounds)
+    shared = spark.sparkContext.broadcast(weights)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, w = shared_vocabulary.value, weights.value
-        names = ["doc_id", "n_tokens", "n_frequent", "known_sum", "score_sum", "rare"]
-        def out() -> pa.RecordBatch:
-            ids = np.concatenate(held["ids"])
-            x, text = np.concatenate(held["x"]), np.repeat(np.arange(len(held["ids"])), [len(i) for i in held["ids"]])
+        own = Weights(shared.value)
+        for chunk in chunks_in(batches, shared_vocabulary.value):
+            own.put(chunk)
+            ids, n = np.concatenate(chunk.ids), len(chunk.ids)
+            x, text = np.concatenate([context_features(i) for i in chunk.ids]), np.repeat(np.arange(n), [len(i) for i in chunk.ids])
             logs = np.empty(len(ids))
             for i in range(0, len(ids), BATCH):
-                part = class_log_probs(w, x[i:i + BATCH])
-                logs[i:i + BATCH] = part[np.arange(len(part)), words.cls[ids[i:i + BATCH]]]
-            logs = logs / np.log(10) + words.inside[ids]
-            n = len(held["ids"])
-            pairs = [pa.array(list(chain.from_iterable(r.keys() for r in held["rare"])), pa.binary()).cast(pa.string()),
-                     pa.array(list(chain.from_iterable(r.values() for r in held["rare"])), pa.int64())]
-            rare = pa.ListArray.from_arrays(
-                pa.array(np.cumsum([0, *(len(r) for r in held["rare"])]), pa.int32()), pa.StructArray.from_arrays(pairs, ["token", "n"]))
-            return pa.RecordBatch.from_arrays([
-                pa.array(held["doc"], pa.int64()), pa.array([len(i) for i in held["ids"]], pa.int64()),
-                pa.array([int((i > 0).sum()) for i in held["ids"]], pa.int64()), pa.array(np.bincount(text, words.known[ids], n)),
-                pa.array(np.bincount(text, logs, n)), rare,
-            ], names)
-
-        held: dict[str, list] = {"doc": [], "ids": [], "x": [], "rare": []}
-        size = 0
-        for batch, row, ids, rare in texts_in_batches(batches, words, 1):
-            for key, value in (("doc", batch.column(0)[row].as_py()), ("ids", ids), ("x", context_features(ids)), ("rare", rare)):
-                held[key].append(value)
-            size += len(ids)
-            if size >= 8 * BATCH:
-                yield out()
-                held, size = {k: [] for k in held}, 0
-        if held["ids"]:
-            yield out()
-
-    scored = docs.select("doc_id", "text").mapInArrow(
-        score, "doc_id long, n_tokens long, n_frequent long, known_sum double, score_sum double, rare array<struct<token string, n long>>")
-    scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scored")  # numbered once, then stored
-
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.token", F.col("r.n").alias("times"))
-    found = rare.join(counts, "token").groupBy("row").agg(F.sum("times").alias("n_rare_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rare_sum"))
-    joined = scored.drop("rare").join(found, "row", "left")
-    zero = F.lit(0.0)
-    rare_sum, n_rare = F.coalesce("rare_sum", zero), F.col("n_tokens") - F.col("n_frequent")
-    return joined.select(
-        "doc_id", "n_tokens", (F.col("n_frequent") + F.coalesce("n_rare_known", F.lit(0))).alias("n_known"),
-        F.lit(int(tokens)).cast("long").alias("train_tokens"),
-        (F.col("known_sum") + rare_sum - F.col("n_tokens") * F.log10(F.lit(float(tokens + types + 1)))).alias("base_score"),
-        (F.col("score_sum") + rare_sum - n_rare * F.log10(F.lit(vocabulary.rare_mass))).alias("score"))
+                part = class_log_probs(own.all, x[i:i + BATCH])
+                logs[i:i + BATCH] = part[np.arange(len(part)), chunk.cls[ids[i:i + BATCH]]]
+            logs = logs / np.log(10) + chunk.inside[ids]
+            yield pa.RecordBatch.from_arrays([
+                chunk.doc_ids, pa.array([len(i) for i in chunk.ids], pa.int64()), pa.array(np.bincount(text, chunk.counted[ids], n).astype(np.int64)),
+                pa.array(np.bincount(text, chunk.known[ids], n)), pa.array(np.bincount(text, logs, n)),
+            ], ["doc_id", "n_tokens", "n_known", "known_sum", "score"])
+
+    met = meet(chunked, needs.select("chunk", "key").distinct(), rare)
+    scored = met.mapInArrow(score, "doc_id long, n_tokens long, n_known long, known_sum double, score double")
+    return scored.select(
+        "doc_id", "n_tokens", "n_known", F.lit(int(tokens)).cast("long").alias("train_tokens"),
+        (F.col("known_sum") - F.col("n_tokens") * F.log10(F.lit(float(tokens + types + 1)))).alias("base_score"), "score")
 
 
 def held_out(mod: int, remainder: int) -> Column:

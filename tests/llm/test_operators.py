@@ -547,6 +547,22 @@ def test_language_model(spark, docs, nothing, monkeypatch):
     assert all(r.n_known == 0 and r.base_score == 0 for r in untrained)
 
 
+def test_rare_words_are_contexts_of_their_own(spark, monkeypatch):
+    """The words beyond the vocabulary tell what follows, and ties at the cut are broken."""
+    ties = spark.createDataFrame([(f"w{i}", 5) for i in range(400)] + [("top", 90)], "token string, n long")
+    some = list(entropy_lm.frequent_tokens(ties, 100)["token"])
+    assert some[0] == "top" and 80 <= len(some) <= 100
+    cut = entropy_lm.frequent_tokens
+    monkeypatch.setattr(entropy_lm, "frequent_tokens", lambda counts, *_: cut(counts, 3))
+    rng = random.Random(3)
+    data = [(i, " ".join(f"{(w := rng.randint(0, 39))}n {['llll', 'rrrr'][w % 2]}" for _ in range(60))) for i in range(400)]
+    right, wrong = (" ".join(f"{w}n {['llll', 'rrrr'][(w + off) % 2]}" for w in range(40)) for off in (0, 1))
+    df = spark.createDataFrame([*data, (1000, right), (1001, wrong)], "doc_id long, text string")
+    got = {r.doc_id: r for r in entropy_lm.score_texts(df, F.col("doc_id") < 1000).filter("doc_id >= 1000").collect()}
+    assert got[1000].n_known == got[1001].n_known == 81
+    assert got[1000].score > got[1001].score + 10
+
+
 def test_class_probabilities_sum_to_one():
     vocabulary = entropy_lm.Vocabulary([b"\n", b"the", b"of", b"cat"], np.array([9.0, 8, 5, 2]), 30, 10)
     inside = 10 ** vocabulary.inside[1:]
