@@ -122,7 +122,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words_each: int) -> DataFrame:
     wanted = wanted.select(F.col("node").alias("wanted"), F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # By text as well: an id that many texts share mustn't bring each of them to each of its sets.
-    found = texts.withColumn("own", F.xxhash64("text")).join(wanted, F.expr("doc_id = __id AND own = __hash")).select("wanted", "text")
+    found = texts.withColumn("own", F.xxhash64("text")).join(wanted, F.expr("doc_id <=> __id AND own = __hash")).select("wanted", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
@@ -205,23 +205,12 @@ def block_links(x: dict, y: dict, percent: int) -> list[tuple[bytes, bytes]]:
     return out
 
 
-def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80) -> DataFrame:
-    """Components of near duplicates in ``docs`` (doc_id, text; other columns are ignored).
-
-    Documents of which the sets of ``words_each``-word shingles (A-Z lower-cased) have
-    a Jaccard similarity of ``percent`` / 100 or more are linked. Returns a row per input
-    row: doc_id, text_hash, n_shingles, component_id (least doc_id of the component) and
-    kept (doc_id = component_id).
-
-    Null or empty texts, and texts without words, have no shingles, are linked with
-    nothing and kept. Rows without a doc_id have no part in the links; their
-    component_id is null and they are kept. Repeated rows are in one class. An empty
-    table gives an empty result. Pairs that share no band are missed (see BANDS);
-    every link reported is exact.
-    """
-    sketches = stored(sketch(docs, words_each), "sketch")
-    known = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    nodes = stored(known.groupBy("node", "n_shingles", "bands").agg(F.min("doc_id").alias("doc_id"), F.min_by("text_hash", "doc_id").alias("text_hash")), "nodes")
+def linked_nodes(docs: DataFrame, known: DataFrame, words_each: int, percent: int) -> DataFrame:
+    """node, doc_id (the least, null if no row has one) and comp, the component's name,
+    for the nodes of ``known`` (rows of the sketch that have shingles)."""
+    nodes = known.groupBy("node", "n_shingles", "bands").agg(
+        F.min("doc_id").alias("doc_id"), F.coalesce(F.min_by("text_hash", "doc_id"), F.min("text_hash")).alias("text_hash"))
+    nodes = stored(nodes, "nodes")
 
     banded = nodes.select("node", "n_shingles", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min(F.struct("node", "n_shingles")).alias("first")).filter("size > 1")
@@ -269,7 +258,25 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80) ->
     if not more.isEmpty():
         comp = components(links.unionByName(more))
 
-    ids = nodes.select("node", "doc_id").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    return nodes.select("node", "doc_id").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+
+def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80) -> DataFrame:
+    """Components of near duplicates in ``docs`` (doc_id, text; other columns are ignored).
+
+    Documents of which the sets of ``words_each``-word shingles (A-Z lower-cased) have
+    a Jaccard similarity of ``percent`` / 100 or more are linked. Returns a row per input
+    row: doc_id, text_hash, n_shingles, component_id (least doc_id of the component) and
+    kept (doc_id = component_id).
+
+    Null or empty texts, and texts without words, have no shingles, are linked with
+    nothing and kept. Rows without a doc_id have no part in the links; their
+    component_id is null and they are kept. Repeated rows are in one class. An empty
+    table gives an empty result. Pairs that share no band are missed (see BANDS);
+    every link reported is exact.
+    """
+    sketches = stored(sketch(docs, words_each), "sketch")
+    ids = linked_nodes(docs, sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL"), words_each, percent)
     least = ids.groupBy("comp").agg(F.min("doc_id").alias("component"))
     ids = stored(ids.join(least, "comp").select(F.col("node").alias("__n"), "component"), "component-ids")
     out = sketches.drop("bands").join(ids, F.expr("node = __n"), "left")
@@ -280,9 +287,15 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80) ->
 
 def keep_one(docs: DataFrame, words_each: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, with all their columns, without near duplicates: of each
-    component the document of the least doc_id stays, and of rows that agree in doc_id
-    and text one. Rows without a doc_id all stay."""
-    stay = near_duplicates(docs, words_each, percent).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    component one row stays, that of the least doc_id (null last) and then of the least
+    text hash. Here rows without a doc_id are linked like others. Texts without
+    shingles stay; of rows that agree in doc_id and text one."""
+    sketches = stored(sketch(docs, words_each), "sketch")
+    comp = linked_nodes(docs, sketches.filter("n_shingles > 0"), words_each, percent).select(F.col("node").alias("__n"), "comp")
+    rows = sketches.select("doc_id", "text_hash", "node")
+    by_id = rows.join(comp, F.expr("node = __n")).groupBy("comp", "doc_id").agg(F.min("text_hash").alias("text_hash"))
+    least = by_id.groupBy("comp").agg(F.min("doc_id").alias("doc_id"), F.coalesce(F.min_by("text_hash", "doc_id"), F.min("text_hash")).alias("text_hash")).drop("comp")
+    stay = least.unionByName(rows.filter("node IS NULL").drop("node").distinct()).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
     keyed = docs.withColumn("__own", F.xxhash64(F.col("text").cast("string"))).withColumn("__doc", F.col("doc_id").cast("long"))
-    found = keyed.join(stay, F.expr("__doc = __id AND __own = __hash"), "left_semi").dropDuplicates(["__doc", "__own"])
-    return found.unionByName(keyed.filter("__doc IS NULL")).drop("__own", "__doc")
+    found = keyed.join(stay, F.expr("__doc <=> __id AND __own = __hash"), "left_semi").dropDuplicates(["__doc", "__own"])
+    return found.drop("__own", "__doc")

@@ -395,6 +395,18 @@ def test_keep_one(docs, nothing):
     assert near_dedup.near_duplicates(nothing).count() == 0 and near_dedup.keep_one(nothing).count() == 0
 
 
+def test_keep_one_without_ids_and_of_one_id(spark):
+    """Copies and near copies count by their text, whatever their ids."""
+    data = [(None, words(60, 1))] * 5 + [(None, words(60, 1) + " x"), (None, words(60, 2)), (8, words(60, 2) + " y")]
+    data += [(9, words(60, 3) + end) for end in ("", " a", " b")] + [(9, words(60, 4)), (10, words(60, 4))] + [(None, "")] * 3 + [(None, None), (11, "")]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = near_dedup.keep_one(df).collect()
+    stems = sorted(((r.doc_id, " ".join((r.text or "").split()[:60])) for r in got), key=repr)
+    want = [(None, words(60, 1)), (8, words(60, 2)), (9, words(60, 3)), (9, words(60, 4)), (None, ""), (None, ""), (11, "")]
+    assert stems == sorted(want, key=repr)
+    assert sorted(r.text is None for r in got) == [False] * 6 + [True]
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(bytes([i]), bytes([i + 1])) for i in range(60) if i != 30], "a binary, b binary")
     got = {r.node[0]: r.comp[0] for r in near_dedup.components(edges).collect()}
