@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, entropy_lm, line_dedup, mixing, near_dedup, outliers, quality, sharding, toxicity, url_filter
+from . import decontaminate, entropy_lm, line_dedup, manifest, mixing, near_dedup, outliers, quality, sharding, toxicity, url_filter
 from .shared import id_remainder, table
 
 
@@ -63,10 +63,16 @@ def op10_hashed_entropy_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entropy_lm.score_texts(docs, ~held_out).withColumn("held_out", held_out)
 
 
+def op11_slot_pivot_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    return manifest.manifest(docs, tampered, F.translate("text", "\n", ""))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pigeonhole_decontamination, op2_perfect_hash_line_dedup, op3_mcd_quality_rules, op4_bounded_ring_sharding,
     op5_hypergeometric_mixing, op6_circulant_minhash_dedup, op7_weak_label_quality, op8_counterfactual_toxicity,
-    op9_ngram_url_filter, op10_hashed_entropy_lm)}
+    op9_ngram_url_filter, op10_hashed_entropy_lm, op11_slot_pivot_manifest)}
 
 #: DuckDB SQL of the queries that SQL can express. The others are fitted models, hash
 #: placements and similarity searches; tests/llm holds them against brute force.
