@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, entropy_lm, line_dedup, manifest, mixing, near_dedup, outliers, quality, sharding, toxicity, url_filter
+from . import conversation, decontaminate, entropy_lm, language_id, line_dedup, manifest, mixing, near_dedup, outliers, quality, sharding, toxicity, url_filter
+from .oracle import ORACLE_SQL  # noqa: F401
 from .shared import id_remainder, table
 
 
@@ -69,25 +70,18 @@ def op11_slot_pivot_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(docs, tampered, F.translate("text", "\n", ""))
 
 
+def op12_byte_convolution_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = id_remainder(F.col("doc_id"), 3) == 1
+    return language_id.identify(docs, ~held_out).withColumn("held_out", held_out)
+
+
+def op13_rank_convergence_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation.audit(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pigeonhole_decontamination, op2_perfect_hash_line_dedup, op3_mcd_quality_rules, op4_bounded_ring_sharding,
     op5_hypergeometric_mixing, op6_circulant_minhash_dedup, op7_weak_label_quality, op8_counterfactual_toxicity,
-    op9_ngram_url_filter, op10_hashed_entropy_lm, op11_slot_pivot_manifest)}
-
-#: DuckDB SQL of the queries that SQL can express. The others are fitted models, hash
-#: placements and similarity searches; tests/llm holds them against brute force.
-ORACLE_SQL = {
-    "op2_perfect_hash_line_dedup": r"""
-WITH lines AS (
-  SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
-         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
-  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)),
-repeated AS (
-  SELECT k, max(doc_id) AS holder FROM lines WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
-marked AS (
-  SELECT l.*, r.k IS NOT NULL AND l.doc_id <> r.holder AS gone FROM lines l LEFT JOIN repeated r ON l.k = r.k)
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM marked GROUP BY doc_id""",
-}
+    op9_ngram_url_filter, op10_hashed_entropy_lm, op11_slot_pivot_manifest,
+    op12_byte_convolution_language, op13_rank_convergence_repair)}
