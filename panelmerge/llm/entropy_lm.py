@@ -1,26 +1,26 @@
-"""LM scoring by a maximum-entropy model with a class-factored softmax.
-
-P(word | context) = P(class | context) x P(word | class). The class is a softmax
-over two context features: the word before, and the one before that (a skip
-feature). Every counted word has both features, and words are classed by hashed
-spelling: the ``VOCABULARY`` most frequent in ``CLASSES`` - 1 classes, the others in
-classes of their own, which grow with the counted types. Each of these also has a
-word that was never seen, with a count of 0, plus 1.
-
-Training: token counts of all training texts by one aggregation; then rounds of
-distributed gradient updates. In a round every task runs minibatch updates on its
-share of the training texts, starting from the common weights, and returns what
-changed by word; the changes are averaged by Spark, weighted by the tokens that
-touched the feature. Each training text is used in one round.
-
-Frequent words (a bounded number) are looked up in each task, with their weights. The
-others are rows of a Spark table, by 64-bit hash: count, class and weights. Texts are
-cut into chunks of ``CHUNK_BYTES``, and each chunk is joined with the words it holds.
+"""LM scoring by a hashed maximum-entropy model with a class-factored softmax.
+
+P(word | context) = P(class | context) x P(word | class). The class is a softmax over two
+context features: the word before (an n-gram feature), and the one before that (a skip
+feature). Words are classed by hashed spelling: the ``VOCABULARY`` most frequent in
+``CLASSES`` - 1 classes, the others in classes of their own, which grow with the counted
+types. Each of these also has a word that was never seen, with a count of 0, plus 1.
+
+Every counted word has a row of weights for both features. The rows of the ``DENSE`` most
+frequent, and one that all others share, come from rounds of distributed gradient
+updates: in a round every task runs minibatch updates on its share of the training texts,
+starting from the common weights; Spark averages the changes, weighted by the tokens that
+touched the row. The row of any other word is one gradient step more, from the shared row, scaled by
+curvature: Spark sums the classes that followed the word, and the gradient is what was
+seen less what the shared row expects. So a word travels as its few class counts, not as a
+vector of weights, and meets the texts only once, for scoring.
+
+Texts are cut into chunks of ``CHUNK_BYTES``, a longer text into pieces that know the two
+words before them; each chunk is joined with the words it holds.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
@@ -36,15 +36,17 @@ from pyspark.sql import functions as F
 from .shared import id_remainder, raw, stored, word_runs
 
 END = b"\n"  # the end token; no word has a blank
-VOCABULARY = 60_000  # words that each task holds
+VOCABULARY = 60_000  # words that each task holds, with counts, classes and rows
+DENSE = 8192  # of them with rows from the rounds
 CLASSES = 32  # of frequent words, and the first class of the others
-FEATURES = 2 * (VOCABULARY + 2)  # rows of the weights that each task holds, at most
 CHUNK_BYTES = 1 << 22
 ROUNDS = 2
 BATCH = 16_384
 RATE = 0.5
-SPELLING = 192  # places that a word's character n-grams hash to
+CAUTION = 4.0  # what is added to the curvature in the last step
+SPELLING = 192  # places that a word's byte n-grams hash to
 FLUSH = 100_000  # distinct tokens a counting task holds at most
+START = -(1 << 40)  # before the first word
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
@@ -91,20 +93,21 @@ def frequent_tokens(counts: DataFrame, limit: int = VOCABULARY) -> pd.DataFrame:
 
 
 def spelling_vectors(words: list[bytes]) -> np.ndarray:
-    """Hashed character 1- to 3-grams of each word, of length 1."""
-    places, sizes = [], []
-    for word in words:
-        if word.isascii():
-            text = b"^" + word + b"$"
-            grams = [text[j:j + n] for n in (1, 2, 3) for j in range(len(text) - n + 1)]
-        else:
-            text = f"^{word.decode('utf-8', 'replace')}$"
-            grams = [text[j:j + n].encode() for n in (1, 2, 3) for j in range(len(text) - n + 1)]
-        places.extend(map(zlib.crc32, grams))
-        sizes.append(len(grams))
-    at = np.repeat(np.arange(len(words)) * SPELLING, sizes) + np.array(places, np.int64) % SPELLING
-    vectors = np.bincount(at, minlength=len(words) * SPELLING).reshape(-1, SPELLING).astype(np.float32)
-    return vectors / np.maximum(1e-9, np.linalg.norm(vectors, axis=1, keepdims=True))
+    """How many of each word's 1- to 3-grams of bytes, ends marked, hash to each place."""
+    if not words:
+        return np.zeros((0, SPELLING))
+    letters = np.frombuffer(b"^" + b"$^".join(words) + b"$", np.uint8).astype(np.uint64)
+    own = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
+    places, owners, gram = [], [], letters
+    for n in (1, 2, 3):
+        if n > 1:
+            gram = gram[:-1] * np.uint64(257) + letters[n - 1:]
+        within = own[n - 1:] == own[:len(own) - n + 1]
+        hashed = ((gram[within] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+        places.append(hashed.astype(np.int64) % SPELLING)
+        owners.append(own[:len(own) - n + 1][within])
+    at = np.concatenate(owners) * SPELLING + np.concatenate(places)
+    return np.bincount(at, minlength=len(words) * SPELLING).reshape(-1, SPELLING).astype(float)
 
 
 def spelling_classes(vectors: np.ndarray, counts: np.ndarray, classes: int, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
@@ -127,22 +130,24 @@ class Vocabulary:
     """Frequent words by number from 1 (0: any other), their classes and their share of their class."""
 
     def __init__(self, words: list[bytes], counts: np.ndarray, tokens: int, types: int) -> None:
+        self.words = words
         self.number = {w: i + 1 for i, w in enumerate(words)}
         self.tokens, self.types = tokens, types
         self.known = np.concatenate([[0.0], np.log10(counts + 1.0)])
         smooth = counts + 1.0
-        vectors = spelling_vectors(words)
+        vectors = spelling_vectors(words).astype(np.float32)
+        vectors /= np.maximum(1e-9, np.linalg.norm(vectors, axis=1, keepdims=True))
         bins, _ = spelling_classes(vectors, counts, CLASSES - 1)
         self.cls = np.concatenate([[CLASSES - 1], bins])
         mass = np.bincount(bins, weights=smooth, minlength=CLASSES)
         self.inside = np.concatenate([[0.0], np.log10(smooth / mass[bins])])
-        # All other words seen, add-one, and one unseen word.
-        self.rare_mass = float(tokens - counts.sum() + types - len(words) + 1)
         # The others' classes: four more each time that the types double.
         rare_classes = 1 + int(4 * np.log2(max(1.0, types / max(1, len(words)))))
-        _, self.rare_centres = spelling_classes(vectors, counts, rare_classes)
+        _, centres = spelling_classes(vectors, counts, rare_classes)
+        # Whole numbers: sums are exact, so a word's class doesn't hang on the words around it.
+        self.rare_centres = np.round(1000 * centres.astype(float))
         self.classes = CLASSES - 1 + rare_classes
-        self.rare_masses = np.array([self.rare_mass])  # of each class, an unseen word included
+        self.rare_masses = np.ones(rare_classes)  # of each class, an unseen word included
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         get = self.number.get
@@ -150,45 +155,135 @@ class Vocabulary:
 
     def rare_class(self, words: list[bytes]) -> np.ndarray:
         """Classes of words that aren't frequent, by their spelling."""
-        if not len(self.rare_centres) or not words:
-            return np.full(len(words), CLASSES - 1)
-        return CLASSES - 1 + (spelling_vectors(words) @ self.rare_centres.T).argmax(axis=1)
+        out = np.full(len(words), CLASSES - 1)
+        if len(self.rare_centres):
+            for i in range(0, len(words), 4096):
+                out[i:i + 4096] += (spelling_vectors(words[i:i + 4096]) @ self.rare_centres.T).argmax(axis=1)
+        return out
 
 
 def word_key(word: bytes) -> int:
     return int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
 
 
-def context_features(ids: np.ndarray) -> np.ndarray:
-    """Feature numbers (tokens x 2) of one text: word before and skip. Before the start: -1."""
-    one = np.concatenate([[-1], ids[:-1]])
-    two = np.concatenate([[-1, -1], ids[:-2]])[: len(ids)]
-    return np.stack([2 * one + 2, 2 * two + 3], axis=1)
+# ---- chunks of texts
 
+def pieces(text: bytes, size: int) -> Iterator[tuple[bytes, bytes, bool]]:
+    """(the two words before, piece, whether it is the last) of a text, cut at blanks."""
+    start, before = 0, b""
+    while True:
+        stop = start + size
+        while stop < len(text) and text[stop] not in b" \t\n\x0b\x0c\r":
+            stop += 1
+        piece = text[start:stop]
+        yield before, piece, stop >= len(text)
+        if stop >= len(text):
+            return
+        before, start = b" ".join((before.split() + piece.split()[-2:])[-2:]), stop
 
-def class_log_probs(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
-    """Natural log softmax over classes; the last row of ``weights`` is the bias."""
-    z = weights[features[:, 0]]
-    z += weights[features[:, 1]]
-    z += weights[-1]
-    z -= z.max(axis=1, keepdims=True)
+
+def in_chunks(docs: DataFrame) -> DataFrame:
+    """Pieces of the texts of ``docs`` (doc_id, text, round), with the number of the row and of the
+    chunk that they are in, about CHUNK_BYTES of text each."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, size, row = TaskContext.get().partitionId() << 33, 0, 0
+        for batch in batches:
+            out: list[tuple] = []
+            for doc_id, text, r in zip(batch.column(0).to_pylist(), raw(batch.column(1)), batch.column(2).to_pylist()):
+                for before, piece, last in pieces(text or b"", CHUNK_BYTES):
+                    out.append((first + size // CHUNK_BYTES, first + row, doc_id, r, before, piece, last))
+                    size += len(piece) + 1
+                row += 1
+            columns = zip(*out) if out else [[]] * 7
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.bool_())
+            arrays = [pa.array(c, t) for c, t in zip(columns, types)]
+            yield pa.RecordBatch.from_arrays([a.cast(pa.string()) if t == pa.binary() else a for a, t in zip(arrays, types)], ["chunk", "row", "doc_id", "round", "before", "text", "last"])
+
+    return docs.select("doc_id", "text", "round").mapInArrow(cut, "chunk long, row long, doc_id long, round int, before string, text string, last boolean")
+
+
+class Tokens:
+    """Tokens of some pieces. ``ids``: frequent words by number, any other word ``names[-1 - id]``.
+    ``one``, ``two``: the ids before and two before, or START. ``cls``: classes."""
+
+    def __init__(self, rows: list[tuple[bytes, bytes, bool]], vocabulary: Vocabulary) -> None:
+        local: dict[bytes, int] = {}
+        ids, sizes, known = [], [], []
+        for before, text, last in rows:
+            n = 0
+            lead = before.lower().split()
+            for words in [lead, *word_runs(text.lower()), *([[END]] if last else [])]:
+                own = vocabulary.numbers(words)
+                rare = np.flatnonzero(own == 0)
+                if len(rare):
+                    own[rare] = [-1 - local.setdefault(words[i], len(local)) for i in rare]
+                ids.append(own)
+                n += len(own)
+            sizes.append(n)
+            known.append(len(lead))
+        self.names = list(local)
+        flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+        starts = np.cumsum([0, *sizes[:-1]])
+        place = np.arange(len(flat)) - np.repeat(starts, sizes)  # in its piece
+        one, two = np.full(len(flat), START), np.full(len(flat), START)
+        one[1:], two[2:] = flat[:-1], flat[:-2]
+        one[place < 1], two[place < 2] = START, START
+        scored = place >= np.repeat(known, sizes)
+        self.ids, self.one, self.two = flat[scored], one[scored], two[scored]
+        self.row = np.repeat(np.arange(len(rows)), sizes)[scored]
+        self.rare_cls = vocabulary.rare_class(self.names)
+        self.cls = vocabulary.cls[np.maximum(self.ids, 0)]
+        rare = self.ids < 0
+        self.cls[rare] = self.rare_cls[-1 - self.ids[rare]]
+
+
+def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[bytes, bytes, bool]]]:
+    """Pieces (before, text, last) in groups of about CHUNK_BYTES."""
+    held, size = [], 0
+    for batch in batches:
+        for row in zip(raw(batch.column(0)), raw(batch.column(1)), batch.column(2).to_pylist()):
+            held.append(row)
+            size += len(row[1])
+            if size >= CHUNK_BYTES:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+# ---- rounds of gradient updates
+
+def feature_rows(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Rows of the weights (tokens x 2): of the words before, if they are dense; the other words share
+    a row for each feature, and so does the start."""
+    def row(ids):
+        return np.where(ids == START, 0, np.where((ids > 0) & (ids <= DENSE), ids + 1, 1))
+    return np.stack([2 * row(one), 2 * row(two) + 1], axis=1)
+
+
+def class_log_probs(z: np.ndarray) -> np.ndarray:
+    """Natural log softmax over classes."""
+    z = z - z.max(axis=1, keepdims=True)
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
+def rated(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """Sums of the features' rows and the bias, which is the last row."""
+    return weights[features[:, 0]] + weights[features[:, 1]] + weights[-1]
+
+
 def update(weights: np.ndarray, squares: np.ndarray, touched: np.ndarray, features: np.ndarray, cls: np.ndarray) -> None:
-    """One minibatch step: gradient of the mean log loss by feature, scaled by the
-    root of its running sum of squares (kept by feature)."""
-    gradient = np.exp(class_log_probs(weights, features))
+    """One minibatch step: gradient of the mean log loss by row, scaled by the root of its
+    running sum of squares (kept by row)."""
+    gradient = np.exp(class_log_probs(rated(weights, features)))
     gradient[np.arange(len(cls)), cls] -= 1
     slots = features.ravel(order="F")
-    order = np.argsort(slots.astype(np.uint16), kind="stable")  # short integers sort by radix
-    order = order[np.argsort((slots[order] >> 16).astype(np.uint16), kind="stable")]
+    order = np.argsort(slots.astype(np.uint16) if len(weights) < 1 << 16 else slots, kind="stable")  # short integers sort by radix
     sorted_slots = slots[order]
     starts = np.flatnonzero(np.diff(sorted_slots, prepend=-1))
-    own = sorted_slots[starts]
-    sums = np.add.reduceat(gradient[order % len(cls)], starts, axis=0)
-    own = np.append(own, len(weights) - 1)
-    sums = np.vstack([sums, gradient.sum(axis=0)])
+    own = np.append(sorted_slots[starts], len(weights) - 1)
+    sums = np.vstack([np.add.reduceat(gradient[order % len(cls)], starts, axis=0), gradient.sum(axis=0)])
     counts = np.append(np.diff(np.append(starts, len(order))), len(cls))
     mean = sums / np.sqrt(counts)[:, None]
     squares[own] += (mean**2).mean(axis=1)
@@ -196,112 +291,156 @@ def update(weights: np.ndarray, squares: np.ndarray, touched: np.ndarray, featur
     weights[own] -= (RATE / np.sqrt(squares[own] + 1e-6))[:, None].astype(np.float32) * mean
 
 
-def in_chunks(docs: DataFrame) -> DataFrame:
-    """``docs`` with the number of the chunk that a row is in, about CHUNK_BYTES of text each."""
+def packed(x: np.ndarray) -> pa.Array:
+    """Each row as half-precision numbers."""
+    data, size = np.ascontiguousarray(x, np.float16).tobytes(), 2 * x.shape[1]
+    return pa.array([data[i:i + size] for i in range(0, len(data), size)], pa.binary())
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, size = TaskContext.get().partitionId() << 33, 0
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            sizes = np.array([len(t or b"") + 1 for t in raw(batch.column(at))], np.int64)
-            own = first + (size + np.cumsum(sizes)) // CHUNK_BYTES
-            size += int(sizes.sum())
-            yield pa.RecordBatch.from_arrays([pa.array(own), *batch.columns], ["chunk", *batch.schema.names])
 
-    return docs.mapInArrow(number, "chunk long, " + ", ".join(f"{n} {t}" for n, t in docs.dtypes))
+def unpacked(values: list[bytes], classes: int) -> np.ndarray:
+    return np.frombuffer(b"".join(values), np.float16).reshape(-1, classes).astype(np.float32)
+
+
+CHANGES = "row int, n long, change binary"
 
 
-def rare_words(counts: DataFrame, shared) -> DataFrame:
-    """key, n, cls and weights (null: none yet) of every counted word that isn't frequent."""
+def add_up(batches: Iterator[pa.RecordBatch], classes: int) -> Iterator[pa.RecordBatch]:
+    """Mean change by row, weighted by the tokens that touched it: a bounded number of rows."""
+    sums: dict[int, list] = {}
+    for batch in batches:
+        for row, n, change in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), unpacked(batch.column(2).to_pylist(), classes)):
+            own = sums.setdefault(row, [0, 0.0])
+            own[0] += n
+            own[1] = own[1] + n * change.astype(float)
+    if sums:
+        mean = np.stack([total / n for n, total in sums.values()])
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([n for n, _ in sums.values()], pa.int64()), packed(mean)], ["row", "n", "change"])
+
+
+def train_classes(chunked: DataFrame, vocabulary: Vocabulary, shared_vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights (rows + 1 x classes, float32; the last row is the bias) of the dense words."""
+    spark, classes = chunked.sparkSession, vocabulary.classes
+    weights = np.zeros((2 * (min(DENSE, len(vocabulary.words)) + 2) + 1, classes), np.float32)
+    prior = np.bincount(vocabulary.cls[1:], weights=10 ** vocabulary.known[1:], minlength=classes).astype(float)
+    prior[CLASSES - 1:] += vocabulary.rare_masses
+    weights[-1] = np.log(np.maximum(prior, 1e-3) / max(1e-3, prior.sum()))
+    for r in range(rounds):
+        shared = spark.sparkContext.broadcast(weights)
+
+        def learn(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            start, own = shared.value, shared.value.copy()
+            squares, touched = np.zeros(len(own)), np.zeros(len(own), np.int64)
+            for rows in groups(batches):
+                tokens = Tokens(rows, shared_vocabulary.value)
+                x = feature_rows(tokens.one, tokens.two)
+                for i in range(0, len(x), BATCH):
+                    update(own, squares, touched, x[i:i + BATCH], tokens.cls[i:i + BATCH])
+            some = np.flatnonzero(touched)
+            if len(some):
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(touched[some]), packed(own[some] - start[some])], ["row", "n", "change"])
+
+        texts = chunked.filter(F.col("round") == r).select("before", "text", "last")
+        changes = texts.mapInArrow(learn, CHANGES).repartition("row").mapInArrow(lambda batches: add_up(batches, classes), CHANGES)
+        summed = changes.toPandas().sort_values("row")  # the dense words at most
+        weights = weights.copy()
+        if len(summed):
+            weights[summed["row"].to_numpy()] += unpacked([bytes(x) for x in summed["change"]], classes)
+        shared.destroy()
+    return weights
+
+
+# ---- rows of the other words
+
+def class_counts(chunked: DataFrame, vocabulary: Vocabulary, shared_vocabulary) -> DataFrame:
+    """key, slots, counts: how often each class followed each word that isn't dense, in training texts.
+    A slot is a class behind the word, or, from ``classes`` on, one place further on."""
+    classes = vocabulary.classes
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared_vocabulary.value
+        for rows in groups(batches):
+            tokens = Tokens(rows, words)
+            found = []
+            for feature, ids in enumerate((tokens.one, tokens.two)):
+                own = np.flatnonzero((ids > DENSE) | (ids < 0) & (ids != START))
+                found.append((ids[own] + len(tokens.names)) * 2 * classes + feature * classes + tokens.cls[own])
+            code, n = np.unique(np.concatenate(found), return_counts=True)
+            ids = code // (2 * classes) - len(tokens.names)
+            distinct, at = np.unique(ids, return_inverse=True)
+            keys = np.array([word_key(tokens.names[-1 - i] if i < 0 else words.words[i - 1]) for i in distinct.tolist()], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[at] if len(at) else at), pa.array(code % (2 * classes), pa.int16()), pa.array(n.astype(np.int32))], ["key", "slot", "n"])
+
+    found = chunked.filter("round IS NOT NULL").select("before", "text", "last").mapInArrow(count, "key long, slot short, n int")
+    sums = found.repartition("key").groupBy("key", "slot").agg(F.sum("n").alias("n"))
+    return sums.groupBy("key").agg(F.collect_list(F.struct("slot", "n")).alias("c")).select("key", F.col("c.slot").alias("slots"), F.col("c.n").alias("counts"))
+
+
+class Steps:
+    """Rows of words from the classes that followed them: a step along the gradient, by curvature."""
+
+    def __init__(self, expected: np.ndarray, classes: int) -> None:
+        self.classes, totals = classes, expected.reshape(2, classes)
+        self.expected = totals / np.maximum(1, totals.sum(axis=1, keepdims=True))
+
+    def rows(self, slots: list, counts: list) -> np.ndarray:
+        """words x 2 x classes."""
+        n = len(slots)
+        at = np.concatenate(slots).astype(np.int64) + np.repeat(np.arange(n), [len(s) for s in slots]) * 2 * self.classes if n else np.zeros(0, np.int64)
+        seen = np.bincount(at, weights=np.concatenate(counts) if n else None, minlength=2 * self.classes * n).reshape(n, 2, self.classes)
+        total = seen.sum(axis=2, keepdims=True)
+        return ((seen - total * self.expected) / (total * self.expected * (1 - self.expected) + CAUTION)).astype(np.float32)
+
+
+def rare_words(counts: DataFrame, shared_vocabulary) -> DataFrame:
+    """key, n, cls of every counted word that isn't frequent."""
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
+        words = shared_vocabulary.value
         for batch in batches:
             own, n = raw(batch.column(0)), batch.column(1).to_numpy()
             at = np.flatnonzero(words.numbers(own) == 0)
             own = [own[i] for i in at]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(map(word_key, own), pa.int64()), pa.array(n[at]), pa.array(words.rare_class(own), pa.int32()), pa.nulls(len(own), pa.binary())], ["key", "n", "cls", "w"])
+            yield pa.RecordBatch.from_arrays([pa.array(map(word_key, own), pa.int64()), pa.array(n[at]), pa.array(words.rare_class(own), pa.int32())], ["key", "n", "cls"])
 
-    return counts.select("token", "n").mapInArrow(rate, "key long, n long, cls int, w binary")
+    return counts.select("token", "n").mapInArrow(rate, "key long, n long, cls int")
 
 
-def words_of_chunks(chunked: DataFrame, shared, rounds: int) -> DataFrame:
-    """chunk, key, uses: the words of each chunk that aren't frequent. Bit r of ``uses``:
-    in a training text of round r."""
+# ---- scoring
+
+def words_of_chunks(chunked: DataFrame, shared_vocabulary) -> DataFrame:
+    """chunk, key: the words of each chunk that aren't frequent."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out():
-            return pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(held), chunk), pa.int64()), pa.array(map(word_key, held.keys()), pa.int64()), pa.array(held.values(), pa.int32())], ["chunk", "key", "uses"])
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(held), chunk), pa.int64()), pa.array(map(word_key, held), pa.int64())], ["chunk", "key"])
 
-        number, held, chunk = shared.value.number, {}, 0
+        number, held, chunk = shared_vocabulary.value.number, set(), 0
         for batch in batches:
-            for own, text, r in zip(batch.column(0).to_pylist(), raw(batch.column(1)), batch.column(2).to_pylist()):
+            for own, before, text in zip(batch.column(0).to_pylist(), raw(batch.column(1)), raw(batch.column(2))):
                 if own != chunk:
                     yield out()
-                    held, chunk = {}, own
-                bit = 0 if r is None else 1 << r
-                for words in [[END], *word_runs((text or b"").lower())]:
-                    for word in set(words).difference(number):
-                        held[word] = held.get(word, 0) | bit
+                    held, chunk = set(), own
+                for words in [[END], before.lower().split(), *word_runs(text.lower())]:
+                    held.update(set(words).difference(number))
         yield out()
 
-    return chunked.select("chunk", "text", "round").mapInArrow(find, "chunk long, key long, uses int")
+    # A chunk can be read by two tasks.
+    return chunked.select("chunk", "before", "text").mapInArrow(find, "chunk long, key long").distinct()
+
+
+MET = "chunk long, kind int, key long, n long, slots array<short>, counts array<long>, row long, doc_id long, before string, text string, last boolean"
 
 
 def meet(texts: DataFrame, needs: DataFrame, rare: DataFrame) -> DataFrame:
-    """The rows of each chunk in one task, its words first: chunk, kind (0 word, 1 text),
-    key, n, cls, w, doc_id, text."""
-    null = F.lit(None)
-    words = needs.join(rare, "key").select("chunk", F.lit(0).alias("kind"), "key", "n", "cls", "w", null.cast("long").alias("doc_id"), null.cast("string").alias("text"))
-    texts = texts.select("chunk", F.lit(1).alias("kind"), *(null.cast(t).alias(c) for c, t in (("key", "long"), ("n", "long"), ("cls", "int"), ("w", "binary"))), "doc_id", "text")
-    return words.unionByName(texts).repartition("chunk").sortWithinPartitions("chunk", "kind")
-
-
-class Chunk:
-    """Texts with their words numbered: frequent ones as in the vocabulary, the others from there."""
-
-    def __init__(self, parts: list[pa.RecordBatch], vocabulary: Vocabulary) -> None:
-        rows = pa.Table.from_batches(parts).combine_chunks()
-        n_words = int((rows["kind"].to_numpy() == 0).sum())
-        lexicon, texts = rows.slice(0, n_words), rows.slice(n_words)
-        self.doc_ids = texts["doc_id"].combine_chunks()
-        first, local = len(vocabulary.number) + 1, {}
-        self.ids: list[np.ndarray] = []
-        for column in texts["text"].chunks:
-            for text in raw(column):
-                ids = []
-                for words in [*word_runs((text or b"").lower()), [END]]:
-                    own = vocabulary.numbers(words)
-                    rare = np.flatnonzero(own == 0)
-                    if len(rare):
-                        own[rare] = [local.setdefault(words[i], first + len(local)) for i in rare]
-                    ids.append(own)
-                self.ids.append(np.concatenate(ids))
-        names = list(local)
-        self.keys = np.array([word_key(w) for w in names], np.int64)
-        keys, at = np.unique(lexicon["key"].to_numpy(), return_index=True)
-        place = np.searchsorted(keys, self.keys)
-        found = np.zeros(len(names), bool)
-        inside = np.flatnonzero(place < len(keys))
-        found[inside] = keys[place[inside]] == self.keys[inside]
-        at = at[place[found]]
-        n, cls = np.zeros(len(names)), np.zeros(len(names), np.int64)
-        n[found], cls[found] = lexicon["n"].to_numpy()[at], lexicon["cls"].to_numpy()[at]
-        cls[~found] = vocabulary.rare_class([names[i] for i in np.flatnonzero(~found)])
-        # Weights of both features of each of these words; without any: 0.
-        self.weights = np.zeros((len(names), 2, vocabulary.classes), np.float32)
-        w = lexicon["w"].take(pa.array(at)).to_pylist()
-        own = [i for i, x in zip(np.flatnonzero(found), w) if x is not None]
-        self.weights[own] = unpacked([x for x in w if x is not None], vocabulary.classes)
-        self.cls = np.concatenate([vocabulary.cls, cls])
-        self.counted = np.concatenate([np.ones(first, bool), found])
-        self.known = np.concatenate([vocabulary.known, np.log10(n + 1)])
-        self.inside = np.concatenate([vocabulary.inside, np.log10((n + 1) / vocabulary.rare_masses[cls - CLASSES + 1])])
-
-
-def chunks_in(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[Chunk]:
+    """The pieces of each chunk in one task, its words first, in the columns of MET."""
+    words = needs.join(rare, "key").withColumn("kind", F.lit(0))
+    texts = texts.withColumn("kind", F.lit(1))
+    names = [x.split() for x in MET.split(", ")]
+    both = [df.select(*(F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in names)) for df in (words, texts)]
+    return both[0].unionByName(both[1]).repartition("chunk").sortWithinPartitions("chunk", "kind")
+
+
+def chunks_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
@@ -310,143 +449,72 @@ def chunks_in(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iter
         for start, stop in zip(cuts, cuts[1:]):
             if stop > start:
                 if held and own[start] != last:
-                    yield Chunk(held, vocabulary)
+                    yield pa.Table.from_batches(held)
                     held = []
                 held.append(batch.slice(start, stop - start))
                 last = own[start]
     if held:
-        yield Chunk(held, vocabulary)
-
-
-def packed(x: np.ndarray) -> pa.Array:
-    """A row of half-precision numbers for each word: weights of its two features by class."""
-    flat = np.ascontiguousarray(x.reshape(len(x), -1).astype(np.float16))
-    size = flat.shape[1] * 2
-    data = flat.tobytes()
-    return pa.array([data[i:i + size] for i in range(0, len(data), size)], pa.binary())
-
-
-def unpacked(values: list[bytes], classes: int) -> np.ndarray:
-    return np.frombuffer(b"".join(values), np.float16).reshape(-1, 2, classes).astype(np.float32)
-
-
-class Weights:
-    """Weights of the frequent words, then those of a chunk's other words; the last row is the bias."""
-
-    def __init__(self, start: np.ndarray) -> None:
-        self.first = len(start) - 1
-        self.all = start.copy()
-
-    def put(self, chunk: Chunk) -> None:
-        rows = self.first + 2 * len(chunk.keys) + 1
-        if rows > len(self.all):
-            grown = np.zeros((rows + rows // 8, self.all.shape[1]), np.float32)
-            grown[:self.first], grown[-1] = self.all[:self.first], self.all[-1]
-            self.all = grown
-        self.all[self.first:rows - 1] = chunk.weights.reshape(-1, self.all.shape[1])
-
-
-CHANGES = "frequent boolean, key long, n_1 long, n_2 long, w binary"
-
-
-def add_up(batches: Iterator[pa.RecordBatch], classes: int) -> Iterator[pa.RecordBatch]:
-    """Mean change by key, weighted by the tokens that touched each feature; rows come in order."""
-    def out(part):
-        frequent, keys, n, sums = part
-        mean = sums / np.maximum(n, 1)[:, :, None]
-        return pa.RecordBatch.from_arrays([pa.array(frequent), pa.array(keys), pa.array(n[:, 0]), pa.array(n[:, 1]), packed(mean)], ["frequent", "key", "n_1", "n_2", "w"])
-
-    held = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        frequent, keys = np.array(batch.column(0).to_pylist(), bool), batch.column(1).to_numpy()
-        n = np.stack([batch.column(2).to_numpy(), batch.column(3).to_numpy()], axis=1)
-        sums = unpacked(batch.column(4).to_pylist(), classes) * n[:, :, None]
-        if held is not None:
-            frequent, keys = np.append(held[0], frequent), np.append(held[1], keys)
-            n, sums = np.concatenate([held[2], n]), np.concatenate([held[3], sums])
-        starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (frequent[1:] != frequent[:-1])))
-        frequent, keys, n, sums = frequent[starts], keys[starts], np.add.reduceat(n, starts, axis=0), np.add.reduceat(sums, starts, axis=0)
-        held = frequent[-1:], keys[-1:], n[-1:], sums[-1:]
-        if len(keys) > 1:
-            yield out((frequent[:-1], keys[:-1], n[:-1], sums[:-1]))
-    if held is not None:
-        yield out(held)
-
-
-def with_changes(rare: DataFrame, changes: DataFrame, classes: int) -> DataFrame:
-    """``rare`` with the changes of a round added to its weights."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = np.zeros((batch.num_rows, 2, classes), np.float32)
-            some = np.zeros(batch.num_rows, bool)
-            for column in (3, 4):
-                own = batch.column(column).to_pylist()
-                at = [i for i, x in enumerate(own) if x is not None]
-                sums[at] += unpacked([own[i] for i in at], classes)
-                some[at] = True
-            w = pa.array([x if s else None for x, s in zip(packed(sums).to_pylist(), some)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], w], ["key", "n", "cls", "w"])
-
-    own = changes.filter("NOT frequent").select("key", F.col("w").alias("change"))
-    return rare.join(own, "key", "left").select("key", "n", "cls", "w", "change").mapInArrow(add, "key long, n long, cls int, w binary")
-
-
-def train_classes(chunked: DataFrame, needs: DataFrame, rare: DataFrame, vocabulary: Vocabulary, shared_vocabulary, rounds: int = ROUNDS) -> tuple[np.ndarray, DataFrame]:
-    """Weights of the frequent words (features + 1 x classes, float32; the last row is the
-    bias), and ``rare`` with the weights of the others."""
-    spark, classes = chunked.sparkSession, vocabulary.classes
-    pairs = len(vocabulary.number) + 2  # before the start, no word, the frequent words
-    weights = np.zeros((2 * pairs + 1, classes), np.float32)
-    prior = np.bincount(vocabulary.cls[1:], weights=10 ** vocabulary.known[1:], minlength=classes).astype(float)
-    prior[CLASSES - 1:] += vocabulary.rare_masses
-    weights[-1] = np.log(np.maximum(prior, 1e-3) / max(1e-3, prior.sum()))
-    for r in range(rounds):
-        shared = spark.sparkContext.broadcast(weights)
-
-        def learn(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            def out(frequent: bool, keys: np.ndarray, n: np.ndarray, change: np.ndarray) -> Iterator[pa.RecordBatch]:
-                some = np.flatnonzero(n.any(axis=1))
-                for at in np.array_split(some, len(some) // 8192 + 1):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), frequent)), pa.array(keys[at]), pa.array(n[at, 0]), pa.array(n[at, 1]), packed(change[at])], ["frequent", "key", "n_1", "n_2", "w"])
-
-            start, own = shared.value, Weights(shared.value)
-            squares, touched, first = np.zeros(len(start)), np.zeros(len(start), np.int64), len(start) - 1
-            for chunk in chunks_in(batches, shared_vocabulary.value):
-                own.put(chunk)
-                if len(own.all) > len(squares):  # the rows of other words start anew in each chunk, the bias stays last
-                    more = len(own.all) - len(squares)
-                    squares, touched = (np.concatenate([x[:-1], np.zeros(more, x.dtype), x[-1:]]) for x in (squares, touched))
-                squares[first:-1], touched[first:-1] = 0, 0
-                x, y = np.concatenate([context_features(i) for i in chunk.ids]), chunk.cls[np.concatenate(chunk.ids)]
-                for i in range(0, len(y), BATCH):
-                    update(own.all, squares, touched, x[i:i + BATCH], y[i:i + BATCH])
-                stop = first + 2 * len(chunk.keys)
-                change = own.all[first:stop].reshape(-1, 2, classes) - chunk.weights
-                yield from out(False, chunk.keys, touched[first:stop].reshape(-1, 2), change)
-            change = (own.all[:first] - start[:first]).reshape(-1, 2, classes)
-            yield from out(True, np.arange(pairs), touched[:first].reshape(-1, 2), change)
-            bias = np.stack([own.all[-1] - start[-1], np.zeros(classes, np.float32)])[None]
-            yield from out(True, np.array([pairs]), np.array([[touched[-1], 0]]), bias)
-
-        texts, words = chunked.filter(F.col("round") == r), needs.filter(F.col("uses").bitwiseAND(1 << r) != 0).select("chunk", "key").distinct()
-        changes = meet(texts, words, rare).mapInArrow(learn, CHANGES)
-        changes = changes.repartition("key").sortWithinPartitions("frequent", "key").mapInArrow(lambda batches: add_up(batches, classes), CHANGES)
-        changes = stored(changes, "lm-changes")
-        weights = weights.copy()
-        summed = changes.filter("frequent").select("key", "w").toPandas()  # the frequent words at most
-        if len(summed):
-            change = unpacked([bytes(x) for x in summed["w"]], classes)
-            key = summed["key"].to_numpy()
-            words_at = key < pairs
-            weights[:-1].reshape(-1, 2, classes)[key[words_at]] += change[words_at]
-            weights[-1] += change[~words_at][:, 0].sum(axis=0)
-        rare = stored(with_changes(rare, changes, classes), "lm-rare")
-        shared.destroy()
-    return weights, rare
+        yield pa.Table.from_batches(held)
+
+
+class Scorer:
+    def __init__(self, vocabulary: Vocabulary, weights: np.ndarray, frequent_rows: np.ndarray, steps: Steps) -> None:
+        self.vocabulary, self.weights, self.frequent_rows, self.steps = vocabulary, weights, frequent_rows, steps
+
+    def score(self, rows: list[tuple[bytes, bytes, bool]], keys: np.ndarray, n: np.ndarray, slots: list, counts: list) -> tuple[np.ndarray, ...]:
+        """n_tokens, n_known, sum of log10(count + 1) and log10 probability of each piece. ``keys``:
+        the counted words among those that aren't frequent, in ascending order."""
+        words, tokens = self.vocabulary, Tokens(rows, self.vocabulary)
+        own = np.array([word_key(w) for w in tokens.names], np.int64)
+        place = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
+        found = keys[place] == own if len(keys) else np.zeros(len(own), bool)
+        seen = np.zeros(len(own))
+        seen[found] = n[place[found]]
+        rare_rows = np.zeros((len(own), 2, words.classes), np.float32)
+        rare_rows[found] = self.steps.rows([slots[i] for i in place[found]], [counts[i] for i in place[found]])
+        rare, at = tokens.ids < 0, np.maximum(-1 - tokens.ids, 0)
+        known, inside, counted = words.known[np.maximum(tokens.ids, 0)], words.inside[np.maximum(tokens.ids, 0)], np.ones(len(tokens.ids), bool)
+        known[rare], counted[rare] = np.log10(seen[at[rare]] + 1), found[at[rare]]
+        inside[rare] = np.log10((seen[at[rare]] + 1) / words.rare_masses[tokens.cls[rare] - CLASSES + 1])
+        x, logs = feature_rows(tokens.one, tokens.two), np.empty(len(tokens.ids))
+        for i in range(0, len(x), BATCH):
+            z = rated(self.weights, x[i:i + BATCH])
+            for feature, before in enumerate((tokens.one[i:i + BATCH], tokens.two[i:i + BATCH])):
+                part = np.flatnonzero(before > DENSE)
+                z[part] += self.frequent_rows[before[part] - DENSE - 1, feature]
+                part = np.flatnonzero((before < 0) & (before != START))
+                z[part] += rare_rows[-1 - before[part], feature]
+            z = class_log_probs(z)
+            logs[i:i + BATCH] = z[np.arange(len(z)), tokens.cls[i:i + BATCH]]
+        logs, m = logs / np.log(10) + inside, len(rows)
+        return np.bincount(tokens.row, minlength=m), np.bincount(tokens.row, counted, m).astype(np.int64), np.bincount(tokens.row, known, m), np.bincount(tokens.row, logs, m)
+
+
+def learn_model(chunked: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> tuple[Scorer, DataFrame]:
+    """The model, as far as each task holds it, and the table of the other words: key, n, slots, counts."""
+    spark = chunked.sparkSession
+    tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    top = frequent_tokens(counts, VOCABULARY)
+    vocabulary = Vocabulary([w.encode() for w in top["token"]], top["n"].to_numpy(float), tokens, types)
+    rare = rare_words(counts, spark.sparkContext.broadcast(vocabulary))
+    for row in rare.groupBy("cls").agg(F.sum(F.col("n") + 1).alias("mass")).collect():  # a row a class
+        vocabulary.rare_masses[row.cls - CLASSES + 1] += row.mass
+    shared = spark.sparkContext.broadcast(vocabulary)
+    weights = train_classes(chunked, vocabulary, shared, rounds)
+    followed = stored(class_counts(chunked, vocabulary, shared), "lm-classes")
+    expected = np.zeros(2 * vocabulary.classes)
+    for row in followed.select(F.explode(F.arrays_zip("slots", "counts")).alias("x")).groupBy("x.slots").agg(F.sum("x.counts")).collect():  # 2 x classes
+        expected[row[0]] = row[1]
+    steps = Steps(expected, vocabulary.classes)
+    # Rows of the frequent words that aren't dense: VOCABULARY at most.
+    middle = {word_key(w): i for i, w in enumerate(vocabulary.words[DENSE:])}
+    frequent_rows = np.zeros((len(middle), 2, vocabulary.classes), np.float32)
+    if middle:
+        keys = spark.createDataFrame(pd.DataFrame({"key": list(middle)}))
+        got = followed.join(F.broadcast(keys), "key").toPandas()
+        frequent_rows[[middle[k] for k in got["key"]]] = steps.rows(got["slots"].tolist(), got["counts"].tolist())
+    table = rare.select("key", "n").join(followed, "key", "left")
+    return Scorer(vocabulary, weights, frequent_rows, steps), table
 
 
 def score_texts(docs: DataFrame, training: Column, rounds: int = ROUNDS) -> DataFrame:
@@ -454,49 +522,38 @@ def score_texts(docs: DataFrame, training: Column, rounds: int = ROUNDS) -> Data
     ``training`` holds, and score all rows: doc_id, n_tokens, n_known, train_tokens,
     base_score (log10, unigram, add-one) and score (the model's log10 probability).
 
-    Null text: empty, which is the end token alone. Repeated rows count as often as they
-    occur and get equal scores. With no training text the counts are 0 and every
-    word is unseen; an empty table gives an empty result. Word order within a text and
-    whole texts count.
+    Null text: empty, which is the end token alone. Null ids are rows like others. Repeated
+    rows count as often as they occur and get equal scores. With no training text the counts
+    are 0 and every word is unseen; an empty table gives an empty result. Word order within
+    a text and whole texts count; a text of over CHUNK_BYTES is held in pieces, a single
+    word whole. Without words beyond the frequent ones there are just no rows for them.
     """
     spark = docs.sparkSession
     text_hash = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)).cast("int")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), training.alias("training"))
-    chunked = stored(in_chunks(docs.select("doc_id", "text", F.when(F.col("training"), text_hash).alias("round"))), "lm-chunks")
-    counts = stored(token_counts(chunked.filter("round IS NOT NULL")), "tokens")
-    tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = frequent_tokens(counts, VOCABULARY)
-    vocabulary = Vocabulary([w.encode() for w in top["token"]], top["n"].to_numpy(float), tokens, types)
-    rare = stored(rare_words(counts, spark.sparkContext.broadcast(vocabulary)), "lm-rare")
-    vocabulary.rare_masses = np.ones(vocabulary.classes - CLASSES + 1)
-    for row in rare.groupBy("cls").agg(F.sum(F.col("n") + 1).alias("mass")).collect():
-        vocabulary.rare_masses[row.cls - CLASSES + 1] += row.mass
-    shared_vocabulary = spark.sparkContext.broadcast(vocabulary)
-    needs = stored(words_of_chunks(chunked, shared_vocabulary, rounds), "lm-needs")
-    weights, rare = train_classes(chunked, needs, rare, vocabulary, shared_vocabulary, rounds)
-    shared = spark.sparkContext.broadcast(weights)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.when(training, text_hash).alias("round"))
+    counts = stored(token_counts(docs.filter("round IS NOT NULL")), "tokens")
+    chunked = stored(in_chunks(docs), "lm-chunks")
+    model, rare = learn_model(chunked, counts, rounds)
+    shared, words = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(model.vocabulary)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Weights(shared.value)
-        for chunk in chunks_in(batches, shared_vocabulary.value):
-            own.put(chunk)
-            ids, n = np.concatenate(chunk.ids), len(chunk.ids)
-            x, text = np.concatenate([context_features(i) for i in chunk.ids]), np.repeat(np.arange(n), [len(i) for i in chunk.ids])
-            logs = np.empty(len(ids))
-            for i in range(0, len(ids), BATCH):
-                part = class_log_probs(own.all, x[i:i + BATCH])
-                logs[i:i + BATCH] = part[np.arange(len(part)), chunk.cls[ids[i:i + BATCH]]]
-            logs = logs / np.log(10) + chunk.inside[ids]
-            yield pa.RecordBatch.from_arrays([
-                chunk.doc_ids, pa.array([len(i) for i in chunk.ids], pa.int64()), pa.array(np.bincount(text, chunk.counted[ids], n).astype(np.int64)),
-                pa.array(np.bincount(text, chunk.known[ids], n)), pa.array(np.bincount(text, logs, n)),
-            ], ["doc_id", "n_tokens", "n_known", "known_sum", "score"])
-
-    met = meet(chunked, needs.select("chunk", "key").distinct(), rare)
-    scored = met.mapInArrow(score, "doc_id long, n_tokens long, n_known long, known_sum double, score double")
+        for chunk in chunks_in(batches):
+            n_words = int((chunk["kind"].to_numpy() == 0).sum())
+            lexicon, texts = chunk.slice(0, n_words), chunk.slice(n_words)
+            keys, at = np.unique(lexicon["key"].to_numpy(), return_index=True)
+            lists = [[x if x is not None else [] for x in (lexicon[c].combine_chunks().take(pa.array(at)).to_numpy(zero_copy_only=False))] for c in ("slots", "counts")]
+            rows = list(zip(*(texts[c].cast(pa.binary()).to_pylist() for c in ("before", "text")), texts["last"].to_pylist()))
+            found = shared.value.score(rows, keys, lexicon["n"].to_numpy()[at], *lists)
+            yield pa.RecordBatch.from_arrays(
+                [texts["row"].combine_chunks(), texts["doc_id"].combine_chunks(), *map(pa.array, found)], ["row", "doc_id", "n_tokens", "n_known", "known_sum", "score"])
+
+    scored = meet(chunked, words_of_chunks(chunked, words), rare).mapInArrow(score, "row long, doc_id long, n_tokens long, n_known long, known_sum double, score double")
+    # The pieces of a text; most have one.
+    scored = scored.groupBy("row").agg(F.first("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "known_sum", "score")))
+    n = model.vocabulary.tokens + model.vocabulary.types + 1
     return scored.select(
-        "doc_id", "n_tokens", "n_known", F.lit(int(tokens)).cast("long").alias("train_tokens"),
-        (F.col("known_sum") - F.col("n_tokens") * F.log10(F.lit(float(tokens + types + 1)))).alias("base_score"), "score")
+        "doc_id", "n_tokens", "n_known", F.lit(int(model.vocabulary.tokens)).cast("long").alias("train_tokens"),
+        (F.col("known_sum") - F.col("n_tokens") * F.log10(F.lit(float(n)))).alias("base_score"), "score")
 
 
 def held_out(mod: int, remainder: int) -> Column:
