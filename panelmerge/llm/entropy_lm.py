@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .shared import id_remainder, raw, stored, word_runs
 
 END = b"\n"  # the end token; no word has a blank
-VOCABULARY = 60_000  # words that each task holds, with counts, classes and rows
+VOCABULARY = 120_000  # words that each task holds, with counts and classes
 DENSE = 8192  # of them with rows from the rounds
 CLASSES = 32  # of frequent words, and the first class of the others
 CHUNK_BYTES = 1 << 22
@@ -45,8 +45,10 @@ BATCH = 16_384
 RATE = 0.5
 CAUTION = 4.0  # what is added to the curvature in the last step
 SPELLING = 192  # places that a word's byte n-grams hash to
-FLUSH = 100_000  # distinct tokens a counting task holds at most
+CLASSED = 30_000  # most frequent words, which the classes are made from
+FLUSH = 200_000  # distinct tokens a counting task holds at most
 START = -(1 << 40)  # before the first word
+NO_CODES = np.zeros(0, np.int64)
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
@@ -126,6 +128,15 @@ def spelling_classes(vectors: np.ndarray, counts: np.ndarray, classes: int, roun
     return own, centres
 
 
+def nearest(words: list[bytes], centres: np.ndarray) -> np.ndarray:
+    """Number of the centre that a word's spelling is most like."""
+    out = np.zeros(len(words), np.int64)
+    if len(centres):
+        for i in range(0, len(words), 4096):
+            out[i:i + 4096] = (spelling_vectors(words[i:i + 4096]) @ centres.T).argmax(axis=1)
+    return out
+
+
 class Vocabulary:
     """Frequent words by number from 1 (0: any other), their classes and their share of their class."""
 
@@ -135,15 +146,16 @@ class Vocabulary:
         self.tokens, self.types = tokens, types
         self.known = np.concatenate([[0.0], np.log10(counts + 1.0)])
         smooth = counts + 1.0
-        vectors = spelling_vectors(words).astype(np.float32)
+        vectors = spelling_vectors(words[:CLASSED]).astype(np.float32)
         vectors /= np.maximum(1e-9, np.linalg.norm(vectors, axis=1, keepdims=True))
-        bins, _ = spelling_classes(vectors, counts, CLASSES - 1)
+        _, centres = spelling_classes(vectors, counts[:CLASSED], CLASSES - 1)
+        bins = nearest(words, np.round(1000 * centres.astype(float)))
         self.cls = np.concatenate([[CLASSES - 1], bins])
         mass = np.bincount(bins, weights=smooth, minlength=CLASSES)
         self.inside = np.concatenate([[0.0], np.log10(smooth / mass[bins])])
         # The others' classes: four more each time that the types double.
         rare_classes = 1 + int(4 * np.log2(max(1.0, types / max(1, len(words)))))
-        _, centres = spelling_classes(vectors, counts, rare_classes)
+        _, centres = spelling_classes(vectors, counts[:CLASSED], rare_classes)
         # Whole numbers: sums are exact, so a word's class doesn't hang on the words around it.
         self.rare_centres = np.round(1000 * centres.astype(float))
         self.classes = CLASSES - 1 + rare_classes
@@ -155,11 +167,7 @@ class Vocabulary:
 
     def rare_class(self, words: list[bytes]) -> np.ndarray:
         """Classes of words that aren't frequent, by their spelling."""
-        out = np.full(len(words), CLASSES - 1)
-        if len(self.rare_centres):
-            for i in range(0, len(words), 4096):
-                out[i:i + 4096] += (spelling_vectors(words[i:i + 4096]) @ self.rare_centres.T).argmax(axis=1)
-        return out
+        return CLASSES - 1 + nearest(words, self.rare_centres)
 
 
 def word_key(word: bytes) -> int:
@@ -341,38 +349,78 @@ def train_classes(chunked: DataFrame, vocabulary: Vocabulary, shared_vocabulary,
 
         texts = chunked.filter(F.col("round") == r).select("before", "text", "last")
         changes = texts.mapInArrow(learn, CHANGES).repartition("row").mapInArrow(lambda batches: add_up(batches, classes), CHANGES)
-        summed = changes.toPandas().sort_values("row")  # the dense words at most
+        mean = stored(changes, "lm-changes", free_shuffles=True).toPandas().sort_values("row")  # the dense words at most
         weights = weights.copy()
-        if len(summed):
-            weights[summed["row"].to_numpy()] += unpacked([bytes(x) for x in summed["change"]], classes)
+        if len(mean):
+            weights[mean["row"].to_numpy()] += unpacked([bytes(x) for x in mean["change"]], classes)
         shared.destroy()
     return weights
 
 
 # ---- rows of the other words
 
+CLASS_COUNTS = "key long, codes array<long>"
+
+
+def coded(keys: np.ndarray, slots: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """A row for each key with the codes (count << 16 | slot) of its slots; ``keys`` in order."""
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(keys)), pa.int32()), pa.array(n.astype(np.int64) << 16 | slots, pa.int64()))
+    return pa.RecordBatch.from_arrays([pa.array(keys[starts], pa.int64()), lists], ["key", "codes"])
+
+
+def summed(ids: np.ndarray, slots: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of ``n`` by id and slot, in order."""
+    order = np.lexsort((slots, ids))
+    ids, slots, n = ids[order], slots[order], n[order]
+    starts = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (slots[1:] != slots[:-1]))) if len(ids) else np.zeros(0, np.int64)
+    return ids[starts], slots[starts], np.add.reduceat(n, starts) if len(starts) else n
+
+
+def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a key; rows come in order of the keys."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lists = batch.column(1)
+        codes, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+        own = np.repeat(batch.column(0).to_numpy(), sizes), codes & 0xFFFF, codes >> 16
+        if held is not None:
+            own = tuple(np.concatenate(x) for x in zip(held, own))
+        keys, slots, n = summed(*own)
+        last = keys == keys[-1]
+        if not last.all():
+            yield coded(keys[~last], slots[~last], n[~last])
+        held = keys[last], slots[last], n[last]
+    if held is not None:
+        yield coded(*held)
+
+
 def class_counts(chunked: DataFrame, vocabulary: Vocabulary, shared_vocabulary) -> DataFrame:
-    """key, slots, counts: how often each class followed each word that isn't dense, in training texts.
+    """key, codes: how often each class followed each word that isn't dense, in training texts.
     A slot is a class behind the word, or, from ``classes`` on, one place further on."""
     classes = vocabulary.classes
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared_vocabulary.value
+        frequent = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)  # sums of the task: a bounded number
         for rows in groups(batches):
             tokens = Tokens(rows, words)
-            found = []
-            for feature, ids in enumerate((tokens.one, tokens.two)):
-                own = np.flatnonzero((ids > DENSE) | (ids < 0) & (ids != START))
-                found.append((ids[own] + len(tokens.names)) * 2 * classes + feature * classes + tokens.cls[own])
-            code, n = np.unique(np.concatenate(found), return_counts=True)
-            ids = code // (2 * classes) - len(tokens.names)
-            distinct, at = np.unique(ids, return_inverse=True)
-            keys = np.array([word_key(tokens.names[-1 - i] if i < 0 else words.words[i - 1]) for i in distinct.tolist()], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[at] if len(at) else at), pa.array(code % (2 * classes), pa.int16()), pa.array(n.astype(np.int32))], ["key", "slot", "n"])
-
-    found = chunked.filter("round IS NOT NULL").select("before", "text", "last").mapInArrow(count, "key long, slot short, n int")
-    sums = found.repartition("key").groupBy("key", "slot").agg(F.sum("n").alias("n"))
-    return sums.groupBy("key").agg(F.collect_list(F.struct("slot", "n")).alias("c")).select("key", F.col("c.slot").alias("slots"), F.col("c.n").alias("counts"))
+            ids = np.concatenate([tokens.one, tokens.two])
+            slots = np.concatenate([tokens.cls, tokens.cls + classes])
+            part = np.flatnonzero(ids > DENSE)
+            frequent = summed(*(np.concatenate(x) for x in zip(frequent, (ids[part], slots[part], np.ones(len(part), np.int64)))))
+            part = np.flatnonzero((ids < 0) & (ids != START))
+            keys = np.array([word_key(w) for w in tokens.names], np.int64)
+            yield coded(*summed(keys[-1 - ids[part]], slots[part], np.ones(len(part), np.int64)))
+        ids, slots, n = frequent
+        distinct, at = np.unique(ids, return_inverse=True)
+        keys = np.array([word_key(words.words[i - 1]) for i in distinct.tolist()], np.int64)
+        yield coded(keys[at], slots, n)
+
+    found = chunked.filter("round IS NOT NULL").select("before", "text", "last").mapInArrow(count, CLASS_COUNTS)
+    return found.repartition("key").sortWithinPartitions("key").mapInArrow(merged, CLASS_COUNTS)
 
 
 class Steps:
@@ -382,27 +430,30 @@ class Steps:
         self.classes, totals = classes, expected.reshape(2, classes)
         self.expected = totals / np.maximum(1, totals.sum(axis=1, keepdims=True))
 
-    def rows(self, slots: list, counts: list) -> np.ndarray:
-        """words x 2 x classes."""
-        n = len(slots)
-        at = np.concatenate(slots).astype(np.int64) + np.repeat(np.arange(n), [len(s) for s in slots]) * 2 * self.classes if n else np.zeros(0, np.int64)
-        seen = np.bincount(at, weights=np.concatenate(counts) if n else None, minlength=2 * self.classes * n).reshape(n, 2, self.classes)
+    def rows(self, codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """words x 2 x classes, and how often each word was counted."""
+        n, width = len(codes), 2 * self.classes
+        flat = np.concatenate(codes) if n else np.zeros(0, np.int64)
+        at = (flat & 0xFFFF) + np.repeat(np.arange(n) * width, [len(c) for c in codes])
+        seen = np.bincount(at, weights=flat >> 16, minlength=width * n).reshape(n, 2, self.classes)
         total = seen.sum(axis=2, keepdims=True)
-        return ((seen - total * self.expected) / (total * self.expected * (1 - self.expected) + CAUTION)).astype(np.float32)
+        step = (seen - total * self.expected) / (total * self.expected * (1 - self.expected) + CAUTION)
+        return step.astype(np.float32), total[:, 0, 0]  # a word is followed by a token, the end at least
 
 
-def rare_words(counts: DataFrame, shared_vocabulary) -> DataFrame:
-    """key, n, cls of every counted word that isn't frequent."""
+def rare_masses(counts: DataFrame, shared_vocabulary) -> DataFrame:
+    """cls, mass (counts plus 1) of the counted words that aren't frequent."""
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared_vocabulary.value
         for batch in batches:
             own, n = raw(batch.column(0)), batch.column(1).to_numpy()
             at = np.flatnonzero(words.numbers(own) == 0)
-            own = [own[i] for i in at]
-            yield pa.RecordBatch.from_arrays([pa.array(map(word_key, own), pa.int64()), pa.array(n[at]), pa.array(words.rare_class(own), pa.int32())], ["key", "n", "cls"])
+            cls = words.rare_class([own[i] for i in at])
+            mass = np.bincount(cls, n[at] + 1, words.classes).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(words.classes)), pa.array(mass)], ["cls", "mass"])
 
-    return counts.select("token", "n").mapInArrow(rate, "key long, n long, cls int")
+    return counts.select("token", "n").mapInArrow(rate, "cls long, mass long").groupBy("cls").agg(F.sum("mass").alias("mass"))
 
 
 # ---- scoring
@@ -424,11 +475,11 @@ def words_of_chunks(chunked: DataFrame, shared_vocabulary) -> DataFrame:
                     held.update(set(words).difference(number))
         yield out()
 
-    # A chunk can be read by two tasks.
-    return chunked.select("chunk", "before", "text").mapInArrow(find, "chunk long, key long").distinct()
+    # A chunk can be read by two tasks, and a word of it come twice.
+    return chunked.select("chunk", "before", "text").mapInArrow(find, "chunk long, key long")
 
 
-MET = "chunk long, kind int, key long, n long, slots array<short>, counts array<long>, row long, doc_id long, before string, text string, last boolean"
+MET = "chunk long, kind int, key long, codes array<long>, row long, doc_id long, before string, text string, last boolean"
 
 
 def meet(texts: DataFrame, needs: DataFrame, rare: DataFrame) -> DataFrame:
@@ -458,20 +509,23 @@ def chunks_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 class Scorer:
-    def __init__(self, vocabulary: Vocabulary, weights: np.ndarray, frequent_rows: np.ndarray, steps: Steps) -> None:
-        self.vocabulary, self.weights, self.frequent_rows, self.steps = vocabulary, weights, frequent_rows, steps
+    """What each task holds of the model: weights of the dense words, codes of the other frequent ones."""
+
+    def __init__(self, vocabulary: Vocabulary, weights: np.ndarray, frequent_codes: dict[int, np.ndarray], steps: Steps) -> None:
+        self.vocabulary, self.weights, self.frequent_codes, self.steps = vocabulary, weights, frequent_codes, steps
 
-    def score(self, rows: list[tuple[bytes, bytes, bool]], keys: np.ndarray, n: np.ndarray, slots: list, counts: list) -> tuple[np.ndarray, ...]:
-        """n_tokens, n_known, sum of log10(count + 1) and log10 probability of each piece. ``keys``:
-        the counted words among those that aren't frequent, in ascending order."""
+    def score(self, rows: list[tuple[bytes, bytes, bool]], keys: np.ndarray, codes: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        """n_tokens, n_known, sum of log10(count + 1) and log10 probability of each piece. ``keys``, ``codes``:
+        the counted words among those that aren't frequent, keys in ascending order."""
         words, tokens = self.vocabulary, Tokens(rows, self.vocabulary)
         own = np.array([word_key(w) for w in tokens.names], np.int64)
         place = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
         found = keys[place] == own if len(keys) else np.zeros(len(own), bool)
-        seen = np.zeros(len(own))
-        seen[found] = n[place[found]]
-        rare_rows = np.zeros((len(own), 2, words.classes), np.float32)
-        rare_rows[found] = self.steps.rows([slots[i] for i in place[found]], [counts[i] for i in place[found]])
+        seen, rare_rows = np.zeros(len(own)), np.zeros((len(own), 2, words.classes), np.float32)
+        rare_rows[found], seen[found] = self.steps.rows([codes[i] for i in place[found]])
+        used = np.unique(np.concatenate([tokens.one, tokens.two]))
+        used = used[used > DENSE]
+        frequent_rows, _ = self.steps.rows([self.frequent_codes.get(i, NO_CODES) for i in used.tolist()])
         rare, at = tokens.ids < 0, np.maximum(-1 - tokens.ids, 0)
         known, inside, counted = words.known[np.maximum(tokens.ids, 0)], words.inside[np.maximum(tokens.ids, 0)], np.ones(len(tokens.ids), bool)
         known[rare], counted[rare] = np.log10(seen[at[rare]] + 1), found[at[rare]]
@@ -481,7 +535,7 @@ class Scorer:
             z = rated(self.weights, x[i:i + BATCH])
             for feature, before in enumerate((tokens.one[i:i + BATCH], tokens.two[i:i + BATCH])):
                 part = np.flatnonzero(before > DENSE)
-                z[part] += self.frequent_rows[before[part] - DENSE - 1, feature]
+                z[part] += frequent_rows[np.searchsorted(used, before[part]), feature]
                 part = np.flatnonzero((before < 0) & (before != START))
                 z[part] += rare_rows[-1 - before[part], feature]
             z = class_log_probs(z)
@@ -491,30 +545,31 @@ class Scorer:
 
 
 def learn_model(chunked: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> tuple[Scorer, DataFrame]:
-    """The model, as far as each task holds it, and the table of the other words: key, n, slots, counts."""
+    """The model, as far as each task holds it, and the table of the words that aren't dense: key, codes."""
     spark = chunked.sparkSession
     tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     top = frequent_tokens(counts, VOCABULARY)
+    if tokens and END.decode() not in set(top["token"]):
+        top = pd.concat([top, counts.filter(F.col("token") == END.decode()).toPandas()])
     vocabulary = Vocabulary([w.encode() for w in top["token"]], top["n"].to_numpy(float), tokens, types)
-    rare = rare_words(counts, spark.sparkContext.broadcast(vocabulary))
-    for row in rare.groupBy("cls").agg(F.sum(F.col("n") + 1).alias("mass")).collect():  # a row a class
-        vocabulary.rare_masses[row.cls - CLASSES + 1] += row.mass
+    for row in rare_masses(counts, spark.sparkContext.broadcast(vocabulary)).collect():  # a row a class
+        if row.cls >= CLASSES - 1:
+            vocabulary.rare_masses[row.cls - CLASSES + 1] += row.mass
     shared = spark.sparkContext.broadcast(vocabulary)
     weights = train_classes(chunked, vocabulary, shared, rounds)
-    followed = stored(class_counts(chunked, vocabulary, shared), "lm-classes")
+    followed = stored(class_counts(chunked, vocabulary, shared), "lm-classes", free_shuffles=True)
     expected = np.zeros(2 * vocabulary.classes)
-    for row in followed.select(F.explode(F.arrays_zip("slots", "counts")).alias("x")).groupBy("x.slots").agg(F.sum("x.counts")).collect():  # 2 x classes
-        expected[row[0]] = row[1]
-    steps = Steps(expected, vocabulary.classes)
-    # Rows of the frequent words that aren't dense: VOCABULARY at most.
-    middle = {word_key(w): i for i, w in enumerate(vocabulary.words[DENSE:])}
-    frequent_rows = np.zeros((len(middle), 2, vocabulary.classes), np.float32)
+    slots = followed.select(F.explode("codes").alias("code")).groupBy(F.col("code").bitwiseAND(0xFFFF).alias("slot")).agg(F.sum(F.shiftright("code", 16)).alias("n"))
+    for row in slots.collect():  # 2 x classes
+        expected[row.slot] = row.n
+    # Codes of the frequent words that aren't dense: VOCABULARY words at most.
+    middle = {word_key(w): DENSE + 1 + i for i, w in enumerate(vocabulary.words[DENSE:])}
+    codes = {}
     if middle:
         keys = spark.createDataFrame(pd.DataFrame({"key": list(middle)}))
         got = followed.join(F.broadcast(keys), "key").toPandas()
-        frequent_rows[[middle[k] for k in got["key"]]] = steps.rows(got["slots"].tolist(), got["counts"].tolist())
-    table = rare.select("key", "n").join(followed, "key", "left")
-    return Scorer(vocabulary, weights, frequent_rows, steps), table
+        codes = {middle[k]: np.asarray(c, np.int64) for k, c in zip(got["key"], got["codes"])}
+    return Scorer(vocabulary, weights, codes, Steps(expected, vocabulary.classes)), followed
 
 
 def score_texts(docs: DataFrame, training: Column, rounds: int = ROUNDS) -> DataFrame:
@@ -531,7 +586,7 @@ def score_texts(docs: DataFrame, training: Column, rounds: int = ROUNDS) -> Data
     spark = docs.sparkSession
     text_hash = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)).cast("int")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.when(training, text_hash).alias("round"))
-    counts = stored(token_counts(docs.filter("round IS NOT NULL")), "tokens")
+    counts = stored(token_counts(docs.filter("round IS NOT NULL")), "tokens", free_shuffles=True)
     chunked = stored(in_chunks(docs), "lm-chunks")
     model, rare = learn_model(chunked, counts, rounds)
     shared, words = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(model.vocabulary)
@@ -541,9 +596,9 @@ def score_texts(docs: DataFrame, training: Column, rounds: int = ROUNDS) -> Data
             n_words = int((chunk["kind"].to_numpy() == 0).sum())
             lexicon, texts = chunk.slice(0, n_words), chunk.slice(n_words)
             keys, at = np.unique(lexicon["key"].to_numpy(), return_index=True)
-            lists = [[x if x is not None else [] for x in (lexicon[c].combine_chunks().take(pa.array(at)).to_numpy(zero_copy_only=False))] for c in ("slots", "counts")]
+            codes = lexicon["codes"].take(pa.array(at)).to_numpy() if len(at) else []
             rows = list(zip(*(texts[c].cast(pa.binary()).to_pylist() for c in ("before", "text")), texts["last"].to_pylist()))
-            found = shared.value.score(rows, keys, lexicon["n"].to_numpy()[at], *lists)
+            found = shared.value.score(rows, keys, codes)
             yield pa.RecordBatch.from_arrays(
                 [texts["row"].combine_chunks(), texts["doc_id"].combine_chunks(), *map(pa.array, found)], ["row", "doc_id", "n_tokens", "n_known", "known_sum", "score"])
 
