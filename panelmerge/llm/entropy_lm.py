@@ -3,8 +3,8 @@
 P(word | context) = P(class | context) x P(word | class). The class is a softmax over two
 context features: the word before (an n-gram feature), and the one before that (a skip
 feature). Words are classed by hashed spelling: the ``VOCABULARY`` most frequent in
-``CLASSES`` - 1 classes, the others in classes of their own, which grow with the counted
-types. Each of these also has a word that was never seen, with a count of 0, plus 1.
+``CLASSES`` - 1 classes, the others, by beginning, end and accents, in classes of their own, which
+grow with the counted types. Each of these also has a word that was never seen, with a count of 0, plus 1.
 
 Every counted word has a row of weights for both features. The rows of the ``DENSE`` most
 frequent, and one that all others share, come from rounds of distributed gradient
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .shared import id_remainder, raw, stored, word_runs
 
 END = b"\n"  # the end token; no word has a blank
-VOCABULARY = 120_000  # words that each task holds, with counts and classes
+VOCABULARY = 80_000  # words that each task holds, with counts and classes
 DENSE = 8192  # of them with rows from the rounds
 CLASSES = 32  # of frequent words, and the first class of the others
 CHUNK_BYTES = 1 << 22
@@ -45,6 +45,7 @@ BATCH = 16_384
 RATE = 0.5
 CAUTION = 4.0  # what is added to the curvature in the last step
 SPELLING = 192  # places that a word's byte n-grams hash to
+MARKS = 4096  # places that a word's beginning, end and least common letter hash to
 CLASSED = 30_000  # most frequent words, which the classes are made from
 FLUSH = 200_000  # distinct tokens a counting task holds at most
 START = -(1 << 40)  # before the first word
@@ -137,6 +138,19 @@ def nearest(words: list[bytes], centres: np.ndarray) -> np.ndarray:
     return out
 
 
+def spelling_marks(words: list[bytes]) -> np.ndarray:
+    """words x 3: hashed first and last two bytes, and the greatest pair of bytes (in an accented
+    word the accented letter)."""
+    letters = np.frombuffer(b"^" + b"$^".join(words) + b"$", np.uint8).astype(np.int64)
+    sizes = np.array([len(w) + 2 for w in words])
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    pairs = letters[:-1] * 256 + letters[1:]
+    within = np.where(np.isin(np.arange(len(pairs)), ends[:-1] - 1), 0, pairs) if len(words) > 1 else pairs
+    marks = np.stack([pairs[starts + 1], pairs[ends - 3], np.maximum.reduceat(within, starts)], axis=1)
+    return (marks * 0x9E3779B1 >> 16) % MARKS
+
+
 class Vocabulary:
     """Frequent words by number from 1 (0: any other), their classes and their share of their class."""
 
@@ -155,9 +169,14 @@ class Vocabulary:
         self.inside = np.concatenate([[0.0], np.log10(smooth / mass[bins])])
         # The others' classes: four more each time that the types double.
         rare_classes = 1 + int(4 * np.log2(max(1.0, types / max(1, len(words)))))
-        _, centres = spelling_classes(vectors, counts[:CLASSED], rare_classes)
-        # Whole numbers: sums are exact, so a word's class doesn't hang on the words around it.
-        self.rare_centres = np.round(1000 * centres.astype(float))
+        own, _ = spelling_classes(vectors, counts[:CLASSED], rare_classes)
+        # What each mark says for each class, from the frequent words of the class.
+        self.mark_scores = np.zeros((3, MARKS, rare_classes), np.float32)
+        if len(words):
+            prior = np.bincount(own, minlength=rare_classes) + 1.0
+            for k, marks in enumerate(spelling_marks(words[:CLASSED]).T):
+                seen = np.bincount(marks * rare_classes + own, minlength=MARKS * rare_classes).reshape(MARKS, rare_classes)
+                self.mark_scores[k] = np.log((seen + prior / prior.sum()) / prior)
         self.classes = CLASSES - 1 + rare_classes
         self.rare_masses = np.ones(rare_classes)  # of each class, an unseen word included
 
@@ -166,8 +185,14 @@ class Vocabulary:
         return np.fromiter(map(get, words, repeat(0)), np.int64, len(words))
 
     def rare_class(self, words: list[bytes]) -> np.ndarray:
-        """Classes of words that aren't frequent, by their spelling."""
-        return CLASSES - 1 + nearest(words, self.rare_centres)
+        """Classes of words that aren't frequent, by the marks of their spelling."""
+        if not words or self.mark_scores.shape[2] == 1:
+            return np.full(len(words), CLASSES - 1)
+        marks = spelling_marks(words)
+        scores = self.mark_scores[0][marks[:, 0]]
+        for k in (1, 2):
+            scores += self.mark_scores[k][marks[:, k]]
+        return CLASSES - 1 + scores.argmax(axis=1)
 
 
 def word_key(word: bytes) -> int:
@@ -587,7 +612,7 @@ def score_texts(docs: DataFrame, training: Column, rounds: int = ROUNDS) -> Data
     text_hash = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)).cast("int")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.when(training, text_hash).alias("round"))
     counts = stored(token_counts(docs.filter("round IS NOT NULL")), "tokens", free_shuffles=True)
-    chunked = stored(in_chunks(docs), "lm-chunks")
+    chunked = stored(in_chunks(docs), "lm-chunks", codec="zstd")
     model, rare = learn_model(chunked, counts, rounds)
     shared, words = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(model.vocabulary)
 
