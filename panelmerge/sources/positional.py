@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from panelmerge.functions.nulls import to_number
 from panelmerge.operators.clean import dedup_first_agg, period_predicate
-from panelmerge.sources.readers import file_order
+from panelmerge.sources.readers import ROW, file_order, splits
+from panelmerge.sources.split_csv import read_csv_split
 
 
 def read_positional(spark: SparkSession, path: str, encoding: str = "UTF-8", skip: int = 0) -> DataFrame:
     """A sheet exported as CSV, no header: columns ``_c0, _c1, ...`` plus the
     row's position in its file for keep-first semantics. ``skip``: leading rows to leave out."""
-    df = file_order(spark.read.option("header", False).option("encoding", encoding).option("multiLine", True).csv(path))
+    df = read_csv_split(spark, path, encoding, header=False, order_col=ROW) if splits(encoding) else None
+    if df is None:
+        df = file_order(spark.read.option("header", False).option("encoding", encoding).option("multiLine", True).csv(path))
     if skip <= 0:
         return df
     # The place of the last skipped row: one row. A sheet of fewer rows has none left.

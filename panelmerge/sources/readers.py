@@ -7,9 +7,8 @@ all files, grouped by ``_metadata.file_path`` - and files with invalid bytes
 are read as ISO-8859-1 (which accepts any byte). A UTF-8 BOM is stripped by
 the CSV reader itself.
 
-Quoted fields may hold line breaks, so a file is parsed as a whole: one task per
-file. Publishers' files are small; a very large one should be split at the
-source, or stored as Parquet.
+Quoted fields may hold line breaks; ``split_csv`` reads such a file by many tasks all the
+same. Only encodings that don't keep ASCII bytes (UTF-16) are read by one task a file.
 """
 
 from __future__ import annotations
@@ -21,8 +20,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from panelmerge.functions.nulls import clean_text
+from panelmerge.sources.split_csv import read_csv_split
 
 ROW = "__row"
+ASCII_BYTES = {"utf8", "usascii", "ascii", "iso88591", "latin1", "iso885915", "windows1252", "cp1252"}
+
+
+def splits(encoding: str | None) -> bool:
+    """Whether lines and quotes can be found in the bytes of the encoding."""
+    return encoding is None or encoding.lower().replace("-", "").replace("_", "") in ASCII_BYTES
 
 
 def file_order(df: DataFrame, col: str = ROW) -> DataFrame:
@@ -52,13 +58,17 @@ def read_csv_any_encoding(spark: SparkSession, path, encoding: str | None = None
                           order_col: str | None = None) -> DataFrame:
     """Read CSV file(s) as text columns, each file decoded as UTF-8 or Latin-1.
 
-    ``path`` may be a file, a folder or a list. One small aggregation with one row
-    per *file* (metadata, not data) finds each file's encoding and header; files are
-    read in one group per encoding and header, and the groups are united by
+    ``path`` may be a file, a folder or a list. A first pass finds each file's encoding and
+    header (one row per file: metadata, not data) and the quote state of each split; a second
+    one cuts and parses the records of all files in one scan. Files of different headers are united by
     column name (by position without a header). ``encoding`` fixes the encoding.
     ``order_col`` adds the place of each row in its file.
     """
     paths = [path] if isinstance(path, str) else list(path)
+    if splits(encoding):
+        df = read_csv_split(spark, paths, encoding, schema, header, order_col)
+        if df is not None:
+            return _cleaned(df)
     groups: dict = {}
     for row in inspect_files(spark, paths).collect():   # one row per file
         key = (encoding or row["encoding"], row["first_line"] if header else None)
@@ -73,7 +83,11 @@ def read_csv_any_encoding(spark: SparkSession, path, encoding: str | None = None
         frame = reader.csv(files)
         frames.append(file_order(frame, order_col) if order_col else frame)
     df = union_all(frames) if header else reduce(lambda a, b: a.union(b), frames)
-    # whitespace-only / NA-token cells become NULL in every text column
+    return _cleaned(df)
+
+
+def _cleaned(df: DataFrame) -> DataFrame:
+    """Whitespace-only and NA-token cells become NULL in every text column."""
     types = dict(df.dtypes)
     return df.select(*[clean_text(F.col(f"`{c}`")).alias(c) if types[c] == "string"
                        else F.col(f"`{c}`") for c in df.columns])
