@@ -46,6 +46,55 @@ def resolve(df: DataFrame, name_col: str, name_map: DataFrame, code_col: str = "
     return out.drop("__nm")
 
 
+def _deletions(name, depth: int):
+    """The name and all that is left of it by up to ``depth`` deletions."""
+    out = F.array(name)
+    for _ in range(depth):
+        cut = F.flatten(F.transform(out, lambda s: F.transform(
+            F.when(F.length(s) > 0, F.sequence(F.lit(1), F.length(s))).otherwise(F.array().cast("array<int>")),
+            lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substring(s, i + 1, F.length(s))))))
+        out = F.array_distinct(F.concat(out, cut))
+    return out
+
+
+def propose_names(unknown: DataFrame, known: DataFrame, distance: int = 2, gram: int = 2) -> DataFrame:
+    """Known names within an edit distance of names that didn't resolve: ``(name, candidate,
+    code, distance)``, all of them. ``unknown``: name; ``known``: name, code.
+
+    A prefix filter finds the candidates: an edit changes ``gram`` grams of a padded name at most, so of the
+    ``gram * distance + 1`` rarest grams of either name both share one. Names so short that they have no more
+    grams meet by what deletions leave of them. The exact distance is checked on the candidates only.
+    Null names have no candidates; repeated ones are one. Distances count characters.
+    """
+    prefix = gram * distance + 1
+    short = prefix + distance   # a name with more characters has too many grams to need deletions
+
+    def distinct(df, *more):
+        return df.filter(F.col("name").isNotNull()).select("name", *more).distinct()
+
+    def grams(names):
+        padded = F.concat(F.lit("\x01" * (gram - 1)), F.col("name"), F.lit("\x02" * (gram - 1)))
+        places = F.sequence(F.lit(1), F.length("name") + (gram - 1))
+        each = names.select("name", F.explode(F.transform(places, lambda i: F.substring(padded, i, F.lit(gram)))).alias("g")).groupBy("name", "g").agg(F.count("*").alias("n"))
+        # The second "aa" of a name is another gram than the first.
+        return each.select("name", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"), "g").select("name", F.concat("g", F.col("i").cast("string")).alias("g"))
+
+    left, right = distinct(unknown), distinct(known, "code")
+    every = left.select("name").union(right.select("name")).distinct()
+    all_grams = grams(every)
+    rarity = all_grams.groupBy("g").agg(F.count("*").alias("names"))
+    # The grams of one name: some dozens.
+    ranked = all_grams.join(rarity, "g").groupBy("name").agg(F.sort_array(F.collect_list(F.struct("names", "g"))).alias("order"))
+    keys = ranked.select("name", F.explode(F.transform(F.slice("order", 1, prefix), lambda x: x["g"])).alias("key"))
+    rests = every.filter(F.length("name") <= short).select("name", F.explode(F.transform(_deletions(F.col("name"), distance), lambda s: F.concat(F.lit("\x03"), s))).alias("key"))
+    keys = keys.union(rests)
+    ours = keys.join(left, "name").select(F.col("name"), "key")
+    theirs = keys.join(right.select("name").distinct(), "name").select(F.col("name").alias("candidate"), "key")
+    pairs = ours.join(theirs, "key").filter(F.abs(F.length("name") - F.length("candidate")) <= distance).select("name", "candidate").distinct()
+    near = pairs.withColumn("distance", F.levenshtein("name", "candidate", distance)).filter("distance >= 0")
+    return near.join(right.withColumnRenamed("name", "candidate"), "candidate").select("name", "candidate", "code", "distance")
+
+
 def unresolved(df: DataFrame, name_col: str, code_col: str, order_col: str, n: int | None = None) -> DataFrame:
     """Unresolved names: ``(name, first_seen, rows, unresolved_rows)``.
 

@@ -129,6 +129,22 @@ def key_facts(df: DataFrame, keys) -> DataFrame:
     return out.withColumn("duplicate_pct", F.coalesce(_pct(F.col("duplicate_rows"), F.col("rows")), F.lit(0.0)))
 
 
+def subtotals(df: DataFrame, sets, entity: str, metrics) -> DataFrame:
+    """Totals for several groupings at once (``sets``: lists of columns, [] for all rows), by one
+    Expand and one shuffle: ``level`` (the grouping's columns), the columns (null where summed
+    up), rows, distinct entities, and for each metric its filled rows, sum and mean."""
+    dims = list(dict.fromkeys(c for s in sets for c in s))
+    aggs = [F.count(F.lit(1)).alias("rows"), F.count_distinct(entity).alias("entities")]
+    for m in metrics:
+        aggs += [F.count(m).alias(f"{m}_filled"), F.sum(m).alias(f"{m}_sum"), F.avg(m).alias(f"{m}_mean")]
+    # An entity that is a dimension too would be null where it is summed up: it's counted on a copy.
+    own = df.withColumn("__entity", F.col(entity))
+    aggs[1] = F.count_distinct("__entity").alias("entities")
+    flags = [F.when(F.grouping(c) == 0, F.lit(c)) for c in dims]
+    out = own.groupingSets([[F.col(c) for c in s] for s in sets], *dims).agg(F.concat_ws(",", *flags).alias("level"), *aggs)
+    return out.select("level", *dims, *(c for c in out.columns if c not in {"level", *dims}))
+
+
 # ---------------------------------------------------------------- validity
 
 def bounds_check(df: DataFrame, metrics, lo, hi, period: str | None = None,

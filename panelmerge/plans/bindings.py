@@ -18,6 +18,7 @@ double columns are rounded to 6 places (the oracle rounds the same way).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 from types import SimpleNamespace
 
@@ -29,8 +30,12 @@ from panelmerge.configs import life_expectancy as LE
 from panelmerge.functions.sqltext import q as _q
 from panelmerge.operators import clean, entities, merge, rank, stats
 from panelmerge.plans import charts, pipeline, reports
-from panelmerge.sources.payload import flatten_payload
+from panelmerge.session import ensure_checkpoint_dir
+from panelmerge.sources.payload import explode_records, flatten_payload, flatten_records, inferred_schema
 from panelmerge.sources.positional import clean_positional
+from panelmerge.sources.sinks import key_sizes, store_panel, stored_panel, write_panel
+from panelmerge.sources.split_csv import read_csv_split
+from panelmerge.spec import SourceSpec
 
 # The EV panel configuration.
 EV_TYPES = ("click", "view", "purchase", "signup", "error")
@@ -567,6 +572,115 @@ def q_payload_flatten(spark, sf_dir):
     return flatten_payload(nm_payloads(spark, sf_dir))
 
 
+def nm_changed_payloads(spark, sf_dir) -> DataFrame:
+    """A page per order priority: records with a field that the schema doesn't know, values as text in one
+    page and no value at all in another, and a line that isn't JSON."""
+    o = _orders(spark, sf_dir)
+    record = F.struct(
+        F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("countryiso3code"), F.struct(F.col("o_orderstatus").alias("value")).alias("country"),
+        F.year("o_orderdate").cast("string").alias("date"), F.col("o_custkey").alias("value"), F.col("o_orderstatus").alias("status"))
+    as_text = F.to_json(record.withField("value", F.col("o_custkey").cast("string")))
+    text = F.when(F.col("o_orderstatus") == "F", as_text).when(F.col("o_orderstatus") == "P", F.to_json(record.dropFields("value", "status"))).otherwise(F.to_json(record))
+    pages = o.groupBy("o_custkey").agg(F.concat(F.lit('[{"page":1},['), F.array_join(F.collect_list(text), ","), F.lit("]]")).alias("value")).select("value")
+    return pages.union(spark.createDataFrame([("not json",)], "value string"))
+
+
+def q_payload_variant(spark, sf_dir):
+    """Records with unknown, missing and retyped fields survive."""
+    return flatten_records(nm_changed_payloads(spark, sf_dir))
+
+
+def q_payload_schema(spark, sf_dir):
+    """How many fields the least common schema of all records has, by pages and by lines."""
+    pages = explode_records(nm_changed_payloads(spark, sf_dir))
+    fields = lambda df: inferred_schema(df).select(F.size(F.split("schema", ": ")).alias("marks"))
+    lines = explode_records(pages.select(F.to_json("record").alias("value")), path=None)
+    return pages.agg(F.count("*").alias("records")).crossJoin(F.broadcast(fields(pages))).crossJoin(F.broadcast(fields(lines).withColumnRenamed("marks", "line_marks")))
+
+
+# ------------------------------------------------------------------ files written and read back
+
+def _scratch(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _documents_as_csv(spark, sf_dir, encoding: str, text) -> str:
+    """documents as CSV: texts with quotes, commas and line breaks."""
+    path = _scratch(spark, "csv")
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "lang", text.alias("text"), "source")
+    docs.write.option("header", True).option("escape", '"').option("encoding", encoding).option("ignoreLeadingWhiteSpace", False) \
+        .option("ignoreTrailingWhiteSpace", False).csv(path)
+    return path
+
+
+def q_csv_scan(spark, sf_dir):
+    """Every text, line breaks included, from CSV files that split."""
+    got = read_csv_split(spark, _documents_as_csv(spark, sf_dir, "UTF-8", F.col("text")))
+    return got.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+def q_csv_latin1_scan(spark, sf_dir):
+    """Files that aren't UTF-8 are read as Latin-1, file by file."""
+    text = F.regexp_replace("text", r"[^\x0A\x20-\x7E\u00A1-\u00FF]", "")
+    got = read_csv_split(spark, _documents_as_csv(spark, sf_dir, "ISO-8859-1", text))
+    return got.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+def q_missing_source(spark, sf_dir):
+    """An optional source that is missing is left out of the merge, one that is there isn't."""
+    path = _scratch(spark, "source")
+    write_panel(rv_panel(spark, sf_dir).select("o_orderkey", "total"), path, "parquet")
+    specs = [SourceSpec("there", path, "total", fmt="parquet"), SourceSpec("gone", path + "-gone", "total", fmt="parquet", optional=True)]
+    found = [(s.label, pipeline.load_source(spark, s)) for s in specs]
+    return found[0][1].select("o_orderkey", "total", F.lit(",".join(label for label, df in found if df is not None)).alias("sources"))
+
+
+def _sink(spark, sf_dir, fmt: str) -> DataFrame:
+    panel, path = ev_panel(spark, sf_dir), _scratch(spark, "sink")
+    write_panel(panel, path, fmt, keys=list(EV_KEYS))
+    reader = spark.read.schema(panel.schema)
+    return (reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)).select(*panel.columns)
+
+
+def q_sink_csv(spark, sf_dir):
+    return _sink(spark, sf_dir, "csv")
+
+
+def q_sink_parquet(spark, sf_dir):
+    return _sink(spark, sf_dir, "parquet")
+
+
+def q_sink_json(spark, sf_dir):
+    return _sink(spark, sf_dir, "json")
+
+
+def q_clustered_store(spark, sf_dir):
+    """Line items by order and ship year, stored by year and order; a second release replaces the years from 1997 on."""
+    table = f"panel_{uuid.uuid4().hex}"
+    lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", F.year("l_shipdate").alias("year"))
+    store_panel(lines, table, ["l_orderkey", "year"], "year", buckets=8, path=_scratch(spark, "store"))
+    store_panel(lines.filter("year >= 1997").withColumn("l_quantity", F.col("l_quantity") * 2), table, ["l_orderkey", "year"], "year", buckets=8)
+    stored = stored_panel(spark, table)
+    return key_sizes(stored, ["l_orderkey", "year"], "year").join(
+        stored.groupBy("l_orderkey", "year").agg(F.sum("l_quantity").alias("quantity")), ["l_orderkey", "year"])
+
+
+def q_name_proposals(spark, sf_dir):
+    """Each part name with a character lost, against the known names."""
+    p = nm_part(spark, sf_dir)
+    at = F.col("p_partkey") % F.length("p_name")
+    lost = p.select(F.concat(F.substring("p_name", F.lit(1), at), F.substring("p_name", at + 2, F.length("p_name"))).alias("name"))
+    return entities.propose_names(lost, nm_name_map(spark, sf_dir))
+
+
+def q_panel_subtotals(spark, sf_dir):
+    """Years, nations, both, and all orders, from one scan."""
+    out = stats.subtotals(rv_panel(spark, sf_dir, with_nation=True), [["year", "nation"], ["year"], ["nation"], []], "o_custkey", ["total", "net"])
+    dims = {c: F.coalesce(F.col(c).cast("string"), F.lit("all")) for c in ("year", "nation")}
+    # Sums of amounts of four decimals; a mean could lie halfway between two rounded values.
+    return out.withColumns(dims).withColumns({c: F.round(c, 4) for c in ("total_sum", "net_sum")}).drop("total_mean", "net_mean")
+
+
 # ------------------------------------------------------------------ the six cleaners (I1-I7)
 
 def _raw_part(spark, sf_dir, value) -> DataFrame:

@@ -456,6 +456,37 @@ Q["payload_flatten"] = _r(
     "n_name AS country_name, CAST(2000 + n_regionkey AS INTEGER) AS year, n_nationkey * 1.5 + 40 AS value "
     f"FROM nation WHERE n_regionkey <> {B.PAYLOAD_NULL_VALUE_REGION}", "value")
 
+Q["payload_variant"] = _r(
+    "SELECT 'O' || o_orderkey AS iso3, o_orderstatus AS country_name, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(o_custkey AS DOUBLE) AS value, "
+    "'{\"status\":\"' || o_orderstatus || '\"}' AS extra FROM orders WHERE o_orderstatus <> 'P'", "value")
+Q["payload_schema"] = "SELECT count(*) AS records, CAST(7 AS INTEGER) AS marks, CAST(7 AS INTEGER) AS line_marks FROM orders"
+
+# ------------------------------------------------------------------ files written and read back
+# An empty field of a CSV file is null.
+Q["csv_scan"] = "SELECT doc_id, lang, source, md5(text) AS text_md5 FROM documents"
+Q["csv_latin1_scan"] = ("SELECT doc_id, lang, source, md5(nullif(regexp_replace(text, '[^\\x0A\\x20-\\x7E\\x{00A1}-\\x{00FF}]', '', 'g'), '')) AS text_md5 "
+                        "FROM documents")
+Q["missing_source"] = _r("SELECT o_orderkey, o_totalprice AS total, 'there' AS sources FROM orders "
+                         "UNION ALL SELECT DISTINCT l_orderkey, NULL, 'there' FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)", "total")
+Q["sink_csv"] = Q["sink_parquet"] = Q["sink_json"] = Q["panel_merge_union"]
+Q["clustered_store"] = _r(
+    "SELECT l_orderkey, CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS rows, "
+    "sum(CASE WHEN year(l_shipdate) >= 1997 THEN 2 ELSE 1 END * l_quantity) AS quantity FROM lineitem GROUP BY 1, 2", "quantity")
+Q["panel_subtotals"] = _r(
+    "WITH n AS (SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount)) AS net FROM lineitem GROUP BY 1), "
+    "p AS (SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, o_totalprice AS total, net, c_nationkey AS nation "
+    "FROM orders FULL JOIN n ON o_orderkey = l_orderkey LEFT JOIN customer ON o_custkey = c_custkey) "
+    "SELECT CASE WHEN grouping(year) = 0 AND grouping(nation) = 0 THEN 'year,nation' WHEN grouping(year) = 0 THEN 'year' "
+    "WHEN grouping(nation) = 0 THEN 'nation' ELSE '' END AS level, coalesce(CAST(year AS VARCHAR), 'all') AS year, "
+    "coalesce(CAST(nation AS VARCHAR), 'all') AS nation, count(*) AS rows, count(DISTINCT o_custkey) AS entities, "
+    "count(total) AS total_filled, round(sum(total), 4) AS total_sum, count(net) AS net_filled, round(sum(net), 4) AS net_sum "
+    "FROM p GROUP BY GROUPING SETS ((year, nation), (year), (nation), ())", "total_sum", "net_sum")
+Q["name_proposals"] = (
+    "WITH lost AS (SELECT DISTINCT substr(p_name, 1, p_partkey % length(p_name)) || substr(p_name, p_partkey % length(p_name) + 2) AS name FROM part), "
+    f"f AS (SELECT p_name, min(p_partkey) AS k FROM part WHERE NOT starts_with(p_brand, '{PFX}') GROUP BY p_name), "
+    "known AS (SELECT f.p_name AS candidate, p_brand AS code FROM f JOIN part ON p_partkey = k) "
+    "SELECT name, candidate, code, CAST(levenshtein(name, candidate) AS INTEGER) AS distance FROM lost, known WHERE levenshtein(name, candidate) <= 2")
+
 # ------------------------------------------------------------------ the six cleaners and their pipeline
 CLO, CHI = B.CLEAN_PERIOD
 _yr = f"BETWEEN {CLO} AND {CHI}"

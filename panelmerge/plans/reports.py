@@ -167,13 +167,18 @@ def audit_columns(df: DataFrame) -> DataFrame:
 
 
 def audit_keys(df: DataFrame, entity: str, period: str) -> DataFrame:
-    """Key nulls, extent, duplicate keys and duplicate rows in one row."""
-    base = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(entity).isNull()).alias("entity_nulls"),
-                  F.count_if(F.col(period).isNull()).alias("period_nulls"),
-                  F.count_distinct(entity).alias("entities"), F.min(period).alias("min_period"),
-                  F.max(period).alias("max_period"))
-    kf = stats.key_facts(df, [entity, period]).select("duplicate_keys", "duplicate_rows", "duplicate_pct")
-    return base.crossJoin(kf).withColumn("columns", F.lit(len(df.columns)))
+    """Key nulls, extent, duplicate keys and duplicate rows in one row, from one scan: equal
+    rows are counted, then keys, and all else weighs by these counts."""
+    sizes = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__s"))
+    per_key = sizes.groupBy(entity, period).agg(F.sum("__s").alias("__k"), F.sum(F.col("__s") - 1).alias("__d"))
+    total = lambda e: F.coalesce(F.sum(e), F.lit(0)).cast("long")
+    out = per_key.agg(
+        total(F.col("__k")).alias("rows"), total(F.when(F.col(entity).isNull(), F.col("__k"))).alias("entity_nulls"),
+        total(F.when(F.col(period).isNull(), F.col("__k"))).alias("period_nulls"), F.count_distinct(entity).alias("entities"),
+        F.min(period).alias("min_period"), F.max(period).alias("max_period"), total(F.col("__k") - 1).alias("duplicate_keys"),
+        total(F.col("__d")).alias("duplicate_rows"))
+    pct = F.coalesce(F.try_divide(F.col("duplicate_rows") * 100.0, F.col("rows")), F.lit(0.0))
+    return out.withColumn("duplicate_pct", pct).withColumn("columns", F.lit(len(df.columns)))
 
 
 # ------------------------------------------------------------- profiles (G1-G6)
@@ -283,6 +288,19 @@ def profile_files(spark: SparkSession, paths, sample_rows: int | None = None) ->
     return columns, merge_keys(spark, tables)
 
 
+def _weighted(condition: str) -> str:
+    """Rows where the condition holds, from distinct rows with their counts ``__s``."""
+    return f"CAST(coalesce(sum(CASE WHEN {condition} THEN __s END), 0) AS BIGINT)"
+
+
+def _weighted_pct(e: str) -> str:
+    return f"coalesce(try_divide(sum(CASE WHEN {e} IS NOT NULL THEN __s ELSE 0 END) * 100.0D, sum(__s)), 0.0D)"
+
+
+_DUPLICATES = ("CAST(coalesce(sum(__s - 1), 0) AS BIGINT) AS duplicate_rows",
+               "coalesce(try_divide(sum(__s - 1) * 100.0D, sum(__s)), 0.0D) AS duplicate_pct")
+
+
 def source_profile(spark: SparkSession, sources, bounds) -> DataFrame:
     """One row per raw source (G3). ``sources`` is a list of dicts with
     ``label``, ``load`` (callable returning a DataFrame) and optional
@@ -305,24 +323,25 @@ def source_profile(spark: SparkSession, sources, bounds) -> DataFrame:
         cols = df.columns
         code, metric, period, name = (s.get(k) if s.get(k) in cols else None
                                       for k in ("code", "metric", "period", "name"))
-        pct = lambda e: f"coalesce(try_divide(count({e}) * 100.0D, count(1)), 0.0D)"
+        pct = _weighted_pct
         m = f"try_cast(trim(CAST({q(metric)} AS STRING)) AS DOUBLE)" if metric else None
         p = f"try_cast(trim(CAST({q(period)} AS STRING)) AS DOUBLE)" if period else None
         ent = name or code
         null_d = "CAST(NULL AS DOUBLE)"
-        agg = df.agg(*[F.expr(a) for a in (
-            "count(1) AS rows",
+        # One scan: equal rows are counted, and everything else weighs by that count.
+        sizes = df.groupBy(*cols).agg(F.expr("count(1) AS __s"))
+        agg = sizes.agg(*[F.expr(a) for a in (
+            f"{_weighted('true')} AS rows",
             f"{pct(q(code)) if code else '0.0D'} AS code_fill_pct",
             f"{pct(m) if metric else '0.0D'} AS metric_fill_pct",
             f"{f'min({m})' if metric else null_d} AS metric_min",
             f"{f'max({m})' if metric else null_d} AS metric_max",
-            f"{f'count_if({m} < {lo_s} OR {m} > {hi_s})' if metric else 'CAST(0 AS BIGINT)'} AS out_of_bounds",
+            f"{_weighted(f'{m} < {lo_s} OR {m} > {hi_s}') if metric else 'CAST(0 AS BIGINT)'} AS out_of_bounds",
             f"{pct(p) if period else '0.0D'} AS period_fill_pct",
             f"{f'min({p})' if period else null_d} AS period_min",
             f"{f'max({p})' if period else null_d} AS period_max",
-            f"{f'count(DISTINCT {q(ent)})' if ent else 'CAST(0 AS BIGINT)'} AS entities")])
-        dups = stats.duplicate_rows(df).select("duplicate_rows", "duplicate_pct")
-        parts.append(agg.crossJoin(dups).selectExpr(
+            f"{f'count(DISTINCT {q(ent)})' if ent else 'CAST(0 AS BIGINT)'} AS entities", *_DUPLICATES)])
+        parts.append(agg.selectExpr(
             f"{lit(s['label'])} AS label", f"{i} AS ordinal", "rows", f"{len(cols)} AS columns",
             f"{'true' if code is not None else 'false'} AS has_code", "code_fill_pct", "metric_fill_pct",
             "metric_min", "metric_max", "out_of_bounds", "period_fill_pct", "period_min", "period_max",
@@ -341,50 +360,52 @@ def source_profile_grouped(df: DataFrame, label_col: str, labels, bounds, *, cod
     labels = list(labels)
     df = df.filter(F.col(label_col).isin(labels))
     cols = [c for c in df.columns if c != label_col]
-    pct = lambda e: f"coalesce(try_divide(count({e}) * 100.0D, count(1)), 0.0D)"
+    pct = _weighted_pct
     m = f"CAST({q(metric)} AS DOUBLE)" if metric else None
     p = f"CAST({q(period)} AS DOUBLE)" if period else None
     ent = name or code
     null_d = "CAST(NULL AS DOUBLE)"
     aggs = [
-        "count(1) AS rows",
+        f"{_weighted('true')} AS rows",
         f"{pct(q(code)) if code else '0.0D'} AS code_fill_pct",
         f"{pct(m) if metric else '0.0D'} AS metric_fill_pct",
         f"{f'min({m})' if metric else null_d} AS metric_min",
         f"{f'max({m})' if metric else null_d} AS metric_max",
-        f"{f'count_if({m} < {lo} OR {m} > {hi})' if metric else 'CAST(0 AS BIGINT)'} AS out_of_bounds",
+        f"{_weighted(f'{m} < {lo} OR {m} > {hi}') if metric else 'CAST(0 AS BIGINT)'} AS out_of_bounds",
         f"{pct(p) if period else '0.0D'} AS period_fill_pct",
         f"{f'min({p})' if period else null_d} AS period_min",
         f"{f'max({p})' if period else null_d} AS period_max",
-        f"{f'count(DISTINCT {q(ent)})' if ent else 'CAST(0 AS BIGINT)'} AS entities",
+        f"{f'count(DISTINCT {q(ent)})' if ent else 'CAST(0 AS BIGINT)'} AS entities", *_DUPLICATES,
     ]
-    agg = df.groupBy(label_col).agg(*[F.expr(a) for a in aggs])
+    # One scan: equal rows are counted, and everything else weighs by that count.
     sizes = df.groupBy(label_col, *cols).agg(F.expr("count(1) AS __s"))
-    dups = sizes.groupBy(label_col).agg(F.expr("CAST(sum(__s - 1) AS BIGINT) AS duplicate_rows"),
-                                        F.expr("sum(__s) AS __n"))
+    agg = sizes.groupBy(label_col).agg(*[F.expr(a) for a in aggs])
     order = "map(" + ", ".join(f"{lit(lab)}, {i}" for i, lab in enumerate(labels)) + ")"
     lc = q(label_col)
-    return agg.join(dups, label_col).selectExpr(
+    return agg.selectExpr(
         f"CAST({lc} AS STRING) AS label", f"{order}[{lc}] AS ordinal", "rows", f"{len(cols)} AS columns",
         f"{'true' if code is not None else 'false'} AS has_code", "code_fill_pct", "metric_fill_pct", "metric_min",
         "metric_max", "out_of_bounds", "period_fill_pct", "period_min", "period_max", "duplicate_rows",
-        "coalesce(try_divide(duplicate_rows * 100.0D, __n), 0.0D) AS duplicate_pct", "entities", "'' AS load_error")
+        "duplicate_pct", "entities", "'' AS load_error")
 
 
 def final_profile(df: DataFrame, entity: str, period: str, name: str | None, metrics, bounds) -> DataFrame:
     """One row describing the final panel (G4)."""
     lo, hi = num(bounds[0]), num(bounds[1])
     metrics = [m for m in metrics if m in df.columns]
-    pct = lambda c: f"coalesce(try_divide(count({c}) * 100.0D, count(1)), 0.0D)"
     oob = " + ".join(f"count_if({q(m)} < {lo} OR {q(m)} > {hi})" for m in metrics) or "0"
-    avg_fill = f"(({' + '.join(pct(q(m)) for m in metrics)}) / {len(metrics)})" if metrics else "0.0D"
-    base = df.agg(*[F.expr(a) for a in (
-        "count(1) AS rows", f"count(DISTINCT {q(entity)}) AS entities", f"min({q(period)}) AS min_period",
-        f"max({q(period)}) AS max_period", f"{pct(q(entity))} AS code_fill_pct",
-        f"{pct(q(name)) if name else '0.0D'} AS name_fill_pct", f"{avg_fill} AS avg_metric_fill_pct",
-        f"CAST({oob} AS BIGINT) AS out_of_bounds")])
-    dk = stats.key_facts(df, [entity, period]).select("duplicate_keys")
-    return base.crossJoin(dk).selectExpr("rows", f"{len(df.columns)} AS columns", "entities", "min_period",
+    # One scan: sums by key, then over the keys.
+    filled = {f"__f{i}": q(m) for i, m in enumerate(metrics)} | ({"__name": q(name)} if name else {})
+    per_key = df.groupBy(entity, period).agg(
+        F.expr("count(1) AS __s"), F.expr(f"CAST({oob} AS BIGINT) AS __oob"), *(F.expr(f"count({e}) AS {a}") for a, e in filled.items()))
+    pct = lambda e: f"coalesce(try_divide(sum({e}) * 100.0D, sum(__s)), 0.0D)"
+    avg_fill = f"(({' + '.join(pct(f'__f{i}') for i in range(len(metrics)))}) / {len(metrics)})" if metrics else "0.0D"
+    base = per_key.agg(*[F.expr(a) for a in (
+        f"{_weighted('true')} AS rows", f"count(DISTINCT {q(entity)}) AS entities", f"min({q(period)}) AS min_period",
+        f"max({q(period)}) AS max_period", f"{_weighted_pct(q(entity))} AS code_fill_pct",
+        f"{pct('__name') if name else '0.0D'} AS name_fill_pct", f"{avg_fill} AS avg_metric_fill_pct",
+        "CAST(coalesce(sum(__oob), 0) AS BIGINT) AS out_of_bounds", "CAST(coalesce(sum(__s - 1), 0) AS BIGINT) AS duplicate_keys")])
+    return base.selectExpr("rows", f"{len(df.columns)} AS columns", "entities", "min_period",
                                          "max_period", "code_fill_pct", "name_fill_pct", "duplicate_keys",
                                          "avg_metric_fill_pct", "out_of_bounds")
 
