@@ -155,7 +155,7 @@ class Vocabulary:
     """Frequent words by number from 1 (0: any other), their classes and their share of their class."""
 
     def __init__(self, words: list[bytes], counts: np.ndarray, tokens: int, types: int) -> None:
-        self.words = words
+        self.words, self.dense = words, min(DENSE, len(words))
         self.number = {w: i + 1 for i, w in enumerate(words)}
         self.tokens, self.types = tokens, types
         self.known = np.concatenate([[0.0], np.log10(counts + 1.0)])
@@ -287,11 +287,11 @@ def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[bytes, byte
 
 # ---- rounds of gradient updates
 
-def feature_rows(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+def feature_rows(one: np.ndarray, two: np.ndarray, dense: int) -> np.ndarray:
     """Rows of the weights (tokens x 2): of the words before, if they are dense; the other words share
     a row for each feature, and so does the start."""
     def row(ids):
-        return np.where(ids == START, 0, np.where((ids > 0) & (ids <= DENSE), ids + 1, 1))
+        return np.where(ids == START, 0, np.where((ids > 0) & (ids <= dense), ids + 1, 1))
     return np.stack([2 * row(one), 2 * row(two) + 1], axis=1)
 
 
@@ -353,7 +353,7 @@ def add_up(batches: Iterator[pa.RecordBatch], classes: int) -> Iterator[pa.Recor
 def train_classes(chunked: DataFrame, vocabulary: Vocabulary, shared_vocabulary, rounds: int = ROUNDS) -> np.ndarray:
     """Weights (rows + 1 x classes, float32; the last row is the bias) of the dense words."""
     spark, classes = chunked.sparkSession, vocabulary.classes
-    weights = np.zeros((2 * (min(DENSE, len(vocabulary.words)) + 2) + 1, classes), np.float32)
+    weights = np.zeros((2 * (vocabulary.dense + 2) + 1, classes), np.float32)
     prior = np.bincount(vocabulary.cls[1:], weights=10 ** vocabulary.known[1:], minlength=classes).astype(float)
     prior[CLASSES - 1:] += vocabulary.rare_masses
     weights[-1] = np.log(np.maximum(prior, 1e-3) / max(1e-3, prior.sum()))
@@ -365,7 +365,7 @@ def train_classes(chunked: DataFrame, vocabulary: Vocabulary, shared_vocabulary,
             squares, touched = np.zeros(len(own)), np.zeros(len(own), np.int64)
             for rows in groups(batches):
                 tokens = Tokens(rows, shared_vocabulary.value)
-                x = feature_rows(tokens.one, tokens.two)
+                x = feature_rows(tokens.one, tokens.two, shared_vocabulary.value.dense)
                 for i in range(0, len(x), BATCH):
                     update(own, squares, touched, x[i:i + BATCH], tokens.cls[i:i + BATCH])
             some = np.flatnonzero(touched)
@@ -434,7 +434,7 @@ def class_counts(chunked: DataFrame, vocabulary: Vocabulary, shared_vocabulary)
             tokens = Tokens(rows, words)
             ids = np.concatenate([tokens.one, tokens.two])
             slots = np.concatenate([tokens.cls, tokens.cls + classes])
-            part = np.flatnonzero(ids > DENSE)
+            part = np.flatnonzero(ids > words.dense)
             frequent = summed(*(np.concatenate(x) for x in zip(frequent, (ids[part], slots[part], np.ones(len(part), np.int64)))))
             part = np.flatnonzero((ids < 0) & (ids != START))
             keys = np.array([word_key(w) for w in tokens.names], np.int64)
@@ -549,17 +549,17 @@ class Scorer:
         seen, rare_rows = np.zeros(len(own)), np.zeros((len(own), 2, words.classes), np.float32)
         rare_rows[found], seen[found] = self.steps.rows([codes[i] for i in place[found]])
         used = np.unique(np.concatenate([tokens.one, tokens.two]))
-        used = used[used > DENSE]
+        used = used[used > words.dense]
         frequent_rows, _ = self.steps.rows([self.frequent_codes.get(i, NO_CODES) for i in used.tolist()])
         rare, at = tokens.ids < 0, np.maximum(-1 - tokens.ids, 0)
         known, inside, counted = words.known[np.maximum(tokens.ids, 0)], words.inside[np.maximum(tokens.ids, 0)], np.ones(len(tokens.ids), bool)
         known[rare], counted[rare] = np.log10(seen[at[rare]] + 1), found[at[rare]]
         inside[rare] = np.log10((seen[at[rare]] + 1) / words.rare_masses[tokens.cls[rare] - CLASSES + 1])
-        x, logs = feature_rows(tokens.one, tokens.two), np.empty(len(tokens.ids))
+        x, logs = feature_rows(tokens.one, tokens.two, words.dense), np.empty(len(tokens.ids))
         for i in range(0, len(x), BATCH):
             z = rated(self.weights, x[i:i + BATCH])
             for feature, before in enumerate((tokens.one[i:i + BATCH], tokens.two[i:i + BATCH])):
-                part = np.flatnonzero(before > DENSE)
+                part = np.flatnonzero(before > words.dense)
                 z[part] += frequent_rows[np.searchsorted(used, before[part]), feature]
                 part = np.flatnonzero((before < 0) & (before != START))
                 z[part] += rare_rows[-1 - before[part], feature]
@@ -588,7 +588,7 @@ def learn_model(chunked: DataFrame, counts: DataFrame, rounds: int = ROUNDS) ->
     for row in slots.collect():  # 2 x classes
         expected[row.slot] = row.n
     # Codes of the frequent words that aren't dense: VOCABULARY words at most.
-    middle = {word_key(w): DENSE + 1 + i for i, w in enumerate(vocabulary.words[DENSE:])}
+    middle = {word_key(w): vocabulary.dense + 1 + i for i, w in enumerate(vocabulary.words[vocabulary.dense:])}
     codes = {}
     if middle:
         keys = spark.createDataFrame(pd.DataFrame({"key": list(middle)}))

@@ -83,7 +83,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, allowed: Column, limit:
     """Up to ``limit`` labelled documents where ``allowed`` (over doc_id) holds, those of
     the lowest hash: doc_id, text, toxic. The ids are few, so the texts don't move."""
     ids = labels.filter(allowed & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
-    ids = ids.dropDuplicates(["__id"]).orderBy(F.xxhash64("__id"), "__id").limit(limit)
+    ids = ids.groupBy("__id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("__id"), "__id").limit(limit)
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), F.expr("doc_id = __id"))
     # An id with a third of all rows is still one document of the sample.
     return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
@@ -165,7 +165,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, limit:
 
     The fit uses up to ``limit`` labelled documents. Null or empty texts have the score
     of a text without words. Null labels or ids aren't learnt from; of repeated labels
-    one counts. Repeated documents get equal scores. Without labels of both kinds the
+    of an id the greatest counts. Repeated documents get equal scores. Without labels of both kinds the
     score is the same for all. An empty table gives an empty result.
     """
     model = fit(labelled_sample(docs, labels, ~held_out, limit))
