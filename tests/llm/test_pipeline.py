@@ -6,6 +6,7 @@ import sys
 import zlib
 from collections import Counter
 
+import duckdb
 import pytest
 from awkward_rows import docs, nothing  # noqa: F401
 
@@ -37,12 +38,23 @@ def test_stages(spark, docs, nothing, tmp_path):
 def test_queries(spark):
     if not os.path.isdir(SMALL):
         pytest.skip("no tables")
+    from panelmerge.llm.oracle import ORACLE_SQL
     from panelmerge.llm.queries import QUERIES
 
     n = {t: spark.read.parquet(f"{SMALL}/{t}.parquet").count() for t in ("documents", "pages")}
+    n["conversations"] = spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id").distinct().count()
+    tables = {"op9_": "pages", "op13_": "conversations"}
+    con = duckdb.connect()
+    for t in ("documents", "conversations"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     for name, query in QUERIES.items():
-        got = query(spark, SMALL).count()
-        assert name.startswith("op1_") or got == n["pages" if name.startswith("op9_") else "documents"]
+        got = query(spark, SMALL)
+        columns, got = got.columns, [tuple(r) for r in got.collect()]
+        assert name.startswith("op1_") or len(got) == n[tables.get(name.split("_")[0] + "_", "documents")]
+        if name in ORACLE_SQL:
+            rel = con.sql(ORACLE_SQL[name])
+            assert sorted(rel.columns) == sorted(columns)
+            assert sorted(rel.select(*columns).fetchall()) == sorted(got)
 
 
 ALPHABET = "the of and to in a is that for it as with was on be by this are from at or an".split()
