@@ -678,3 +678,20 @@ def test_word_shares_sum_to_one():
     names = [b"a", "straße".encode(), b"x" * 5000, b"the"]
     together = vocabulary.rare_class(names)
     assert [int(vocabulary.rare_class([w])[0]) for w in names] == list(together)
+
+
+# ---- reruns
+
+def test_mix_and_toxic_labels_dont_hang_on_the_layout(spark, docs):
+    """The mix at two shuffle widths, and the label of an id that has several."""
+    before, got = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for width in (4, 7):
+            spark.conf.set("spark.sql.shuffle.partitions", str(width))
+            got.append(rows(mixing.plan_mix(docs.repartition(width)), "doc_id", "source", "text_hash", "copies", "taken", "shard_1", "order_1"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == got[1]
+    labels = spark.createDataFrame([(0, 0), (0, 1), (1, 0), (1, None), (None, 1)], "doc_id long, toxic int").repartition(3)
+    sample = toxicity.labelled_sample(docs, labels, F.lit(True))
+    assert rows(sample, "doc_id", "toxic") == [(0, 1), (1, 0)]
