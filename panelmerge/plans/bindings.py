@@ -28,7 +28,9 @@ from pyspark.sql.types import DoubleType
 
 from panelmerge.configs import life_expectancy as LE
 from panelmerge.functions.sqltext import q as _q
-from panelmerge.operators import clean, entities, merge, rank, stats
+from panelmerge.operators import clean, entities, merge, rank, release, stats
+from panelmerge.operators.asof import asof_join, carry_last
+from panelmerge.operators.interval import interval_join
 from panelmerge.plans import charts, pipeline, reports
 from panelmerge.session import ensure_checkpoint_dir
 from panelmerge.sources.payload import explode_records, flatten_payload, flatten_records, inferred_schema
@@ -79,6 +81,9 @@ RV_WANT_YEAR = 1998
 RV_MISSING_YEAR = 2019
 RV_PERIOD_RANGE = (1996, 2000)
 
+# What the second release corrects and withdraws.
+RELEASE_USER, RELEASE_DAY = 7, 28
+
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -665,6 +670,42 @@ def q_clustered_store(spark, sf_dir):
         stored.groupBy("l_orderkey", "year").agg(F.sum("l_quantity").alias("quantity")), ["l_orderkey", "year"])
 
 
+def q_release_merge(spark, sf_dir):
+    """The five event sources as a first release; in a second one user's clicks are corrected and a day's errors withdrawn."""
+    folder, sources = _scratch(spark, "releases"), dict(zip(EV_TYPES, ev_sources(spark, sf_dir)))
+    release.apply_release(spark, folder, sources, EV_KEYS, buckets=16, fanout=4, on_duplicate="mean")
+    corrected = F.when(F.col("user_id") == RELEASE_USER, F.col("m_click") + 1).otherwise(F.col("m_click"))
+    second = {"click": sources["click"].withColumn("m_click", corrected), "error": sources["error"].filter(F.col("day") != RELEASE_DAY)}
+    release.apply_release(spark, folder, second, EV_KEYS, buckets=16, fanout=4, on_duplicate="mean")
+    return release.current_panel(spark, folder)
+
+
+def q_asof_join(spark, sf_dir):
+    """Each purchase with the user's latest view at or before it."""
+    e = _t(spark, sf_dir, "events")
+    bought = e.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    viewed = e.filter("event_type = 'view'").select("user_id", F.col("ts").alias("view_ts"), F.col("value").alias("view_value"))
+    out = asof_join(bought, viewed, ["user_id"], "ts", "view_ts", matched="view_ts")
+    return out.select("event_id", "user_id", F.unix_micros(F.col("view_ts").cast("timestamp")).cast("string").alias("view_micros"), "view_value")
+
+
+def q_carry_last(spark, sf_dir):
+    """The event panel with the gaps of each metric filled by the user's last value."""
+    return carry_last(ev_panel(spark, sf_dir), ["user_id"], "day", EV_METRICS)
+
+
+def q_interval_join(spark, sf_dir):
+    """Line items shipped while other orders of the customer were open: an order is for (key mod 400) days, some without end."""
+    o = _orders(spark, sf_dir)
+    opened = F.to_date("o_orderdate")
+    end = F.when(F.col("o_orderkey") % 97 != 0, F.date_add(opened, (F.col("o_orderkey") % 400).cast("int")))
+    spans = o.select("o_custkey", F.col("o_orderkey").alias("open_orderkey"), opened.alias("since"), end.alias("until"))
+    lines = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", F.to_date("l_shipdate").alias("shipped"))
+    points = lines.join(o.select("o_orderkey", "o_custkey"), "o_orderkey")
+    return interval_join(points, spans, ["o_custkey"], "shipped", "since", "until").groupBy("open_orderkey").agg(
+        F.count("*").alias("lines"), F.sum(F.col("o_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("marks"))
+
+
 def q_name_proposals(spark, sf_dir):
     """Each part name with a character lost, against the known names."""
     p = nm_part(spark, sf_dir)

@@ -481,6 +481,24 @@ Q["panel_subtotals"] = _r(
     "coalesce(CAST(nation AS VARCHAR), 'all') AS nation, count(*) AS rows, count(DISTINCT o_custkey) AS entities, "
     "count(total) AS total_filled, round(sum(total), 4) AS total_sum, count(net) AS net_filled, round(sum(net), 4) AS net_sum "
     "FROM p GROUP BY GROUPING SETS ((year, nation), (year), (nation), ())", "total_sum", "net_sum")
+_second = (f"SELECT user_id, CAST(day(ts) AS INTEGER) AS day, event_type, value + CAST(event_type = 'click' AND user_id = {B.RELEASE_USER} AS INTEGER) AS value "
+           f"FROM events WHERE event_type IN ({_in(B.EV_TYPES)}) AND NOT (event_type = 'error' AND day(ts) = {B.RELEASE_DAY})")
+Q["release_merge"] = _r(
+    "SELECT user_id, day, " + ", ".join(f"avg(CASE WHEN event_type = '{t}' THEN value END) AS m_{t}" for t in B.EV_TYPES)
+    + f" FROM ({_second}) x WHERE user_id IS NOT NULL AND day IS NOT NULL GROUP BY 1, 2", *MET)
+Q["asof_join"] = _r(
+    "WITH v AS (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'view' GROUP BY 1, 2) "
+    "SELECT e.event_id, e.user_id, CAST(epoch_us(v.ts) AS VARCHAR) AS view_micros, v.value AS view_value FROM (SELECT * FROM events WHERE event_type = 'purchase') e "
+    "ASOF LEFT JOIN v ON e.user_id = v.user_id AND e.ts >= v.ts", "view_value")
+Q["carry_last"] = _r(
+    f"WITH {EV} SELECT user_id, day, " + ", ".join(
+        f"last_value({m} IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY day ROWS UNBOUNDED PRECEDING) AS {m}" for m in MET) + " FROM ev", *MET)
+Q["interval_join"] = (
+    "WITH s AS (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS since, CASE WHEN o_orderkey % 97 <> 0 "
+    "THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INTEGER) END AS until FROM orders), "
+    "p AS (SELECT o_orderkey, l_linenumber, o_custkey, CAST(l_shipdate AS DATE) AS shipped FROM lineitem JOIN orders ON l_orderkey = o_orderkey) "
+    "SELECT s.o_orderkey AS open_orderkey, count(*) AS lines, CAST(sum(p.o_orderkey * 10 + l_linenumber) AS BIGINT) AS marks "
+    "FROM p JOIN s ON p.o_custkey = s.o_custkey AND since <= shipped AND (until IS NULL OR shipped < until) GROUP BY 1")
 Q["name_proposals"] = (
     "WITH lost AS (SELECT DISTINCT substr(p_name, 1, p_partkey % length(p_name)) || substr(p_name, p_partkey % length(p_name) + 2) AS name FROM part), "
     f"f AS (SELECT p_name, min(p_partkey) AS k FROM part WHERE NOT starts_with(p_brand, '{PFX}') GROUP BY p_name), "
