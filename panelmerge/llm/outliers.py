@@ -9,7 +9,8 @@ The estimate is FAST-MCD spread over Spark: each group is cut into chunks of
 about ``CHUNK`` rows, every chunk searches its own best half from several
 deterministic starts, the chunk results are averaged, and concentration steps
 over all rows of the group (distance, quantile, new mean and covariance, all
-of them aggregations) refine the average. No task holds a whole group.
+of them aggregations) refine the average. No task holds a whole group. Chunks and
+quantiles hang on the data alone, not on how the rows are partitioned.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from statistics import NormalDist
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import raw, stored
@@ -44,7 +45,8 @@ NAMES, P = list(FEATURES), len(FEATURES)
 ALPHA = 0.75  # share of the rows in the covariance
 TAIL = 1e-7  # share of a normal population beyond the cut
 CHUNK = 1000
-MIN_ROWS = 50  # smaller groups use the estimate over all groups
+PRIOR_ROWS = 50  # as many rows as this of all groups' estimate are mixed into that of each group
+STEPS = 64  # steps of the distance's histogram for each doubling
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 
 
@@ -167,8 +169,20 @@ _STATE = ", ".join(f"{c} double" for c in _MEANS + _COVS)
 
 
 def _search(table: pd.DataFrame) -> pd.DataFrame:
-    mean, cov = mcd(table[NAMES].to_numpy(float))
-    return pd.DataFrame([[table["group"].iat[0], len(table), *mean, *(cov[i, j] for i, j in PAIRS)]], columns=["group", "n", *_MEANS, *_COVS])
+    table = table.sort_values(NAMES, kind="stable")  # a chunk's rows come in any order
+    x = table[NAMES].to_numpy(float).repeat(table["copies"].to_numpy(), axis=0)
+    mean, cov = mcd(x)
+    return pd.DataFrame([[table["group"].iat[0], len(x), *mean, *(cov[i, j] for i, j in PAIRS)]], columns=["group", "n", *_MEANS, *_COVS])
+
+
+def chunked(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """group, chunk, the statistics and copies: equal vectors are counted, then dealt one by one to the chunks, from one
+    that their hash names on, so that vectors which repeat spread evenly."""
+    counted = rows.groupBy("group", *NAMES).agg(F.count("*").alias("n")).join(sizes, "group")
+    counted = counted.withColumn("first", F.pmod(F.xxhash64(*NAMES), "chunks")).withColumn(
+        "turn", F.explode(F.expr("sequence(0L, least(n, chunks) - 1)")))
+    return counted.select("group", *NAMES, F.expr("(first + turn) % chunks").alias("chunk"),
+                          F.expr("n div chunks + int(turn < n % chunks)").alias("copies"))
 
 
 def _invert(state: DataFrame, scale: float = 1.0) -> DataFrame:
@@ -195,13 +209,23 @@ def _measured(rows: DataFrame, state: DataFrame) -> DataFrame:
     return rows.join(state, "group").withColumn("d2", F.expr(DISTANCE)).drop(*_MEANS, *_COVS)
 
 
+def _quantile(near: DataFrame) -> DataFrame:
+    """group and cut: the upper end of the step of d2 in which the share ALPHA of the group's rows is reached. Steps
+    are the same for all data, so the cut doesn't depend on the order in which partial counts meet."""
+    step = F.floor(F.log2(F.greatest("d2", F.lit(1e-9))) * STEPS)
+    counts = near.groupBy("group", step.alias("step")).agg(F.count("*").alias("n"))
+    # Some thousand steps a group at most.
+    running = F.sum("n").over(Window.partitionBy("group").orderBy("step"))
+    total = F.sum("n").over(Window.partitionBy("group"))
+    reached = counts.withColumns({"running": running, "total": total}).filter(F.col("running") >= ALPHA * F.col("total"))
+    return reached.groupBy("group").agg(F.pow(F.lit(2.0), (F.min("step") + 1) / STEPS).alias("cut"))
+
+
 def robust_estimates(rows: DataFrame, rounds: int = 2) -> DataFrame:
-    """Mean and precision by group: a row per value of ``group``, which isn't null.
-    ``rows`` is a stored table with group, row (a number of its own for each document, so
-    that rows which repeat one another spread over the chunks) and the transformed statistics."""
+    """Rows, mean and covariance (without the floor) by group: a row per value of ``group``, which isn't null.
+    ``rows`` is a stored table with group and the transformed statistics."""
     sizes = stored(rows.groupBy("group").agg(F.count("*").alias("rows")).withColumn("chunks", F.expr(f"cast(greatest(1, round(rows / {CHUNK})) as long)")), "groups")
-    chunked = rows.join(sizes, "group").withColumn("chunk", F.pmod(F.xxhash64("row", *NAMES), "chunks"))
-    found = chunked.groupBy("group", "chunk").applyInPandas(_search, f"group string, n long, {_STATE}")
+    found = chunked(rows, sizes).groupBy("group", "chunk").applyInPandas(_search, f"group string, n long, {_STATE}")
     state = found.groupBy("group").agg(*(F.expr(f"sum(n * {c}) / sum(n) AS {c}") for c in _MEANS + _COVS))
     # The chunks' covariances have the floor in them already; _invert adds it.
     state = state.select("group", *_MEANS, *(F.expr(f"c{i}_{j} - {float(FLOOR[i, j])!r}D").alias(f"c{i}_{j}") for i, j in PAIRS))
@@ -209,40 +233,49 @@ def robust_estimates(rows: DataFrame, rounds: int = 2) -> DataFrame:
     for _ in range(rounds):
         # Stored, the few estimates are known to be small: the rows needn't move to meet them.
         near = _measured(rows, stored(_invert(state), "mcd"))
-        cut = stored(near.groupBy("group").agg(F.percentile_approx("d2", ALPHA, 1000).alias("cut")), "mcd-cut")
+        cut = stored(_quantile(near), "mcd-cut")
         half = near.join(cut, "group").filter("d2 <= cut")
         half = half.groupBy("group").agg(
             *(F.expr(f"avg({x}) AS m{i}") for i, x in enumerate(NAMES)),
             *(F.expr(f"covar_pop({NAMES[i]}, {NAMES[j]}) AS c{i}_{j}") for i, j in PAIRS))
         state = stored(half, "mcd")
-    # A subset of the nearest rows has too small a covariance: the factor for normal data.
-    return _invert(state, ALPHA / chi2_cdf(chi2_quantile(ALPHA, P), P + 2))
+    return state.join(sizes.select("group", "rows"), "group")
 
 
-def reject_outliers(docs: DataFrame, tail: float = TAIL, min_rows: int = MIN_ROWS) -> DataFrame:
+def shrunk(state: DataFrame, common: str) -> DataFrame:
+    """Each group's estimate mixed with that of the group ``common``, which stands for PRIOR_ROWS rows: mean and covariance
+    of the mixture. The smaller a group, the more it is judged by the common estimate; there is no step."""
+    prior = state.filter(F.col("group") == common).select(*(F.col(c).alias(f"p_{c}") for c in _MEANS + _COVS))
+    both = state.filter(F.col("group") != common).crossJoin(F.broadcast(prior)).withColumn("w", F.expr(f"rows / (rows + {PRIOR_ROWS})"))  # prior: one row
+    means = [F.expr(f"w * m{i} + (1 - w) * p_m{i}").alias(f"m{i}") for i in range(P)]
+    covs = [F.expr(f"w * c{i}_{j} + (1 - w) * p_c{i}_{j} + w * (1 - w) * (m{i} - p_m{i}) * (m{j} - p_m{j})").alias(f"c{i}_{j}") for i, j in PAIRS]
+    return both.select("group", *means, *covs)
+
+
+def reject_outliers(docs: DataFrame, tail: float = TAIL) -> DataFrame:
     """Verdicts on ``docs`` (doc_id, lang, source, text; other columns are ignored).
 
     Returns a row per input row: doc_id, lang, source, the statistics, base_failed,
     distance (squared Mahalanobis; null if base_failed) and kept. Estimates come
     from all rows that pass the base rules; a group is a (lang, source) pair, null
-    being a value like others. Groups of fewer than ``min_rows`` such rows are
-    measured by the estimate over all groups together.
+    being a value like others. Each group's estimate is mixed with that over all groups,
+    which counts as PRIOR_ROWS rows. However the rows are partitioned, verdicts agree (but for
+    distances that differ from the cut in their last digits only).
 
     Null or empty text: no words, base_failed. Repeated rows count as often as they
     occur. If no row passes the base rules, or the table is empty, nothing is kept.
     """
     stats = stored(
-        base_stats(docs).withColumn("pair", F.to_json(F.struct("lang", "source")))
-        .select("*", *(F.expr(f"cast({sql} as double)").alias(c) for c, (sql, _) in FEATURES.items()), F.monotonically_increasing_id().alias("row")), "text-stats")
-    good = stats.filter(~F.col("base_failed"))
-    large = stored(good.groupBy("pair").agg(F.count("*").alias("rows")).filter(F.col("rows") >= min_rows).drop("rows"), "large-groups")
-    everyone = F.lit("")
-    both = good.select("pair", "row", *NAMES)
-    rows = both.join(large, "pair").withColumnRenamed("pair", "group").unionByName(both.drop("pair").withColumn("group", everyone))
-    state = stored(robust_estimates(stored(rows, "mcd-rows")), "mcd-state")
-
-    grouped = stats.join(large.withColumn("own", F.lit(True)), "pair", "left").withColumn("group", F.when(F.col("own"), F.col("pair")).otherwise(everyone))
-    judged = grouped.join(state, "group", "left").withColumn("distance", F.when(~F.col("base_failed"), F.expr(DISTANCE)))
+        base_stats(docs).withColumn("group", F.to_json(F.struct("lang", "source")))
+        .select("*", *(F.expr(f"cast({sql} as double)").alias(c) for c, (sql, _) in FEATURES.items())), "text-stats")
+    good = stats.filter(~F.col("base_failed")).select("group", *NAMES)
+    everyone = ""  # no pair's JSON
+    state = robust_estimates(stored(good.unionByName(good.withColumn("group", F.lit(everyone))), "mcd-rows"))
+    # A subset of the nearest rows has too small a covariance: the factor for normal data.
+    factor = ALPHA / chi2_cdf(chi2_quantile(ALPHA, P), P + 2)
+    state = stored(_invert(shrunk(stored(state, "mcd-state"), everyone), factor), "mcd-precision")
+
+    judged = stats.join(state, "group", "left").withColumn("distance", F.when(~F.col("base_failed"), F.expr(DISTANCE)))
     cut = chi2_quantile(1 - tail, P)
     return judged.select(
         "doc_id", "lang", "source", *_STATS, "base_failed", "distance",

@@ -206,12 +206,54 @@ def test_repeated_rows_spread_over_chunks(spark, monkeypatch):
     data = [(i, " ".join(rng.choice(word) + str(rng.randint(0, 400)) for _ in range(rng.randint(60, 200))), "en", "a") for i in range(200)]
     data += [(None, data[0][1], "en", "a")] * 200
     df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
-    stats = outliers.base_stats(df).select(F.lit("g").alias("group"), F.monotonically_increasing_id().alias("row"), *(F.expr(f"cast({sql} as double)").alias(c) for c, (sql, _) in outliers.FEATURES.items()))
-    chunk = F.pmod(F.xxhash64("row", *outliers.NAMES), F.lit(8))
-    assert stats.groupBy(chunk).count().agg(F.max("count")).first()[0] < 100
+    stats = outliers.base_stats(df).select(F.lit("g").alias("group"), *(F.expr(f"cast({sql} as double)").alias(c) for c, (sql, _) in outliers.FEATURES.items()))
+    sizes = spark.createDataFrame([("g", 8)], "group string, chunks long")
+    dealt = [r[0] for r in outliers.chunked(stats, sizes).groupBy("chunk").agg(F.sum("copies")).select("sum(copies)").collect()]
+    assert sum(dealt) == 400 and max(dealt) < 100 and len(dealt) == 8
     assert outliers.reject_outliers(df).filter("kept").count() == 400
 
 
+def test_outliers_do_not_follow_the_partitions(spark, monkeypatch):
+    monkeypatch.setattr(outliers, "CHUNK", 40)
+    rng = random.Random(15)
+    data = []
+    for i in range(300):
+        w = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(25, 300))]
+        marks = rng.choice([0, 0, 0, 1, 3, 40])
+        data.append((i, " ".join(w + ["#"] * marks), "en", rng.choice(["a", "a", "b", None])))
+    data += [(1000 + i, data[5][1], "en", "a") for i in range(60)]  # equal vectors
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    first = {r.doc_id: r for r in outliers.reject_outliers(df.repartition(1), tail=1e-2).collect()}
+    other = {r.doc_id: r for r in outliers.reject_outliers(df.repartition(7, "text").sortWithinPartitions(F.desc("doc_id")), tail=1e-2).collect()}
+    assert len(first) == 360 and 0 < sum(not r.kept for r in first.values()) < 200
+    for i, r in first.items():
+        assert r.kept == other[i].kept
+        assert r.distance == other[i].distance is None if r.base_failed else r.distance == pytest.approx(other[i].distance, rel=1e-9)
+
+
+def test_estimates_equal_plain_mcd(spark, monkeypatch):
+    """One chunk, no further rounds: the plain estimate; a small group leans on the common one."""
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(200, outliers.P)), rng.normal(size=(10, outliers.P)) + 2
+    data = [("g", *map(float, r)) for r in x] + [("h", *map(float, r)) for r in y]
+    df = spark.createDataFrame(data, ["group", *outliers.NAMES])
+    df = df.unionByName(df.withColumn("group", F.lit("")))
+    state = outliers.robust_estimates(df, rounds=0)
+    got = {r.group: r for r in state.collect()}
+    for name, rows_ in (("g", x), ("h", y), ("", np.vstack([x, y]))):
+        mean, cov = outliers.mcd(rows_)
+        cov = cov - outliers.FLOOR
+        assert got[name].rows == len(rows_)
+        assert np.allclose([got[name][f"m{i}"] for i in range(outliers.P)], mean)
+        assert np.allclose([got[name][f"c{i}_{j}"] for i, j in outliers.PAIRS], [cov[i, j] for i, j in outliers.PAIRS])
+    mixed = {r.group: r for r in outliers.shrunk(state, "").collect()}
+    w = 10 / (10 + outliers.PRIOR_ROWS)
+    assert set(mixed) == {"g", "h"}
+    assert mixed["h"].m0 == pytest.approx(w * got["h"].m0 + (1 - w) * got[""].m0)
+    gap = got["h"].m0 - got[""].m0
+    assert mixed["h"].c0_0 == pytest.approx(w * got["h"].c0_0 + (1 - w) * got[""].c0_0 + w * (1 - w) * gap * gap)
+
+
 # ---- 4. sharding
 
 def law_of_rows(placed, shards=8):
