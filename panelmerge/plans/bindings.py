@@ -32,6 +32,7 @@ from panelmerge.operators import clean, entities, merge, rank, release, stats
 from panelmerge.operators.asof import asof_join, carry_last
 from panelmerge.operators.interval import interval_join
 from panelmerge.plans import charts, pipeline, reports
+from panelmerge.plans.observed import store_facts
 from panelmerge.session import ensure_checkpoint_dir
 from panelmerge.sources.payload import explode_records, flatten_payload, flatten_records, inferred_schema
 from panelmerge.sources.positional import clean_positional
@@ -791,16 +792,42 @@ def q_clean_cdc(spark, sf_dir):
     return _clean(raw, _spec("CDC (US)"), period=(1900, 2100))
 
 
-def q_panel_pipeline(spark, sf_dir):
-    """The whole chain after reading: three sources, corrections, drops and overrides."""
+def _pipeline_sources(spark, sf_dir):
+    """Three sources on part, the first being the reference, and their configuration."""
     wb = nm_part(spark, sf_dir).select(
         F.concat(F.lit("Brand#"), F.col("p_size").cast("string")).alias("iso3"), (F.col("p_size") + 1955).cast("string").alias("year"),
         F.col("p_retailprice").cast("string").alias("life_exp_wb"))
     config = SimpleNamespace(CORRECTIONS=NM_CORRECTIONS, OVERRIDES=NM_OVERRIDES, AGGREGATE_PREFIX=NM_AGGREGATE_PREFIX,
                              PERIOD_RANGE=CLEAN_PERIOD, METRICS=LE.METRICS, ON_DUPLICATE=LE.ON_DUPLICATE)
     owid = _raw_owid(spark, sf_dir).withColumnRenamed(" Entity ", "Entity")
-    sources = [(owid, _spec("OWID")), (wb, _spec("World Bank")), (_raw_kaggle(spark, sf_dir), _spec("Kaggle"))]
-    return pipeline.panel_from_frames(owid, _spec("OWID"), sources, config)
+    return [(owid, _spec("OWID")), (wb, _spec("World Bank")), (_raw_kaggle(spark, sf_dir), _spec("Kaggle"))], config
+
+
+def q_panel_pipeline(spark, sf_dir):
+    """The whole chain after reading: three sources, corrections, drops and overrides."""
+    sources, config = _pipeline_sources(spark, sf_dir)
+    return pipeline.panel_from_frames(*sources[0], sources, config)
+
+
+def _stored_pipeline(spark, sf_dir):
+    sources, config = _pipeline_sources(spark, sf_dir)
+    frames = {spec.label: (df if "__row" in df.columns else df.withColumn("__row", F.monotonically_increasing_id()), spec) for df, spec in sources}
+    return pipeline.panel_from_stored(frames, sources[0][1], list(frames), config)
+
+
+def q_stored_pipeline(spark, sf_dir):
+    """The same chain, each source stored once."""
+    return _stored_pipeline(spark, sf_dir)[0]
+
+
+def q_observed_lineage(spark, sf_dir):
+    """Rows through the cleaning steps of the three sources, counted by the pass that stores them."""
+    return _stored_pipeline(spark, sf_dir)[1]
+
+
+def q_observed_facts(spark, sf_dir):
+    """Fill, range and bounds of the event panel, counted by the pass that stores it."""
+    return store_facts(ev_panel(spark, sf_dir), EV_METRICS, _scratch(spark, "panel"), EV_BOUNDS)[1].withColumn("out_of_bounds", F.col("out_of_bounds").cast("string"))
 
 
 def q_type_report(spark, sf_dir):

@@ -540,6 +540,28 @@ Q["panel_pipeline"] = _r(
     f"SELECT iso3, {_over} AS country_name, year, life_exp_owid, life_exp_wb, life_exp_kaggle "
     "FROM s1 FULL JOIN s2 USING (iso3, year) FULL JOIN s3 USING (iso3, year) JOIN c ON iso3 = c.code",
     "life_exp_owid", "life_exp_wb", "life_exp_kaggle")
+Q["stored_pipeline"] = Q["panel_pipeline"]
+
+
+def _lineage(source: str, rows: str, steps) -> str:
+    """Rows that pass each condition on top of those before it, and how many it takes away."""
+    names = ["input"] + [n for n, _ in steps]
+    conds = ["true"] + [" AND ".join(f"coalesce({c}, false)" for _, c in steps[:i + 1]) for i in range(len(steps))]
+    return " UNION ALL ".join(
+        f"SELECT '{source}' AS source, '{n}' AS step, CAST({i} AS INTEGER) AS ordinal, count(*) FILTER (WHERE {conds[i]}) AS rows, "
+        f"count(*) FILTER (WHERE {conds[max(i - 1, 0)]}) - count(*) FILTER (WHERE {conds[i]}) AS removed FROM {rows}" for i, n in enumerate(names))
+
+
+_known = f"(SELECT kg.*, code FROM kg LEFT JOIN nmap ON kg.name = nmap.name)"
+Q["observed_lineage"] = f"WITH {NMAP}, {_kag} " + " UNION ALL ".join((
+    _lineage("OWID", "part", [("code_present", "p_brand IS NOT NULL"), ("not_aggregate", f"NOT starts_with(p_brand, '{PFX}')"),
+                              ("in_period", f"p_size + 1950 {_yr}")]),
+    _lineage("World Bank", "part", [("code_present", "p_size IS NOT NULL"), ("in_period", f"p_size + 1955 {_yr}")]),
+    _lineage("Kaggle", _known, [("code_present", "code IS NOT NULL"), ("in_period", f"year {_yr}")])))
+Q["observed_facts"] = _r(f"WITH {EV} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({i} AS INTEGER) AS ordinal, count(*) AS rows, count({c}) AS filled, count({c}) * 100.0 / count(*) AS fill_pct, "
+    + (f"min({c}) AS min, max({c}) AS max, CAST(count(*) FILTER (WHERE {c} < {LO} OR {c} > {HI}) AS VARCHAR) AS out_of_bounds" if c in MET
+       else "NULL AS min, NULL AS max, NULL AS out_of_bounds") + " FROM ev" for i, c in enumerate(_fill_cols)), "fill_pct", "min", "max")
 Q["type_report"] = (f"WITH {EV} SELECT 'm_click' AS \"column\", 'double' AS type, true AS is_numeric, count(m_click) AS present FROM ev "
                     "UNION ALL SELECT 'm_view', 'double', true, count(m_view) FROM ev UNION ALL SELECT 'user_id', 'bigint', true, count(user_id) FROM ev")
 Q["sorted_extract"] = "SELECT c_nationkey AS nation, c_custkey AS entity, c_acctbal AS value FROM customer"

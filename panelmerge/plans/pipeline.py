@@ -7,12 +7,16 @@ functions; the life-expectancy panel is one configuration of it
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmerge.functions.nulls import to_number
 from panelmerge.operators import clean, entities, merge
+from panelmerge.plans.observed import cleaning_steps, lineage_frame, store_steps
+from panelmerge.session import ensure_checkpoint_dir
 from panelmerge.sources.payload import flatten_payload, read_payloads
 from panelmerge.sources.positional import clean_positional, read_positional
 from panelmerge.sources.readers import ROW, read_source
@@ -101,13 +105,7 @@ def source_lineage(spark: SparkSession, spec: SourceSpec, name_map: DataFrame |
     if raw is None or spec.fmt == "positional":
         return None
     df = _prepare(raw, spec, name_map, rules)
-    steps = [("code_present", F.col(CODE).isNotNull())]
-    if spec.drop_null_metric:
-        steps.append(("value_present", F.col(spec.metric).isNotNull()))
-    if spec.exclude_code_prefix:
-        steps.append(("not_aggregate", ~F.col(CODE).startswith(spec.exclude_code_prefix)))
-    steps.append(("in_period", clean.period_predicate(PERIOD, *period_range)))
-    return clean.clean_lineage(df, steps)
+    return clean.clean_lineage(df, cleaning_steps(spec, CODE, PERIOD, period_range))
 
 
 def assemble_panel(sources, keys, name_col: str | None, canonical: DataFrame | None,
@@ -132,25 +130,70 @@ def run_pipeline(spark: SparkSession, config) -> DataFrame:
     """Whole chain for a configuration module/object exposing ``SOURCES``,
     ``REFERENCE`` (the source the name map comes from), ``CORRECTIONS``,
     ``OVERRIDES``, ``AGGREGATE_PREFIX``, ``PERIOD_RANGE``, ``METRICS`` and
-    ``ON_DUPLICATE``. Every source is read once; missing optional sources and
-    sources without a row left are not merged."""
+    ``ON_DUPLICATE``. Missing optional sources and sources without a row left
+    are not merged. See :func:`run_pipeline_observed`."""
+    return run_pipeline_observed(spark, config)[0]
+
+
+def run_pipeline_observed(spark: SparkSession, config) -> tuple[DataFrame, DataFrame]:
+    """The panel and the cleaning lineage (source, step, ordinal, rows, removed).
+
+    Every source is read once and its rows are stored, cleaned but not yet
+    reduced to one row a key, in the shared folder; the lineage, and whether a
+    source has a row at all, come from that pass. The reference is read a
+    second time, its names and codes only, for the name map, which is stored
+    as well."""
     ref = config.REFERENCE
     raw = {s.label: load_source(spark, s) for s in config.SOURCES}
     if ref.label not in raw:
         raw[ref.label] = load_source(spark, ref)
-    frames = {s.label: (raw[s.label], s) for s in config.SOURCES if raw[s.label] is not None}
-    panel = panel_from_frames(raw[ref.label], ref, list(frames.values()), config, leave_out_empty=True)
-    return panel
+    specs = {s.label: s for s in config.SOURCES} | {ref.label: ref}
+    frames = {label: (raw[label], spec) for label, spec in specs.items() if raw[label] is not None}
+    return panel_from_stored(frames, ref, [s.label for s in config.SOURCES if s.label in frames], config)
+
+
+def panel_from_stored(frames: dict, ref: SourceSpec, merged: list[str], config) -> tuple[DataFrame, DataFrame]:
+    """The chain after reading, each source stored: ``frames`` are label -> (raw rows, spec), the reference's included."""
+    reference = frames[ref.label][0]
+    spark = reference.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark)}/sources-{uuid.uuid4().hex}"
+    name_map = entities.build_name_map(reference, ref.raw_name, ref.raw_code, ROW, config.AGGREGATE_PREFIX)
+    name_map.write.parquet(f"{folder}/names")
+    name_map = spark.read.schema(name_map.schema).parquet(f"{folder}/names")
+    kept, counts = {}, {}
+    for i, (label, (df, spec)) in enumerate(frames.items()):
+        if spec.fmt == "positional":
+            df = clean_frame(df, spec, period_range=config.PERIOD_RANGE)
+            steps = []
+        else:
+            df = _prepare(df, spec, name_map, config.CORRECTIONS)
+            names = [NAME] if NAME in df.columns else []
+            df = df.select(CODE, PERIOD, *names, spec.metric, ROW)
+            steps = cleaning_steps(spec, CODE, PERIOD, config.PERIOD_RANGE)
+        kept[label], counts[label] = store_steps(df, steps, f"{folder}/{i}")
+    cleaned = [_reduced(kept[label], frames[label][1]) for label in merged if counts[label][-1][1]]
+    canonical = entities.canonical_map(kept[ref.label], CODE, NAME, ROW)
+    panel = assemble_panel(cleaned, [CODE, PERIOD], NAME, canonical, overrides=config.OVERRIDES,
+                           on_duplicate=config.ON_DUPLICATE, metric_order=config.METRICS)
+    return panel, lineage_frame(spark, counts)
+
+
+def _reduced(df: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Cleaned rows to the columns and, if the source says so, one row per key."""
+    if spec.fmt == "positional":
+        return df
+    keep = [CODE, PERIOD] + ([NAME] if spec.keep_name else []) + [spec.metric]
+    if spec.on_duplicate == "mean":
+        df = clean.dedup_mean(df, [CODE, PERIOD], spec.metric)
+    elif spec.on_duplicate == "first":
+        df = clean.dedup_first_agg(df, [CODE, PERIOD], ROW, [c for c in keep if c not in (CODE, PERIOD)])
+    return df.select(*keep)
 
 
-def panel_from_frames(reference: DataFrame, ref_spec: SourceSpec, sources: list[tuple[DataFrame, SourceSpec]], config,
-                      leave_out_empty: bool = False) -> DataFrame:
-    """The chain after reading: ``sources`` are (raw rows, spec); ``reference`` gives the
-    names. ``leave_out_empty`` looks whether a cleaned source has a row (a job each)."""
+def panel_from_frames(reference: DataFrame, ref_spec: SourceSpec, sources: list[tuple[DataFrame, SourceSpec]], config) -> DataFrame:
+    """The chain after reading as one lazy plan: ``sources`` are (raw rows, spec); ``reference`` gives the names."""
     name_map = entities.build_name_map(reference, ref_spec.raw_name, ref_spec.raw_code, ROW, config.AGGREGATE_PREFIX)
     cleaned = [clean_frame(df, s, name_map, config.CORRECTIONS, config.PERIOD_RANGE) for df, s in sources]
-    if leave_out_empty:
-        cleaned = [df for df in cleaned if not df.isEmpty()]
     labels = clean_frame(reference, ref_spec, name_map, config.CORRECTIONS, config.PERIOD_RANGE, keep_row=True)
     canonical = entities.canonical_map(labels, CODE, NAME, ROW)
     return assemble_panel(cleaned, [CODE, PERIOD], NAME, canonical, overrides=config.OVERRIDES,
