@@ -31,6 +31,7 @@ from panelmerge.functions.sqltext import q as _q
 from panelmerge.operators import clean, entities, merge, rank, release, stats
 from panelmerge.operators.asof import asof_join, carry_last
 from panelmerge.operators.interval import interval_join
+from panelmerge.operators.sketches import refresh_sketches, stored_sketches, united_report
 from panelmerge.plans import charts, pipeline, reports
 from panelmerge.plans.observed import store_facts
 from panelmerge.session import ensure_checkpoint_dir
@@ -707,6 +708,23 @@ def q_interval_join(spark, sf_dir):
         F.count("*").alias("lines"), F.sum(F.col("o_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("marks"))
 
 
+def q_sketch_report(spark, sf_dir):
+    """Event values by type from sketches a day; days after the 20th come with a refresh. The estimates are held against
+    exact counts: distinct users within 4 %, the ranks of the quartiles within 2 %."""
+    path, events = _scratch(spark, "sketches"), ev_long(spark, sf_dir)
+    for days in ("day <= 21", "day > 20"):
+        refresh_sketches(events.filter(days), path, "day", "user_id", ["value"], dims=["event_type"])
+    report = united_report(stored_sketches(spark, path), ["value"], ["event_type"])
+    ranks = [F.count_if(F.col("value") < F.col(q)).alias(f"{q}_lo") for q in ("q25", "q50", "q75")] + \
+            [F.count_if(F.col("value") <= F.col(q)).alias(f"{q}_hi") for q in ("q25", "q50", "q75")]
+    exact = events.join(report.select("event_type", "q25", "q50", "q75"), "event_type").groupBy("event_type").agg(
+        F.countDistinct("user_id").alias("users"), *ranks)
+    close = " AND ".join(f"({q}_lo / filled - 0.02 <= {s} AND {s} <= {q}_hi / filled + 0.02)" for q, s in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)))
+    return report.join(exact, "event_type").select(
+        "event_type", "rows", "filled", "mean", "min", "max",
+        F.expr("abs(entities - users) <= 0.04 * users").alias("users_close"), F.expr(close).alias("ranks_close"))
+
+
 def q_name_proposals(spark, sf_dir):
     """Each part name with a character lost, against the known names."""
     p = nm_part(spark, sf_dir)

@@ -493,6 +493,9 @@ Q["asof_join"] = _r(
 Q["carry_last"] = _r(
     f"WITH {EV} SELECT user_id, day, " + ", ".join(
         f"last_value({m} IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY day ROWS UNBOUNDED PRECEDING) AS {m}" for m in MET) + " FROM ev", *MET)
+Q["sketch_report"] = _r(
+    "SELECT event_type, count(*) AS rows, count(value) AS filled, avg(value) AS mean, min(value) AS min, max(value) AS max, "
+    "true AS users_close, true AS ranks_close FROM events GROUP BY event_type", "mean", "min", "max")
 Q["interval_join"] = (
     "WITH s AS (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS since, CASE WHEN o_orderkey % 97 <> 0 "
     "THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INTEGER) END AS until FROM orders), "
