@@ -40,6 +40,8 @@ from panelmerge.sources.positional import clean_positional
 from panelmerge.sources.sinks import key_sizes, store_panel, stored_panel, write_panel
 from panelmerge.sources.split_csv import read_csv_split
 from panelmerge.spec import SourceSpec
+from panelmerge.streaming import read_source_stream
+from panelmerge.streaming.revisions import START, append_final, final_revisions
 
 # The EV panel configuration.
 EV_TYPES = ("click", "view", "purchase", "signup", "error")
@@ -708,6 +710,19 @@ def q_interval_join(spark, sf_dir):
         F.count("*").alias("lines"), F.sum(F.col("o_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("marks"))
 
 
+def q_stream_revisions(spark, sf_dir):
+    """events as a stream: a user's last value of each type and day, of the days that the watermark has passed."""
+    landed, events = _scratch(spark, "landed"), _t(spark, sf_dir, "events")
+    at = F.col("ts").cast("timestamp")
+    events.select("user_id", "event_type", at.alias("at"), at.alias("revised"), "value").write.parquet(landed)  # a stream reads a folder
+    stream = read_source_stream(spark, landed, "user_id long, event_type string, at timestamp, revised timestamp, value double")
+    final = final_revisions(stream, ["user_id", "event_type"], "at", "revised", ["value"], "1 day", "7 days")
+    out = _scratch(spark, "revisions")
+    append_final(final, out, f"{out}-checkpoint").awaitTermination()
+    return spark.read.schema(final.schema).parquet(out).select(
+        F.date_format(START, "yyyy-MM-dd").alias("day"), "user_id", "event_type", F.unix_micros("revised").alias("revised"), "value")
+
+
 def q_sketch_report(spark, sf_dir):
     """Event values by type from sketches a day; days after the 20th come with a refresh. The estimates are held against
     exact counts: distinct users within 4 %, the ranks of the quartiles within 2 %."""

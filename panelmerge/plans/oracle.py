@@ -493,6 +493,10 @@ Q["asof_join"] = _r(
 Q["carry_last"] = _r(
     f"WITH {EV} SELECT user_id, day, " + ", ".join(
         f"last_value({m} IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY day ROWS UNBOUNDED PRECEDING) AS {m}" for m in MET) + " FROM ev", *MET)
+Q["stream_revisions"] = _r(
+    "WITH d AS (SELECT date_trunc('day', ts) AS d, * FROM events), passed AS (SELECT max(ts) - INTERVAL 7 DAY AS w FROM events) "
+    "SELECT strftime(d, '%Y-%m-%d') AS day, user_id, event_type, epoch_us(max(ts)) AS revised, max(struct_pack(ts := ts, value := value)).value AS value "
+    "FROM d WHERE user_id IS NOT NULL AND event_type IS NOT NULL AND d + INTERVAL 1 DAY <= (SELECT w FROM passed) GROUP BY d, user_id, event_type", "value")
 Q["sketch_report"] = _r(
     "SELECT event_type, count(*) AS rows, count(value) AS filled, avg(value) AS mean, min(value) AS min, max(value) AS max, "
     "true AS users_close, true AS ranks_close FROM events GROUP BY event_type", "mean", "min", "max")

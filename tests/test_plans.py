@@ -80,7 +80,7 @@ def test_plans_start_no_job(spark):
     tracker = spark.sparkContext.statusTracker()
     # These write files and read them back: that is what they are for.
     writers = {"csv_scan", "csv_latin1_scan", "missing_source", "sink_csv", "sink_parquet", "sink_json", "clustered_store",
-               "release_merge", "asof_join", "carry_last", "stored_pipeline", "observed_lineage", "observed_facts", "sketch_report"}
+               "release_merge", "asof_join", "carry_last", "stored_pipeline", "observed_lineage", "observed_facts", "sketch_report", "stream_revisions"}
     for name, query in E._QUERIES.items():
         if name in writers:
             continue
