@@ -60,16 +60,17 @@ def height(buckets: int, fanout: int) -> int:
 
 def changed_buckets(old: DataFrame, new: DataFrame, buckets: int, fanout: int) -> DataFrame:
     """source and bucket where the trees differ, from the roots down: a level is compared below differing parents only."""
+    both = old.select(*_NODE, *_DIGEST).unionByName(new.select(*_NODE, *_DIGEST))
     parents = None
     for level in range(height(buckets, fanout), -1, -1):
-        sides = []
-        for tree, tag in ((old, "old"), (new, "new")):
-            side = tree.filter(F.col("level") == level)
-            if parents is not None:
-                side = side.withColumn("parent", F.floor(F.col("node") / fanout).cast("int")).join(
-                    parents.withColumnRenamed("node", "parent"), [SOURCE, "parent"], "left_semi")
-            sides.append(side.select(SOURCE, "node", F.struct(*_DIGEST).alias(tag)))
-        parents = sides[0].join(sides[1], [SOURCE, "node"], "full_outer").filter("NOT old <=> new").select(SOURCE, "node")
+        nodes = both.filter(F.col("level") == level)
+        if parents is not None:
+            nodes = nodes.withColumn("parent", F.floor(F.col("node") / fanout).cast("int")).join(
+                parents.withColumnRenamed("node", "parent"), [SOURCE, "parent"], "left_semi")
+        # A node of one tree only, or of two digests. A level names the one above once, so the plan grows by a join a level.
+        digest = F.struct(*_DIGEST)
+        parents = nodes.groupBy(SOURCE, "node").agg(F.count(F.lit(1)).alias("n"), F.min(digest).alias("lo"), F.max(digest).alias("hi")) \
+            .filter("n = 1 OR lo <> hi").select(SOURCE, "node")
     return parents.withColumnRenamed("node", BUCKET)
 
 
