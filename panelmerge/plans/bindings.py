@@ -677,10 +677,10 @@ def q_clustered_store(spark, sf_dir):
 def q_release_merge(spark, sf_dir):
     """The five event sources as a first release; in a second one user's clicks are corrected and a day's errors withdrawn."""
     folder, sources = _scratch(spark, "releases"), dict(zip(EV_TYPES, ev_sources(spark, sf_dir)))
-    release.apply_release(spark, folder, sources, EV_KEYS, buckets=16, fanout=4, on_duplicate="mean")
+    release.apply_release(spark, folder, sources, EV_KEYS, buckets=4, fanout=2, on_duplicate="mean")
     corrected = F.when(F.col("user_id") == RELEASE_USER, F.col("m_click") + 1).otherwise(F.col("m_click"))
     second = {"click": sources["click"].withColumn("m_click", corrected), "error": sources["error"].filter(F.col("day") != RELEASE_DAY)}
-    release.apply_release(spark, folder, second, EV_KEYS, buckets=16, fanout=4, on_duplicate="mean")
+    release.apply_release(spark, folder, second, EV_KEYS, buckets=4, fanout=2, on_duplicate="mean")
     return release.current_panel(spark, folder)
 
 
