@@ -4,6 +4,9 @@ A document is the set of its distinct word shingles. One permutation scatters th
 shingles over ``UNIVERSE`` places; the second is read with a circular shift of k for
 coordinate k of the signature, so a shingle's values for all coordinates are one
 contiguous piece of one array, and the signature is the minimum of such pieces.
+Sets of more than ``LARGE`` shingles would fill that universe; theirs is all 64-bit
+integers, with two bijections as the permutations. Sets that can be linked to smaller and to
+larger ones alike have bands in both, so a pair always meets in one of them.
 
 Documents of equal sets are one class and go on as one node. Nodes that agree in a
 band of the signature share a bucket. Links are verified on the full sets:
@@ -31,6 +34,7 @@ from pyspark.sql import functions as F
 from .shared import U64, mix64, raw, stored, word_runs
 
 UNIVERSE = 1 << 20
+LARGE = 1 << 15  # unrelated sets of this size share 1.6 % of their places
 BANDS, ROWS = 25, 5  # a pair of Jaccard 0.8 shares no band with probability 5e-5, of 0.85 with 4e-7
 SEED = 7
 CACHE = 300_000
@@ -84,10 +88,31 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(signatures: np.ndarray) -> np.ndarray:
-    """A 64-bit key for each band of each signature; bands don't mix."""
+def large_signature(hashes: np.ndarray) -> np.ndarray:
+    """The same over all 64-bit integers."""
+    out = np.full(BANDS * ROWS, 0xFFFFFFFFFFFFFFFF, U64)
+    places = mix64(hashes + U64(SEED))
+    shifts = np.arange(BANDS * ROWS, dtype=U64)[:, None]
+    for i in range(0, len(places), 4096):
+        np.minimum(out, mix64((places[i: i + 4096] + shifts) ^ U64(0xA0761D6478BD642F)).min(axis=1), out=out)
+    return out
+
+
+def bands_of(hashes: np.ndarray, percent: int, large: int) -> list[tuple[int, np.ndarray]]:
+    """(universe, signature): the small one up to ``large`` shingles, the large one from the
+    least size that can be linked to more than ``large``."""
+    out = [(0, signature(hashes))] if len(hashes) <= large else []
+    if 100 * len(hashes) >= percent * large:
+        out.append((1, large_signature(hashes)))
+    return out
+
+
+def band_keys(signatures: np.ndarray, universe: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit key for each band of each signature; bands and universes don't mix."""
     rows = signatures.reshape(len(signatures), BANDS, ROWS).astype(U64)
     out = np.tile(np.arange(1, BANDS + 1, dtype=U64), (len(signatures), 1))
+    if universe is not None:
+        out += universe.astype(U64)[:, None] * U64(BANDS)
     for r in range(ROWS):
         out = mix64(out * U64(0x9E3779B97F4A7C15) + rows[:, :, r])
     return out.view(np.int64)
@@ -97,21 +122,26 @@ def node_of(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(hashes.tobytes())
 
 
-def sketch(docs: DataFrame, words_each: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, node (128-bit name of the set; null if empty) and bands."""
+def sketch(docs: DataFrame, words_each: int, percent: int = 80) -> DataFrame:
+    """doc_id, text_hash, n_shingles, node (128-bit name of the set; null if empty) and bands,
+    for links of ``percent`` / 100 or more."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text"))
+    large = LARGE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         for batch in batches:
-            n, nodes, signatures = [], [], []
+            n, nodes, ends, universe, signatures = [], [], [0], [], []
             for text in raw(batch.column(2)):
                 s = shingles(text, words_each, known)
                 n.append(len(s))
                 nodes.append(node_of(s) if len(s) else None)
-                signatures.append(signature(s))
-            keys = band_keys(np.array(signatures, np.uint32).reshape(-1, BANDS * ROWS))
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * BANDS, pa.int32()), pa.array(keys.ravel()))
+                for number, values in bands_of(s, percent, large):
+                    universe.append(number)
+                    signatures.append(values)
+                ends.append(len(universe) * BANDS)
+            keys = band_keys(np.array(signatures, U64).reshape(-1, BANDS * ROWS), np.array(universe, U64))
+            bands = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()), bands], ["doc_id", "text_hash", "n_shingles", "node", "bands"])
 
     return texts.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, node binary, bands array<long>")
@@ -271,11 +301,11 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80) ->
 
     Null or empty texts, and texts without words, have no shingles, are linked with
     nothing and kept. Rows without a doc_id have no part in the links; their
-    component_id is null and they are kept. Repeated rows are in one class. An empty
-    table gives an empty result. Pairs that share no band are missed (see BANDS);
+    component_id is null and they are kept. Repeated rows are in one class. A very long text
+    is one set like others (16 bytes a word in its task). An empty table gives an empty result. Pairs that share no band are missed (see BANDS);
     every link reported is exact.
     """
-    sketches = stored(sketch(docs, words_each), "sketch")
+    sketches = stored(sketch(docs, words_each, percent), "sketch")
     ids = linked_nodes(docs, sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL"), words_each, percent)
     least = ids.groupBy("comp").agg(F.min("doc_id").alias("component"))
     ids = stored(ids.join(least, "comp").select(F.col("node").alias("__n"), "component"), "component-ids")
@@ -290,7 +320,7 @@ def keep_one(docs: DataFrame, words_each: int = 5, percent: int = 80) -> DataFra
     component one row stays, that of the least doc_id (null last) and then of the least
     text hash. Here rows without a doc_id are linked like others. Texts without
     shingles stay; of rows that agree in doc_id and text one."""
-    sketches = stored(sketch(docs, words_each), "sketch")
+    sketches = stored(sketch(docs, words_each, percent), "sketch")
     comp = linked_nodes(docs, sketches.filter("n_shingles > 0"), words_each, percent).select(F.col("node").alias("__n"), "comp")
     rows = sketches.select("doc_id", "text_hash", "node")
     by_id = rows.join(comp, F.expr("node = __n")).groupBy("comp", "doc_id").agg(F.min("text_hash").alias("text_hash"))
