@@ -200,13 +200,13 @@ def segments(text: str, finder: Finder, longest: int = SEGMENT) -> Iterator[tupl
     """(start, text, sizes, hashes, places in the segment) around the hits; every hit's whole
     reach lies in its segment."""
     at, sizes, hashes, before, behind = finder.hits(text)
-    lo, hi = np.maximum(at - before, 0), np.minimum(at + behind, len(text))
-    first = 0
-    for i in range(1, len(at) + 1):
-        start, stop = int(lo[first:i].min()), int(hi[first:i].max())
-        if i == len(at) or lo[i] > stop or stop - start >= longest:
-            yield start, text[start:stop], sizes[first:i].tolist(), hashes[first:i].tolist(), (at[first:i] - start).tolist()
-            first = i
+    lo, hi = np.maximum(at - before, 0).tolist(), np.minimum(at + behind, len(text)).tolist()
+    first, start, stop = 0, len(text), 0
+    for i in range(len(lo)):
+        start, stop = min(start, lo[i]), max(stop, hi[i])
+        if i + 1 == len(lo) or lo[i + 1] > stop or stop - start >= longest:
+            yield start, text[start:stop], sizes[first:i + 1].tolist(), hashes[first:i + 1].tolist(), (at[first:i + 1] - start).tolist()
+            first, start, stop = i + 1, len(text), 0
 
 
 ITEM = "item_id long, key binary, item string"

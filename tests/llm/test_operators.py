@@ -105,6 +105,42 @@ def test_short_items_and_items_without_an_id(spark):
 
 # ---- 2. line de-duplication
 
+def test_leaks_in_texts_without_blanks_and_long_texts(spark, monkeypatch):
+    """Scripts without blanks, texts over many slices and segments, an item in many places,
+    a law that doesn't hang on the item's length, extra columns of the scan's names."""
+    item = words(40, 3)
+    assert 200 < len(item)
+    held = [(1, "我知道中国的首都是北京。"), (2, "中国的首都不是上海"), (3, f"{words(4000, 1)} {item} {words(4000, 2)}"), (4, f"x{item}x"),
+            (5, f"{item} " * 40), (6, f"{words(30, 5)} {item[:90]}q{item[91:]} {words(30, 6)}"), (7, None)]
+    docs = spark.createDataFrame([(*r, 1, "k") for r in held], "doc_id long, text string, start int, key string")
+    items = spark.createDataFrame([(10, "中国的首都是北京"), (11, item)], "item_id long, text string")
+    want = [(1, 10, 0), (3, 11, 0), (4, 11, 2), (5, 11, 0), (6, 11, 1)]
+    for small in (False, True):
+        if small:
+            monkeypatch.setattr(decontaminate, "SEGMENT", 300)
+        found = decontaminate.find_leaks(docs, items)
+        assert rows(found, "doc_id", "item_id", "distance") == want
+    at = {r.doc_id: r for r in found.collect()}
+    text = decontaminate.normalised(held[2][1])
+    assert text[at[3].start: at[3].end] == item and at[5].start == 0
+    kept = decontaminate.drop_leaks(docs, items)
+    assert kept.columns == docs.columns and rows(kept, "doc_id") == [(2,), (7,)]
+
+
+def test_hits_are_all_places_of_a_piece(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(decontaminate, "SLICE", 64)
+    monkeypatch.setattr(decontaminate, "_POWERS", [])
+    rng = random.Random(9)
+    text = "".join(rng.choice("abé") for _ in range(1000))
+    sought = sorted({text[i: i + n] for i, n in ((5, 3), (60, 7), (63, 16), (985, 15))} | {"zzz"})
+    table = pa.table({"size": pa.array([len(p) for p in sought], pa.int32()), "hash": [decontaminate.piece_hash(p) for p in sought],
+                      "before": pa.array([1] * len(sought), pa.int32()), "behind": pa.array([20] * len(sought), pa.int32())})
+    places, sizes, *_ = decontaminate.Finder(table).hits(text)
+    assert list(zip(places, sizes)) == sorted((i, len(p)) for p in sought for i in range(1000) if text.startswith(p, i))
+
+
 def brute_lines(data, min_chars=20, min_docs=3):
     strip = " \t\n\x0b\x0c\r"
     holders = defaultdict(set)
@@ -463,6 +499,34 @@ def test_circulant_signature():
     for k in (0, 1, 124):
         want = min(int(second[(int(scatter[int(h) % near_dedup.UNIVERSE]) + k) % near_dedup.UNIVERSE]) for h in hashes)
         assert near_dedup.signature(hashes)[k] == want
+    mixed = near_dedup.mix64(hashes + np.uint64(near_dedup.SEED))
+    for k in (0, 1, 124):
+        assert near_dedup.large_signature(hashes)[k] == near_dedup.mix64((mixed + np.uint64(k)) ^ np.uint64(0xA0761D6478BD642F)).min()
+
+
+def test_very_large_sets_share_no_bucket_by_chance():
+    rng = np.random.default_rng(4)
+    def keys(hashes):
+        found = near_dedup.bands_of(hashes, 80, near_dedup.LARGE)
+        return set(near_dedup.band_keys(np.array([v for _, v in found], np.uint64), np.array([u for u, _ in found])).ravel().tolist())
+
+    for size in (1 << 15, 1 << 21):
+        a, b = (rng.integers(0, 1 << 64, size, np.uint64) for _ in range(2))
+        assert not keys(a) & keys(b)
+    # Links over the border of the universes: of sizes that differ by a fifth.
+    small = near_dedup.LARGE * 9 // 10
+    a = rng.integers(0, 1 << 64, small, np.uint64)
+    more = np.concatenate([a, rng.integers(0, 1 << 64, small // 5, np.uint64)])
+    assert len(a) < near_dedup.LARGE < len(more) and keys(a) & keys(more)
+
+
+@pytest.mark.parametrize("large", [0, 115])
+def test_near_duplicates_in_both_universes(spark, large, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LARGE", large)
+    data = near_rows(8, 10)
+    data += [(1000 + i, t[: len(t) * 9 // 10]) for i, t in data[:20]]  # sets on both sides of the border
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    assert rows(near_dedup.near_duplicates(df, 3, 85), "doc_id", "n_shingles", "component_id") == brute_components(data, 3, 85)
 
 
 # ---- 7. quality
