@@ -4,6 +4,8 @@ Bins of one width make a long interval fall into many of them. Here an interval
 least as wide as it is (powers of ``fanout``), where it touches two bins at most, and a point looks into one bin on each
 level that its key has intervals on. Both sides meet by (key, level, bin), an equality that Spark shuffles and spreads, so a
 hot key's points are spread over its bins; the exact comparison follows.
+
+A key of few intervals needs no bins: its points meet all of them by the key alone and travel once, not once a level.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegralType, TimestampNTZType, TimestampType
 
 OPEN = 99  # the level of intervals without a start or an end: one bin
+FEW = 64  # intervals of a key that each of its points is compared with, without bins
 
 
 def _number(df: DataFrame, col: str) -> Column:
@@ -52,6 +55,14 @@ def interval_join(points: DataFrame, intervals: DataFrame, by, at: str, start: s
 
     spans = intervals.withColumns({"__lo": _number(intervals, start), "__hi": _number(intervals, end)})
     spans = spans.filter("__lo IS NULL OR __hi IS NULL OR __lo < __hi")
+    looks = points.withColumn("__at", _number(points, at)).filter(F.col("__at").isNotNull())
+    holds = "(__lo IS NULL OR __lo <= __at) AND (__hi IS NULL OR __at < __hi)"
+    columns = [*points.columns, *others]
+
+    crowded = spans.groupBy(*by).agg(F.count("*").alias("__n")).filter(F.col("__n") > FEW).drop("__n")
+    plain = looks.join(spans.join(crowded, by, "left_anti"), by).filter(holds)
+
+    spans = spans.join(crowded, by, "left_semi")
     length = F.expr("cast(__hi as decimal(20,0)) - cast(__lo as decimal(20,0))")
     # A length of n binary digits fits into bins of 2 ** n; from 57 digits on one bin will do.
     sized = F.ceil(F.length(F.bin(length.cast("long"))) / bits).cast("int")
@@ -60,8 +71,7 @@ def interval_join(points: DataFrame, intervals: DataFrame, by, at: str, start: s
     spans = spans.withColumn("__bin", F.explode(F.array_distinct(F.array(first, last))))
 
     levels = spans.groupBy(*by).agg(F.collect_set("__level").alias("__levels"))
-    looks = points.withColumn("__at", _number(points, at)).filter(F.col("__at").isNotNull()).join(levels, by)
-    looks = looks.withColumn("__level", F.explode("__levels"))
+    looks = looks.join(levels, by).withColumn("__level", F.explode("__levels"))
     looks = looks.withColumn("__bin", _bin(F.col("__at"), F.col("__level"), bits))
-    hits = looks.join(spans, [*by, "__level", "__bin"]).filter("(__lo IS NULL OR __lo <= __at) AND (__hi IS NULL OR __at < __hi)")
-    return hits.select(*points.columns, *others)
+    binned = looks.join(spans, [*by, "__level", "__bin"]).filter(holds)
+    return plain.select(*columns).unionByName(binned.select(*columns))

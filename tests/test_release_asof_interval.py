@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from panelmerge.operators import release
+from panelmerge.operators import interval, release
 from panelmerge.operators.asof import asof_join, carry_last
 from panelmerge.operators.interval import interval_join
 from panelmerge.operators.merge import merge_panel
@@ -167,3 +167,24 @@ def test_intervals_equal_brute_force(spark):
     assert [r.n for r in dates.collect()] == ["x"]
     with pytest.raises(TypeError):
         interval_join(a, b.withColumn("hi", F.col("hi").cast("int")), ["k"], "t", "lo", "hi")
+
+
+def test_points_of_keys_with_few_intervals_travel_once(spark, monkeypatch):
+    rng = random.Random(5)
+    spans = [(key, i, lo, rng.choice([None, lo + rng.randint(0, 300)])) for i in range(60) for key, lo in [(rng.choice("aab"), rng.randint(-200, 200))]]
+    spans += [("c", 100, 1, 9), ("c", 101, None, None), (None, 102, 1, 9)]
+    points = [(rng.choice(["a", "b", "c", "d", None]), j, rng.choice([None, rng.randint(-250, 450)])) for j in range(150)]
+    a = spark.createDataFrame(points, "k string, j int, t long")
+    b = spark.createDataFrame(spans, "k string, i int, lo long, hi long")
+    want = sorted(((k, j, t, i, lo, hi) for k, j, t in points for c, i, lo, hi in spans
+                   if k is not None and k == c and t is not None and (lo is None or lo <= t) and (hi is None or t < hi)), key=repr)
+    # No bins were made where no key has many intervals.
+    got = interval_join(a, b, ["k"], "t", "lo", "hi")
+    assert rows(got) == want
+    assert "__level" not in got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    for few in (0, 2, 30):  # all keys, two of three, one
+        monkeypatch.setattr(interval, "FEW", few)
+        for fanout in (2, 16):
+            got = interval_join(a, b, ["k"], "t", "lo", "hi", fanout=fanout)
+            assert rows(got) == want
+            assert "__level" in got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
