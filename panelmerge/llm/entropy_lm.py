@@ -298,18 +298,23 @@ def feature_rows(one: np.ndarray, two: np.ndarray, dense: int) -> np.ndarray:
 def class_log_probs(z: np.ndarray) -> np.ndarray:
     """Natural log softmax over classes."""
     z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    return z
 
 
 def rated(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
     """Sums of the features' rows and the bias, which is the last row."""
-    return weights[features[:, 0]] + weights[features[:, 1]] + weights[-1]
+    z = weights[features[:, 0]]
+    z += weights[features[:, 1]]
+    z += weights[-1]
+    return z
 
 
 def update(weights: np.ndarray, squares: np.ndarray, touched: np.ndarray, features: np.ndarray, cls: np.ndarray) -> None:
     """One minibatch step: gradient of the mean log loss by row, scaled by the root of its
     running sum of squares (kept by row)."""
-    gradient = np.exp(class_log_probs(rated(weights, features)))
+    gradient = class_log_probs(rated(weights, features))
+    np.exp(gradient, out=gradient)
     gradient[np.arange(len(cls)), cls] -= 1
     slots = features.ravel(order="F")
     order = np.argsort(slots.astype(np.uint16) if len(weights) < 1 << 16 else slots, kind="stable")  # short integers sort by radix
@@ -455,15 +460,20 @@ class Steps:
         self.classes, totals = classes, expected.reshape(2, classes)
         self.expected = totals / np.maximum(1, totals.sum(axis=1, keepdims=True))
 
-    def rows(self, codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def rows(self, codes: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """words x 2 x classes, and how often each word was counted."""
         n, width = len(codes), 2 * self.classes
-        flat = np.concatenate(codes) if n else np.zeros(0, np.int64)
-        at = (flat & 0xFFFF) + np.repeat(np.arange(n) * width, [len(c) for c in codes])
-        seen = np.bincount(at, weights=flat >> 16, minlength=width * n).reshape(n, 2, self.classes)
-        total = seen.sum(axis=2, keepdims=True)
-        step = (seen - total * self.expected) / (total * self.expected * (1 - self.expected) + CAUTION)
-        return step.astype(np.float32), total[:, 0, 0]  # a word is followed by a token, the end at least
+        total, out = np.empty((n, 2, 1)), np.empty((n, 2, self.classes), np.float32)
+        for i in range(0, n, 2048):
+            own = codes[i:i + 2048]
+            flat, m = own.flatten().to_numpy(), len(own)
+            at, counts = (flat & 0xFFFF) + np.repeat(np.arange(m) * width, own.value_lengths().to_numpy()), (flat >> 16).astype(float)
+            total[i:i + m] = np.bincount(at // self.classes, weights=counts, minlength=2 * m).reshape(m, 2, 1)
+            step = total[i:i + m] * -self.expected
+            step.reshape(-1)[at] += counts  # a word's slots come once
+            step /= total[i:i + m] * (self.expected * (1 - self.expected)) + CAUTION
+            out[i:i + m] = step
+        return out, total[:, 0, 0]  # a word is followed by a token, the end at least
 
 
 def rare_masses(counts: DataFrame, shared_vocabulary) -> DataFrame:
@@ -504,16 +514,91 @@ def words_of_chunks(chunked: DataFrame, shared_vocabulary) -> DataFrame:
     return chunked.select("chunk", "before", "text").mapInArrow(find, "chunk long, key long")
 
 
-MET = "chunk long, kind int, key long, codes array<long>, row long, doc_id long, before string, text string, last boolean"
+MET = "chunk long, kind int, packed binary"
+PACKED_ROWS = 1 << 18  # words that a packing task holds at most, besides a batch
+
+
+def pack(table: pa.Table | pa.RecordBatch) -> bytes:
+    """Columns as one compressed value: shuffled, they take a fraction of their rows' size."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write(table)
+    return sink.getvalue().to_pybytes()
+
+
+def unpack(values: list[bytes]) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(v).read_all() for v in values]).combine_chunks()
+
+
+def pack_words(words: pa.Table) -> bytes:
+    """key, codes as one value: keys, how many codes each has, and of the codes the steps from slot to slot and the
+    counts, each apart from the others, as most of them are small."""
+    codes = words["codes"].combine_chunks()
+    flat, sizes = codes.flatten().to_numpy(), codes.value_lengths().to_numpy()
+    slots, starts = flat & 0xFFFF, (np.cumsum(sizes) - sizes)[sizes > 0]
+    steps = np.diff(slots, prepend=0)
+    steps[starts] = slots[starts]
+    columns = {"keys": words["key"].to_numpy(), "sizes": sizes, "steps": steps.astype(np.uint16), "counts": flat >> 16}
+    return pack(pa.table({k: pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), pa.array(c)) for k, c in columns.items()}))
+
+
+def unpack_words(values: list[bytes]) -> tuple[np.ndarray, pa.ListArray]:
+    """Keys and their codes."""
+    if not values:
+        return NO_CODES, pa.array([], pa.list_(pa.int64()))
+    table = unpack(values)
+    keys, sizes, steps, counts = (table[c].combine_chunks().flatten().to_numpy() for c in ("keys", "sizes", "steps", "counts"))
+    ends, passed = np.cumsum(sizes), np.append(0, np.cumsum(steps, dtype=np.int64))
+    slots = passed[1:] - np.repeat(passed[ends - sizes], sizes) & 0xFFFF
+    return keys, pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(counts << 16 | slots))
+
+
+def by_chunk(held: list[pa.RecordBatch], kind: int) -> pa.RecordBatch:
+    """A row of MET for each chunk of the rows of ``held``, whose first column is the chunk."""
+    rows = pa.Table.from_batches(held)
+    chunk = rows.column(0).to_numpy()
+    if (chunk[1:] < chunk[:-1]).any():
+        order = np.argsort(chunk, kind="stable")
+        rows, chunk = rows.take(pa.array(order)), chunk[order]
+    starts = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1]))
+    rows = rows.drop_columns(["chunk"]).combine_chunks()
+    packed = [(pack if kind else pack_words)(rows.slice(i, n)) for i, n in zip(starts.tolist(), np.diff(np.append(starts, len(chunk))).tolist())]
+    return pa.RecordBatch.from_arrays([pa.array(chunk[starts]), pa.array(np.full(len(starts), kind, np.int32)), pa.array(packed, pa.binary())], ["chunk", "kind", "packed"])
+
+
+def packed_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """chunk, key, codes in the columns of MET."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size >= PACKED_ROWS:
+            yield by_chunk(held, 0)
+            held, size = [], 0
+    if held:
+        yield by_chunk(held, 0)
+
+
+def packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces of texts in the columns of MET."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.nbytes
+        if size >= CHUNK_BYTES:
+            yield by_chunk(held, 1)
+            held, size = [], 0
+    if held:
+        yield by_chunk(held, 1)
 
 
 def meet(texts: DataFrame, needs: DataFrame, rare: DataFrame) -> DataFrame:
     """The pieces of each chunk in one task, its words first, in the columns of MET."""
-    words = needs.join(rare, "key").withColumn("kind", F.lit(0))
-    texts = texts.withColumn("kind", F.lit(1))
-    names = [x.split() for x in MET.split(", ")]
-    both = [df.select(*(F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in names)) for df in (words, texts)]
-    return both[0].unionByName(both[1]).repartition("chunk").sortWithinPartitions("chunk", "kind")
+    words = needs.join(rare, "key").select("chunk", "key", "codes").mapInArrow(packed_words, MET)
+    texts = texts.select("chunk", "row", "doc_id", "before", "text", "last").mapInArrow(packed_texts, MET)
+    return words.unionByName(texts).repartition("chunk").sortWithinPartitions("chunk", "kind")
 
 
 def chunks_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -539,7 +624,7 @@ class Scorer:
     def __init__(self, vocabulary: Vocabulary, weights: np.ndarray, frequent_codes: dict[int, np.ndarray], steps: Steps) -> None:
         self.vocabulary, self.weights, self.frequent_codes, self.steps = vocabulary, weights, frequent_codes, steps
 
-    def score(self, rows: list[tuple[bytes, bytes, bool]], keys: np.ndarray, codes: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    def score(self, rows: list[tuple[bytes, bytes, bool]], keys: np.ndarray, codes: pa.ListArray) -> tuple[np.ndarray, ...]:
         """n_tokens, n_known, sum of log10(count + 1) and log10 probability of each piece. ``keys``, ``codes``:
         the counted words among those that aren't frequent, keys in ascending order."""
         words, tokens = self.vocabulary, Tokens(rows, self.vocabulary)
@@ -547,10 +632,10 @@ class Scorer:
         place = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
         found = keys[place] == own if len(keys) else np.zeros(len(own), bool)
         seen, rare_rows = np.zeros(len(own)), np.zeros((len(own), 2, words.classes), np.float32)
-        rare_rows[found], seen[found] = self.steps.rows([codes[i] for i in place[found]])
+        rare_rows[found], seen[found] = self.steps.rows(codes.take(pa.array(place[found])))
         used = np.unique(np.concatenate([tokens.one, tokens.two]))
         used = used[used > words.dense]
-        frequent_rows, _ = self.steps.rows([self.frequent_codes.get(i, NO_CODES) for i in used.tolist()])
+        frequent_rows, _ = self.steps.rows(pa.array([self.frequent_codes.get(i, NO_CODES) for i in used.tolist()], pa.list_(pa.int64())))
         rare, at = tokens.ids < 0, np.maximum(-1 - tokens.ids, 0)
         known, inside, counted = words.known[np.maximum(tokens.ids, 0)], words.inside[np.maximum(tokens.ids, 0)], np.ones(len(tokens.ids), bool)
         known[rare], counted[rare] = np.log10(seen[at[rare]] + 1), found[at[rare]]
@@ -619,9 +704,10 @@ def score_texts(docs: DataFrame, training: Column, rounds: int = ROUNDS) -> Data
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks_in(batches):
             n_words = int((chunk["kind"].to_numpy() == 0).sum())
-            lexicon, texts = chunk.slice(0, n_words), chunk.slice(n_words)
-            keys, at = np.unique(lexicon["key"].to_numpy(), return_index=True)
-            codes = lexicon["codes"].take(pa.array(at)).to_numpy() if len(at) else []
+            values = chunk["packed"].to_pylist()
+            keys, codes = unpack_words(values[:n_words])
+            keys, at = np.unique(keys, return_index=True)
+            codes, texts = codes.take(pa.array(at)), unpack(values[n_words:])
             rows = list(zip(*(texts[c].cast(pa.binary()).to_pylist() for c in ("before", "text")), texts["last"].to_pylist()))
             found = shared.value.score(rows, keys, codes)
             yield pa.RecordBatch.from_arrays(

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from awkward_rows import CLEAN, awkward, docs, nothing, words  # noqa: F401
 from pyspark.sql import functions as F
@@ -744,6 +745,30 @@ def test_language_model(spark, nothing, monkeypatch, vocabulary, dense, chunk):
         assert len(untrained) == len(data) and all(r.n_known == 0 and r.base_score == 0 for r in untrained)
 
 
+def test_words_and_texts_of_a_chunk_travel_packed(spark, monkeypatch):
+    """A row for each chunk of a packing task, not one for each word; nothing is lost or told apart wrongly."""
+    monkeypatch.setattr(entropy_lm, "PACKED_ROWS", 1000)
+    needs = spark.range(6000, numPartitions=2).select((F.col("id") % 5).alias("chunk"), (F.col("id") * 7919 % 900 - 450).alias("key"))
+    rare = spark.range(-300, 500, numPartitions=2).select(F.col("id").alias("key"), F.array(F.col("id"), F.lit(1 << 40)).alias("codes")).filter("key % 2 = 0")
+    texts = spark.createDataFrame([(c, 10 * c + i, None if i == 1 else c, 0, "b", f"text \n{c} {i}", i == 2) for c in range(5) for i in range(3)],
+                                  "chunk long, row long, doc_id long, round int, before string, text string, last boolean")
+    got = entropy_lm.meet(texts, needs, rare).collect()
+    words = sorted((r.chunk, k, *c) for r in got if r.kind == 0 for k, c in zip(*(x.tolist() for x in entropy_lm.unpack_words([bytes(r.packed)]))))
+    assert words == sorted((r.chunk, r.key, *r.codes) for r in needs.join(rare, "key").collect()) and len(words) > 2000
+    assert sum(r.kind == 0 for r in got) <= len(words) // 20
+    pieces = sorted((r.chunk, *x.values()) for r in got if r.kind == 1 for x in entropy_lm.unpack([bytes(r.packed)]).select(["row", "before", "text", "last"]).to_pylist())
+    assert pieces == sorted((r.chunk, r.row, r.before, r.text, r["last"]) for r in texts.collect())
+    steps = entropy_lm.Steps(np.arange(1.0, 9), 4)
+    codes = [[], [3 << 16 | 1, 2 << 16 | 6], [1 << 16], [9 << 16 | 7]] * 1000  # over a block of words
+    rows, total = steps.rows(pa.array([[0]] + codes, pa.list_(pa.int64()))[1:])
+    for i in (0, 1, 2, 3, 3997, 3999):
+        seen = np.zeros((2, 4))
+        for code in codes[i]:
+            seen[(code & 0xFFFF) // 4, (code & 0xFFFF) % 4] += code >> 16
+        n, p = seen.sum(axis=1, keepdims=True), steps.expected
+        assert np.allclose(rows[i], (seen - n * p) / (n * p * (1 - p) + entropy_lm.CAUTION)) and total[i] == n[0, 0]
+
+
 def test_pieces_of_long_texts():
     text = (words(3000, 5) + "  " + "x" * 900 + "\n" + words(50, 6)).encode()
     cut = list(entropy_lm.pieces(text, 700))
