@@ -16,40 +16,60 @@ seen less what the shared row expects. So a word travels as its few class counts
 vector of weights, and meets the texts only once, for scoring.
 
 Texts are cut into chunks of ``CHUNK_BYTES``, a longer text into pieces that know the two
-words before them; each chunk is joined with the words it holds.
+words before them, and stored as numbers of words: the texts are split into words for the counts
+and once more for all that follows. Each chunk is joined with the words it holds.
+
+The softmax over two rows takes the exponential of each row, not of each token: e^(a + b) is
+e^a times e^b, so a token costs products and their sum.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from hashlib import blake2b
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import id_remainder, raw, stored, word_runs
+from .shared import BLANKS, LOWER, UPPER, id_remainder, raw, stored
 
 END = b"\n"  # the end token; no word has a blank
 VOCABULARY = 80_000  # words that each task holds, with counts and classes
 DENSE = 8192  # of them with rows from the rounds
 CLASSES = 32  # of frequent words, and the first class of the others
 CHUNK_BYTES = 1 << 22
+CHUNKS_PER_FILE = 16  # a reader or writer of values of some MB holds those of a file at once
 ROUNDS = 2
 BATCH = 16_384
+SCORED = 4096  # tokens scored at once, so their rows stay in the cache
 RATE = 0.5
 CAUTION = 4.0  # what is added to the curvature in the last step
 SPELLING = 192  # places that a word's byte n-grams hash to
 MARKS = 4096  # places that a word's beginning, end and least common letter hash to
 CLASSED = 30_000  # most frequent words, which the classes are made from
-FLUSH = 200_000  # distinct tokens a counting task holds at most
+COUNT_BYTES = 1 << 23  # text that a counting task takes at once
 START = -(1 << 40)  # before the first word
-NO_CODES = np.zeros(0, np.int64)
+SHORT = 16  # values of a run that are added with those of other runs
+LEAST = 1e-30  # a smaller sum of products may have lost its terms
+PLAIN = bytes.maketrans((UPPER + BLANKS).encode(), (LOWER + " " * len(BLANKS)).encode())
+
+
+def words_in(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in order, A-Z lower-cased, and how many each text has."""
+    blank = np.ones(sum(map(len, texts)) + len(texts) + 1, bool)
+    data = np.frombuffer(b" ".join(texts).translate(PLAIN), np.uint8)
+    np.equal(data, 32, out=blank[1:len(data) + 1])
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, stops = edges[::2], edges[1::2]
+    offsets = np.append(0, np.cumsum(stops - starts))
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[~blank[1:len(data) + 1]])])
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return words, np.diff(np.searchsorted(starts, ends), prepend=0)
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
@@ -57,18 +77,23 @@ def token_counts(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out():
-            return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()).cast(pa.string()), pa.array(held.values(), pa.int64())], ["token", "n"])
+            found = words_in(held)[0].value_counts()
+            words = pa.chunked_array([found.field("values").cast(pa.string()), pa.array([END.decode()])])
+            n = pa.chunked_array([found.field("counts"), pa.array([ends], pa.int64())])
+            return pa.Table.from_arrays([words, n], ["token", "n"]).combine_chunks().to_batches()
 
-        held: Counter = Counter()
+        held, size, ends = [], 0, 0
         for batch in batches:
             for text in raw(batch.column(0)):
-                for words in word_runs((text or b"").lower()):
-                    held.update(words)
-                    if len(held) >= FLUSH:
-                        yield out()
-                        held.clear()
-                held[END] += 1
-        yield out()
+                for _, piece, _ in pieces(text or b"", COUNT_BYTES):
+                    held.append(piece)
+                    size += len(piece)
+                    if size >= COUNT_BYTES:
+                        yield from out()
+                        held, size, ends = [], 0, 0
+                ends += 1
+        if held or ends:
+            yield from out()
 
     return docs.select(F.col("text").cast("string")).mapInArrow(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
@@ -146,7 +171,8 @@ def spelling_marks(words: list[bytes]) -> np.ndarray:
     ends = np.cumsum(sizes)
     starts = ends - sizes
     pairs = letters[:-1] * 256 + letters[1:]
-    within = np.where(np.isin(np.arange(len(pairs)), ends[:-1] - 1), 0, pairs) if len(words) > 1 else pairs
+    within = pairs.copy()
+    within[ends[:-1] - 1] = 0
     marks = np.stack([pairs[starts + 1], pairs[ends - 3], np.maximum.reduceat(within, starts)], axis=1)
     return (marks * 0x9E3779B1 >> 16) % MARKS
 
@@ -195,8 +221,9 @@ class Vocabulary:
         return CLASSES - 1 + scores.argmax(axis=1)
 
 
-def word_key(word: bytes) -> int:
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
+def word_keys(words: list[bytes]) -> np.ndarray:
+    """64 bits of hash of each word."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
 
 # ---- chunks of texts
@@ -215,74 +242,106 @@ def pieces(text: bytes, size: int) -> Iterator[tuple[bytes, bytes, bool]]:
         before, start = b" ".join((before.split() + piece.split()[-2:])[-2:]), stop
 
 
-def in_chunks(docs: DataFrame) -> DataFrame:
-    """Pieces of the texts of ``docs`` (doc_id, text, round), with the number of the row and of the
-    chunk that they are in, about CHUNK_BYTES of text each."""
+class Tokens:
+    """Tokens of some pieces. ``ids``: frequent words by number, any other word ``names[-1 - id]``,
+    the names in order of their ``keys``. ``one``, ``two``: the ids before and two before, or START.
+    ``cls``: classes, ``row``: the piece."""
+
+    def __init__(self, rows: list[tuple[bytes, bytes, bool]], vocabulary: Vocabulary) -> None:
+        words, sizes = words_in([before + b" " + text for before, text, _ in rows])
+        last = np.array([last for *_, last in rows], bool)
+        self.known = np.array([len(before.split()) for before, *_ in rows], np.int64)
+        coded = words.dictionary_encode()
+        distinct = [*coded.dictionary.to_numpy(zero_copy_only=False).tolist(), *([END] if last.any() else [])]  # no word is the end
+        numbers = vocabulary.numbers(distinct)
+        rare = np.flatnonzero(numbers == 0)
+        keys = word_keys([distinct[i] for i in rare.tolist()])
+        order = np.argsort(keys, kind="stable")
+        rare, self.keys = rare[order], keys[order]
+        numbers[rare] = -1 - np.arange(len(rare))
+        self.names = [distinct[i] for i in rare.tolist()]
+        self.sizes = sizes + last
+        ends = np.cumsum(self.sizes)[last] - 1
+        self.flat = np.empty(int(self.sizes.sum()), np.int32)
+        within = np.ones(len(self.flat), bool)
+        within[ends] = False
+        self.flat[within] = numbers[coded.indices.to_numpy()]
+        if len(ends):
+            self.flat[ends] = numbers[-1]
+        self.rare_cls = vocabulary.rare_class(self.names)
+        self.place(vocabulary)
+
+    def place(self, vocabulary: Vocabulary) -> None:
+        """``ids``, ``one``, ``two``, ``row`` and ``cls`` from the others."""
+        flat, sizes = self.flat.astype(np.int64), self.sizes
+        starts = np.cumsum(sizes) - sizes
+        one, two = np.full(len(flat), START), np.full(len(flat), START)
+        one[1:], two[2:] = flat[:-1], flat[:-2]
+        first = starts[sizes > 0]
+        one[first] = two[first] = START
+        two[starts[sizes > 1] + 1] = START
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        if self.known.any():  # the words before aren't scored here
+            scored = np.arange(len(flat)) - starts[row] >= self.known[row]
+            flat, one, two, row = flat[scored], one[scored], two[scored], row[scored]
+        self.ids, self.one, self.two, self.row = flat, one, two, row
+        classes = np.append(vocabulary.cls, self.rare_cls[::-1])  # an id below 0 counts from the end
+        self.cls = classes[flat]
+
+    def packed(self) -> dict[str, np.ndarray]:
+        """Columns that ``unpacked`` reads: each byte of the numbers apart, as the high ones are much alike."""
+        return {"flat": self.flat.view(np.uint8).reshape(-1, 4).T.ravel(), "sizes": self.sizes.astype(np.int32), "known": self.known.astype(np.int8), "rare": self.rare_cls.astype(np.int16)}
+
+    @classmethod
+    def unpacked(cls, columns: dict[str, np.ndarray], vocabulary: Vocabulary) -> Tokens:
+        """As they were packed, without ``names`` and ``keys``."""
+        self = cls.__new__(cls)
+        self.flat = np.ascontiguousarray(columns["flat"].reshape(4, -1).T).view(np.int32).ravel()
+        self.sizes, self.known, self.rare_cls = (columns[c].astype(np.int64) for c in ("sizes", "known", "rare"))
+        self.place(vocabulary)
+        return self
+
+    def only(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``one``, ``two`` and ``cls`` of the pieces where ``rows`` holds."""
+        part = rows[self.row]
+        return self.one[part], self.two[part], self.cls[part]
+
+
+def in_chunks(docs: DataFrame, shared_vocabulary) -> DataFrame:
+    """The texts of ``docs`` (doc_id, text, round) as numbers, a row for each chunk of about CHUNK_BYTES of
+    text: tokens, with row number, id and round of each piece, and the keys of the words that aren't frequent."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, size, row = TaskContext.get().partitionId() << 33, 0, 0
+        def out():
+            doc_id, row, rounds, *texts = zip(*held)
+            tokens = Tokens(list(zip(*texts)), shared_vocabulary.value)
+            ids = pa.array(doc_id, pa.int64())
+            columns = {**tokens.packed(), "row": np.array(row), "doc_id": ids.fill_null(0).to_numpy(), "no_id": ids.is_null().to_numpy(False).astype(np.int8), "round": np.array(rounds, np.int16)}
+            return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([pack_columns(columns)], pa.binary()), pa.array([tokens.keys.tobytes()], pa.binary())], ["chunk", "tokens", "keys"])
+
+        first = TaskContext.get().partitionId() << 33
+        held, size, row, chunk = [], 0, first, first
         for batch in batches:
-            out: list[tuple] = []
             for doc_id, text, r in zip(batch.column(0).to_pylist(), raw(batch.column(1)), batch.column(2).to_pylist()):
                 for before, piece, last in pieces(text or b"", CHUNK_BYTES):
-                    out.append((first + size // CHUNK_BYTES, first + row, doc_id, r, before, piece, last))
+                    held.append((doc_id, row, -1 if r is None else r, before, piece, last))
                     size += len(piece) + 1
+                    if size >= CHUNK_BYTES:
+                        yield out()
+                        held, size, chunk = [], 0, chunk + 1
                 row += 1
-            columns = zip(*out) if out else [[]] * 7
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.bool_())
-            arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-            yield pa.RecordBatch.from_arrays([a.cast(pa.string()) if t == pa.binary() else a for a, t in zip(arrays, types)], ["chunk", "row", "doc_id", "round", "before", "text", "last"])
-
-    return docs.select("doc_id", "text", "round").mapInArrow(cut, "chunk long, row long, doc_id long, round int, before string, text string, last boolean")
-
-
-class Tokens:
-    """Tokens of some pieces. ``ids``: frequent words by number, any other word ``names[-1 - id]``.
-    ``one``, ``two``: the ids before and two before, or START. ``cls``: classes."""
+        if held:
+            yield out()
 
-    def __init__(self, rows: list[tuple[bytes, bytes, bool]], vocabulary: Vocabulary) -> None:
-        local: dict[bytes, int] = {}
-        ids, sizes, known = [], [], []
-        for before, text, last in rows:
-            n = 0
-            lead = before.lower().split()
-            for words in [lead, *word_runs(text.lower()), *([[END]] if last else [])]:
-                own = vocabulary.numbers(words)
-                rare = np.flatnonzero(own == 0)
-                if len(rare):
-                    own[rare] = [-1 - local.setdefault(words[i], len(local)) for i in rare]
-                ids.append(own)
-                n += len(own)
-            sizes.append(n)
-            known.append(len(lead))
-        self.names = list(local)
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-        starts = np.cumsum([0, *sizes[:-1]])
-        place = np.arange(len(flat)) - np.repeat(starts, sizes)  # in its piece
-        one, two = np.full(len(flat), START), np.full(len(flat), START)
-        one[1:], two[2:] = flat[:-1], flat[:-2]
-        one[place < 1], two[place < 2] = START, START
-        scored = place >= np.repeat(known, sizes)
-        self.ids, self.one, self.two = flat[scored], one[scored], two[scored]
-        self.row = np.repeat(np.arange(len(rows)), sizes)[scored]
-        self.rare_cls = vocabulary.rare_class(self.names)
-        self.cls = vocabulary.cls[np.maximum(self.ids, 0)]
-        rare = self.ids < 0
-        self.cls[rare] = self.rare_cls[-1 - self.ids[rare]]
+    return docs.select("doc_id", "text", "round").mapInArrow(cut, "chunk long, tokens binary, keys binary")
 
 
-def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[bytes, bytes, bool]]]:
-    """Pieces (before, text, last) in groups of about CHUNK_BYTES."""
-    held, size = [], 0
+def chunk_values(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[tuple[Tokens, dict[str, np.ndarray], list[bytes]]]:
+    """Tokens and columns of each row (tokens, others), and its other values."""
     for batch in batches:
-        for row in zip(raw(batch.column(0)), raw(batch.column(1)), batch.column(2).to_pylist()):
-            held.append(row)
-            size += len(row[1])
-            if size >= CHUNK_BYTES:
-                yield held
-                held, size = [], 0
-    if held:
-        yield held
+        for i in range(batch.num_rows):
+            columns = unpack_columns(batch.column(0)[i].as_buffer())
+            yield Tokens.unpacked(columns, vocabulary), columns, [c[i].as_py() for c in batch.columns[1:]]
 
 
 # ---- rounds of gradient updates
@@ -304,27 +363,64 @@ def class_log_probs(z: np.ndarray) -> np.ndarray:
 
 def rated(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
     """Sums of the features' rows and the bias, which is the last row."""
-    z = weights[features[:, 0]]
-    z += weights[features[:, 1]]
+    z = weights.take(features[:, 0], axis=0)
+    z += weights.take(features[:, 1], axis=0)
     z += weights[-1]
     return z
 
 
+def add_by_row(values: np.ndarray, part: tuple[np.ndarray, ...], out: np.ndarray) -> None:
+    """Sums of ``values`` by runs of an order (starts, sizes): the first values of all short runs, and to them the
+    second ones, and so on; the long runs one by one."""
+    order, _, starts, sizes = part
+    short = np.flatnonzero(sizes <= SHORT)
+    short = short[np.argsort(-sizes[short], kind="stable")]
+    first, longer = starts[short], np.cumsum(np.bincount(sizes[short], minlength=SHORT + 1)[::-1])[::-1]
+    sums = values.take(order[first], axis=0)
+    for k in range(1, SHORT):
+        n = longer[k + 1]
+        if not n:
+            break
+        sums[:n] += values.take(order[first[:n] + k], axis=0)
+    out[short] = sums
+    for i in np.flatnonzero(sizes > SHORT).tolist():
+        out[i] = values.take(order[starts[i]:starts[i] + sizes[i]], axis=0).sum(axis=0)
+
+
 def update(weights: np.ndarray, squares: np.ndarray, touched: np.ndarray, features: np.ndarray, cls: np.ndarray) -> None:
     """One minibatch step: gradient of the mean log loss by row, scaled by the root of its
     running sum of squares (kept by row)."""
-    gradient = class_log_probs(rated(weights, features))
-    np.exp(gradient, out=gradient)
+    parts, gradient = [], None
+    for feature in (0, 1):
+        rows = features[:, feature]
+        order = np.argsort(rows.astype(np.uint16) if len(weights) < 1 << 16 else rows, kind="stable")  # short integers sort by radix
+        rows = rows[order]
+        starts = np.flatnonzero(np.diff(rows, prepend=-1))
+        own, sizes = rows[starts], np.diff(np.append(starts, len(rows)))
+        e = weights.take(own, axis=0)
+        if not feature:
+            e += weights[-1]
+        e -= e.max(axis=1, keepdims=True)
+        np.exp(e, out=e)
+        at = np.empty(len(rows), np.int64)
+        at[order] = np.repeat(np.arange(len(own)), sizes)
+        parts.append((order, own, starts, sizes))
+        gradient = np.multiply(gradient, e.take(at, axis=0), out=gradient) if feature else e.take(at, axis=0)
+    total = gradient @ np.ones(gradient.shape[1], np.float32)
+    least = np.flatnonzero(total < LEAST)
+    total[least] = 1
+    gradient *= (1 / total)[:, None]
+    gradient[least] = np.exp(class_log_probs(rated(weights, features[least])))
     gradient[np.arange(len(cls)), cls] -= 1
-    slots = features.ravel(order="F")
-    order = np.argsort(slots.astype(np.uint16) if len(weights) < 1 << 16 else slots, kind="stable")  # short integers sort by radix
-    sorted_slots = slots[order]
-    starts = np.flatnonzero(np.diff(sorted_slots, prepend=-1))
-    own = np.append(sorted_slots[starts], len(weights) - 1)
-    sums = np.vstack([np.add.reduceat(gradient[order % len(cls)], starts, axis=0), gradient.sum(axis=0)])
-    counts = np.append(np.diff(np.append(starts, len(order))), len(cls))
-    mean = sums / np.sqrt(counts)[:, None]
-    squares[own] += (mean**2).mean(axis=1)
+    own = np.concatenate([*(p[1] for p in parts), [len(weights) - 1]])
+    counts = np.concatenate([*(p[3] for p in parts), [len(cls)]])
+    mean = np.empty((len(own), gradient.shape[1]), np.float32)
+    first = len(parts[0][1])
+    add_by_row(gradient, parts[0], mean[:first])
+    add_by_row(gradient, parts[1], mean[first:-1])
+    mean[-1] = mean[:first].sum(axis=0)
+    mean *= (1 / np.sqrt(counts)).astype(np.float32)[:, None]
+    squares[own] += mean**2 @ np.full(mean.shape[1], 1 / mean.shape[1], np.float32)
     touched[own] += counts
     weights[own] -= (RATE / np.sqrt(squares[own] + 1e-6))[:, None].astype(np.float32) * mean
 
@@ -365,20 +461,26 @@ def train_classes(chunked: DataFrame, vocabulary: Vocabulary, shared_vocabulary,
     for r in range(rounds):
         shared = spark.sparkContext.broadcast(weights)
 
-        def learn(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def learn(batches: Iterator[pa.RecordBatch], shared=shared, r=r) -> Iterator[pa.RecordBatch]:
             start, own = shared.value, shared.value.copy()
             squares, touched = np.zeros(len(own)), np.zeros(len(own), np.int64)
-            for rows in groups(batches):
-                tokens = Tokens(rows, shared_vocabulary.value)
-                x = feature_rows(tokens.one, tokens.two, shared_vocabulary.value.dense)
-                for i in range(0, len(x), BATCH):
-                    update(own, squares, touched, x[i:i + BATCH], tokens.cls[i:i + BATCH])
+            held = []
+            for tokens, columns, _ in chunk_values(batches, shared_vocabulary.value):
+                one, two, cls = tokens.only(columns["round"] == r)
+                held.append((feature_rows(one, two, shared_vocabulary.value.dense), cls))
+                x, cls = (np.concatenate(part) for part in zip(*held))
+                whole = len(cls) - len(cls) % BATCH
+                for i in range(0, whole, BATCH):
+                    update(own, squares, touched, x[i:i + BATCH], cls[i:i + BATCH])
+                held = [(x[whole:], cls[whole:])]
+            for x, cls in held:
+                if len(cls):
+                    update(own, squares, touched, x, cls)
             some = np.flatnonzero(touched)
             if len(some):
                 yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(touched[some]), packed(own[some] - start[some])], ["row", "n", "change"])
 
-        texts = chunked.filter(F.col("round") == r).select("before", "text", "last")
-        changes = texts.mapInArrow(learn, CHANGES).repartition("row").mapInArrow(lambda batches: add_up(batches, classes), CHANGES)
+        changes = chunked.select("tokens").mapInArrow(learn, CHANGES).repartition("row").mapInArrow(lambda batches: add_up(batches, classes), CHANGES)
         mean = stored(changes, "lm-changes", free_shuffles=True).toPandas().sort_values("row")  # the dense words at most
         weights = weights.copy()
         if len(mean):
@@ -407,6 +509,13 @@ def summed(ids: np.ndarray, slots: np.ndarray, n: np.ndarray) -> tuple[np.ndarra
     return ids[starts], slots[starts], np.add.reduceat(n, starts) if len(starts) else n
 
 
+def tallied(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order, and how often each comes."""
+    codes = np.sort(codes)
+    starts = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.zeros(0, np.int64)
+    return codes[starts], np.diff(np.append(starts, len(codes)))
+
+
 def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row a key; rows come in order of the keys."""
     held = None
@@ -434,22 +543,21 @@ def class_counts(chunked: DataFrame, vocabulary: Vocabulary, shared_vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared_vocabulary.value
-        frequent = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)  # sums of the task: a bounded number
-        for rows in groups(batches):
-            tokens = Tokens(rows, words)
-            ids = np.concatenate([tokens.one, tokens.two])
-            slots = np.concatenate([tokens.cls, tokens.cls + classes])
-            part = np.flatnonzero(ids > words.dense)
-            frequent = summed(*(np.concatenate(x) for x in zip(frequent, (ids[part], slots[part], np.ones(len(part), np.int64)))))
-            part = np.flatnonzero((ids < 0) & (ids != START))
-            keys = np.array([word_key(w) for w in tokens.names], np.int64)
-            yield coded(*summed(keys[-1 - ids[part]], slots[part], np.ones(len(part), np.int64)))
-        ids, slots, n = frequent
-        distinct, at = np.unique(ids, return_inverse=True)
-        keys = np.array([word_key(words.words[i - 1]) for i in distinct.tolist()], np.int64)
-        yield coded(keys[at], slots, n)
-
-    found = chunked.filter("round IS NOT NULL").select("before", "text", "last").mapInArrow(count, CLASS_COUNTS)
+        sums = np.zeros((len(words.words) + 1 - words.dense) * 2 * classes, np.int32)  # of the frequent words that aren't dense
+        for tokens, columns, (keys,) in chunk_values(batches, words):
+            one, two, cls = tokens.only(columns["round"] >= 0)
+            ids, slots = np.concatenate([one, two]), np.concatenate([cls, cls + classes])
+            part = ids > words.dense
+            at, n = tallied((ids[part] - words.dense) * (2 * classes) + slots[part])
+            sums[at] += n.astype(np.int32)
+            part = (ids < 0) & (ids != START)
+            at, n = tallied((-1 - ids[part]) * (2 * classes) + slots[part])
+            yield coded(np.frombuffer(keys, np.int64)[at // (2 * classes)], at % (2 * classes), n)
+        at = np.flatnonzero(sums)
+        keys = np.append(0, word_keys(words.words[words.dense:]))
+        yield coded(keys[at // (2 * classes)], at % (2 * classes), sums[at])
+
+    found = chunked.select("tokens", "keys").mapInArrow(count, CLASS_COUNTS)
     return found.repartition("key").sortWithinPartitions("key").mapInArrow(merged, CLASS_COUNTS)
 
 
@@ -462,17 +570,19 @@ class Steps:
 
     def rows(self, codes: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """words x 2 x classes, and how often each word was counted."""
-        n, width = len(codes), 2 * self.classes
-        total, out = np.empty((n, 2, 1)), np.empty((n, 2, self.classes), np.float32)
+        n, width, expected = len(codes), 2 * self.classes, self.expected.astype(np.float32)
+        total, out, spread = np.empty((n, 2, 1)), np.empty((n, 2, self.classes), np.float32), expected * (1 - expected)
         for i in range(0, n, 2048):
             own = codes[i:i + 2048]
             flat, m = own.flatten().to_numpy(), len(own)
-            at, counts = (flat & 0xFFFF) + np.repeat(np.arange(m) * width, own.value_lengths().to_numpy()), (flat >> 16).astype(float)
-            total[i:i + m] = np.bincount(at // self.classes, weights=counts, minlength=2 * m).reshape(m, 2, 1)
-            step = total[i:i + m] * -self.expected
-            step.reshape(-1)[at] += counts  # a word's slots come once
-            step /= total[i:i + m] * (self.expected * (1 - self.expected)) + CAUTION
-            out[i:i + m] = step
+            word, slots, counts = np.repeat(np.arange(m), own.value_lengths().to_numpy()), flat & 0xFFFF, flat >> 16
+            total[i:i + m] = np.bincount(2 * word + (slots >= self.classes), weights=counts, minlength=2 * m).reshape(m, 2, 1)
+            sums = total[i:i + m].astype(np.float32)
+            step = np.multiply(sums, -expected, out=out[i:i + m])
+            step.reshape(-1)[slots + word * width] += counts  # a word's slots come once
+            curve = sums * spread
+            curve += np.float32(CAUTION)
+            step /= curve
         return out, total[:, 0, 0]  # a word is followed by a token, the end at least
 
 
@@ -493,25 +603,16 @@ def rare_masses(counts: DataFrame, shared_vocabulary) -> DataFrame:
 
 # ---- scoring
 
-def words_of_chunks(chunked: DataFrame, shared_vocabulary) -> DataFrame:
-    """chunk, key: the words of each chunk that aren't frequent."""
+def words_of_chunks(chunked: DataFrame) -> DataFrame:
+    """chunk, key, at: the words of each chunk that aren't frequent, and their places among its names."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(held), chunk), pa.int64()), pa.array(map(word_key, held), pa.int64())], ["chunk", "key"])
-
-        number, held, chunk = shared_vocabulary.value.number, set(), 0
         for batch in batches:
-            for own, before, text in zip(batch.column(0).to_pylist(), raw(batch.column(1)), raw(batch.column(2))):
-                if own != chunk:
-                    yield out()
-                    held, chunk = set(), own
-                for words in [[END], before.lower().split(), *word_runs(text.lower())]:
-                    held.update(set(words).difference(number))
-        yield out()
+            for i, chunk in enumerate(batch.column(0).to_pylist()):
+                keys = np.frombuffer(batch.column(1)[i].as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk)), pa.array(keys), pa.array(np.arange(len(keys)))], ["chunk", "key", "at"])
 
-    # A chunk can be read by two tasks, and a word of it come twice.
-    return chunked.select("chunk", "before", "text").mapInArrow(find, "chunk long, key long")
+    return chunked.select("chunk", "keys").mapInArrow(find, "chunk long, key long, at long")
 
 
 MET = "chunk long, kind int, packed binary"
@@ -530,24 +631,33 @@ def unpack(values: list[bytes]) -> pa.Table:
     return pa.concat_tables([pa.ipc.open_stream(v).read_all() for v in values]).combine_chunks()
 
 
+def pack_columns(columns: dict[str, np.ndarray]) -> bytes:
+    return pack(pa.table({k: pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), pa.array(c)) for k, c in columns.items()}))
+
+
+def unpack_columns(value: bytes | pa.Buffer) -> dict[str, np.ndarray]:
+    table = pa.ipc.open_stream(value).read_all()
+    return {c: table[c].combine_chunks().flatten().to_numpy() for c in table.column_names}
+
+
 def pack_words(words: pa.Table) -> bytes:
-    """key, codes as one value: keys, how many codes each has, and of the codes the steps from slot to slot and the
-    counts, each apart from the others, as most of them are small."""
+    """key, codes as one value: the steps from key to key, how many codes each has, and of the codes the steps from
+    slot to slot and the counts, each apart from the others, as most of them are small."""
     codes = words["codes"].combine_chunks()
     flat, sizes = codes.flatten().to_numpy(), codes.value_lengths().to_numpy()
     slots, starts = flat & 0xFFFF, (np.cumsum(sizes) - sizes)[sizes > 0]
     steps = np.diff(slots, prepend=0)
     steps[starts] = slots[starts]
-    columns = {"keys": words["key"].to_numpy(), "sizes": sizes, "steps": steps.astype(np.uint16), "counts": flat >> 16}
-    return pack(pa.table({k: pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), pa.array(c)) for k, c in columns.items()}))
+    return pack_columns({"keys": np.diff(words["key"].to_numpy(), prepend=0), "sizes": sizes, "steps": steps.astype(np.uint16), "counts": flat >> 16})
 
 
 def unpack_words(values: list[bytes]) -> tuple[np.ndarray, pa.ListArray]:
     """Keys and their codes."""
     if not values:
-        return NO_CODES, pa.array([], pa.list_(pa.int64()))
-    table = unpack(values)
-    keys, sizes, steps, counts = (table[c].combine_chunks().flatten().to_numpy() for c in ("keys", "sizes", "steps", "counts"))
+        return np.zeros(0, np.int64), pa.array([], pa.list_(pa.int64()))
+    parts = [unpack_columns(v) for v in values]
+    sizes, steps, counts = (np.concatenate([p[c] for p in parts]) for c in ("sizes", "steps", "counts"))
+    keys = np.concatenate([np.cumsum(p["keys"]) for p in parts])
     ends, passed = np.cumsum(sizes), np.append(0, np.cumsum(steps, dtype=np.int64))
     slots = passed[1:] - np.repeat(passed[ends - sizes], sizes) & 0xFFFF
     return keys, pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(counts << 16 | slots))
@@ -581,7 +691,7 @@ def packed_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces of texts in the columns of MET."""
+    """Rows of chunks in the columns of MET."""
     held, size = [], 0
     for batch in batches:
         if batch.num_rows:
@@ -594,10 +704,11 @@ def packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield by_chunk(held, 1)
 
 
-def meet(texts: DataFrame, needs: DataFrame, rare: DataFrame) -> DataFrame:
-    """The pieces of each chunk in one task, its words first, in the columns of MET."""
-    words = needs.join(rare, "key").select("chunk", "key", "codes").mapInArrow(packed_words, MET)
-    texts = texts.select("chunk", "row", "doc_id", "before", "text", "last").mapInArrow(packed_texts, MET)
+def meet(texts: DataFrame, needs: DataFrame, rare: DataFrame, name: str = "key") -> DataFrame:
+    """The rows of each chunk (chunk, others) in one task, its words first, in the columns of MET. ``name``: the column
+    of ``needs`` that the words are told apart by there."""
+    words = needs.join(rare, "key").select("chunk", F.col(name).alias("key"), "codes").mapInArrow(packed_words, MET)
+    texts = texts.mapInArrow(packed_texts, MET)
     return words.unionByName(texts).repartition("chunk").sortWithinPartitions("chunk", "kind")
 
 
@@ -621,42 +732,57 @@ def chunks_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 class Scorer:
     """What each task holds of the model: weights of the dense words, codes of the other frequent ones."""
 
-    def __init__(self, vocabulary: Vocabulary, weights: np.ndarray, frequent_codes: dict[int, np.ndarray], steps: Steps) -> None:
+    def __init__(self, vocabulary: Vocabulary, weights: np.ndarray, frequent_codes: pa.ListArray, steps: Steps) -> None:
         self.vocabulary, self.weights, self.frequent_codes, self.steps = vocabulary, weights, frequent_codes, steps
 
-    def score(self, rows: list[tuple[bytes, bytes, bool]], keys: np.ndarray, codes: pa.ListArray) -> tuple[np.ndarray, ...]:
-        """n_tokens, n_known, sum of log10(count + 1) and log10 probability of each piece. ``keys``, ``codes``:
-        the counted words among those that aren't frequent, keys in ascending order."""
-        words, tokens = self.vocabulary, Tokens(rows, self.vocabulary)
-        own = np.array([word_key(w) for w in tokens.names], np.int64)
-        place = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
-        found = keys[place] == own if len(keys) else np.zeros(len(own), bool)
-        seen, rare_rows = np.zeros(len(own)), np.zeros((len(own), 2, words.classes), np.float32)
-        rare_rows[found], seen[found] = self.steps.rows(codes.take(pa.array(place[found])))
-        used = np.unique(np.concatenate([tokens.one, tokens.two]))
-        used = used[used > words.dense]
-        frequent_rows, _ = self.steps.rows(pa.array([self.frequent_codes.get(i, NO_CODES) for i in used.tolist()], pa.list_(pa.int64())))
-        rare, at = tokens.ids < 0, np.maximum(-1 - tokens.ids, 0)
+    def score(self, tokens: Tokens, at: np.ndarray, codes: pa.ListArray) -> tuple[np.ndarray, ...]:
+        """n_tokens, n_known, sum of log10(count + 1) and log10 probability of each piece. ``at``, ``codes``:
+        the counted words among the names of ``tokens``."""
+        words, names = self.vocabulary, len(tokens.rare_cls)
+        seen, found = np.zeros(names), np.zeros(names, bool)
+        rare_steps, seen[at] = self.steps.rows(codes)
+        found[at] = True
+        # A row for the start and each word here, in order of the ids: the common part and the word's own.
+        used = np.flatnonzero(np.bincount(tokens.flat + names)) - names
+        number = np.zeros(names + len(words.words) + 1, np.int64)
+        number[used] = np.arange(1, len(used) + 1)  # an id below 0 counts from the end
+        used = np.append(START, used)
+        common = feature_rows(used, used, words.dense)
+        middle = int(np.searchsorted(used, words.dense, side="right"))
+        middle_steps, _ = self.steps.rows(self.frequent_codes.take(pa.array(used[middle:] - words.dense - 1)))
+        rows, scale = [], []
+        for feature, before in enumerate((tokens.one, tokens.two)):
+            z = self.weights.take(common[:, feature], axis=0)
+            z[middle:] += middle_steps[:, feature]
+            z[names - at] += rare_steps[:, feature]
+            if not feature:
+                z += self.weights[-1]
+            z -= z.max(axis=1, keepdims=True)
+            rows.append(z)
+            scale.append((np.exp(z), np.where(before == START, 0, number.take(np.where(before == START, 0, before), mode="wrap"))))
+        rare, name = tokens.ids < 0, np.maximum(-1 - tokens.ids, 0)
         known, inside, counted = words.known[np.maximum(tokens.ids, 0)], words.inside[np.maximum(tokens.ids, 0)], np.ones(len(tokens.ids), bool)
-        known[rare], counted[rare] = np.log10(seen[at[rare]] + 1), found[at[rare]]
-        inside[rare] = np.log10((seen[at[rare]] + 1) / words.rare_masses[tokens.cls[rare] - CLASSES + 1])
-        x, logs = feature_rows(tokens.one, tokens.two, words.dense), np.empty(len(tokens.ids))
-        for i in range(0, len(x), BATCH):
-            z = rated(self.weights, x[i:i + BATCH])
-            for feature, before in enumerate((tokens.one[i:i + BATCH], tokens.two[i:i + BATCH])):
-                part = np.flatnonzero(before > words.dense)
-                z[part] += frequent_rows[np.searchsorted(used, before[part]), feature]
-                part = np.flatnonzero((before < 0) & (before != START))
-                z[part] += rare_rows[-1 - before[part], feature]
-            z = class_log_probs(z)
-            logs[i:i + BATCH] = z[np.arange(len(z)), tokens.cls[i:i + BATCH]]
-        logs, m = logs / np.log(10) + inside, len(rows)
+        known[rare], counted[rare] = np.log10(seen + 1)[name[rare]], found[name[rare]]
+        inside[rare] = known[rare] - np.log10(words.rare_masses)[tokens.cls[rare] - CLASSES + 1]
+        logs, ones = np.empty(len(tokens.ids)), np.ones(words.classes, np.float32)
+        (a, one), (b, two) = scale
+        for i in range(0, len(logs), SCORED):
+            x, y, cls = one[i:i + SCORED], two[i:i + SCORED], tokens.cls[i:i + SCORED]
+            z = a.take(x, axis=0)
+            z *= b.take(y, axis=0)
+            total = z @ ones
+            own = z[np.arange(len(z)), cls]
+            least = np.flatnonzero(np.minimum(total, own) < LEAST)
+            total[least] = own[least] = 1
+            logs[i:i + SCORED] = np.log(own) - np.log(total)
+            if len(least):
+                exact = class_log_probs(rows[0][x[least]] + rows[1][y[least]])
+                logs[i + least] = exact[np.arange(len(least)), cls[least]]
+        logs, m = logs / np.log(10) + inside, len(tokens.sizes)
         return np.bincount(tokens.row, minlength=m), np.bincount(tokens.row, counted, m).astype(np.int64), np.bincount(tokens.row, known, m), np.bincount(tokens.row, logs, m)
 
 
-def learn_model(chunked: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> tuple[Scorer, DataFrame]:
-    """The model, as far as each task holds it, and the table of the words that aren't dense: key, codes."""
-    spark = chunked.sparkSession
+def learn_vocabulary(spark: SparkSession, counts: DataFrame) -> Vocabulary:
     tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     top = frequent_tokens(counts, VOCABULARY)
     if tokens and END.decode() not in set(top["token"]):
@@ -665,7 +791,12 @@ def learn_model(chunked: DataFrame, counts: DataFrame, rounds: int = ROUNDS) ->
     for row in rare_masses(counts, spark.sparkContext.broadcast(vocabulary)).collect():  # a row a class
         if row.cls >= CLASSES - 1:
             vocabulary.rare_masses[row.cls - CLASSES + 1] += row.mass
-    shared = spark.sparkContext.broadcast(vocabulary)
+    return vocabulary
+
+
+def learn_model(chunked: DataFrame, vocabulary: Vocabulary, shared, rounds: int = ROUNDS) -> tuple[Scorer, DataFrame]:
+    """The model, as far as each task holds it, and the table of the words that aren't dense: key, codes."""
+    spark = chunked.sparkSession
     weights = train_classes(chunked, vocabulary, shared, rounds)
     followed = stored(class_counts(chunked, vocabulary, shared), "lm-classes", free_shuffles=True)
     expected = np.zeros(2 * vocabulary.classes)
@@ -673,12 +804,15 @@ def learn_model(chunked: DataFrame, counts: DataFrame, rounds: int = ROUNDS) ->
     for row in slots.collect():  # 2 x classes
         expected[row.slot] = row.n
     # Codes of the frequent words that aren't dense: VOCABULARY words at most.
-    middle = {word_key(w): vocabulary.dense + 1 + i for i, w in enumerate(vocabulary.words[vocabulary.dense:])}
-    codes = {}
-    if middle:
-        keys = spark.createDataFrame(pd.DataFrame({"key": list(middle)}))
+    middle = word_keys(vocabulary.words[vocabulary.dense:])
+    codes = [np.zeros(0, np.int64)] * len(middle)
+    if len(middle):
+        place = {k: i for i, k in enumerate(middle.tolist())}
+        keys = spark.createDataFrame(pd.DataFrame({"key": middle}))
         got = followed.join(F.broadcast(keys), "key").toPandas()
-        codes = {middle[k]: np.asarray(c, np.int64) for k, c in zip(got["key"], got["codes"])}
+        for k, c in zip(got["key"], got["codes"]):
+            codes[place[k]] = np.asarray(c, np.int64)
+    codes = pa.array(codes, pa.list_(pa.int64()))
     return Scorer(vocabulary, weights, codes, Steps(expected, vocabulary.classes)), followed
 
 
@@ -697,23 +831,25 @@ def score_texts(docs: DataFrame, training: Column, rounds: int = ROUNDS) -> Data
     text_hash = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)).cast("int")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.when(training, text_hash).alias("round"))
     counts = stored(token_counts(docs.filter("round IS NOT NULL")), "tokens", free_shuffles=True)
-    chunked = stored(in_chunks(docs), "lm-chunks", codec="zstd")
-    model, rare = learn_model(chunked, counts, rounds)
-    shared, words = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(model.vocabulary)
+    vocabulary = learn_vocabulary(spark, counts)
+    words = spark.sparkContext.broadcast(vocabulary)
+    chunked = stored(in_chunks(docs, words), "lm-chunks", rows_per_file=CHUNKS_PER_FILE)
+    model, rare = learn_model(chunked, vocabulary, words, rounds)
+    shared = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks_in(batches):
             n_words = int((chunk["kind"].to_numpy() == 0).sum())
             values = chunk["packed"].to_pylist()
-            keys, codes = unpack_words(values[:n_words])
-            keys, at = np.unique(keys, return_index=True)
-            codes, texts = codes.take(pa.array(at)), unpack(values[n_words:])
-            rows = list(zip(*(texts[c].cast(pa.binary()).to_pylist() for c in ("before", "text")), texts["last"].to_pylist()))
-            found = shared.value.score(rows, keys, codes)
-            yield pa.RecordBatch.from_arrays(
-                [texts["row"].combine_chunks(), texts["doc_id"].combine_chunks(), *map(pa.array, found)], ["row", "doc_id", "n_tokens", "n_known", "known_sum", "score"])
-
-    scored = meet(chunked, words_of_chunks(chunked, words), rare).mapInArrow(score, "row long, doc_id long, n_tokens long, n_known long, known_sum double, score double")
+            at, codes = unpack_words(values[:n_words])
+            for value in unpack(values[n_words:])["tokens"]:
+                columns = unpack_columns(value.as_buffer())
+                found = shared.value.score(Tokens.unpacked(columns, shared.value.vocabulary), at, codes)
+                doc_id = pa.array(columns["doc_id"], mask=columns["no_id"] == 1)
+                yield pa.RecordBatch.from_arrays([pa.array(columns["row"]), doc_id, *map(pa.array, found)], ["row", "doc_id", "n_tokens", "n_known", "known_sum", "score"])
+
+    met = meet(chunked.select("chunk", "tokens"), words_of_chunks(chunked), rare, "at")
+    scored = met.mapInArrow(score, "row long, doc_id long, n_tokens long, n_known long, known_sum double, score double")
     # The pieces of a text; most have one.
     scored = scored.groupBy("row").agg(F.first("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "known_sum", "score")))
     n = model.vocabulary.tokens + model.vocabulary.types + 1

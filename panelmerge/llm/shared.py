@@ -21,20 +21,21 @@ U64 = np.uint64
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, tag: str, free_shuffles: bool = False, codec: str | None = None) -> DataFrame:
+def stored(df: DataFrame, tag: str, free_shuffles: bool = False, codec: str | None = None, rows_per_file: int = 0) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage: a lost executor re-reads the files instead of redoing
     the work. The folder is the one the cluster names in
     ``spark.checkpoint.dir``; the files stay, as results are read lazily.
     ``free_shuffles``: the write's own shuffle files go when it has ended. ``codec``: of the files.
+    ``rows_per_file``: at most, 0 for no limit.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm-{tag}-{uuid.uuid4().hex}"
     before = spark.conf.get(FREE_SHUFFLES, "false")
     spark.conf.set(FREE_SHUFFLES, "true" if free_shuffles else before)
     try:
-        df.write.parquet(path, compression=codec)
+        df.write.option("maxRecordsPerFile", rows_per_file).parquet(path, compression=codec)
     finally:
         spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -799,6 +799,60 @@ def test_rare_words_are_contexts_of_their_own(spark, monkeypatch):
     assert got[1000].score > got[1001].score + 10
 
 
+def test_texts_are_stored_as_numbers_of_words(spark, monkeypatch):
+    """The model reads chunks of numbers: no pass after them splits texts again, and nothing of a text is lost."""
+    monkeypatch.setattr(entropy_lm, "CHUNK_BYTES", 2000)
+    data = [(i if i % 5 else None, None if i == 7 else words(i * 7 % 90, i).title() + " \n"[i % 3:], i % 3 if i % 3 < 2 else None) for i in range(60)]
+    data.append((99, words(1500, 5), 1))
+    vocabulary = entropy_lm.Vocabulary([b"\n", b"w5", b"w17", b"w1"], np.array([9.0, 8, 5, 4]), 300, 90)
+    got = entropy_lm.in_chunks(spark.createDataFrame(data, "doc_id long, text string, round int").coalesce(1), spark.sparkContext.broadcast(vocabulary)).collect()
+    assert len(got) > 5 and all(r.asDict().keys() == {"chunk", "tokens", "keys"} for r in got) and len({r.chunk for r in got}) == len(got)
+    found = defaultdict(list)
+    for r in sorted(got, key=lambda r: r.chunk):
+        columns = entropy_lm.unpack_columns(bytes(r.tokens))
+        tokens, keys = entropy_lm.Tokens.unpacked(columns, vocabulary), np.frombuffer(bytes(r.keys), np.int64)
+        name = {0: "start", **{i: w for w, i in vocabulary.number.items()}}
+        for at, *ids in zip(tokens.row, tokens.ids, tokens.one, tokens.two):
+            found[int(columns["row"][at])].append([name.get(int(i), "start") if i >= 0 or i == entropy_lm.START else int(keys[-1 - i]) for i in ids])
+        for at, doc_id, none, r in zip(*(columns[c].tolist() for c in ("row", "doc_id", "no_id", "round"))):
+            assert (None if none else doc_id, None if r < 0 else r) == data[at & 0xFFFF][::2]
+    def word(w):
+        return w if w in vocabulary.number else int(entropy_lm.word_keys([w])[0])
+    for i, (_, text, _) in enumerate(data):
+        own = ["start", "start", *map(word, tokens_of(text))]
+        assert found[i] == [[own[k], own[k - 1], own[k - 2]] for k in range(2, len(own))], i
+
+
+def test_softmax_by_products_is_the_softmax():
+    """One update, against token by token: rows that come once and often, and weights so far apart that products vanish."""
+    rng = np.random.default_rng(2)
+    weights = rng.normal(size=(2 * 12 + 1, 7)).astype(np.float32)
+    weights[4, 0] += 150
+    weights[7, 3] += 150
+    one, two = np.append(rng.integers(0, 5, 300), [9, 2]), np.append(rng.integers(0, 6, 300), [11, 3])
+    features, cls = np.stack([2 * one, 2 * two + 1], axis=1), rng.integers(0, 7, 302)
+    z = weights[features[:, 0]].astype(float) + weights[features[:, 1]] + weights[-1]
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    gradient = p / p.sum(axis=1, keepdims=True) - np.eye(7)[cls]
+    want, squares, touched = weights.astype(float), np.zeros(len(weights)), np.zeros(len(weights), np.int64)
+    for row in range(len(weights)):
+        part = (features == row).any(axis=1) if row < len(weights) - 1 else np.ones(302, bool)
+        if part.any():
+            mean = gradient[part].sum(axis=0) / np.sqrt(part.sum())
+            squares[row], touched[row] = (mean**2).mean(), part.sum()
+            want[row] -= entropy_lm.RATE / np.sqrt(squares[row] + 1e-6) * mean
+    got, own_squares, own_touched = weights.copy(), np.zeros(len(weights)), np.zeros(len(weights), np.int64)
+    entropy_lm.update(got, own_squares, own_touched, features, cls)
+    assert np.allclose(got, want, atol=1e-3) and np.allclose(own_squares, squares, rtol=1e-3, atol=1e-6) and (own_touched == touched).all()
+
+
+def test_words_in_texts():
+    texts = [b"", b" ", b"A\tb", "Ünï \v\nÜ".encode(), b"\nx", b""]
+    got, sizes = entropy_lm.words_in(texts)
+    assert got.to_pylist() == [w for t in texts for w in t.lower().split()] and sizes.tolist() == [0, 0, 2, 2, 1, 0]
+    assert [x.tolist() for x in entropy_lm.words_in([b""])[1:]] == [[0]]
+
+
 def test_word_shares_sum_to_one():
     vocabulary = entropy_lm.Vocabulary([b"\n", b"the", b"of", b"cat"], np.array([9.0, 8, 5, 2]), 30, 10)
     inside = 10 ** vocabulary.inside[1:]
